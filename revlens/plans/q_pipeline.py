@@ -1 +1,210 @@
-"""Registered labeling-pipeline queries (filled in below)."""
+"""Registered labeling-pipeline and quality queries (J1, C1-C5, L1-L6, Q1-Q6, P*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import labels as LB
+from ..functions import lexicon as LX
+from ..functions import text as TX
+from ..operators import clean as C
+from ..operators import labeling as L
+from ..operators import quality as Q
+from ..sources import schemas as S
+from ..sources import testdata as td
+from .catalog import register
+from .sqltext import (is_file_sql, is_missing_sql, is_url_sql, lexicon_a_sql, lexicon_b_sql,
+                      lexicon_scores_cte, majority_sql, strip_html_sql)
+from .sqlviews import heuristic_sql, with_views
+
+_MERGED_SQL = """
+  SELECT r.row_id, r.text, r.rating, m.title AS product_title, m.store, m.price, r.helpful_vote,
+         m.main_category, r.parent_asin, r.timestamp, r.verified_purchase
+  FROM raw_reviews_v r JOIN raw_metadata_v m ON r.parent_asin = m.parent_asin
+  WHERE r.text IS NOT NULL AND r.rating IS NOT NULL AND NOT isnan(r.rating)"""
+
+
+def _merged(spark, sf):
+    return L.merge_reviews(td.raw_reviews(spark, sf), td.raw_metadata(spark, sf))
+
+
+@register("j1_merge_reviews", with_views("SELECT * FROM merged", "raw_reviews_v", "raw_metadata_v",
+                                         extra={"merged": _MERGED_SQL}))
+def j1(spark, sf):
+    """Reviews JOIN metadata on parent_asin, renamed, null-dropped, wide columns."""
+    return _merged(spark, sf)
+
+
+@register("c1_strip_html", f"SELECT page_id, {strip_html_sql('html')} AS cleaned_text FROM pages")
+def c1(spark, sf):
+    """HTML pages to lower-cased text."""
+    return C.strip_html_tags(td.pages(spark, sf), "html", "cleaned_text").select("page_id", "cleaned_text")
+
+
+_CLEANED = {"merged": _MERGED_SQL,
+            "cleaned": f"SELECT * EXCLUDE (text), {strip_html_sql('text')} AS cleaned_text FROM merged"}
+
+
+def _cleaned(spark, sf):
+    return C.strip_html_tags(_merged(spark, sf)).drop("text").select("row_id", "cleaned_text")
+
+
+@register("c3_drop_urls", with_views(
+    f"SELECT row_id, cleaned_text FROM cleaned WHERE NOT {is_url_sql('cleaned_text')}",
+    "raw_reviews_v", "raw_metadata_v", extra=_CLEANED))
+def c3(spark, sf):
+    """Drop texts starting with a URL scheme."""
+    return C.drop_urls(_cleaned(spark, sf))
+
+
+@register("c4_drop_file_names", with_views(
+    f"SELECT row_id, cleaned_text FROM cleaned WHERE NOT {is_file_sql('cleaned_text')}",
+    "raw_reviews_v", "raw_metadata_v", extra=_CLEANED))
+def c4(spark, sf):
+    """C4: drop texts that look like a file name."""
+    return C.drop_file_names(_cleaned(spark, sf))
+
+
+@register("c5_drop_missing_text", with_views(
+    f"SELECT row_id, cleaned_text FROM cleaned WHERE NOT {is_missing_sql('cleaned_text')}",
+    "raw_reviews_v", "raw_metadata_v", extra=_CLEANED))
+def c5(spark, sf):
+    """Drop null / missing-token texts."""
+    return C.drop_missing_text(_cleaned(spark, sf))
+
+
+@register("l1_heuristic_sentiment", with_views(
+    f"SELECT row_id, {heuristic_sql('rating', 'verified_purchase', 'helpful_vote')} AS heuristic_sentiment "
+    "FROM raw_reviews_v", "raw_reviews_v"))
+def l1(spark, sf):
+    """L1: rating rule on every raw review."""
+    r = td.raw_reviews(spark, sf)
+    return r.select("row_id", LB.heuristic_sentiment("rating", "verified_purchase", "helpful_vote")
+                    .alias("heuristic_sentiment"))
+
+
+def _docs_lex_sql(body):
+    return with_views(body, extra={**lexicon_scores_cte("documents", "doc_id", "text")})
+
+
+@register("l2_lexicon_a_sentiment", _docs_lex_sql(
+    f"""SELECT d.doc_id AS row_id, coalesce(s.valence_sum, 0) AS valence_sum,
+  {lexicon_a_sql('coalesce(s.valence_sum, 0)', 'd.text')} AS lexicon_a_sentiment
+FROM documents d LEFT JOIN scores s ON d.doc_id = s.id"""))
+def l2(spark, sf):
+    """L2: compound lexicon score label of every document."""
+    d = td.table(spark, sf, "documents")
+    tot = LX.lexicon_totals("text")
+    return d.select(F.col("doc_id").alias("row_id"), tot["valence_sum"].cast("long").alias("valence_sum"),
+                    LX.lexicon_a_sentiment("text").alias("lexicon_a_sentiment"))
+
+
+@register("l3_lexicon_b_sentiment", _docs_lex_sql(
+    f"""SELECT d.doc_id AS row_id, coalesce(s.hits, 0) AS hits,
+  {lexicon_b_sql('coalesce(s.valence_sum, 0)', 'd.text')} AS lexicon_b_sentiment
+FROM documents d LEFT JOIN scores s ON d.doc_id = s.id"""))
+def l3(spark, sf):
+    """L3: mean-polarity lexicon label of every document."""
+    d = td.table(spark, sf, "documents")
+    tot = LX.lexicon_totals("text")
+    return d.select(F.col("doc_id").alias("row_id"), tot["hits"].cast("long").alias("hits"),
+                    LX.lexicon_b_sentiment("text").alias("lexicon_b_sentiment"))
+
+
+_L6_BODY = f"""SELECT f.*, {heuristic_sql('f.rating', 'f.verified_purchase', 'f.helpful_vote')} AS heuristic_sentiment,
+  {lexicon_a_sql('coalesce(s.valence_sum, 0)', 'f.cleaned_text')} AS lexicon_a_sentiment,
+  {lexicon_b_sql('coalesce(s.valence_sum, 0)', 'f.cleaned_text')} AS lexicon_b_sentiment
+FROM filtered f LEFT JOIN scores s ON f.row_id = s.id"""
+
+_L6_CTES = {**_CLEANED,
+            "filtered": f"""SELECT * FROM cleaned
+  WHERE NOT {is_url_sql('cleaned_text')} AND NOT {is_file_sql('cleaned_text')}
+    AND NOT {is_missing_sql('cleaned_text')}""",
+            **lexicon_scores_cte("filtered", "row_id", "cleaned_text"),
+            "labeled": _L6_BODY}
+
+
+@register("l4_majority_vote", with_views(
+    f"""SELECT row_id, {majority_sql('heuristic_sentiment', 'lexicon_a_sentiment', 'lexicon_b_sentiment')}
+  AS final_sentiment FROM labeled""", "raw_reviews_v", "raw_metadata_v", extra=_L6_CTES))
+def l4(spark, sf):
+    """L4: majority vote of the three labels."""
+    return _l6(spark, sf).select("row_id", "final_sentiment")
+
+
+def _l6(spark, sf):
+    return L.label_reviews(td.raw_reviews(spark, sf), td.raw_metadata(spark, sf))
+
+
+@register("l6_label_reviews", with_views(
+    f"""SELECT *, {majority_sql('heuristic_sentiment', 'lexicon_a_sentiment', 'lexicon_b_sentiment')}
+  AS final_sentiment FROM labeled""", "raw_reviews_v", "raw_metadata_v", extra=_L6_CTES))
+def l6(spark, sf):
+    """End-to-end labeled review table (merge, clean, filter, 3 labels, vote)."""
+    return _l6(spark, sf)
+
+
+@register("q1_schema_report")
+def q1(spark, sf):
+    """Q1/Q2: declared-vs-actual schema report of the raw review and metadata tables."""
+    return Q.schema_check({"reviews": (td.raw_reviews(spark, sf), S.REVIEWS),
+                           "metadata": (td.raw_metadata(spark, sf), S.METADATA)})
+
+
+@register("q4_label_domain", with_views(
+    """SELECT array_to_string(list_sort(list(DISTINCT CAST(label AS VARCHAR))), ',') AS labels, true AS ok
+FROM (SELECT CASE final_sentiment WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 WHEN 'neutral' THEN 2 END AS label
+      FROM reviews_v) t""", "reviews_v"))
+def q4(spark, sf):
+    """Q4: the encoded labels are exactly {0, 1, 2}."""
+    r = td.review_facts(spark, sf).withColumn("label", LB.encode_label("final_sentiment", strict=True))
+    return Q.label_domain(r, "label")
+
+
+@register("q5_duplicate_rows", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+WHERE (l_orderkey, l_linenumber) IN (
+  SELECT (l_orderkey, l_linenumber) FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)""")
+def q5(spark, sf):
+    """Q5: all members of duplicate (l_orderkey, l_linenumber) groups."""
+    li = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return Q.duplicate_rows(li, ["l_orderkey", "l_linenumber"])
+
+
+@register("q6_class_distribution", with_views(
+    """SELECT CAST(CASE final_sentiment WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 WHEN 'neutral' THEN 2 END
+       AS INTEGER) AS label, COUNT(*) AS count FROM reviews_v GROUP BY 1""", "reviews_v"))
+def q6(spark, sf):
+    """Q6: class distribution of the encoded labels."""
+    r = td.review_facts(spark, sf).withColumn("label", LB.encode_label("final_sentiment"))
+    return Q.class_distribution(r, "label")
+
+
+@register("p_scalar_functions", with_views(
+    """SELECT row_id,
+  CAST(CASE lower(title) WHEN 'src1' THEN 0 ELSE NULL END AS INTEGER) AS p5_label_or_null,
+  CASE CAST(row_id % 4 AS INTEGER) WHEN 0 THEN 'Positive' WHEN 1 THEN 'Negative' WHEN 2 THEN 'Neutral' END AS p6_name,
+  regexp_replace(user_id || ' ' || title || '/x.y', '[^a-zA-Z0-9_:/-]', '_', 'g') AS p11_safe,
+  date_trunc('year', make_timestamp(timestamp * 1000)) AS p13_year,
+  CAST(make_timestamp(timestamp * 1000) AS DATE) AS p14_date,
+  date_trunc('second', make_timestamp(timestamp * 1000)) AS p15_ts,
+  title || '_' || user_id AS p20_key
+FROM raw_reviews_v""", "raw_reviews_v"))
+def p_scalar(spark, sf):
+    """P5, P6, P9, P11, P13, P14, P15, P20 scalar functions on every raw review."""
+    r = td.raw_reviews(spark, sf)
+    ts = F.date_trunc("second", F.timestamp_millis("timestamp"))
+    return r.select(
+        "row_id",
+        F.when(F.lower("title") == "src1", F.lit("positive")).otherwise(F.lit("other")).alias("_lbl"),
+        F.pmod("row_id", F.lit(4)).cast("int").alias("_k"), "user_id", "title", ts.alias("p15_ts"),
+    ).select(
+        "row_id",
+        LB.encode_label("_lbl").alias("p5_label_or_null"),
+        LB.decode_label("_k").alias("p6_name"),
+        F.concat(F.col("user_id"), F.lit(" "), F.col("title"), F.lit("/x.y")).alias("_raw"),
+        F.date_trunc("year", "p15_ts").alias("p13_year"),
+        F.to_date("p15_ts").alias("p14_date"),
+        "p15_ts",
+        F.concat_ws("_", "title", "user_id").alias("p20_key"),
+    ).select("row_id", "p5_label_or_null", "p6_name", TX.metric_safe("_raw").alias("p11_safe"),
+             "p13_year", "p14_date", "p15_ts", "p20_key")
