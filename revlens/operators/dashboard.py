@@ -154,8 +154,8 @@ def most_negative_products(reviews, products, categories, category=None) -> Data
     """A11 (+W1): every product with negative reviews, ranked by their count.
     The rank is computed without a single-task window (see ordering)."""
     agg = _label_counts(reviews, products, categories, "negative", category, "negative_review_count")
-    return rank_within(agg, [F.desc("negative_review_count"), F.asc("product_id")],
-                       by=_keys(category), name="product_rank")
+    agg = agg.withColumn("_neg", -F.col("negative_review_count"))
+    return rank_within(agg, ["_neg", "product_id"], by=_keys(category), name="product_rank").drop("_neg")
 
 
 def product_avg_rating(reviews, products) -> DataFrame:

@@ -1,59 +1,85 @@
 """Distributed positional operators: dense row ids and ranks within groups.
 
 `row_number()` over a window without a partition (or partitioned by a key
-that holds a third of the rows) runs in one task.  Here the data is range
-partitioned on (group, order), each partition is sorted, and a row's rank is
-its position inside its partition plus the number of rows of the same group
-in earlier partitions.  Those offsets come from a table with one row per
-(partition, group) pair, at most #groups + #partitions rows, so a hot group
-is spread over many partitions and no task sees more than its share.
+that holds a third of the rows) runs in one task.  Here every row first gets
+an ordered *bucket* derived from its own order key (an md5 prefix, or the
+approximate quantiles of a numeric key), so a bucket is a contiguous slice
+of the order.  Rows are ranked inside (bucket, group) by an ordinary window
+- many small balanced tasks - and the rank is completed with the number of
+rows of the same group in earlier buckets, taken from a table with one row
+per (bucket, group).  Everything is a function of the data alone, so a
+recomputed partition (lost executor, re-read) produces the same numbers.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-_POS_BITS = 33  # monotonically_increasing_id = partition index << 33 | position
+from pyspark.sql import types as T
 
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def rank_within(df: DataFrame, order, by=(), name: str = "rn",
-                num_partitions: int | None = None) -> DataFrame:
+def _default_buckets(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def md5_bucket(hex_key: Column, n_buckets: int) -> Column:
+    """Bucket of an md5 hex key: its first 4 hex digits scaled to
+    [0, n_buckets).  Monotone in the key, uniform for md5 keys."""
+    return F.floor(F.conv(F.substring(hex_key, 1, 4), 16, 10).cast("long") * n_buckets / 65536).cast("int")
+
+
+def quantile_bucket(df: DataFrame, col: str, n_buckets: int, rel_error: float = 0.001):
+    """(frame with ``_b``) bucketing numeric ``col`` at its approximate
+    quantiles.  The quantile sketch is a distributed aggregate; only the
+    ``n_buckets`` boundaries reach the driver."""
+    qs = df.approxQuantile(col, [i / n_buckets for i in range(1, n_buckets)], rel_error) if n_buckets > 1 else []
+    splits = [-float("inf")] + sorted(set(float(q) for q in qs if q is not None)) + [float("inf")]
+    tmp = "_bq_in"
+    src = df.withColumn(tmp, F.col(col).cast("double"))
+    out = Bucketizer(splits=splits, inputCol=tmp, outputCol="_b", handleInvalid="keep").transform(src)
+    return out.withColumn("_b", F.col("_b").cast("int")).drop(tmp)
+
+
+def rank_within(df: DataFrame, order, by=(), name: str = "rn", bucket: Column | None = None,
+                n_buckets: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its ``by`` group in
-    ``order`` order (``row_number()`` semantics).  ``order`` must be a total
-    order (end it with a unique key) for the numbering to be reproducible.
+    ``order`` order (``row_number()`` semantics).
+
+    ``order`` must be a total order (end it with a unique key).  ``bucket``
+    must be non-decreasing along ``order``; when omitted, the first order
+    column is bucketed by its quantiles (it must be numeric then).
     """
     by = list(by)
     order_cols = _cols(order)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = _cols(by) + order_cols
-    tagged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = (tagged.withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-                    .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
-                    .drop("_mid"))
-    counts = tagged.groupBy("_pid", *by).agg(F.min("_pos").alias("_first"),
-                                            F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    joined = tagged.join(offsets, on=["_pid", *by], how="inner")
-    return (joined.withColumn(name, (F.col("_pos") - F.col("_first") + F.col("_off") + 1).cast("long"))
-                  .drop("_pid", "_pos", "_first", "_off"))
+    nb = n_buckets or _default_buckets(df)
+    if bucket is not None:
+        d = df.withColumn("_b", bucket)
+    else:
+        first = order[0]
+        if not isinstance(first, str):
+            raise ValueError("rank_within: pass `bucket` when the first order key is an expression")
+        if not isinstance(df.schema[first].dataType, T.NumericType):
+            raise ValueError(f"rank_within: first order key {first!r} is not numeric; pass `bucket`")
+        d = quantile_bucket(df, first, nb)
+    counts = d.groupBy("_b", *by).agg(F.count(F.lit(1)).alias("_cnt"))
+    w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))).drop("_cnt")
+    local = d.withColumn("_lrn", F.row_number().over(Window.partitionBy("_b", *by).orderBy(*order_cols)))
+    joined = local.join(offsets, on=["_b", *by], how="inner")
+    return joined.withColumn(name, (F.col("_off") + F.col("_lrn")).cast("long")).drop("_b", "_lrn", "_off")
 
 
 def with_row_id(df: DataFrame, order, name: str = "row_id", start: int = 0,
-                num_partitions: int | None = None) -> DataFrame:
-    """Dense, stable row id ``start, start+1, ...`` in ``order`` order.
-
-    Use a source key when the table has one (event_id, doc_id); this is for
-    tables whose identity is positional.
-    """
-    out = rank_within(df, order, by=(), name=name, num_partitions=num_partitions)
+                n_buckets: int | None = None) -> DataFrame:
+    """Dense, stable row id ``start, start+1, ...`` in ``order`` order
+    (first order column numeric).  Use a source key when the table has one
+    (event_id, doc_id); this is for tables whose identity is positional."""
+    out = rank_within(df, order, by=(), name=name, n_buckets=n_buckets)
     if start != 1:
         out = out.withColumn(name, F.col(name) + F.lit(start - 1))
     return out
@@ -66,12 +92,12 @@ def shuffle_key(row_id, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), rid.cast("string")))
 
 
-def hash_fraction(*parts, seed: int = 42) -> Column:
-    """Uniform value in [0, 1) from md5 of ``seed:part1:part2...`` (first 15
-    hex digits), usable for threshold sampling and slot draws."""
-    key = F.concat_ws(":", F.lit(str(seed)), *[
-        (F.col(p) if isinstance(p, str) else p).cast("string") for p in parts])
-    return hash_int(key).cast("double") / F.lit(float(1 << 60))
+def rank_by_shuffle_key(df: DataFrame, row_id: str = "row_id", seed: int = 42, by=(),
+                        name: str = "rn", n_buckets: int | None = None) -> DataFrame:
+    """Rank rows in md5 shuffle order (ties impossible: row id breaks them)."""
+    nb = n_buckets or _default_buckets(df)
+    key = shuffle_key(row_id, seed)
+    return rank_within(df, [key, F.col(row_id)], by=by, name=name, bucket=md5_bucket(key, nb), n_buckets=nb)
 
 
 def hash_int(key: Column) -> Column:

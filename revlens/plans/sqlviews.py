@@ -47,6 +47,15 @@ VIEWS = {
          CAST(p_size AS BIGINT) AS rating_number, p_retailprice AS price, p_brand AS store,
          CAST(p_partkey AS VARCHAR) AS parent_asin
   FROM part""",
+    "labeled_v": """
+  SELECT CAST(row_number() OVER (ORDER BY r.l_orderkey, r.l_linenumber, r.product_id, r.l_suppkey) - 1 AS BIGINT)
+           AS row_id,
+         r.product_id, r.rating, r.helpful_vote, r.timestamp, r.final_sentiment,
+         CAST(CASE r.final_sentiment WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 WHEN 'neutral' THEN 2 END
+              AS INTEGER) AS label,
+         c.category_name AS main_category, p.store
+  FROM reviews_v r JOIN products_v p ON r.product_id = p.product_id
+  JOIN categories_v c ON p.category_id = c.category_id""",
     "eval_labels_v": """
   SELECT l.doc_id, d.source AS main_category, d.lang AS store, d.n_chars,
          CAST(CASE WHEN l.toxic = 1 THEN 1 WHEN l.quality = 1 THEN 0 ELSE 2 END AS INTEGER) AS label
@@ -57,6 +66,7 @@ VIEWS = {
 DEPS = {
     "products_v": ["categories_v"],
     "reviews_v": ["reviews_base_v"],
+    "labeled_v": ["reviews_v", "products_v"],
 }
 
 

@@ -136,3 +136,16 @@ def eval_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lab.join(docs, "doc_id").select(
         "doc_id", F.col("source").alias("main_category"), F.col("lang").alias("store"),
         "n_chars", y.cast("int").alias("label"))
+
+
+def labeled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric reviews with a dense row id, encoded label, category and store
+    (input of the sampling / balancing operators)."""
+    from ..functions.labels import encode_label
+    from ..operators.ordering import with_row_id
+    r = with_row_id(review_facts(spark, sf_dir), REVIEW_KEY, name="row_id", start=0)
+    p = products(spark, sf_dir).join(categories(spark, sf_dir), "category_id")
+    return r.join(p.select("product_id", F.col("category_name").alias("main_category"), "store"),
+                  "product_id").select(
+        "row_id", "product_id", "rating", "helpful_vote", "timestamp", "final_sentiment",
+        encode_label("final_sentiment").alias("label"), "main_category", "store")

@@ -94,8 +94,9 @@ def main():
         if not ok:
             bad += 1
             print(f"FAIL {name}: rows {len(srows)} vs {len(drows)} cols {sorted(cols)} vs {sorted(dcols)}")
-            diff_s = [x for x in ls if x not in set(ld)][:3]
-            diff_d = [x for x in ld if x not in set(ls)][:3]
+            sld, sls = set(ld), set(ls)
+            diff_s = [x for x in ls if x not in sld][:3]
+            diff_d = [x for x in ld if x not in sls][:3]
             print("   spark-only:", diff_s)
             print("   duck-only: ", diff_d)
         else:
