@@ -70,3 +70,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster) for tables an operator materialises to cut lineage."""
     root = ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from
+    the written copy: cuts the lineage of an expensive table that several
+    branches reuse, and survives executor loss (unlike a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
