@@ -116,3 +116,25 @@ def top_k_per_group(df: DataFrame, by, order, k: int, name: str = "rn") -> DataF
         spark.conf.set(conf_key, str(k))
     w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
+
+
+def running_sum(df: DataFrame, order_col: str, value_cols: list[str], by=(), prefix: str = "cum_",
+                inclusive: bool = False, n_buckets: int | None = None) -> DataFrame:
+    """Cumulative sums of ``value_cols`` along numeric ``order_col`` inside
+    ``by`` groups (rows with equal ``order_col`` must already be aggregated
+    into one row).  ``inclusive=False`` sums strictly earlier rows.  Same
+    bucket scheme as `rank_within`: no single-task window even when one
+    group holds most rows."""
+    by = list(by)
+    nb = n_buckets or _default_buckets(df)
+    d = quantile_bucket(df, order_col, nb)
+    tot = d.groupBy("_b", *by).agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
+    w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_b", *by, *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}")
+                                   for c in value_cols])
+    end = 0 if inclusive else -1
+    w_loc = Window.partitionBy("_b", *by).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
+    loc = d.select("*", *[F.coalesce(F.sum(c).over(w_loc), F.lit(0)).alias(f"_l_{c}") for c in value_cols])
+    j = loc.join(offs, ["_b", *by])
+    return j.select(*[c for c in df.columns],
+                    *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{prefix}{c}") for c in value_cols])
