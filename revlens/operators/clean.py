@@ -9,8 +9,10 @@ from ..functions import text as TX
 
 
 def strip_html_tags(df: DataFrame, src: str = "text", dst: str = "cleaned_text") -> DataFrame:
-    """``dst`` = markup-free, lower-cased ``src``."""
-    return df.withColumn(dst, TX.strip_html(src))
+    """``dst`` = markup-free, lower-cased ``src`` (computed once per
+    row even when later filters test it)."""
+    from ..functions import compute_once
+    return compute_once(df.drop(dst) if dst in df.columns else df, **{dst: TX.strip_html(src)})
 
 
 def cap_rows(df: DataFrame, max_rows: int | None, order_col: str = "row_id") -> DataFrame:

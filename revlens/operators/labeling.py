@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import compute_once
 from ..functions import labels as LB
 from ..functions import lexicon as LX
 from . import clean as C
@@ -48,16 +49,17 @@ def add_labels(df: DataFrame, text_col: str = "cleaned_text", lexicon: dict | No
     verified = "verified_purchase" if "verified_purchase" in df.columns else None
     helpful = "helpful_vote" if "helpful_vote" in df.columns else None
     out = df.withColumn("heuristic_sentiment", LB.heuristic_sentiment("rating", verified, helpful))
-    out = out.withColumn("_lex", LX.lexicon_totals(text_col, lexicon))
+    tot = LX.lexicon_totals(text_col, lexicon)
+    out = compute_once(out, _lex=tot)
     comp = LX.compound_score(F.col("_lex.valence_sum"))
     vs = F.col("_lex.valence_sum")
     nul = F.lit(None).cast("string")
     out = out.withColumn("lexicon_a_sentiment",
-                         F.when(F.col("_lex").isNull(), nul)
+                         F.when(vs.isNull(), nul)
                           .when(comp >= LX.COMPOUND_THRESHOLD, "positive")
                           .when(comp <= -LX.COMPOUND_THRESHOLD, "negative").otherwise("neutral"))
     out = out.withColumn("lexicon_b_sentiment",
-                         F.when(F.col("_lex").isNull(), nul)
+                         F.when(vs.isNull(), nul)
                           .when(vs > 0, "positive").when(vs < 0, "negative").otherwise("neutral"))
     out = out.drop("_lex")
     return out.withColumn("final_sentiment", LB.majority_vote(
