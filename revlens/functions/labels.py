@@ -54,7 +54,7 @@ def encode_label(col, strict: bool = False) -> Column:
 
 def decode_label(col) -> Column:
     """Class id -> capitalised name (out of range -> null)."""
-    return F.try_element_at(F.array(*[F.lit(x) for x in ID_TO_NAME]), _c(col) + 1)
+    return F.try_element_at(F.array(*[F.lit(x) for x in ID_TO_NAME]), (_c(col) + 1).cast("int"))
 
 
 def softmax(col) -> Column:
