@@ -13,7 +13,8 @@ recomputed partition (lost executor, re-read) produces the same numbers.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +24,11 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+MAX_BUCKETS = 512  # keeps the generated comparison tree small
+
+
 def _default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def md5_bucket(hex_key: Column, n_buckets: int) -> Column:
@@ -33,16 +37,31 @@ def md5_bucket(hex_key: Column, n_buckets: int) -> Column:
     return F.floor(F.conv(F.substring(hex_key, 1, 4), 16, 10).cast("long") * n_buckets / 65536).cast("int")
 
 
-def quantile_bucket(df: DataFrame, col: str, n_buckets: int, rel_error: float = 0.001):
+def quantile_bucket(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10000) -> DataFrame:
     """(frame with ``_b``) bucketing numeric ``col`` at its approximate
-    quantiles.  The quantile sketch is a distributed aggregate; only the
-    ``n_buckets`` boundaries reach the driver."""
-    qs = df.approxQuantile(col, [i / n_buckets for i in range(1, n_buckets)], rel_error) if n_buckets > 1 else []
-    splits = [-float("inf")] + sorted(set(float(q) for q in qs if q is not None)) + [float("inf")]
-    tmp = "_bq_in"
-    src = df.withColumn(tmp, F.col(col).cast("double"))
-    out = Bucketizer(splits=splits, inputCol=tmp, outputCol="_b", handleInvalid="keep").transform(src)
-    return out.withColumn("_b", F.col("_b").cast("int")).drop(tmp)
+    quantiles.  The boundaries are a `percentile_approx` scalar subquery
+    (a distributed sketch aggregate, planned lazily with the query) and a
+    row finds its bucket by binary search over them - O(log n_buckets)."""
+    if n_buckets <= 1:
+        return df.withColumn("_b", F.lit(0))
+    fr = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = df.select(F.percentile_approx(F.col(col).cast("double"), fr, accuracy)).scalar()
+    # a subquery cannot sit inside a lambda: project it first
+    return (df.withColumn("_bounds", bounds)
+              .withColumn("_b", upper_bound(F.col("_bounds"), F.col(col).cast("double"), len(fr)))
+              .drop("_bounds"))
+
+
+def upper_bound(bounds: Column, v: Column, n: int) -> Column:
+    """Number of elements of the sorted array ``bounds`` (length ``n``)
+    that are <= ``v``: a balanced tree of comparisons, log2(n) per row,
+    compiled with the rest of the projection (null ``v`` -> 0)."""
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.element_at(bounds, mid + 1) <= v, node(mid + 1, hi)).otherwise(node(lo, mid))
+    return node(0, n).cast("int")
 
 
 def rank_within(df: DataFrame, order, by=(), name: str = "rn", bucket: Column | None = None,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import drift as DR
 from ..operators import star as ST
+from ..session import materialize
 from ..sources import testdata as td
 from .catalog import register
 from .q_pipeline import _l6
@@ -103,6 +104,7 @@ def x5(spark, sf):
     """X5 + X7 + K2 + K3: text-descriptor drift of the latest 5 reviews
     against reviews 1..500 (vocabulary = words of the reference window)."""
     _, _, fact = ST.build_star(_labeled(spark, sf))
+    fact = materialize(fact)  # read by both windows and the vocabulary
     ref = ST.reference_window(fact, 1, 500)
     cur = ST.latest_reviews(fact, 5)
     vocab = DR.word_frequencies(ref, "cleaned_text")

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sampling as M
+from ..session import materialize
 from ..sources import testdata as td
 from .catalog import register
 from .sqlviews import with_views
@@ -14,7 +15,9 @@ LV = ("labeled_v",)
 
 
 def _lab(spark, sf):
-    return td.labeled_facts(spark, sf)
+    # The labeled review table is the stored input of every sampling job:
+    # written once to the checkpoint folder, then read by all branches.
+    return materialize(td.labeled_facts(spark, sf))
 
 
 @register("m1_per_class_sample", with_views("""SELECT row_id, label,
