@@ -35,7 +35,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, Query]:
     # Import the modules that register queries.
     from . import q_dashboard, q_pipeline  # noqa: F401
-    for mod in ("q_sampling", "q_star", "q_metrics", "q_drift", "q_stream"):
+    for mod in ("q_sampling", "q_star", "q_metrics", "q_drift", "q_stream", "q_io"):
         try:
             __import__(f"{__package__}.{mod}")
         except ModuleNotFoundError as e:  # module not written yet

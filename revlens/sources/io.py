@@ -103,15 +103,12 @@ def chunk_id(row_id: Column | str, chunk_rows: int = 100_000) -> Column:
     return F.floor(rid / F.lit(chunk_rows)).cast("long")
 
 
-def scoring_request(df: DataFrame, cols=("input_ids", "attention_mask")) -> DataFrame:
-    """One ``{"instances": [...]}`` JSON document per input partition.
-
-    The reference builds one request for all rows; a single document for the
-    whole table would pass everything through one task, so requests are
-    built per partition (a request batch), each a row with a ``request``
-    string column.
-    """
+def scoring_request(df: DataFrame, cols=("input_ids", "attention_mask"), batch_col: str = "batch") -> DataFrame:
+    """``{"instances": [...]}`` JSON request documents, one per value of
+    ``batch_col`` (a bounded batch of rows, e.g. row_id div 256).  The
+    reference builds one request for all rows; a single document for the
+    whole table would pass everything through one task."""
     inst = F.struct(*[F.col(c) for c in cols])
-    return (df.select(F.spark_partition_id().alias("batch"), inst.alias("inst"))
-              .groupBy("batch")
-              .agg(F.to_json(F.struct(F.collect_list("inst").alias("instances"))).alias("request")))
+    return (df.groupBy(batch_col)
+              .agg(F.to_json(F.struct(F.collect_list(inst).alias("instances"))).alias("request"),
+                   F.count(F.lit(1)).alias("n_instances")))
