@@ -187,3 +187,10 @@ def test_label_case_panels(spark):
 def test_metric_safe_name(spark):
     assert spark.range(1).select(TX.metric_safe(F.lit("Arts, Crafts & Sewing")).alias("x")).first().x == \
         "Arts__Crafts___Sewing"
+
+
+def test_short_class_fails_in_plan(spark):
+    df = spark.createDataFrame([(i, i % 3 if i < 250 else 0) for i in range(300)], "row_id long, label int")
+    with pytest.raises(Exception):
+        M.per_class_sample(df, n=100).collect()   # labels 1 and 2 have 83 rows
+    assert M.per_class_sample(df, n=50).count() == 150
