@@ -49,14 +49,23 @@ def require_columns(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def label_domain(df: DataFrame, col: str = "label", expected=(0, 1, 2)) -> DataFrame:
-    """Q4: one row (labels, ok) with the sorted distinct labels; the plan
-    raises when they differ from ``expected``.  The distinct set is built by
-    a partial aggregate, so no task sees more than the distinct values."""
-    exp = ",".join(str(x) for x in sorted(expected))
-    got = F.array_join(F.array_sort(F.collect_set(F.col(col).cast("string"))), ",")
-    res = df.agg(got.alias("labels"))
-    return res.withColumn("ok", F.when(F.col("labels") == exp, F.lit(True)).otherwise(
-        F.raise_error(F.concat(F.lit(f"label domain is not {{{exp}}}: "), F.col("labels"))).cast("boolean")))
+    """Q4: one row (labels, ok): the expected labels that occur, sorted; the
+    plan raises when a label outside ``expected`` occurs or an expected one
+    is missing.  Distinct values are found by a grouped aggregate and only
+    counted afterwards, so dirty data with very many distinct values is
+    never gathered into one row."""
+    exp = sorted(expected)
+    exp_s = ",".join(str(x) for x in exp)
+    distinct = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    known = F.col("_v").isin(*exp)
+    res = distinct.agg(
+        F.array_join(F.array_sort(F.collect_set(F.when(known, F.col("_v").cast("string")))), ",").alias("labels"),
+        F.sum(F.when(known, 0).otherwise(1)).alias("_unexpected"))
+    return res.select("labels", F.when((F.col("_unexpected") == 0) & (F.col("labels") == exp_s), F.lit(True))
+                      .otherwise(F.raise_error(F.concat(F.lit(f"label domain is not {{{exp_s}}}: found "),
+                                                        F.col("labels"), F.lit(" plus "),
+                                                        F.col("_unexpected").cast("string"),
+                                                        F.lit(" other value(s)"))).cast("boolean")).alias("ok"))
 
 
 def duplicate_rows(df: DataFrame, keys: list[str]) -> DataFrame:
