@@ -56,8 +56,10 @@ def lexicon_frame(spark: SparkSession, lexicon: dict | None = None) -> DataFrame
 
 def _hits(tokens: Column, lexicon: dict) -> tuple[Column, Column]:
     words = [F.lit(w) for w in sorted(lexicon)]
-    # IN over a literal list becomes a hash-set lookup (InSet) in the plan.
-    hits = F.filter(tokens, lambda t: t.isin(*words))
+    # IN over a literal list becomes a hash-set lookup (InSet) in the plan;
+    # the compiled arrays_overlap test skips rows without any lexicon word.
+    any_hit = F.arrays_overlap(tokens, F.array(*words))
+    hits = F.when(any_hit, F.filter(tokens, lambda t: t.isin(*words))).otherwise(F.array().cast("array<string>"))
     lut = F.create_map(*[x for w in sorted(lexicon) for x in (F.lit(w), F.lit(lexicon[w]))])
     vals = F.transform(hits, lambda t: F.element_at(lut, t))
     total = F.aggregate(vals, F.lit(0), lambda a, x: a + x)
