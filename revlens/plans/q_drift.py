@@ -154,3 +154,14 @@ def x8(spark, sf):
     of the numeric reviews and the voted labels of the text reviews."""
     return DR.label_drift(td.review_facts(spark, sf), _l6(spark, sf), "final_sentiment",
                           ["positive", "negative", "neutral"])
+
+
+@register("x3_save_statistics", _freq_sql("conversations", "text"))
+def x3(spark, sf):
+    """The saved statistics are replaced by writing a new version beside
+    the one being read; the new version read back equals the new counts."""
+    from ..session import scratch_path
+    base = scratch_path(spark, "word-stats")
+    DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "documents"), "text"), base, 1)
+    p2 = DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "conversations"), "text"), base, 2)
+    return spark.read.parquet(p2)
