@@ -28,14 +28,20 @@ def confusion(preds: DataFrame, keys=("Model_Name",), label: str = "label",
 def per_class(conf: DataFrame, keys=("Model_Name",), label: str = "label",
               prediction: str = "prediction") -> DataFrame:
     """E8 rows: precision, recall, f1, support for every class present in
-    the true or predicted labels of each key (zero division -> 0)."""
+    the true or predicted labels of each key (zero division -> 0).  Each
+    confusion cell contributes to its true class (support, tp) and to its
+    predicted class (predicted): one aggregation, no joins."""
     keys = list(keys)
-    t = conf.groupBy(*keys, F.col(label).alias("class")).agg(F.sum("count").alias("support"))
-    p = conf.groupBy(*keys, F.col(prediction).alias("class")).agg(F.sum("count").alias("predicted"))
-    tp = (conf.filter(F.col(label) == F.col(prediction))
-              .groupBy(*keys, F.col(label).alias("class")).agg(F.sum("count").alias("tp")))
-    pc = t.join(p, [*keys, "class"], "full").join(tp, [*keys, "class"], "left").na.fill(
-        0, ["support", "predicted", "tp"])
+    c = F.col("count")
+    contrib = F.explode(F.array(
+        F.struct(F.col(label).alias("class"), c.alias("support"),
+                 F.when(F.col(label) == F.col(prediction), c).otherwise(F.lit(0)).alias("tp"),
+                 F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col(prediction).alias("class"), F.lit(0).cast("long").alias("support"),
+                 F.lit(0).cast("long").alias("tp"), c.alias("predicted"))))
+    pc = (conf.select(*keys, contrib.alias("_c")).select(*keys, "_c.*")
+              .groupBy(*keys, "class").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                                           F.sum("predicted").alias("predicted")))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(F.lit(0.0))
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
     pc = pc.withColumn("precision", prec).withColumn("recall", rec)

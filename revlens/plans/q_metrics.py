@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as LB
 from ..operators import metrics as MT
 from ..operators import scoring as SC
+from ..session import materialize
 from ..sources import testdata as td
 from .catalog import register
 from .sqlviews import with_views
@@ -24,6 +25,12 @@ def _preds(spark, sf, models=None):
     return out
 
 
+def _stored_preds(spark, sf):
+    """Predictions written once: every metric branch reads the same table
+    instead of re-running the scorer."""
+    return materialize(_preds(spark, sf))
+
+
 def _preds_sql() -> dict[str, str]:
     parts = []
     for name, (m, skill) in SC.MODELS.items():
@@ -177,7 +184,7 @@ _WIDE_CTES = {
                                   extra=_WIDE_CTES))
 def e11(spark, sf):
     """E11 + A15: all model metrics as (Model_Name, Metric, Value) rows."""
-    return MT.to_long(MT.evaluate(_preds(spark, sf)))
+    return MT.to_long(MT.evaluate(_stored_preds(spark, sf)))
 
 
 _RANK_W = {m: w / sum(MT.RANK_WEIGHTS.values()) for m, w in MT.RANK_WEIGHTS.items()}
@@ -194,7 +201,7 @@ def _long2_sql():
 GROUP BY Model_Name, Metric""", extra={**_WIDE_CTES, **_long2_sql()}))
 def a13(spark, sf):
     """A13 + Q5: metric rows appended twice for one model, duplicates averaged."""
-    long = MT.to_long(MT.evaluate(_preds(spark, sf)))
+    long = MT.to_long(MT.evaluate(_stored_preds(spark, sf)))
     return MT.mean_duplicates(long.unionByName(long.filter(F.col("Model_Name") == "model_a")))
 
 
@@ -206,7 +213,7 @@ def a13(spark, sf):
                                  extra={**_WIDE_CTES, **_long2_sql()}))
 def e16(spark, sf):
     """E16 + A14 + P4 + K5: weighted model ranking."""
-    return MT.rank_models(MT.to_long(MT.evaluate(_preds(spark, sf))))
+    return MT.rank_models(MT.to_long(MT.evaluate(_stored_preds(spark, sf))))
 
 
 _BG = "Model_Name, main_category"
