@@ -21,6 +21,11 @@ from pyspark.sql import functions as F
 from .ordering import rank_within, top_k_per_group
 
 
+def _year(col: str):
+    """Start of the year as TIMESTAMP_NTZ (UTC session time zone)."""
+    return F.date_trunc("year", F.col(col)).cast("timestamp_ntz")
+
+
 def _dims(products: DataFrame, categories: DataFrame, category: str | None) -> DataFrame:
     cats = categories.select("category_id", "category_name")
     if category is not None:
@@ -77,7 +82,7 @@ def sentiment_summary(reviews, products, categories, category=None) -> DataFrame
 
 def yearly_sentiment(reviews, products, categories, category=None) -> DataFrame:
     """A5: per year, counts of positive / negative / neutral (case-sensitive)."""
-    per_prod = reviews.groupBy("product_id", F.date_trunc("year", "timestamp").alias("review_year")).agg(
+    per_prod = reviews.groupBy("product_id", _year("timestamp").alias("review_year")).agg(
         F.sum(F.when(F.col("final_sentiment") == "positive", 1).otherwise(0)).alias("_p"),
         F.sum(F.when(F.col("final_sentiment") == "negative", 1).otherwise(0)).alias("_n"),
         F.sum(F.when(F.col("final_sentiment") == "neutral", 1).otherwise(0)).alias("_u"))
@@ -128,7 +133,7 @@ def price_over_time(reviews, products, categories, category=None) -> DataFrame:
 
 def review_volume(reviews, products, categories, category=None) -> DataFrame:
     """Reviews per year."""
-    per_prod = reviews.groupBy("product_id", F.date_trunc("year", "timestamp").alias("review_year")).agg(
+    per_prod = reviews.groupBy("product_id", _year("timestamp").alias("review_year")).agg(
         F.count(F.lit(1)).alias("_n"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
     return j.groupBy(*_keys(category), "review_year").agg(F.sum("_n").cast("long").alias("total_reviews"))

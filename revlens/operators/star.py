@@ -14,9 +14,12 @@ from .ordering import rank_within, top_k_per_group
 
 
 def epoch_ms_to_ts(col) -> "F.Column":
-    """Epoch milliseconds -> UTC timestamp truncated to the second."""
+    """Epoch milliseconds -> UTC wall-clock time (TIMESTAMP_NTZ)
+    truncated to the second; independent of the session time zone."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.date_trunc("second", F.timestamp_millis(c))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    secs = F.floor(c / F.lit(1000))
+    return F.timestamp_add("SECOND", secs, epoch)
 
 
 def category_dim(labeled: DataFrame, row_id: str = "row_id") -> DataFrame:

@@ -192,7 +192,8 @@ FROM raw_reviews_v""", "raw_reviews_v"))
 def p_scalar(spark, sf):
     """P5, P6, P9, P11, P13, P14, P15, P20 scalar functions on every raw review."""
     r = td.raw_reviews(spark, sf)
-    ts = F.date_trunc("second", F.timestamp_millis("timestamp"))
+    from ..operators.star import epoch_ms_to_ts
+    ts = epoch_ms_to_ts("timestamp")
     return r.select(
         "row_id",
         F.when(F.lower("title") == "src1", F.lit("positive")).otherwise(F.lit("other")).alias("_lbl"),
@@ -202,7 +203,7 @@ def p_scalar(spark, sf):
         LB.encode_label("_lbl").alias("p5_label_or_null"),
         LB.decode_label("_k").alias("p6_name"),
         F.concat(F.col("user_id"), F.lit(" "), F.col("title"), F.lit("/x.y")).alias("_raw"),
-        F.date_trunc("year", "p15_ts").alias("p13_year"),
+        F.date_trunc("year", "p15_ts").cast("timestamp_ntz").alias("p13_year"),
         F.to_date("p15_ts").alias("p14_date"),
         "p15_ts",
         F.concat_ws("_", "title", "user_id").alias("p20_key"),

@@ -57,7 +57,10 @@ def main():
     pats = sys.argv[2:]
     from revlens.session import get_session
     import __spark_entry__ as E
-    spark = get_session("local[8]", shuffle_partitions=8)
+    extra = {"spark.sql.session.timeZone": os.environ["SESSION_TZ"]} if os.environ.get("SESSION_TZ") else None
+    spark = get_session("local[8]", shuffle_partitions=8, extra=extra)
+    if extra:
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
