@@ -53,7 +53,9 @@ def ks_two_sample(values: DataFrame, sample_col: str = "sample", value_col: str
         F.sum(F.when(F.col(sample_col) == cur, 1).otherwise(0)).cast("long").alias("b"))
     cum = running_sum(counts, "v", ["a", "b"], by=by, prefix="c_", inclusive=True)
     tot = counts.groupBy(*by).agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_cur"))
-    j = cum.join(tot, by)
+    # one row per group; with no grouping it is exactly one row, so it is
+    # broadcast rather than shuffling every value onto the constant key
+    j = cum.join(F.broadcast(tot) if whole else tot, by)
     gap = F.abs(F.col("c_a") / F.col("n_ref") - F.col("c_b") / F.col("n_cur"))
     d = j.groupBy(*by, "n_ref", "n_cur").agg(F.max(gap).alias("ks_stat"))
     en = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")).cast("double"))

@@ -89,7 +89,9 @@ def rank_within(df: DataFrame, order, by=(), name: str = "rn", bucket: Column |
     w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))).drop("_cnt")
     local = d.withColumn("_lrn", F.row_number().over(Window.partitionBy("_b", *by).orderBy(*order_cols)))
-    joined = local.join(offsets, on=["_b", *by], how="inner")
+    # without groups the offsets table has at most one row per bucket
+    # (<= MAX_BUCKETS): a proven bound, so it is broadcast
+    joined = local.join(offsets if by else F.broadcast(offsets), on=["_b", *by], how="inner")
     return joined.withColumn(name, (F.col("_off") + F.col("_lrn")).cast("long")).drop("_b", "_lrn", "_off")
 
 
@@ -154,6 +156,6 @@ def running_sum(df: DataFrame, order_col: str, value_cols: list[str], by=(), pre
     end = 0 if inclusive else -1
     w_loc = Window.partitionBy("_b", *by).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
     loc = d.select("*", *[F.coalesce(F.sum(c).over(w_loc), F.lit(0)).alias(f"_l_{c}") for c in value_cols])
-    j = loc.join(offs, ["_b", *by])
+    j = loc.join(offs if by else F.broadcast(offs), ["_b", *by])
     return j.select(*[c for c in df.columns],
                     *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{prefix}{c}") for c in value_cols])
