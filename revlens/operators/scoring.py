@@ -110,7 +110,7 @@ def score_batches(df: DataFrame, scorer_factory, model_name: str,
 
 def tokenize_fixed(df: DataFrame, vocab: DataFrame, text_col: str = "cleaned_text",
                    id_col: str = "row_id", max_length: int = 256, unk_id: int = 1,
-                   pad_id: int = 0) -> DataFrame:
+                   pad_id: int = 0, vocab_is_bounded: bool = True) -> DataFrame:
     """Word-level ids padded / truncated to ``max_length`` plus an
     attention mask.  Tokens are looked up in ``vocab`` (token, id) by a join
     on the exploded (row, position, token) table and re-assembled in
@@ -119,7 +119,10 @@ def tokenize_fixed(df: DataFrame, vocab: DataFrame, text_col: str = "cleaned_tex
     from ..functions.text import word_tokens
     toks = df.select(id_col, F.posexplode(word_tokens(text_col)).alias("pos", "token")) \
              .filter(F.col("pos") < max_length)
-    ids = toks.join(vocab, "token", "left").withColumn("id", F.coalesce(F.col("id"), F.lit(unk_id)))
+    # a vocabulary from build_vocab has at most `size` rows: broadcast it so
+    # frequent tokens never pile onto one shuffle partition
+    v = F.broadcast(vocab) if vocab_is_bounded else vocab
+    ids = toks.join(v, "token", "left").withColumn("id", F.coalesce(F.col("id"), F.lit(unk_id)))
     per_row = ids.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"))
     base = df.select(id_col).join(per_row, id_col, "left")
