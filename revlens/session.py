@@ -72,9 +72,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from
-    the written copy: cuts the lineage of an expensive table that several
-    branches reuse, and survives executor loss (unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder
+    and continue from the written copy.
+
+    Cuts the lineage of an expensive table that several branches reuse and
+    survives executor loss (unlike a local checkpoint).  Unlike an RDD
+    checkpoint, the plan runs once (a checkpoint computes it again to save
+    it) and later scans of the copy prune columns and push filters."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
