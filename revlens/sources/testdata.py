@@ -144,8 +144,10 @@ def labeled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..functions.labels import encode_label
     from ..operators.ordering import with_row_id
     r = with_row_id(review_facts(spark, sf_dir), REVIEW_KEY, name="row_id", start=0)
-    p = products(spark, sf_dir).join(categories(spark, sf_dir), "category_id")
-    return r.join(p.select("product_id", F.col("category_name").alias("main_category"), "store"),
-                  "product_id").select(
+    # category (p_type) and store (p_brand) straight from the product table
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"),
+                                            F.col("p_type").alias("main_category"),
+                                            F.col("p_brand").alias("store"))
+    return r.join(p, "product_id").select(
         "row_id", "product_id", "rating", "helpful_vote", "timestamp", "final_sentiment",
         encode_label("final_sentiment").alias("label"), "main_category", "store")
