@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import word_tokens
+from .text import TOKEN_PATTERN, word_tokens
 
 # --- fixed values -----------------------------------------------------------
 # Built-in lexicon: word -> valence in tenths, range -40..40.
@@ -54,6 +54,11 @@ def lexicon_frame(spark: SparkSession, lexicon: dict | None = None) -> DataFrame
     return spark.createDataFrame(sorted(lex.items()), "token string, valence int")
 
 
+def _sql_str(s: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _hits(tokens: Column, lexicon: dict) -> tuple[Column, Column]:
     words = [F.lit(w) for w in sorted(lexicon)]
     # IN over a literal list becomes a hash-set lookup (InSet) in the plan;
@@ -66,13 +71,28 @@ def _hits(tokens: Column, lexicon: dict) -> tuple[Column, Column]:
     return total, F.size(hits)
 
 
+def _totals_sql(text: str, lexicon: dict) -> str:
+    """The same expression as SQL text over column ``text``: one call to
+    build, where the Column form sends every literal to the JVM apart."""
+    ws = sorted(lexicon)
+    words = ", ".join(_sql_str(w) for w in ws)
+    lut = ", ".join(f"{_sql_str(w)}, {int(lexicon[w])}" for w in ws)
+    toks = f"regexp_extract_all(lower(`{text}`), {_sql_str(TOKEN_PATTERN)}, 0)"
+    hits = (f"CASE WHEN arrays_overlap({toks}, array({words})) THEN filter({toks}, t -> t IN ({words})) "
+            f"ELSE CAST(array() AS ARRAY<STRING>) END")
+    total = f"aggregate(transform({hits}, t -> element_at(map({lut}), t)), 0, (a, x) -> a + x)"
+    return (f"CASE WHEN `{text}` IS NOT NULL THEN named_struct('valence_sum', {total}, "
+            f"'hits', size({hits})) END")
+
+
 def lexicon_totals(text, lexicon: dict | None = None) -> Column:
     """struct(valence_sum in tenths, hits) for the tokens of ``text``;
     null when ``text`` is null."""
     lex = LEXICON if lexicon is None else lexicon
-    t = F.col(text) if isinstance(text, str) else text
-    total, n = _hits(word_tokens(t), lex)
-    return F.when(t.isNotNull(), F.struct(total.alias("valence_sum"), n.alias("hits")))
+    if isinstance(text, str):
+        return F.expr(_totals_sql(text, lex))
+    total, n = _hits(word_tokens(text), lex)
+    return F.when(text.isNotNull(), F.struct(total.alias("valence_sum"), n.alias("hits")))
 
 
 def compound_score(valence_sum: Column) -> Column:

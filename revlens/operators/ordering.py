@@ -48,20 +48,22 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int, accuracy: int = 100
     bounds = df.select(F.percentile_approx(F.col(col).cast("double"), fr, accuracy)).scalar()
     # a subquery cannot sit inside a lambda: project it first
     return (df.withColumn("_bounds", bounds)
-              .withColumn("_b", upper_bound(F.col("_bounds"), F.col(col).cast("double"), len(fr)))
+              .withColumn("_b", upper_bound("_bounds", f"CAST(`{col}` AS DOUBLE)", len(fr)))
               .drop("_bounds"))
 
 
-def upper_bound(bounds: Column, v: Column, n: int) -> Column:
-    """Number of elements of the sorted array ``bounds`` (length ``n``)
-    that are <= ``v``: a balanced tree of comparisons, log2(n) per row,
-    compiled with the rest of the projection (null ``v`` -> 0)."""
-    def node(lo: int, hi: int) -> Column:
+def upper_bound(bounds: str, v: str, n: int) -> Column:
+    """Number of elements of the sorted array column ``bounds`` (length
+    ``n``) that are <= the SQL expression ``v``: a balanced tree of
+    comparisons, log2(n) per row, compiled with the rest of the projection
+    (null ``v`` -> 0).  Built as one SQL expression (one call to the JVM)."""
+    def node(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(F.element_at(bounds, mid + 1) <= v, node(mid + 1, hi)).otherwise(node(lo, mid))
-    return node(0, n).cast("int")
+        return (f"CASE WHEN element_at(`{bounds}`, {mid + 1}) <= {v} "
+                f"THEN {node(mid + 1, hi)} ELSE {node(lo, mid)} END")
+    return F.expr(f"CAST({node(0, n)} AS INT)")
 
 
 def rank_within(df: DataFrame, order, by=(), name: str = "rn", bucket: Column | None = None,

@@ -131,7 +131,7 @@ def max_label_count(df: DataFrame, by: str = "main_category", label: str = "labe
 
 
 def oversample(df: DataFrame, by: str = "main_category", label: str = "label", seed: int = 42,
-               row_id: str = "row_id", chunk: int = 100_000) -> DataFrame:
+               row_id: str = "row_id", chunk: int = 10_000) -> DataFrame:
     """M8: within each ``by`` group, draw every label smaller than the
     group's largest one with replacement up to that size; the largest labels
     pass unchanged.  Output adds ``slot`` (1..target; null for pass-through).
@@ -141,6 +141,12 @@ def oversample(df: DataFrame, by: str = "main_category", label: str = "label", s
     generated in chunks of ``chunk`` from a table with one row per
     (group, label) - nothing is collected - and matched to rows by an equi
     join on (group, label, rank).
+
+    The chunk rows are spread over a fixed number of partitions (adaptive
+    execution may not fold the tiny chunk table into one task, which would
+    then generate every slot), and the join is a sort-merge join: the size
+    of the generated slots is unknown to the planner, so it must never be
+    chosen as a broadcast side.
     """
     cnt = df.groupBy(by, label).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(by)
@@ -149,7 +155,8 @@ def oversample(df: DataFrame, by: str = "main_category", label: str = "label", s
     keep = keep.withColumn("slot", F.lit(None).cast("long"))
     short = tgt.filter(F.col("_n") < F.col("_target"))
     chunks = short.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_target") - 1) / chunk).cast("long"))))
-    slots = (chunks.repartition(by, label, "_c")
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = (chunks.repartition(n_parts, by, label, "_c")
              .withColumn("slot", F.explode(F.sequence(F.col("_c") * chunk + 1,
                                                       F.least(F.col("_target").cast("long"), (F.col("_c") + 1) * chunk))))
              .select(by, label, "_n", "slot"))
@@ -158,7 +165,7 @@ def oversample(df: DataFrame, by: str = "main_category", label: str = "label", s
     slots = slots.withColumn("_rn", F.lit(1) + F.pmod(hash_int(draw_key), F.col("_n"))).drop("_n")
     ranked = rank_within(df.join(short.select(by, label), [by, label], "left_semi"),
                          [row_id], by=[by, label], name="_rn")
-    drawn = ranked.join(slots, [by, label, "_rn"]).drop("_rn")
+    drawn = ranked.join(slots.hint("merge"), [by, label, "_rn"]).drop("_rn")
     return keep.unionByName(drawn)
 
 

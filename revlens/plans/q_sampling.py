@@ -15,11 +15,23 @@ LV = ("labeled_v",)
 
 
 def _lab(spark, sf):
-    # The labeled review table is the stored input of every sampling job:
-    # written once to the checkpoint folder, then read by all branches.
+    # The labeled review table is the stored input of the sampling jobs that
+    # read it more than once (counts, ranks, guards): written once to the
+    # checkpoint folder, then read by all branches.
     return materialize(td.labeled_facts(spark, sf))
 
 
+def _lab_once(spark, sf):
+    """The same table as a lazy plan, for jobs that read it once: writing
+    it first would only add a round trip through storage."""
+    return td.labeled_facts(spark, sf)
+
+
+def _lab_counts(spark, sf):
+    """The labeled table without row ids, for jobs that only count."""
+    return td.labeled_facts(spark, sf, row_ids=False)
+
+
 @register("m1_per_class_sample", with_views("""SELECT row_id, label,
   CAST(row_number() OVER (ORDER BY md5('43:' || row_id), row_id) - 1 AS BIGINT) AS new_index
 FROM (SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || row_id), row_id) AS rn
@@ -36,7 +48,7 @@ def m1(spark, sf):
   FROM labeled_v WHERE main_category IS NOT NULL) s WHERE rn <= 30""", *LV))
 def m2(spark, sf):
     """M2: up to 30 rows per category."""
-    return M.capped_sample(_lab(spark, sf), "main_category", 30).select("row_id", "main_category")
+    return M.capped_sample(_lab_once(spark, sf), "main_category", 30).select("row_id", "main_category")
 
 
 @register("m3_stratified_union", with_views("""SELECT DISTINCT row_id, main_category, store FROM (
@@ -69,7 +81,7 @@ def m4(spark, sf):
     "SELECT row_id FROM labeled_v ORDER BY md5('42:' || row_id), row_id LIMIT 10000", *LV))
 def m5(spark, sf):
     """M5: simple random sample of 10 000 rows."""
-    return M.random_rows(_lab(spark, sf), 10000).select("row_id")
+    return M.random_rows(_lab_once(spark, sf), 10000).select("row_id")
 
 
 @register("m6_train_validation_split", with_views("""SELECT row_id,
@@ -123,14 +135,14 @@ def m9(spark, sf):
 FROM labeled_v GROUP BY label""", *LV))
 def m10(spark, sf):
     """Balanced class weights."""
-    return M.class_weights(_lab(spark, sf), "label")
+    return M.class_weights(_lab_counts(spark, sf), "label")
 
 
 @register("a19_max_label_count", with_views("""SELECT main_category, MAX(n) AS max_label_count FROM (
   SELECT main_category, label, COUNT(*) AS n FROM labeled_v GROUP BY 1, 2) t GROUP BY main_category""", *LV))
 def a19(spark, sf):
     """Largest label count per category."""
-    return M.max_label_count(_lab(spark, sf))
+    return M.max_label_count(_lab_counts(spark, sf))
 
 
 @register("a16_first_seen_order", with_views("""SELECT store, MIN(row_id) AS first_row_id,
@@ -138,7 +150,7 @@ def a19(spark, sf):
 FROM labeled_v WHERE store IS NOT NULL GROUP BY store""", *LV))
 def a16(spark, sf):
     """Distinct stores in first-appearance order."""
-    return M.first_seen(_lab(spark, sf), "store")
+    return M.first_seen(_lab_once(spark, sf), "store")
 
 
 @register("k4_position_slices", with_views("""SELECT row_id,
@@ -147,7 +159,7 @@ FROM labeled_v WHERE (row_id >= 0 AND row_id < 5000) OR (row_id >= 5000 AND row_
    OR (row_id >= 10000 AND row_id < 11000)""", *LV))
 def k4(spark, sf):
     """K4: positional slices [0,5000) train, [5000,6000) test, [10000,11000) holdout."""
-    d = _lab(spark, sf).select("row_id")
+    d = _lab_once(spark, sf).select("row_id")
     return M.position_slices(d, {"train": (0, 5000), "test": (5000, 6000), "holdout": (10000, 11000)})
 
 
@@ -172,4 +184,4 @@ def u1(spark, sf):
     "SELECT DISTINCT main_category, label, rating FROM labeled_v", *LV))
 def u2(spark, sf):
     """Distinct rows over all columns."""
-    return M.distinct_rows(_lab(spark, sf).select("main_category", "label", "rating"))
+    return M.distinct_rows(_lab_counts(spark, sf).select("main_category", "label", "rating"))

@@ -64,6 +64,26 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     raise ValueError(f"unknown format {fmt!r}")
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Spread a scan over the session's task slots before heavy per-row work
+    (HTML stripping, tokenizing, lexicon scoring).
+
+    A scan runs one task per input split, so a table held in a few files or
+    row groups would do all of its text work on a few cores.  When the scan
+    has fewer splits than there are task slots, rows are hash-partitioned on
+    ``keys`` (unique per row, so the spread is even and a retried task gets
+    the same rows) over all slots.  The shuffle is bounded: a scan has fewer
+    splits than slots only when the table is smaller than about
+    slots x ``spark.sql.files.maxPartitionBytes``.  A large table keeps its
+    scan partitioning and gets no exchange.  Counting splits plans the scan
+    (file listing) and runs no job.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
     """Bulk write.  CSV gets a header and nested columns

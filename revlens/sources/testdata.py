@@ -32,8 +32,18 @@ DOC_TO_PRODUCT_STRIDE = 37
 # -----------------------------------------------------------------------------
 
 
+# Text tables and their row keys: their rows carry the heavy per-row work,
+# so a scan with few splits is spread over all task slots (`io.spread`).
+TEXT_TABLE_KEYS = {"documents": ["doc_id"], "pages": ["page_id"],
+                   "conversations": ["conv_id", "turn"], "benchmark": ["item_id"]}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in TEXT_TABLE_KEYS:
+        from .io import spread
+        df = spread(df, TEXT_TABLE_KEYS[name])
+    return df
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,12 +148,18 @@ def eval_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars", y.cast("int").alias("label"))
 
 
-def labeled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labeled_facts(spark: SparkSession, sf_dir: str, row_ids: bool = True) -> DataFrame:
     """Numeric reviews with a dense row id, encoded label, category and store
-    (input of the sampling / balancing operators)."""
+    (input of the sampling / balancing operators).  ``row_ids=False`` leaves
+    out the row id (and the distributed rank behind it) for consumers that
+    only count."""
     from ..functions.labels import encode_label
     from ..operators.ordering import with_row_id
-    r = with_row_id(review_facts(spark, sf_dir), REVIEW_KEY, name="row_id", start=0)
+    r = review_facts(spark, sf_dir)
+    if not row_ids:
+        r = r.withColumn("row_id", F.lit(None).cast("long"))
+    else:
+        r = with_row_id(r, REVIEW_KEY, name="row_id", start=0)
     # category (p_type) and store (p_brand) straight from the product table
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"),
                                             F.col("p_type").alias("main_category"),
