@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -84,3 +86,24 @@ def materialize(df, name: str = "table"):
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (batch scorer,
+    streaming state function), as ``--py-files`` would: a zip of it is added
+    to the job once per application and Spark copies it to every executor.
+    Needed when the driver imports the package from a path the workers do
+    not share."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = tempfile.mkdtemp(prefix="revlens-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "revlens"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir=os.path.basename(pkg))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
