@@ -83,7 +83,10 @@ def e2(spark, sf):
     return SC.tokenize_fixed(docs, vocab, "text", "row_id", max_length=32)
 
 
-@register("s13_scoring_request")
+@register("s13_scoring_request", with_views("""SELECT CAST(floor(row_id / 256) AS BIGINT) AS batch,
+  to_json({'instances': list({'input_ids': input_ids, 'attention_mask': attention_mask} ORDER BY row_id)}) AS request,
+  COUNT(*) AS n_instances
+FROM tok GROUP BY CAST(floor(row_id / 256) AS BIGINT)""", extra={"vocab": _VOCAB_SQL, "tok": _TOK_SQL}))
 def s13(spark, sf):
     """S12 + S13: tokenized rows stored as Parquet arrays, read back and
     exported as {"instances": [...]} request documents (one per batch of

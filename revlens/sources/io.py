@@ -123,12 +123,19 @@ def chunk_id(row_id: Column | str, chunk_rows: int = 100_000) -> Column:
     return F.floor(rid / F.lit(chunk_rows)).cast("long")
 
 
-def scoring_request(df: DataFrame, cols=("input_ids", "attention_mask"), batch_col: str = "batch") -> DataFrame:
+def scoring_request(df: DataFrame, cols=("input_ids", "attention_mask"), batch_col: str = "batch",
+                    order_col: str | None = "row_id") -> DataFrame:
     """``{"instances": [...]}`` JSON request documents, one per value of
     ``batch_col`` (a bounded batch of rows, e.g. row_id div 256).  The
     reference builds one request for all rows; a single document for the
-    whole table would pass everything through one task."""
+    whole table would pass everything through one task.  Instances are in
+    ``order_col`` order, so a re-run writes the same documents."""
     inst = F.struct(*[F.col(c) for c in cols])
+    if order_col is None:
+        lst = F.collect_list(inst)
+    else:
+        lst = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("_k"), inst.alias("_v")))),
+                          lambda s: s["_v"])
     return (df.groupBy(batch_col)
-              .agg(F.to_json(F.struct(F.collect_list(inst).alias("instances"))).alias("request"),
+              .agg(F.to_json(F.struct(lst.alias("instances"))).alias("request"),
                    F.count(F.lit(1)).alias("n_instances")))
