@@ -64,7 +64,10 @@ def x1(spark, sf):
     return DR.frequency_drift(saved, new)
 
 
-@register("x4_missing_baseline")
+@register("x4_missing_baseline", with_views(
+    """SELECT CAST(0 AS BIGINT) AS n_ref, COUNT(*) AS n_cur, CAST(NULL AS DOUBLE) AS ks_stat,
+  CAST(NULL AS DOUBLE) AS p_value, false AS drift_detected FROM f_cur""",
+    extra={"f_cur": _freq_sql("conversations", "text")}))
 def x4(spark, sf):
     """No saved statistics -> a 'no baseline' row (null statistic)."""
     new = DR.word_frequencies(td.table(spark, sf, "conversations"), "text")
