@@ -15,6 +15,12 @@ def strip_html_tags(df: DataFrame, src: str = "text", dst: str = "cleaned_text")
     return compute_once(df.drop(dst) if dst in df.columns else df, **{dst: TX.strip_html(src)})
 
 
+# --- fixed values -----------------------------------------------------------
+# Development cap of the cleaning step (C2), in rows.
+CLEANING_CAP = 5000
+# ---------------------------------------------------------------------------
+
+
 def cap_rows(df: DataFrame, max_rows: int | None, order_col: str = "row_id") -> DataFrame:
     """Optional development cap, the first ``max_rows`` rows by id.
     Off (None) by default."""

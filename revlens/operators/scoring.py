@@ -46,14 +46,12 @@ class HashScorer:
         return out
 
     def score_columns(self) -> list[Column]:
-        """The same scores as Spark expressions (no Python worker)."""
-        cols = []
-        for k in range(N_CLASSES):
-            s = F.pmod(F.col("doc_id") * (3 + 2 * self.m) + 7 * k + F.col("n_chars"), F.lit(9)) + 1
-            s = s + F.when((F.col("label") == k) & (F.pmod("doc_id", F.lit(self.m + 2)) != 0),
-                           F.lit(self.skill)).otherwise(0)
-            cols.append(s.cast("double"))
-        return cols
+        """The same scores as Spark expressions (no Python worker), each
+        built from one SQL expression."""
+        return [F.expr(f"CAST(pmod(doc_id * {3 + 2 * self.m} + {7 * k} + n_chars, 9) + 1 + "
+                       f"CASE WHEN label = {k} AND pmod(doc_id, {self.m + 2}) != 0 THEN {self.skill} "
+                       f"ELSE 0 END AS DOUBLE)")
+                for k in range(N_CLASSES)]
 
     def score_sql(self) -> list[str]:
         out = []
@@ -77,9 +75,9 @@ def predict(df: DataFrame, model_name: str, scorer=None) -> DataFrame:
     """E1 (expression form): add Model_Name, probs, prediction (argmax)."""
     scorer = scorer or HashScorer(*MODELS[model_name])
     probs = normalized(F.array(*scorer.score_columns()))
-    return (df.withColumn("probs", probs)
+    return (df.withColumns({"probs": probs, "Model_Name": F.lit(model_name)})
               .withColumn("prediction", argmax("probs"))
-              .withColumn("Model_Name", F.lit(model_name)))
+              .select(*df.columns, "probs", "prediction", "Model_Name"))
 
 
 def score_batches(df: DataFrame, scorer_factory, model_name: str,

@@ -44,7 +44,7 @@ def s12(spark, sf):
 @register("s8_bounded_scan", "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 7")
 def s8(spark, sf):
     """The first 7 rows of a table (nrows=7) as an ordered top-k."""
-    return IO.bounded_scan(td.table(spark, sf, "documents").select("doc_id", "source"), 7, "doc_id")
+    return IO.bounded_scan(td.table(spark, sf, "documents", spread=False).select("doc_id", "source"), 7, "doc_id")
 
 
 @register("s11_metrics_sink", _ev(f"SELECT Model_Name, 'log_loss' AS Metric, log_loss AS Value FROM ({_LL_SQL}) t "

@@ -41,6 +41,18 @@ def c1(spark, sf):
     return C.strip_html_tags(td.pages(spark, sf), "html", "cleaned_text").select("page_id", "cleaned_text")
 
 
+@register("c2_cap_rows", with_views(
+    f"""SELECT row_id, {strip_html_sql('text')} AS cleaned_text
+  FROM (SELECT * FROM merged ORDER BY row_id LIMIT {C.CLEANING_CAP}) m""",
+    "raw_reviews_v", "raw_metadata_v", extra={"merged": _MERGED_SQL}))
+def c2(spark, sf):
+    """The development cap - the first 5 000 merged reviews by row id,
+    then cleaned.  The limit is the operator (a top-k per task, then one
+    merge of at most 5 000 rows per task)."""
+    m = C.cap_rows(_merged(spark, sf), C.CLEANING_CAP)
+    return C.strip_html_tags(m).select("row_id", "cleaned_text")
+
+
 _CLEANED = {"merged": _MERGED_SQL,
             "cleaned": f"SELECT * EXCLUDE (text), {strip_html_sql('text')} AS cleaned_text FROM merged"}
 

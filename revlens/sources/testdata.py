@@ -38,9 +38,11 @@ TEXT_TABLE_KEYS = {"documents": ["doc_id"], "pages": ["page_id"],
                    "conversations": ["conv_id", "turn"], "benchmark": ["item_id"]}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Scan a driver table.  ``spread=False`` for reads of a text table that
+    use none of its text (key and metadata columns only)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in TEXT_TABLE_KEYS:
+    if spread and name in TEXT_TABLE_KEYS:
         from .io import spread
         df = spread(df, TEXT_TABLE_KEYS[name])
     return df
@@ -141,7 +143,7 @@ def eval_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ground truth for model evaluation: labels joined to documents.
     y = 1 (negative) if toxic, else 0 (positive) if quality, else 2."""
     lab = table(spark, sf_dir, "labels")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
+    docs = table(spark, sf_dir, "documents", spread=False).select("doc_id", "source", "lang", "n_chars")
     y = F.when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 0).otherwise(2)
     return lab.join(docs, "doc_id").select(
         "doc_id", F.col("source").alias("main_category"), F.col("lang").alias("store"),
