@@ -107,7 +107,8 @@ def x5(spark, sf):
     """X5 + X7 + K2 + K3: text-descriptor drift of the latest 5 reviews
     against reviews 1..500 (vocabulary = words of the reference window)."""
     _, _, fact = ST.build_star(_labeled(spark, sf))
-    fact = materialize(fact)  # read by both windows and the vocabulary
+    # read by both windows and the vocabulary; only id and text are needed
+    fact = materialize(fact.select("review_id", "cleaned_text"))
     ref = ST.reference_window(fact, 1, 500)
     cur = ST.latest_reviews(fact, 5)
     vocab = DR.word_frequencies(ref, "cleaned_text")
