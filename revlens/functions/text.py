@@ -24,6 +24,10 @@ FILE_NAME_PATTERN = r"(?U)^[\w,\s-]+\.[A-Za-z]{3}\n?\z"
 METRIC_NAME_UNSAFE = r"[^a-zA-Z0-9_:/-]"
 # Word tokens of two or more word characters (A18, lexicon scoring).
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
+# The characters Python's str.strip() removes (str.isspace), as a regex class
+# body; the \x{...} form means the same in Java regex and RE2 (P10).
+PY_WHITESPACE = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+                 r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 # ---------------------------------------------------------------------------
 
 # HTML markup removed by strip_html (C1): comments, script/style bodies, tags.
@@ -60,8 +64,10 @@ def strip_html(col) -> Column:
 
 
 def is_blank(col) -> Column:
-    """P10: True when the text is empty after stripping whitespace."""
-    return F.regexp_replace(_c(col), r"^\s+|\s+$", "") == F.lit("")
+    """P10: True when the text is empty after a Python-style strip, i.e. it
+    holds no character outside Python's whitespace set (null -> null).  The
+    search stops at the first non-whitespace character."""
+    return ~_c(col).rlike(f"[^{PY_WHITESPACE}]")
 
 
 def is_url(col) -> Column:

@@ -41,6 +41,13 @@ def c1(spark, sf):
     return C.strip_html_tags(td.pages(spark, sf), "html", "cleaned_text").select("page_id", "cleaned_text")
 
 
+@register("p10_drop_blank", f"""SELECT doc_id FROM documents
+WHERE text IS NOT NULL AND regexp_matches(text, '[^{TX.PY_WHITESPACE}]')""")
+def p10(spark, sf):
+    """P10: documents whose text is not blank after a Python-style strip."""
+    return C.drop_blank(td.table(spark, sf, "documents"), "text").select("doc_id")
+
+
 @register("c2_cap_rows", with_views(
     f"""SELECT row_id, {strip_html_sql('text')} AS cleaned_text
   FROM (SELECT * FROM merged ORDER BY row_id LIMIT {C.CLEANING_CAP}) m""",

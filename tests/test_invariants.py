@@ -72,3 +72,11 @@ def test_schema_report(spark):
     r = {x.column: x.actual for x in Q.schema_report(td.raw_reviews(spark, SF), S.REVIEWS).collect()}
     assert r["images"] == "Column not found"
     assert "rating" not in r  # declared type matches
+
+
+def test_blank_matches_python_strip(spark):
+    # Python's strip() also removes Unicode spaces and the \x1c-\x1f separators
+    texts = [" ", "\u00a0", "\u3000\t", "\x1c\x1f", "\u200b", "x", "\u2028y", "\x0b"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r.text for r in C.drop_blank(df).collect()]
+    assert sorted(got) == sorted(t for t in texts if t.strip() != "")
