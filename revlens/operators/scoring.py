@@ -80,6 +80,20 @@ def predict(df: DataFrame, model_name: str, scorer=None) -> DataFrame:
               .select(*df.columns, "probs", "prediction", "Model_Name"))
 
 
+def predict_models(df: DataFrame, model_names, scorers=None) -> DataFrame:
+    """E1 (expression form) for several models from one pass over ``df``:
+    a one-row-per-model generator gives each input row one output row per
+    model (the same rows as a union of `predict` per model, without reading
+    and joining the input once per model)."""
+    scorers = scorers or {n: HashScorer(*MODELS[n]) for n in model_names}
+    per_model = [F.struct(F.lit(n).alias("Model_Name"), F.array(*scorers[n].score_columns()).alias("_s"))
+                 for n in model_names]
+    x = df.select("*", F.inline(F.array(*per_model)))
+    return (x.withColumn("probs", normalized(F.col("_s")))
+             .withColumn("prediction", argmax("probs"))
+             .select(*df.columns, "probs", "prediction", "Model_Name"))
+
+
 def score_batches(df: DataFrame, scorer_factory, model_name: str,
                   id_cols=("doc_id",)) -> DataFrame:
     """E1 (Python form): run a pluggable scorer on Arrow batches.

@@ -17,12 +17,7 @@ R = MT.METRIC_ROUND
 
 
 def _preds(spark, sf, models=None):
-    base = td.eval_labels(spark, sf)
-    out = None
-    for name in (models or SC.MODELS):
-        p = SC.predict(base, name)
-        out = p if out is None else out.unionByName(p)
-    return out
+    return SC.predict_models(td.eval_labels(spark, sf), list(models or SC.MODELS))
 
 
 def _stored_preds(spark, sf):
