@@ -23,6 +23,8 @@ def heuristic_sentiment(rating, verified=None, helpful=None) -> Column:
     +2 for rating >= 4, -2 for rating <= 2, +1 when verified, +1 when
     helpful_vote >= 5.  > 2 positive, < 0 negative, else neutral.  A missing
     verified flag counts as False and a missing vote count as 0."""
+    if all(a is None or isinstance(a, str) for a in (rating, verified, helpful)):
+        return F.expr(_heuristic_sql(rating, verified, helpful))
     r = _c(rating)
     base = F.when(r >= 4, 2).when(r <= 2, -2).otherwise(0)
     v = F.lit(0) if verified is None else F.when(F.coalesce(_c(verified), F.lit(False)), 1).otherwise(0)
@@ -31,9 +33,25 @@ def heuristic_sentiment(rating, verified=None, helpful=None) -> Column:
     return F.when(s > 2, "positive").when(s < 0, "negative").otherwise("neutral")
 
 
+def _heuristic_sql(rating: str, verified: str | None, helpful: str | None) -> str:
+    """`heuristic_sentiment` over named columns as one SQL expression."""
+    base = f"CASE WHEN `{rating}` >= 4 THEN 2 WHEN `{rating}` <= 2 THEN -2 ELSE 0 END"
+    v = "0" if verified is None else f"CASE WHEN coalesce(`{verified}`, false) THEN 1 ELSE 0 END"
+    h = "0" if helpful is None else f"CASE WHEN coalesce(`{helpful}`, 0) >= 5 THEN 1 ELSE 0 END"
+    score = f"({base} + {v} + {h})"
+    return f"CASE WHEN {score} > 2 THEN 'positive' WHEN {score} < 0 THEN 'negative' ELSE 'neutral' END"
+
+
 def majority_vote(*votes) -> Column:
     """L4: positive if p > n and p >= u; negative if n > p and n > u; else
     neutral.  A null vote counts for nothing."""
+    if all(isinstance(v, str) for v in votes):
+        def n(label):
+            return "(" + " + ".join(f"CAST(coalesce(`{v}` = '{label}', false) AS INT)" for v in votes) + ")"
+        p, ng, u = n("positive"), n("negative"), n("neutral")
+        return F.expr(f"CASE WHEN {p} > {ng} AND {p} >= {u} THEN 'positive' "
+                      f"WHEN {ng} > {p} AND {ng} > {u} THEN 'negative' ELSE 'neutral' END")
+
     def cnt(label):
         return sum((F.coalesce(_c(v) == label, F.lit(False))).cast("int") for v in votes)
     p, n, u = cnt("positive"), cnt("negative"), cnt("neutral")
