@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 @query
 def op1_simhash(spark, sf_dir):
     """SimHash components of `documents`: 3-word shingles, 2 bits."""
@@ -33,3 +39,24 @@ def op1_simhash(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"),
                       F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                       F.col("component").alias("component_id"))
+
+
+@query
+def op3_winnowing(spark, sf_dir):
+    """Winnowed fingerprints of `documents` and of their edited texts."""
+    from .winnow import edited_fingerprints
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_packing(spark, sf_dir):
+    """Power-of-two packing of all `documents` into sequences of 2048."""
+    from .packing import pack
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1, length=2048)
+
+
+@query
+def op8_sentencepiece(spark, sf_dir):
+    """Merge-type encoding and decoding of all `documents`."""
+    from .spbpe import encode_decode
+    return encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
