@@ -60,3 +60,18 @@ def op8_sentencepiece(spark, sf_dir):
     """Merge-type encoding and decoding of all `documents`."""
     from .spbpe import encode_decode
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op9_warc(spark, sf_dir):
+    """WARC records of all `pages`, written into ZIP archives and read back."""
+    from .warczip import round_trip
+    out = round_trip(spark, table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    """Toxicity scores of all `documents`, learned outside the held-out fold."""
+    from .toxicity import score_documents
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
