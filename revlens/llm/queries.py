@@ -75,3 +75,10 @@ def op10_toxicity(spark, sf_dir):
     """Toxicity scores of all `documents`, learned outside the held-out fold."""
     from .toxicity import score_documents
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_pii(spark, sf_dir):
+    """Personal data in all `documents`: base spans and those the labelers add."""
+    from .pii import find
+    return find(table(spark, sf_dir, "documents"))

@@ -163,16 +163,18 @@ def restored_words(text: str, model: CharModel, memo: dict[str, tuple[str, ...]]
             got = (plain,) if plain else ()
             if not t.isalpha() or _STRETCHED.search(t):
                 core = t.strip(".,;:?\"'()[]{}<>%&")
-                if suspicious(core):
-                    got += tuple(restore(core, model).split())
+                if suspicious(core):  # signs at the end may be letters or not
+                    for spot in {core, core.rstrip("!*#$@+|")}:
+                        got += tuple(restore(spot, model).split())
             memo[t] = got
         words.update(got)
     # letters set apart: three or more one-letter tokens in a row
-    if sum(1 for t in tokens if len(t) == 1) >= 3:
+    if sum(1 for t in tokens if len(t) == 1) >= 2:
         run: list[str] = []
         for t in [*tokens, ""]:
-            if len(t) == 1 and (t.isalpha() or t in LEET):
-                run.append(t)
+            one = t if len(t) < 2 else t.rstrip(".,;:?!")
+            if len(one) == 1 and (one.isalpha() or one in LEET):
+                run.append(one)
             else:
                 if len(run) >= 3 and len(set(run)) > 1:
                     words.update(restore(EDGE.join(run), model).split())

@@ -29,8 +29,7 @@ def test_restore(chars, written, want):
 
 def test_words_of_text(chars):
     got = T.restored_words("You i d i o t, 5TUP1D!! call +1 (555) 010-9999 or me@mail.example.com x=1a2", chars, {})
-    assert "idiot" in got or "stupid" in got
-    assert "stupid" in got and not T.suspicious("me@mail.example.com") and not T.suspicious("010-9999")
+    assert {"idiot", "stupid"} <= got and not T.suspicious("me@mail.example.com") and not T.suspicious("010-9999")
 
 
 def test_viterbi_is_the_cheapest_path(chars):
@@ -59,7 +58,7 @@ def test_query_held_out(spark):
 
 
 def test_edge_rows(spark):
-    docs = spark.createDataFrame([(i, "you stupid idiot here" if i % 2 else "a fine day out", 7) for i in range(40)]
+    docs = spark.createDataFrame([(i, f"you {('stupid', 'idiot')[i // 2 % 2]} man" if i % 2 else "you fine man", 7) for i in range(40)]
                                  + [(100, None, 1), (100, None, 1), (101, "", 1), (None, "1d10t", 1),
                                     (102, "s t u p i d", 1), (103, "word " * 20000, 1)],
                                  "doc_id bigint, text string, score int")
