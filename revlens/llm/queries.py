@@ -82,3 +82,10 @@ def op7_pii(spark, sf_dir):
     """Personal data in all `documents`: base spans and those the labelers add."""
     from .pii import find
     return find(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_html(spark, sf_dir):
+    """Main text of all `pages` through wrappers inferred per host."""
+    from .wrapper import extract_pages
+    return extract_pages(table(spark, sf_dir, "pages"))
