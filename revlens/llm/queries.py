@@ -89,3 +89,10 @@ def op2_html(spark, sf_dir):
     """Main text of all `pages` through wrappers inferred per host."""
     from .wrapper import extract_pages
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_embeddings(spark, sf_dir):
+    """Near-duplicate components of all `embeddings` at cosine 0.95."""
+    from .embeddup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
