@@ -96,3 +96,13 @@ def op6_embeddings(spark, sf_dir):
     """Near-duplicate components of all `embeddings` at cosine 0.95."""
     from .embeddup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query
+def op4_substrings(spark, sf_dir):
+    """Passages of 50 words or more that `documents` share: the later
+    document, its words, and an earlier document with the passage."""
+    from .passages import repeated_passages
+    out = repeated_passages(table(spark, sf_dir, "documents"), min_words=50, shingle=5, similarity=0.8)
+    return out.select(F.col("id").alias("doc_id"), "start_word", "end_word", F.col("other_id").alias("other_doc_id"),
+                      "other_start", "other_end", "similarity")
