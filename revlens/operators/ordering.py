@@ -1,14 +1,15 @@
 """Distributed positional operators: dense row ids and ranks within groups.
 
 `row_number()` over a window without a partition (or partitioned by a key
-that holds a third of the rows) runs in one task.  Here every row first gets
-an ordered *bucket* derived from its own order key (an md5 prefix, or the
-approximate quantiles of a numeric key), so a bucket is a contiguous slice
-of the order.  Rows are ranked inside (bucket, group) by an ordinary window
-- many small balanced tasks - and the rank is completed with the number of
-rows of the same group in earlier buckets, taken from a table with one row
-per (bucket, group).  Everything is a function of the data alone, so a
-recomputed partition (lost executor, re-read) produces the same numbers.
+that holds a third of the rows) runs in one task.  Here the rows are dealt
+by ranges of the *whole* order - groups first, then every order column, so
+neither a hot group nor a tied first key meets in one task - and sorted
+inside each range.  The sorted rows are written once to the shared
+checkpoint folder with their place in their range; a row's position is that
+place plus the rows of the ranges before, and its rank the distance to its
+group's first position.  The number of ranges follows the number of rows.
+Since the copy is written, a recomputed task (lost executor, re-read) sees
+the same numbers.
 """
 
 from __future__ import annotations
@@ -17,95 +18,59 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import materialize
 
-def _cols(xs) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
-MAX_BUCKETS = 512  # keeps the generated comparison tree small
-
-
-def _default_buckets(df: DataFrame) -> int:
-    return max(1, min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-
-
-def md5_bucket(hex_key: Column, n_buckets: int) -> Column:
-    """Bucket of an md5 hex key: its first 4 hex digits scaled to
-    [0, n_buckets).  Monotone in the key, uniform for md5 keys."""
-    return F.floor(F.conv(F.substring(hex_key, 1, 4), 16, 10).cast("long") * n_buckets / 65536).cast("int")
+#: Rows that one range holds on average.
+ROWS_PER_RANGE = 500_000
+#: Bits of `monotonically_increasing_id` below its partition number.
+_ID_BITS = 33
 
 
-def quantile_bucket(df: DataFrame, col: str, n_buckets: int, accuracy: int = 10000) -> DataFrame:
-    """(frame with ``_b``) bucketing numeric ``col`` at its approximate
-    quantiles.  The boundaries are a `percentile_approx` scalar subquery
-    (a distributed sketch aggregate, planned lazily with the query) and a
-    row finds its bucket by binary search over them - O(log n_buckets)."""
-    if n_buckets <= 1:
-        return df.withColumn("_b", F.lit(0))
-    fr = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = df.select(F.percentile_approx(F.col(col).cast("double"), fr, accuracy)).scalar()
-    # a subquery cannot sit inside a lambda: project it first
-    return (df.withColumn("_bounds", bounds)
-              .withColumn("_b", upper_bound("_bounds", f"CAST(`{col}` AS DOUBLE)", len(fr)))
-              .drop("_bounds"))
-
-
-def upper_bound(bounds: str, v: str, n: int) -> Column:
-    """Number of elements of the sorted array column ``bounds`` (length
-    ``n``) that are <= the SQL expression ``v``: a balanced tree of
-    comparisons, log2(n) per row, compiled with the rest of the projection
-    (null ``v`` -> 0).  Built as one SQL expression (one call to the JVM)."""
-    def node(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return (f"CASE WHEN element_at(`{bounds}`, {mid + 1}) <= {v} "
-                f"THEN {node(mid + 1, hi)} ELSE {node(lo, mid)} END")
-    return F.expr(f"CAST({node(0, n)} AS INT)")
+def _cols(xs) -> list[Column]:
+    return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def rank_within(df: DataFrame, order, by=(), name: str = "rn", bucket: Column | None = None,
-                n_buckets: int | None = None) -> DataFrame:
+def positions(df: DataFrame, order, name: str = "_pos", rows_per_range: int | None = None) -> DataFrame:
+    """``df`` in ``order`` order with ``name`` = 0-based position of each row,
+    and its range in ``_range``.  ``order`` should end with a unique key;
+    rows that tie in all of it are numbered in any order."""
+    order = _cols(order)
+    ranges = max(1, math.ceil(df.count() / (rows_per_range or ROWS_PER_RANGE)))
+    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    placed = materialize(dealt.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", _ID_BITS)
+    # one row per range
+    sizes = placed.groupBy(part.alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_start"))
+    return (placed.withColumn("_range", part).join(starts, "_range")
+                  .withColumn(name, F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << _ID_BITS) - 1)))
+                  .drop("_at", "_start"))
+
+
+def rank_within(df: DataFrame, order, by=(), name: str = "rn", rows_per_range: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its ``by`` group in
-    ``order`` order (``row_number()`` semantics).
+    ``order`` order (``row_number()`` semantics; nulls are a group).
 
-    ``order`` must be a total order (end it with a unique key).  ``bucket``
-    must be non-decreasing along ``order``; when omitted, the first order
-    column is bucketed by its quantiles (it must be numeric then).
-    """
+    ``order`` must be a total order (end it with a unique key)."""
     by = list(by)
-    order_cols = _cols(order)
-    nb = n_buckets or _default_buckets(df)
-    if bucket is not None:
-        d = df.withColumn("_b", bucket)
-    else:
-        first = order[0]
-        if not isinstance(first, str):
-            raise ValueError("rank_within: pass `bucket` when the first order key is an expression")
-        if not isinstance(df.schema[first].dataType, T.NumericType):
-            raise ValueError(f"rank_within: first order key {first!r} is not numeric; pass `bucket`")
-        d = quantile_bucket(df, first, nb)
-    counts = d.groupBy("_b", *by).agg(F.count(F.lit(1)).alias("_cnt"))
-    w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w_off), F.lit(0))).drop("_cnt")
-    local = d.withColumn("_lrn", F.row_number().over(Window.partitionBy("_b", *by).orderBy(*order_cols)))
-    # without groups the offsets table has at most one row per bucket
-    # (<= MAX_BUCKETS): a proven bound, so it is broadcast
-    joined = local.join(offsets if by else F.broadcast(offsets), on=["_b", *by], how="inner")
-    return joined.withColumn(name, (F.col("_off") + F.col("_lrn")).cast("long")).drop("_b", "_lrn", "_off")
-
-
-def with_row_id(df: DataFrame, order, name: str = "row_id", start: int = 0,
-                n_buckets: int | None = None) -> DataFrame:
-    """Dense, stable row id ``start, start+1, ...`` in ``order`` order
-    (first order column numeric).  Use a source key when the table has one
-    (event_id, doc_id); this is for tables whose identity is positional."""
-    out = rank_within(df, order, by=(), name=name, n_buckets=n_buckets)
-    if start != 1:
-        out = out.withColumn(name, F.col(name) + F.lit(start - 1))
-    return out
+    placed = positions(df, [*by, *order], rows_per_range=rows_per_range).drop("_range")
+    if not by:
+        return placed.withColumn(name, F.col("_pos") + 1).drop("_pos")
+    first = placed.groupBy(*by).agg(F.min("_pos").alias("_first"))
+    keys = [F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)]
+    first = first.select(*keys, "_first")
+    same = [placed[c].eqNullSafe(first[f"_by_{i}"]) for i, c in enumerate(by)]
+    return (placed.join(first, same).withColumn(name, F.col("_pos") - F.col("_first") + 1)
+                  .drop("_pos", "_first", *[f"_by_{i}" for i in range(len(by))]))
+
+
+def with_row_id(df: DataFrame, order, name: str = "row_id", start: int = 0) -> DataFrame:
+    """Dense, stable row id ``start, start+1, ...`` in ``order`` order.  Use a
+    source key when the table has one (event_id, doc_id); this is for tables
+    whose identity is positional."""
+    return positions(df, order, name).drop("_range").withColumn(name, F.col(name) + F.lit(start))
 
 
 def shuffle_key(row_id, seed: int = 42) -> Column:
@@ -116,11 +81,10 @@ def shuffle_key(row_id, seed: int = 42) -> Column:
 
 
 def rank_by_shuffle_key(df: DataFrame, row_id: str = "row_id", seed: int = 42, by=(),
-                        name: str = "rn", n_buckets: int | None = None) -> DataFrame:
+                        name: str = "rn") -> DataFrame:
     """Rank rows in md5 shuffle order (ties impossible: row id breaks them)."""
-    nb = n_buckets or _default_buckets(df)
-    key = shuffle_key(row_id, seed)
-    return rank_within(df, [key, F.col(row_id)], by=by, name=name, bucket=md5_bucket(key, nb), n_buckets=nb)
+    keyed = df.withColumn("_key", shuffle_key(row_id, seed))
+    return rank_within(keyed, ["_key", row_id], by=by, name=name).drop("_key")
 
 
 def hash_int(key: Column) -> Column:
@@ -128,36 +92,40 @@ def hash_int(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
+#: Parts of a group whose first rows are found apart before they meet.
+_TOP_PARTS = 64
+
+
 def top_k_per_group(df: DataFrame, by, order, k: int, name: str = "rn") -> DataFrame:
-    """Rows ranked ``<= k`` inside each group.  For small ``k`` Spark plans a
-    partial WindowGroupLimit before the shuffle, so each task forwards at
-    most ``k`` rows per group and a hot group costs no more than a cold one.
-    """
-    spark = df.sparkSession
-    conf_key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(spark.conf.get(conf_key, "1000")) < k:
-        spark.conf.set(conf_key, str(k))
-    w = Window.partitionBy(*_cols(by)).orderBy(*_cols(order))
-    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
+    """Rows ranked ``<= k`` inside each group.  Groups are cut into parts by
+    a hash of the row, each part keeps its first ``k`` rows, and only those
+    are ranked together: a hot group costs its task at most 64 k rows,
+    whatever ``k`` is."""
+    by, order = _cols(by), _cols(order)
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(_TOP_PARTS))
+    own = Window.partitionBy(*by, "_part").orderBy(*order)
+    few = (df.withColumn("_part", part).withColumn("_rank", F.row_number().over(own))
+             .filter(F.col("_rank") <= k).drop("_part", "_rank"))
+    return few.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col(name) <= k)
 
 
 def running_sum(df: DataFrame, order_col: str, value_cols: list[str], by=(), prefix: str = "cum_",
-                inclusive: bool = False, n_buckets: int | None = None) -> DataFrame:
-    """Cumulative sums of ``value_cols`` along numeric ``order_col`` inside
-    ``by`` groups (rows with equal ``order_col`` must already be aggregated
-    into one row).  ``inclusive=False`` sums strictly earlier rows.  Same
-    bucket scheme as `rank_within`: no single-task window even when one
-    group holds most rows."""
+                inclusive: bool = False, rows_per_range: int | None = None) -> DataFrame:
+    """Cumulative sums of ``value_cols`` along ``order_col`` inside ``by``
+    groups (rows with equal ``order_col`` must already be aggregated into one
+    row).  ``inclusive=False`` sums strictly earlier rows.  Sums run inside
+    ranges of the order and add what the group's earlier ranges hold, so no
+    task meets a whole hot group."""
     by = list(by)
-    nb = n_buckets or _default_buckets(df)
-    d = quantile_bucket(df, order_col, nb)
-    tot = d.groupBy("_b", *by).agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
-    w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_b", *by, *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}")
-                                   for c in value_cols])
+    placed = positions(df, [*by, order_col], rows_per_range=rows_per_range)
+    tot = placed.groupBy("_range", *by).agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
+    w_off = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select(F.col("_range").alias("_of"), *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)],
+                      *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in value_cols])
     end = 0 if inclusive else -1
-    w_loc = Window.partitionBy("_b", *by).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
-    loc = d.select("*", *[F.coalesce(F.sum(c).over(w_loc), F.lit(0)).alias(f"_l_{c}") for c in value_cols])
-    j = loc.join(offs if by else F.broadcast(offs), ["_b", *by])
-    return j.select(*[c for c in df.columns],
+    w_loc = Window.partitionBy("_range", *by).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
+    loc = placed.select("*", *[F.coalesce(F.sum(c).over(w_loc), F.lit(0)).alias(f"_l_{c}") for c in value_cols])
+    same = [loc["_range"] == offs["_of"], *[loc[c].eqNullSafe(offs[f"_by_{i}"]) for i, c in enumerate(by)]]
+    j = loc.join(offs, same)
+    return j.select(*[loc[c] for c in df.columns],
                     *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{prefix}{c}") for c in value_cols])
