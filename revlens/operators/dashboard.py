@@ -39,11 +39,21 @@ def star_join(reviews: DataFrame, products: DataFrame, categories: DataFrame,
     return reviews.join(_dims(products, categories, category), "product_id")
 
 
+def _of_category(reviews: DataFrame, products: DataFrame, categories: DataFrame, category: str | None) -> DataFrame:
+    """Reviews of the selected category's products only (D8), before any
+    panel aggregates them."""
+    if category is None:
+        return reviews
+    mine = _dims(products, categories, category).select("product_id")
+    return reviews.join(mine, "product_id", "left_semi")
+
+
 def _keys(category):
     return [] if category is not None else ["category_name"]
 
 
 def _pct(reviews, products, categories, label: str, name: str, category) -> DataFrame:
+    reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id").agg(
         F.count_if(F.lower("final_sentiment") == label).alias("_hit"),
         F.count(F.lit(1)).alias("_n"))
@@ -72,6 +82,7 @@ def negative_percentage(reviews, products, categories, category=None, compat: bo
 
 def sentiment_summary(reviews, products, categories, category=None) -> DataFrame:
     """A4: review count per lower-cased label, nulls excluded."""
+    reviews = _of_category(reviews, products, categories, category)
     per_prod = (reviews.filter(F.col("final_sentiment").isNotNull())
                 .groupBy("product_id", F.lower("final_sentiment").alias("final_sentiment"))
                 .agg(F.count(F.lit(1)).alias("_n")))
@@ -82,6 +93,7 @@ def sentiment_summary(reviews, products, categories, category=None) -> DataFrame
 
 def yearly_sentiment(reviews, products, categories, category=None) -> DataFrame:
     """A5: per year, counts of positive / negative / neutral (case-sensitive)."""
+    reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id", _year("timestamp").alias("review_year")).agg(
         F.sum(F.when(F.col("final_sentiment") == "positive", 1).otherwise(0)).alias("_p"),
         F.sum(F.when(F.col("final_sentiment") == "negative", 1).otherwise(0)).alias("_n"),
@@ -96,6 +108,7 @@ def yearly_sentiment(reviews, products, categories, category=None) -> DataFrame:
 def helpful_votes_top(reviews, products, categories, category=None, k: int = 10) -> DataFrame:
     """Helpful votes of positive vs negative reviews per product title,
     top ``k`` titles by positive votes (ties broken by title)."""
+    reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id").agg(
         F.sum(F.when(F.col("final_sentiment") == "positive", F.col("helpful_vote")).otherwise(0)).alias("_pv"),
         F.sum(F.when(F.col("final_sentiment") == "negative", F.col("helpful_vote")).otherwise(0)).alias("_nv"))
@@ -111,6 +124,7 @@ def helpful_votes_top(reviews, products, categories, category=None, k: int = 10)
 def top_rated_products(reviews, products, categories, category=None) -> DataFrame:
     """Average rating per product title, rounded half-up to 2 decimals
     (exact decimal arithmetic, as the SQL database does)."""
+    reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id").agg(
         F.sum(F.col("rating").cast("decimal(18,4)")).alias("_s"),
         F.count("rating").alias("_n"))
@@ -123,6 +137,7 @@ def top_rated_products(reviews, products, categories, category=None) -> DataFram
 
 def price_over_time(reviews, products, categories, category=None) -> DataFrame:
     """Review-weighted average product price per review date."""
+    reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id", F.to_date("timestamp").alias("date")).agg(
         F.count(F.lit(1)).alias("_n"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
@@ -133,6 +148,7 @@ def price_over_time(reviews, products, categories, category=None) -> DataFrame:
 
 def review_volume(reviews, products, categories, category=None) -> DataFrame:
     """Reviews per year."""
+    reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id", _year("timestamp").alias("review_year")).agg(
         F.count(F.lit(1)).alias("_n"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
@@ -140,6 +156,7 @@ def review_volume(reviews, products, categories, category=None) -> DataFrame:
 
 
 def _label_counts(reviews, products, categories, label, category, count_name):
+    reviews = _of_category(reviews, products, categories, category)
     per_prod = (reviews.filter(F.col("final_sentiment") == label)
                 .groupBy("product_id").agg(F.count(F.lit(1)).alias(count_name)))
     return per_prod.join(_dims(products, categories, category), "product_id").select(

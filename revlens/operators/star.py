@@ -40,18 +40,25 @@ def product_dim(labeled: DataFrame, categories: DataFrame, row_id: str = "row_id
         F.col("_v.parent_asin").alias("parent_asin"))
 
 
+FACT = ["review_id", "product_id", "cleaned_text", "rating", "helpful_vote", "timestamp", "final_sentiment"]
+
+
 def review_fact(labeled: DataFrame, products: DataFrame, categories: DataFrame,
-                row_id: str = "row_id") -> DataFrame:
+                row_id: str = "row_id", with_category: bool = False) -> DataFrame:
     """D3: reviews with product_id, second-truncated UTC timestamp and a
-    review_id = 1 + position in row order."""
+    review_id = 1 + position in row order (``row_id`` is unique)."""
     pk = products.join(categories, "category_id").select(
-        "product_id", "product_title", F.col("category_name").alias("_cat"))
-    j = labeled.join(pk, (labeled.product_title.eqNullSafe(pk.product_title))
-                     & (labeled.main_category.eqNullSafe(pk._cat)))
-    j = j.select(labeled[row_id].alias("_rid"), "product_id", "cleaned_text", "rating", "helpful_vote",
-                 epoch_ms_to_ts(labeled["timestamp"]).alias("timestamp"), "final_sentiment")
-    return rank_within(j, ["_rid"], name="review_id", ).drop("_rid").select(
-        "review_id", "product_id", "cleaned_text", "rating", "helpful_vote", "timestamp", "final_sentiment")
+        F.col("product_id"), F.col("category_id"), F.col("product_title").alias("_title"),
+        F.col("category_name").alias("_cat"))
+    # ids are attached to narrow keys; the text joins last, by row id, so no
+    # hot (title, category) pair moves it
+    keys = labeled.select(F.col(row_id).alias("_rid"), "product_title", "main_category")
+    ids = keys.join(pk, keys.product_title.eqNullSafe(pk._title) & keys.main_category.eqNullSafe(pk._cat)).select(
+        "_rid", "product_id", "category_id")
+    ids = rank_within(ids, ["_rid"], name="review_id")
+    body = labeled.select(F.col(row_id).alias("_row"), "cleaned_text", "rating", "helpful_vote",
+                          epoch_ms_to_ts(labeled["timestamp"]).alias("timestamp"), "final_sentiment")
+    return ids.join(body, ids._rid == body._row).select(*FACT, *(["category_id"] if with_category else []))
 
 
 def build_star(labeled: DataFrame, row_id: str = "row_id") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -61,19 +68,44 @@ def build_star(labeled: DataFrame, row_id: str = "row_id") -> tuple[DataFrame, D
     return cats, prods, review_fact(labeled, prods, cats, row_id)
 
 
+def store_star(labeled: DataFrame, folder: str, row_id: str = "row_id") -> None:
+    """Write the star as Parquet tables that lookups prune: products and
+    reviews lie in folders by category, reviews in files sorted by id."""
+    cats = category_dim(labeled, row_id)
+    cats.write.parquet(f"{folder}/categories")
+    cats = labeled.sparkSession.read.parquet(f"{folder}/categories")
+    product_dim(labeled, cats, row_id).repartition("category_id").write.partitionBy("category_id") \
+        .parquet(f"{folder}/products")
+    prods = labeled.sparkSession.read.parquet(f"{folder}/products")
+    # adaptive execution splits a large category over several tasks
+    (review_fact(labeled, prods, cats, row_id, with_category=True).hint("rebalance", "category_id")
+        .sortWithinPartitions("category_id", "product_id", "review_id")
+        .write.partitionBy("category_id").parquet(f"{folder}/reviews"))
+
+
+def load_star(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(categories, products, reviews) of a stored star; the last two carry
+    their partition column ``category_id``."""
+    products = spark.read.parquet(f"{folder}/products")
+    return (spark.read.parquet(f"{folder}/categories"),
+            products.select("product_id", "category_id", "product_title", "price", "parent_asin"),
+            spark.read.parquet(f"{folder}/reviews"))
+
+
 def list_categories(categories: DataFrame) -> DataFrame:
-    """D4."""
-    return categories
+    """Every category with its id."""
+    return categories.select("category_id", "category_name")
 
 
 def products_of(products: DataFrame, category_id: int) -> DataFrame:
-    """Predicate pushed to the scan when products is a Parquet table."""
+    """On a stored star only the category's folder is read."""
     return products.filter(F.col("category_id") == F.lit(category_id))
 
 
 def product_details(products: DataFrame, reviews: DataFrame, product_id: int) -> tuple[DataFrame, DataFrame]:
     """The product row and its review rows (two filtered scans; a
-    product's reviews are never gathered into one row)."""
+    product's reviews are never gathered into one row).  The filter reaches
+    the files, which are sorted by product inside each category."""
     return (products.filter(F.col("product_id") == F.lit(product_id)),
             reviews.filter(F.col("product_id") == F.lit(product_id)))
 
@@ -111,28 +143,19 @@ def ui_subset(labeled: DataFrame, n_products: int = 5, n_reviews: int = 10, max_
                .drop("_crank", "_prank", "_rrank"))
 
 
-# Panel SQL with a named parameter (D8): the category is bound, not pasted.
-PANEL_SQL = {
-    "positive_percentage": """
-SELECT try_divide(CAST(COUNT(CASE WHEN LOWER(r.final_sentiment) = 'positive' THEN 1 END) AS DOUBLE) * 100.0,
-                  CAST(COUNT(*) AS DOUBLE)) AS positive_percentage
-FROM reviews r JOIN products p ON r.product_id = p.product_id
-JOIN categories c ON p.category_id = c.category_id
-WHERE c.category_name = :category""",
-    "sentiment_summary": """
-SELECT LOWER(r.final_sentiment) AS final_sentiment, COUNT(*) AS sentiment_count
-FROM reviews r JOIN products p ON r.product_id = p.product_id
-JOIN categories c ON p.category_id = c.category_id
-WHERE c.category_name = :category AND r.final_sentiment IS NOT NULL
-GROUP BY LOWER(r.final_sentiment)""",
-}
-
-
 def panel_sql(spark: SparkSession, reviews: DataFrame, products: DataFrame, categories: DataFrame,
               panel: str, category: str) -> DataFrame:
-    """D8 through the SQL API: the star tables are passed as DataFrame
-    arguments and the category as a named parameter."""
-    sql = PANEL_SQL[panel].replace("FROM reviews r", "FROM {reviews} r") \
-        .replace("JOIN products p", "JOIN {products} p").replace("JOIN categories c", "JOIN {categories} c")
-    return spark.sql(sql, args={"category": category}, reviews=reviews, products=products,
+    """D8 through the SQL API: the star tables are DataFrame arguments and
+    the category is a named parameter, so it is bound and never pasted.  The
+    selected category's products are found first; only their reviews are
+    aggregated."""
+    shelf = """WITH shelf AS (
+  SELECT p.product_id FROM {products} AS p
+  LEFT SEMI JOIN (SELECT category_id FROM {categories} WHERE category_name = :category) AS mine
+    ON p.category_id = mine.category_id),
+mine AS (SELECT lower(v.final_sentiment) AS kind FROM {reviews} AS v LEFT SEMI JOIN shelf ON v.product_id = shelf.product_id)
+"""
+    ends = {"positive_percentage": "SELECT try_divide(count_if(kind = 'positive') * 100.0D, count(*)) AS positive_percentage FROM mine",
+            "sentiment_summary": "SELECT kind AS final_sentiment, count(kind) AS sentiment_count FROM mine GROUP BY kind HAVING kind IS NOT NULL"}
+    return spark.sql(shelf + ends[panel], args={"category": category}, reviews=reviews, products=products,
                      categories=categories)

@@ -11,9 +11,14 @@ STAR = ("reviews_v", "products_v", "categories_v")
 # Category used by the single-category (parameterised) dashboard forms.
 SELECTED_CATEGORY = "PROMO"
 
-_JOIN = """FROM reviews_v r
-JOIN products_v p ON r.product_id = p.product_id
-JOIN categories_v c ON p.category_id = c.category_id"""
+# Oracle views: products with their category's name, and review counts per
+# product, so that most panels aggregate before they join.
+_SHELF = {"shelf": "SELECT product_id, product_title, price, category_name FROM products_v JOIN categories_v USING (category_id)"}
+_TALLY = {**_SHELF, "tally": """SELECT product_id, count(*) AS reviews,
+    count(*) FILTER (lower(final_sentiment) = 'positive') AS positive,
+    count(*) FILTER (lower(final_sentiment) = 'neutral') AS neutral,
+    count(*) FILTER (lower(final_sentiment) = 'negative') AS negative
+  FROM reviews_v GROUP BY product_id"""}
 
 
 def _star(spark, sf):
@@ -21,11 +26,8 @@ def _star(spark, sf):
 
 
 def _pct_sql(label, name):
-    return with_views(f"""SELECT c.category_name,
-  (CAST(COUNT(CASE WHEN LOWER(r.final_sentiment) = '{label}' THEN 1 END) AS DOUBLE) * 100.0)
-    / CAST(NULLIF(COUNT(*), 0) AS DOUBLE) AS {name}
-{_JOIN}
-GROUP BY c.category_name""", *STAR)
+    return with_views(f"""SELECT category_name, sum({label})::DOUBLE * 100.0 / sum(reviews)::DOUBLE AS {name}
+FROM tally JOIN shelf USING (product_id) GROUP BY ALL""", *STAR, extra=_TALLY)
 
 
 @register("a1_positive_percentage", _pct_sql("positive", "positive_percentage"))
@@ -46,83 +48,73 @@ def a3(spark, sf):
     return D.negative_percentage(*_star(spark, sf))
 
 
-@register("a4_sentiment_summary", with_views(f"""SELECT c.category_name,
-  LOWER(r.final_sentiment) AS final_sentiment, COUNT(*) AS sentiment_count
-{_JOIN}
-WHERE r.final_sentiment IS NOT NULL
-GROUP BY c.category_name, LOWER(r.final_sentiment)""", *STAR))
+@register("a4_sentiment_summary", with_views("""SELECT category_name, kind AS final_sentiment, n AS sentiment_count
+FROM (SELECT category_name, sum(positive)::BIGINT AS positive, sum(neutral)::BIGINT AS neutral,
+             sum(negative)::BIGINT AS negative FROM tally JOIN shelf USING (product_id) GROUP BY ALL)
+UNPIVOT (n FOR kind IN (positive, neutral, negative)) WHERE n > 0""", *STAR, extra=_TALLY))
 def a4(spark, sf):
     """A4: label histogram per category."""
     return D.sentiment_summary(*_star(spark, sf))
 
 
-_A5_SQL = f"""SELECT c.category_name, DATE_TRUNC('year', r.timestamp) AS review_year,
-  CAST(SUM(CASE WHEN r.final_sentiment = 'positive' THEN 1 ELSE 0 END) AS BIGINT) AS positive_reviews,
-  CAST(SUM(CASE WHEN r.final_sentiment = 'negative' THEN 1 ELSE 0 END) AS BIGINT) AS negative_reviews,
-  CAST(SUM(CASE WHEN r.final_sentiment = 'neutral' THEN 1 ELSE 0 END) AS BIGINT) AS neutral_reviews
-{_JOIN}
-GROUP BY c.category_name, DATE_TRUNC('year', r.timestamp)"""
+def _yearly_sql(where=""):
+    return with_views(f"""SELECT category_name, date_trunc('year', timestamp) AS review_year,
+  count(*) FILTER (final_sentiment = 'positive') AS positive_reviews,
+  count(*) FILTER (final_sentiment = 'negative') AS negative_reviews,
+  count(*) FILTER (final_sentiment = 'neutral') AS neutral_reviews
+FROM shelf JOIN reviews_v USING (product_id) {where} GROUP BY ALL""", *STAR, extra=_SHELF)
 
 
-@register("a5_yearly_sentiment", with_views(_A5_SQL, *STAR))
+@register("a5_yearly_sentiment", _yearly_sql())
 def a5(spark, sf):
     """A5: yearly sentiment counts per category (flagship query)."""
     return D.yearly_sentiment(*_star(spark, sf))
 
 
-@register("a6_helpful_votes_top10", with_views(f"""SELECT * FROM (
-  SELECT c.category_name, p.product_title,
-    CAST(SUM(CASE WHEN r.final_sentiment = 'positive' THEN r.helpful_vote ELSE 0 END) AS BIGINT) AS positive_helpful_votes,
-    CAST(SUM(CASE WHEN r.final_sentiment = 'negative' THEN r.helpful_vote ELSE 0 END) AS BIGINT) AS negative_helpful_votes,
-    CAST(ROW_NUMBER() OVER (PARTITION BY c.category_name ORDER BY
-      SUM(CASE WHEN r.final_sentiment = 'positive' THEN r.helpful_vote ELSE 0 END) DESC, p.product_title) AS BIGINT) AS rank
-  {_JOIN}
-  GROUP BY c.category_name, p.product_title) t
-WHERE rank <= 10""", *STAR))
+@register("a6_helpful_votes_top10", with_views("""SELECT *, row_number() OVER best AS rank
+FROM (SELECT category_name, product_title,
+        coalesce(sum(helpful_vote) FILTER (final_sentiment = 'positive'), 0)::BIGINT AS positive_helpful_votes,
+        coalesce(sum(helpful_vote) FILTER (final_sentiment = 'negative'), 0)::BIGINT AS negative_helpful_votes
+      FROM reviews_v JOIN shelf USING (product_id) GROUP BY ALL)
+WINDOW best AS (PARTITION BY category_name ORDER BY positive_helpful_votes DESC, product_title)
+QUALIFY rank <= 10""",
+                                             *STAR, extra=_SHELF))
 def a6(spark, sf):
     """Top-10 product titles by helpful votes of positive reviews."""
     return D.helpful_votes_top(*_star(spark, sf))
 
 
-@register("a7_top_rated_products", with_views(f"""SELECT c.category_name, p.product_title,
-  CAST(floor((2 * SUM(CAST(round(r.rating * 10000) AS BIGINT)) + 100 * COUNT(r.rating))
-             / (200 * COUNT(r.rating))) AS DOUBLE) / 100.0 AS average_rating
-{_JOIN}
-GROUP BY c.category_name, p.product_title""", *STAR))
+@register("a7_top_rated_products", with_views("""SELECT category_name, product_title,
+  floor((2 * tenths + 100 * n) / (200 * n))::DOUBLE / 100.0 AS average_rating
+FROM (SELECT category_name, product_title, sum(round(rating * 10000)::BIGINT) AS tenths, count(rating) AS n
+      FROM reviews_v JOIN shelf USING (product_id) GROUP BY ALL)""", *STAR, extra=_SHELF))
 def a7(spark, sf):
     """Average rating per product title, 2 decimals half-up."""
     return D.top_rated_products(*_star(spark, sf))
 
 
-@register("a8_price_over_time", with_views(f"""SELECT c.category_name, CAST(r.timestamp AS DATE) AS date,
-  CAST(SUM(CAST(p.price AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_price
-{_JOIN}
-GROUP BY c.category_name, CAST(r.timestamp AS DATE)""", *STAR))
+@register("a8_price_over_time", with_views("""SELECT category_name, date,
+  sum(price::DECIMAL(18,2) * n)::DOUBLE / sum(n)::DOUBLE AS avg_price
+FROM (SELECT product_id, timestamp::DATE AS date, count(*) AS n FROM reviews_v GROUP BY ALL)
+JOIN shelf USING (product_id) GROUP BY ALL""", *STAR, extra=_SHELF))
 def a8(spark, sf):
     """Review-weighted average price per review date."""
     return D.price_over_time(*_star(spark, sf))
 
 
-@register("a9_review_volume", with_views(f"""SELECT c.category_name, DATE_TRUNC('year', r.timestamp) AS review_year,
-  COUNT(*) AS total_reviews
-{_JOIN}
-GROUP BY c.category_name, DATE_TRUNC('year', r.timestamp)""", *STAR))
+@register("a9_review_volume", with_views("""SELECT category_name, review_year, sum(n)::BIGINT AS total_reviews
+FROM (SELECT product_id, date_trunc('year', timestamp) AS review_year, count(*) AS n FROM reviews_v GROUP BY ALL)
+JOIN shelf USING (product_id) GROUP BY ALL""", *STAR, extra=_SHELF))
 def a9(spark, sf):
     """Yearly review volume per category."""
     return D.review_volume(*_star(spark, sf))
 
 
 def _label_rank_sql(label, count_name, rank_name, limit):
-    where = f"WHERE {rank_name} <= {limit}" if limit else ""
-    return with_views(f"""SELECT * FROM (
-  SELECT c.category_name, p.product_id, p.product_title, COUNT(r.final_sentiment) AS {count_name},
-    CAST(ROW_NUMBER() OVER (PARTITION BY c.category_name ORDER BY COUNT(r.final_sentiment) DESC, p.product_id) AS BIGINT) AS {rank_name}
-  FROM products_v p
-  JOIN categories_v c ON p.category_id = c.category_id
-  JOIN reviews_v r ON p.product_id = r.product_id
-  WHERE r.final_sentiment = '{label}'
-  GROUP BY c.category_name, p.product_id, p.product_title) t
-{where}""", *STAR)
+    top = f"QUALIFY {rank_name} <= {limit}" if limit else ""
+    return with_views(f"""SELECT category_name, product_id, product_title, {label} AS {count_name},
+  row_number() OVER (PARTITION BY category_name ORDER BY {label} DESC, product_id) AS {rank_name}
+FROM tally JOIN shelf USING (product_id) WHERE {label} > 0 {top}""", *STAR, extra=_TALLY)
 
 
 @register("a10_most_positive_products", _label_rank_sql("positive", "positive_review_count", "rank", 5))
@@ -158,8 +150,7 @@ def a17(spark, sf):
     return D.category_list(td.categories(spark, sf))
 
 
-@register("d8_dashboard_one_category", with_views(
-    _A5_SQL.replace("GROUP BY", f"WHERE c.category_name = '{SELECTED_CATEGORY}'\nGROUP BY"), *STAR))
+@register("d8_dashboard_one_category", _yearly_sql(f"WHERE category_name = '{SELECTED_CATEGORY}'"))
 def d8(spark, sf):
     """A panel for one selected category (the dashboard parameter)."""
     return D.yearly_sentiment(*_star(spark, sf), category=SELECTED_CATEGORY).selectExpr(
