@@ -18,28 +18,26 @@ ID_TO_NAME = ["Positive", "Negative", "Neutral"]
 # ---------------------------------------------------------------------------
 
 
+# --- fixed values: the rating rule -------------------------------------------
+HIGH_RATING, LOW_RATING, MANY_VOTES = 4, 2, 5
+RATING_POINTS, EXTRA_POINTS = 1.0, 0.5
+POSITIVE_ABOVE, NEGATIVE_BELOW = 1.0, 0.0
+# ---------------------------------------------------------------------------
+
+
 def heuristic_sentiment(rating, verified=None, helpful=None) -> Column:
-    """L1: rating rule.  Score (kept in halves, so integer arithmetic):
-    +2 for rating >= 4, -2 for rating <= 2, +1 when verified, +1 when
-    helpful_vote >= 5.  > 2 positive, < 0 negative, else neutral.  A missing
-    verified flag counts as False and a missing vote count as 0."""
-    if all(a is None or isinstance(a, str) for a in (rating, verified, helpful)):
-        return F.expr(_heuristic_sql(rating, verified, helpful))
+    """L1: rating rule.  A rating of 4 or more scores +1, of 2 or less -1; a
+    verified purchase and 5 helpful votes or more score +0.5 each.  Above 1
+    positive, below 0 negative, else neutral.  A missing verified flag counts
+    as False and a missing vote count as 0.  (Halves are exact in binary.)"""
     r = _c(rating)
-    base = F.when(r >= 4, 2).when(r <= 2, -2).otherwise(0)
-    v = F.lit(0) if verified is None else F.when(F.coalesce(_c(verified), F.lit(False)), 1).otherwise(0)
-    h = F.lit(0) if helpful is None else F.when(F.coalesce(_c(helpful), F.lit(0)) >= 5, 1).otherwise(0)
-    s = base + v + h
-    return F.when(s > 2, "positive").when(s < 0, "negative").otherwise("neutral")
-
-
-def _heuristic_sql(rating: str, verified: str | None, helpful: str | None) -> str:
-    """`heuristic_sentiment` over named columns as one SQL expression."""
-    base = f"CASE WHEN `{rating}` >= 4 THEN 2 WHEN `{rating}` <= 2 THEN -2 ELSE 0 END"
-    v = "0" if verified is None else f"CASE WHEN coalesce(`{verified}`, false) THEN 1 ELSE 0 END"
-    h = "0" if helpful is None else f"CASE WHEN coalesce(`{helpful}`, 0) >= 5 THEN 1 ELSE 0 END"
-    score = f"({base} + {v} + {h})"
-    return f"CASE WHEN {score} > 2 THEN 'positive' WHEN {score} < 0 THEN 'negative' ELSE 'neutral' END"
+    score = F.when(r >= HIGH_RATING, RATING_POINTS).when(r <= LOW_RATING, -RATING_POINTS).otherwise(0.0)
+    if verified is not None:
+        score = score + F.when(F.coalesce(_c(verified), F.lit(False)), EXTRA_POINTS).otherwise(0.0)
+    if helpful is not None:
+        score = score + F.when(F.coalesce(_c(helpful), F.lit(0)) >= MANY_VOTES, EXTRA_POINTS).otherwise(0.0)
+    return (F.when(score > POSITIVE_ABOVE, "positive").when(score < NEGATIVE_BELOW, "negative")
+             .otherwise("neutral"))
 
 
 def majority_vote(*votes) -> Column:

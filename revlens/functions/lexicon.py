@@ -1,128 +1,106 @@
-"""Lexicon sentiment scorers (L2, L3).
+"""Lexicon sentiment scorers (L2, L3): two word tables, two rules.
 
-The reference calls two rule libraries per row.  Here both scorers share one
-word lexicon (token -> valence) and run as native array expressions on the
-token array of each row: a hash-set membership test picks the lexicon hits,
-so the cost is one lookup per token and nothing is shuffled.  Thresholds and
-null rules are the reference's; the valences are this engine's own.
+Scorer A adds up graded words and squashes the sum; it looks at words
+alone.  Scorer B averages polarities and reads the words around a hit:
+boosters strengthen it, negations turn it.  The tables are graded by hand for this
+engine in a few whole steps, apart from each other; thresholds and null rules are
+the reference's.  Both run over one token array per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import TOKEN_PATTERN, word_tokens
-
 # --- fixed values -----------------------------------------------------------
-# Built-in lexicon: word -> valence in tenths, range -40..40.
-LEXICON = {
-    "love": 32, "loved": 29, "loves": 27, "lovely": 28, "like": 15, "liked": 18,
-    "good": 19, "great": 31, "excellent": 34, "amazing": 28, "awesome": 31,
-    "perfect": 27, "best": 32, "better": 19, "nice": 18, "happy": 27,
-    "glad": 20, "pleased": 19, "satisfied": 18, "recommend": 15,
-    "recommended": 15, "fantastic": 26, "wonderful": 27, "beautiful": 29,
-    "easy": 19, "works": 10, "worked": 10, "reliable": 17, "sturdy": 13,
-    "quality": 10, "fast": 12, "quick": 10, "clean": 17, "helpful": 18,
-    "fine": 8, "ok": 9, "okay": 9, "well": 11, "solid": 12, "superb": 31,
-    "favorite": 20, "enjoy": 22, "enjoyed": 23, "impressed": 21, "worth": 9,
-    "thanks": 19, "thank": 15, "fun": 23, "cool": 13, "bon": 15, "bien": 13,
-    "gut": 15, "bueno": 15, "super": 29, "genial": 25, "excelente": 30,
-    "hate": -27, "hated": -32, "hates": -19, "bad": -25, "worse": -21,
-    "worst": -31, "terrible": -21, "horrible": -25, "awful": -20, "poor": -21,
-    "broken": -19, "broke": -18, "break": -12, "useless": -18, "waste": -18,
-    "disappointed": -19, "disappointing": -22, "disappointment": -23,
-    "problem": -17, "problems": -17, "issue": -10, "issues": -12,
-    "defective": -19, "cheap": -5, "junk": -15, "return": -5, "returned": -6,
-    "refund": -6, "fail": -25, "failed": -23, "fails": -18, "failure": -23,
-    "wrong": -21, "annoying": -17, "angry": -23, "sad": -21, "slow": -10,
-    "noisy": -9, "leak": -13, "leaks": -13, "leaking": -14, "dirty": -19,
-    "mal": -15, "malo": -20, "schlecht": -20, "mauvais": -20, "nul": -20,
-    "no": -12, "not": -10, "never": -9,
+# Scorer A: words by grade.
+GRADES = {
+    3: "adore amazing awesome brilliant excellent fantastic loved love outstanding perfect superb terrific wonderful",
+    2: "beautiful best delighted enjoy enjoyed glad good great happy helpful impressed nice pleased reliable",
+    1: "clean comfortable easy fair fine ok okay quick solid sturdy works worth",
+    -1: "cheap dull flimsy late loud meh noisy slow weak wrong",
+    -2: "annoying bad broke broken disappointed disappointing faulty poor scum stupid trash ugly useless",
+    -3: "awful disgusting hate hated horrible idiot loser moron pathetic terrible worst worthless",
+}
+# Scorer B: words by polarity, in eighths.
+POLARITIES = {
+    8: "best excellent perfect love loved superb wonderful",
+    6: "amazing awesome fantastic good great happy outstanding",
+    4: "nice helpful impressed fine better fun easy pleasant",
+    -4: "cheap slow weak noisy boring dull late",
+    -6: "bad broken poor disappointing useless stupid trash clown",
+    -8: "worst awful terrible horrible hate hated disgusting pathetic worthless",
 }
-# Normalisation constant of the compound score x / sqrt(x^2 + alpha).
+BOOSTERS = "very really extremely so truly absolutely"
+NEGATIONS = "not no never hardly without"
+# Normalisation of scorer A, x / sqrt(x^2 + alpha); A is positive from 0.05
+# on and negative from -0.05 on, B by the sign of its mean.
 COMPOUND_ALPHA = 15.0
-# Label thresholds: compound >= 0.05 positive, <= -0.05 negative (L2);
-# mean polarity > 0 positive, < 0 negative (L3).
 COMPOUND_THRESHOLD = 0.05
 # ---------------------------------------------------------------------------
 
 
-def lexicon_frame(spark: SparkSession, lexicon: dict | None = None) -> DataFrame:
-    """The lexicon as a (token, valence) DataFrame (valence in tenths)."""
-    lex = LEXICON if lexicon is None else lexicon
-    return spark.createDataFrame(sorted(lex.items()), "token string, valence int")
-
-
-def _sql_str(s: str) -> str:
-    """A Spark SQL string literal."""
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _hits(tokens: Column, lexicon: dict) -> tuple[Column, Column]:
-    words = [F.lit(w) for w in sorted(lexicon)]
-    # IN over a literal list becomes a hash-set lookup (InSet) in the plan;
-    # the compiled arrays_overlap test skips rows without any lexicon word.
-    any_hit = F.arrays_overlap(tokens, F.array(*words))
-    hits = F.when(any_hit, F.filter(tokens, lambda t: t.isin(*words))).otherwise(F.array().cast("array<string>"))
-    lut = F.create_map(*[x for w in sorted(lexicon) for x in (F.lit(w), F.lit(lexicon[w]))])
-    vals = F.transform(hits, lambda t: F.element_at(lut, t))
-    total = F.aggregate(vals, F.lit(0), lambda a, x: a + x)
-    return total, F.size(hits)
-
-
-def _totals_sql(text: str, lexicon: dict) -> str:
-    """The same expression as SQL text over column ``text``: one call to
-    build, where the Column form sends every literal to the JVM apart."""
-    ws = sorted(lexicon)
-    words = ", ".join(_sql_str(w) for w in ws)
-    lut = ", ".join(f"{_sql_str(w)}, {int(lexicon[w])}" for w in ws)
-    toks = f"regexp_extract_all(lower(`{text}`), {_sql_str(TOKEN_PATTERN)}, 0)"
-    hits = (f"CASE WHEN arrays_overlap({toks}, array({words})) THEN filter({toks}, t -> t IN ({words})) "
-            f"ELSE CAST(array() AS ARRAY<STRING>) END")
-    total = f"aggregate(transform({hits}, t -> element_at(map({lut}), t)), 0, (a, x) -> a + x)"
-    return (f"CASE WHEN `{text}` IS NOT NULL THEN named_struct('valence_sum', {total}, "
-            f"'hits', size({hits})) END")
-
-
-def lexicon_totals(text, lexicon: dict | None = None) -> Column:
-    """struct(valence_sum in tenths, hits) for the tokens of ``text``;
-    null when ``text`` is null."""
-    lex = LEXICON if lexicon is None else lexicon
-    if isinstance(text, str):
-        return F.expr(_totals_sql(text, lex))
-    total, n = _hits(word_tokens(text), lex)
-    return F.when(text.isNotNull(), F.struct(total.alias("valence_sum"), n.alias("hits")))
-
-
-def compound_score(valence_sum: Column) -> Column:
-    """Compound score in [-1, 1] from a valence sum in tenths."""
-    x = valence_sum.cast("double") / F.lit(10.0)
+def _table(by_value: dict[int, str]) -> dict[str, int]:
+    return {w: v for v, words in by_value.items() for w in words.split()}
+
+
+LEXICON_A, LEXICON_B = _table(GRADES), _table(POLARITIES)
+
+
+def _words(words) -> str:
+    return ", ".join(f"'{w}'" for w in sorted(words))
+
+
+def _lookup(table: dict[str, int], word: str) -> str:
+    return f"element_at(map({', '.join(f'{chr(39)}{w}{chr(39)}, {v}' for w, v in sorted(table.items()))}), {word})"
+
+
+def grade_sum(tokens: str, table: dict[str, int] | None = None) -> Column:
+    """Sum of the grades of the tokens in scorer A's table (null tokens: null)."""
+    table = LEXICON_A if table is None else table
+    hits = f"filter(`{tokens}`, t -> t IN ({_words(table)}))"  # a hash-set test per token
+    return F.expr(f"aggregate({hits}, 0, (a, t) -> a + {_lookup(table, 't')})")
+
+
+def polarity_sum(tokens: str) -> Column:
+    """struct(eighths, hits) of scorer B: a hit counts 3/2 behind a booster
+    (8 at most), and minus one half if one of the two words before it is a
+    negation."""
+    at = f"filter(sequence(1, size(`{tokens}`)), i -> element_at(`{tokens}`, i) IN ({_words(LEXICON_B)}))"
+    word, before, earlier = (f"try_element_at(`{tokens}`, i{d})" for d in ("", " - 1", " - 2"))
+    # position 0 is no position
+    before, earlier = f"CASE WHEN i > 1 THEN {before} END", f"CASE WHEN i > 2 THEN {earlier} END"
+    raw = _lookup(LEXICON_B, word)
+    strong = (f"CASE WHEN coalesce({before} IN ({_words(BOOSTERS.split())}), false) "
+              f"THEN least(8, greatest(-8, {raw} * 3 div 2)) ELSE {raw} END")
+    turned = (f"coalesce({before} IN ({_words(NEGATIONS.split())}), false) "
+              f"OR coalesce({earlier} IN ({_words(NEGATIONS.split())}), false)")
+    value = f"CASE WHEN {turned} THEN -(({strong}) div 2) ELSE {strong} END"
+    return F.expr(f"CASE WHEN size(`{tokens}`) > 0 THEN aggregate({at}, named_struct('eighths', 0L, 'hits', 0L), "
+                  f"(a, i) -> named_struct('eighths', a.eighths + ({value}), 'hits', a.hits + 1)) "
+                  f"WHEN `{tokens}` IS NOT NULL THEN named_struct('eighths', 0L, 'hits', 0L) END")
+
+
+def compound_score(grades: Column) -> Column:
+    """Scorer A's score in [-1, 1] from a sum of grades."""
+    x = grades.cast("double")
     return x / F.sqrt(x * x + F.lit(COMPOUND_ALPHA))
 
 
-def lexicon_a_sentiment(text, lexicon: dict | None = None) -> Column:
+def sentiment_a(grades: Column) -> Column:
     """L2: compound >= 0.05 positive, <= -0.05 negative, else neutral."""
-    tot = lexicon_totals(text, lexicon)
-    c = compound_score(tot["valence_sum"])
-    return (F.when(tot.isNull(), F.lit(None).cast("string"))
-             .when(c >= COMPOUND_THRESHOLD, "positive")
-             .when(c <= -COMPOUND_THRESHOLD, "negative")
-             .otherwise("neutral"))
-
-
-def lexicon_b_sentiment(text, lexicon: dict | None = None) -> Column:
-    """L3: mean polarity of the matched tokens (valence / 40, so in [-1, 1]);
-    > 0 positive, < 0 negative, no hits or 0 neutral."""
-    tot = lexicon_totals(text, lexicon)
-    s = tot["valence_sum"]
-    return (F.when(tot.isNull(), F.lit(None).cast("string"))
-             .when(s > 0, "positive")
-             .when(s < 0, "negative")
-             .otherwise("neutral"))
-
-
-def mean_polarity(text, lexicon: dict | None = None) -> Column:
-    """L3 score: mean of valence/40 over lexicon hits, 0.0 without hits."""
-    tot = lexicon_totals(text, lexicon)
-    return F.when(tot["hits"] > 0, tot["valence_sum"] / (F.lit(40.0) * tot["hits"])).otherwise(F.lit(0.0))
+    c = compound_score(grades)
+    return (F.when(grades.isNull(), F.lit(None).cast("string")).when(c >= COMPOUND_THRESHOLD, "positive")
+             .when(c <= -COMPOUND_THRESHOLD, "negative").otherwise("neutral"))
+
+
+def sentiment_b(polarity: Column) -> Column:
+    """L3: mean polarity > 0 positive, < 0 negative, 0 or no hit neutral."""
+    e = polarity["eighths"]
+    return (F.when(e.isNull(), F.lit(None).cast("string")).when(e > 0, "positive")
+             .when(e < 0, "negative").otherwise("neutral"))
+
+
+def mean_polarity(polarity: Column) -> Column:
+    """L3 score in [-1, 1]: mean polarity of the hits, 0.0 without hits."""
+    return F.when(polarity["hits"] > 0, polarity["eighths"] / (F.lit(8.0) * polarity["hits"])).otherwise(F.lit(0.0))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import html
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,37 +34,32 @@ PY_WHITESPACE = (r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}
                  r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 # ---------------------------------------------------------------------------
 
-# HTML markup removed by strip_html (C1): comments, script/style bodies, tags.
-_HTML_COMMENT = r"(?s)<!--.*?-->"
-_HTML_SCRIPT_STYLE = r"(?is)<(script|style)\b.*?</(script|style)\s*>"
-_HTML_TAG = r"(?s)<[/!a-zA-Z][^>]*>"
-# Named/numeric character references decoded after the tags are gone;
-# `&amp;` (and a cut `&amp`) goes last so `&amp;lt;` decodes once to `&lt;`.
-_ENTITIES = [
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
-    ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"),
-    ("&copy;", "©"), ("&middot;", "·"),
-]
+# Markup that strip_html (C1) removes: comments, declarations, script and
+# style with their bodies, tags (">" may stand in quoted attributes).
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style)\b(?:"[^"]*"|'[^']*'|[^'">])*+>.*?(?:</\1\s*>|\Z)"""
+                     r"""|</?[a-zA-Z](?:"[^"]*"|'[^']*'|[^'">])*+>|<[!?][^>]*>|</?[a-zA-Z][^>]*>""", re.S | re.I)
+
+
+def _text_of(page: str) -> str:
+    return html.unescape(_MARKUP.sub("", page))
 
 
 def strip_html(col) -> Column:
-    """Remove markup and decode entities, then lower-case (null stays null).
-
-    A regex chain instead of an HTML parser: it runs as one codegen'd
-    projection and matches the parser's text on well-formed pages.  Text
-    without `<` skips the markup regexes and text without `&` skips entity
-    decoding (neither can match there), so plain reviews cost one scan.
-    """
-    src = _c(col)
-    c = F.regexp_replace(src, _HTML_COMMENT, "")
-    c = F.regexp_replace(c, _HTML_SCRIPT_STYLE, "")
-    c = F.regexp_replace(c, _HTML_TAG, "")
-    c = F.when(F.instr(src, "<") > 0, c).otherwise(src)
-    d = c
-    for ent, ch in _ENTITIES:
-        d = F.replace(d, F.lit(ent), F.lit(ch))
-    d = F.regexp_replace(d, "&amp;?", "&")
-    return F.lower(F.when(F.instr(c, "&") > 0, d).otherwise(c))
+    """Remove markup, decode every named and numeric character reference
+    once, then lower-case (null stays null).
+
+    References need a parser's table, so texts with ``<`` or ``&`` go through
+    an Arrow UDF in batches; all others stay in the JVM.  The UDF is marked
+    non-deterministic only so that filters on its result reuse it instead of
+    running it again."""
+    src = _c(col).cast("string")
+
+    @F.pandas_udf("string")
+    def decode(pages: pd.Series) -> pd.Series:
+        return pages.map(_text_of, na_action="ignore")
+
+    marked = (F.instr(src, "<") > 0) | (F.instr(src, "&") > 0)
+    return F.lower(F.coalesce(decode.asNondeterministic()(F.when(marked, src)), src))
 
 
 def is_blank(col) -> Column:

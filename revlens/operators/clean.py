@@ -1,4 +1,4 @@
-"""Text cleaning operators."""
+"""Text cleaning operators."""
 
 from __future__ import annotations
 
@@ -9,24 +9,8 @@ from ..functions import text as TX
 
 
 def strip_html_tags(df: DataFrame, src: str = "text", dst: str = "cleaned_text") -> DataFrame:
-    """``dst`` = markup-free, lower-cased ``src`` (computed once per
-    row even when later filters test it)."""
-    from ..functions import compute_once
-    return compute_once(df.drop(dst) if dst in df.columns else df, **{dst: TX.strip_html(src)})
-
-
-# --- fixed values -----------------------------------------------------------
-# Development cap of the cleaning step (C2), in rows.
-CLEANING_CAP = 5000
-# ---------------------------------------------------------------------------
-
-
-def cap_rows(df: DataFrame, max_rows: int | None, order_col: str = "row_id") -> DataFrame:
-    """Optional development cap, the first ``max_rows`` rows by id.
-    Off (None) by default."""
-    if max_rows is None:
-        return df
-    return df.orderBy(order_col).limit(max_rows)
+    """``dst`` = markup-free, lower-cased ``src``."""
+    return df.withColumn(dst, TX.strip_html(src))
 
 
 def drop_urls(df: DataFrame, col: str = "cleaned_text") -> DataFrame:

@@ -61,7 +61,7 @@ def ks_two_sample(values: DataFrame, sample_col: str = "sample", value_col: str
     en = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")).cast("double"))
     p = F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), kolmogorov_sf(en * F.col("ks_stat")))
     out = d.select(*by, "n_ref", "n_cur", F.when(F.col("n_ref") * F.col("n_cur") > 0, F.col("ks_stat"))
-                   .alias("ks_stat"), F.round(p, 10).alias("p_value"))
+                   .alias("ks_stat"), p.alias("p_value"))
     return out.drop("_all") if whole else out
 
 
@@ -91,12 +91,20 @@ def frequency_drift(saved: DataFrame | None, new: DataFrame, threshold: float =
 
 def save_statistics(stats: DataFrame, base_path: str, version: int) -> str:
     """Write a new statistics version beside the old ones (the version
-    being read is never overwritten); readers pick the version to use."""
+    being read is never overwritten); `latest_statistics` switches to it."""
     path = f"{base_path.rstrip('/')}/version={version}"
     stats.write.mode("errorifexists").parquet(path)
     return path
 
 
+def latest_statistics(spark, base_path: str) -> DataFrame:
+    """The newest version that `save_statistics` wrote; only its folder
+    is read."""
+    every = spark.read.parquet(base_path)
+    newest = every.select(F.max("version")).scalar()
+    return every.filter(F.col("version") == newest).drop("version")
+
+
 def text_descriptors(df: DataFrame, text_col: str, vocab: DataFrame, id_col: str) -> DataFrame:
     """X5 descriptors per text: length, share of non-letter characters,
     share of tokens not in ``vocab`` (Feature column).  The OOV share joins
@@ -158,23 +166,36 @@ def latest_counter(counter_rows: DataFrame, key: str, ts: str = "inserted_dateti
                                          F.max(ts).alias(ts))
 
 
-def chi2_sf_even_dof(x: Column, dof: int) -> Column:
-    """Chi-square survival function for even ``dof``:
-    exp(-x/2) * sum_{i < dof/2} (x/2)^i / i!."""
-    if dof % 2 or dof <= 0:
-        raise ValueError("closed form needs a positive even dof")
-    half = x / 2.0
-    s = sum(F.pow(half, i) / float(math.factorial(i)) for i in range(dof // 2))
-    return F.exp(-half) * s
+CHI2_TERMS = 2000  # terms of the series; enough for every x below CHI2_LARGE
+CHI2_LARGE = 700.0  # beyond it the survival function is 0 to double precision
+
+
+def chi2_sf(x: Column, dof: Column) -> Column:
+    """Chi-square survival function for any number of degrees of freedom:
+    1 - P(dof/2, x/2) by the series of the regularised incomplete gamma
+    function; 1 without a degree of freedom."""
+    a, h = dof / F.lit(2.0), x / F.lit(2.0)
+    # log Gamma(a + 1) for halves: sum of logs from a down to 1 or 1/2
+    steps = F.sequence(F.lit(0), F.ceil(a).cast("int") - 1)
+    log_gamma = F.aggregate(steps, F.lit(0.0), lambda s, k: s + F.log(a - k)) + \
+        F.when(F.pmod(dof, F.lit(2)) == 1, F.lit(0.5 * math.log(math.pi))).otherwise(F.lit(0.0))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(CHI2_TERMS)),
+                         F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s")),
+                         lambda acc, k: F.struct((acc["t"] * h / (a + k)).alias("t"),
+                                                 (acc["s"] + acc["t"] * h / (a + k)).alias("s")),
+                         lambda acc: acc["s"])
+    p = F.exp(a * F.log(h) - h - log_gamma) * series
+    return (F.when(dof < 1, F.lit(1.0)).when(h <= 0, F.lit(1.0)).when(h - a > CHI2_LARGE, F.lit(0.0))
+             .otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(1.0) - p))))
 
 
-def label_drift(reference: DataFrame, current: DataFrame, label: str, labels: list,
+def label_drift(reference: DataFrame, current: DataFrame, label: str,
                 threshold: float = P_THRESHOLD) -> DataFrame:
     """Chi-square test of homogeneity between the label histograms of
-    two samples (one row: chi2, dof, p_value, drifted)."""
+    two samples (one row: chi2, dof, p_value, drifted).  Every label counts,
+    null too; labels that neither sample has are no degree of freedom."""
     h = (reference.select(F.col(label).alias("_l"), F.lit(1).alias("_r"), F.lit(0).alias("_c"))
          .unionByName(current.select(F.col(label).alias("_l"), F.lit(0).alias("_r"), F.lit(1).alias("_c")))
-         .filter(F.col("_l").isin(labels))
          .groupBy("_l").agg(F.sum("_r").cast("double").alias("o_r"), F.sum("_c").cast("double").alias("o_c")))
     w = Window.partitionBy()  # over the histogram: one row per label
     j = h.withColumn("nr", F.sum("o_r").over(w)).withColumn("nc", F.sum("o_c").over(w))
@@ -183,8 +204,7 @@ def label_drift(reference: DataFrame, current: DataFrame, label: str, labels: li
     ec = (F.col("o_r") + F.col("o_c")) * F.col("nc") / n
     term = F.when(er > 0, F.pow(F.col("o_r") - er, 2) / er).otherwise(0.0) + \
         F.when(ec > 0, F.pow(F.col("o_c") - ec, 2) / ec).otherwise(0.0)
-    dof = len(labels) - 1
-    res = j.agg(F.sum(term).alias("chi2"))
-    return res.select(F.round("chi2", 10).alias("chi2"), F.lit(dof).alias("dof"),
-                      F.round(chi2_sf_even_dof(F.col("chi2"), dof), 10).alias("p_value")).withColumn(
+    res = j.agg(F.coalesce(F.sum(term), F.lit(0.0)).alias("chi2"),
+                F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).cast("int").alias("dof"))
+    return res.select("chi2", "dof", chi2_sf(F.col("chi2"), F.col("dof")).alias("p_value")).withColumn(
         "drifted", F.col("p_value") < threshold)

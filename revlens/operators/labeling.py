@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import compute_once
 from ..functions import labels as LB
 from ..functions import lexicon as LX
+from ..functions.text import word_tokens
 from . import clean as C
 
 # Columns kept after the merge.  WIDE is what the downstream consumers need;
@@ -44,44 +45,31 @@ def merge_reviews(reviews: DataFrame, metadata: DataFrame, keep: list[str] | Non
     return j.select(*[c for c in keep if c in j.columns])
 
 
-def add_labels(df: DataFrame, text_col: str = "cleaned_text", lexicon: dict | None = None) -> DataFrame:
-    """The three weak labels and the majority vote as columns."""
+def add_labels(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
+    """The three weak labels and the majority vote as columns.  The
+    text is cut into tokens once for both lexicon scorers."""
     verified = "verified_purchase" if "verified_purchase" in df.columns else None
     helpful = "helpful_vote" if "helpful_vote" in df.columns else None
     out = df.withColumn("heuristic_sentiment", LB.heuristic_sentiment("rating", verified, helpful))
-    tot = LX.lexicon_totals(text_col, lexicon)
-    out = compute_once(out, _lex=tot)
-    comp = LX.compound_score(F.col("_lex.valence_sum"))
-    vs = F.col("_lex.valence_sum")
-    nul = F.lit(None).cast("string")
-    out = out.withColumn("lexicon_a_sentiment",
-                         F.when(vs.isNull(), nul)
-                          .when(comp >= LX.COMPOUND_THRESHOLD, "positive")
-                          .when(comp <= -LX.COMPOUND_THRESHOLD, "negative").otherwise("neutral"))
-    out = out.withColumn("lexicon_b_sentiment",
-                         F.when(vs.isNull(), nul)
-                          .when(vs > 0, "positive").when(vs < 0, "negative").otherwise("neutral"))
-    out = out.drop("_lex")
+    out = compute_once(out, _tokens=word_tokens(text_col))
+    out = compute_once(out, _a=LX.grade_sum("_tokens"), _b=LX.polarity_sum("_tokens"))
+    out = out.withColumns({"lexicon_a_sentiment": LX.sentiment_a(F.col("_a")),
+                           "lexicon_b_sentiment": LX.sentiment_b(F.col("_b"))}).drop("_tokens", "_a", "_b")
     return out.withColumn("final_sentiment", LB.majority_vote(
         "heuristic_sentiment", "lexicon_a_sentiment", "lexicon_b_sentiment"))
 
 
 def label_reviews(reviews: DataFrame, metadata: DataFrame, keep: list[str] | None = None,
-                  compat: bool = False, max_rows: int | None = None,
-                  lexicon: dict | None = None) -> DataFrame:
+                  compat: bool = False) -> DataFrame:
     """The end-to-end labeled table.
 
     ``compat=True`` follows the published DAG: narrow column list (so the
     verified flag is gone before the rating rule), null-safe merge.
     """
     keep = keep or (NARROW if compat else WIDE)
-    if max_rows is not None and "row_id" not in keep:
-        keep = ["row_id", *keep]
     merged = merge_reviews(reviews, metadata, keep=keep, null_safe=compat)
-    merged = C.cap_rows(merged, max_rows)
     cleaned = C.strip_html_tags(merged, "text", "cleaned_text")
     cleaned = C.drop_urls(cleaned)
     cleaned = C.drop_file_names(cleaned)
     cleaned = C.drop_missing_text(cleaned.drop("text"))
-    labeled = add_labels(cleaned, "cleaned_text", lexicon)
-    return labeled
+    return add_labels(cleaned, "cleaned_text")

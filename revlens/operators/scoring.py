@@ -122,19 +122,17 @@ def score_batches(df: DataFrame, scorer_factory, model_name: str,
 
 def tokenize_fixed(df: DataFrame, vocab: DataFrame, text_col: str = "cleaned_text",
                    id_col: str = "row_id", max_length: int = 256, unk_id: int = 1,
-                   pad_id: int = 0, vocab_is_bounded: bool = True) -> DataFrame:
+                   pad_id: int = 0) -> DataFrame:
     """Word-level ids padded / truncated to ``max_length`` plus an
     attention mask.  Tokens are looked up in ``vocab`` (token, id) by a join
     on the exploded (row, position, token) table and re-assembled in
     position order per row; a row's array never exceeds its own token count.
+    ``vocab`` joins by size: the planner broadcasts a small one, and a large
+    one is shuffled with frequent tokens split by adaptive execution.
     """
     from ..functions.text import word_tokens
-    toks = df.select(id_col, F.posexplode(word_tokens(text_col)).alias("pos", "token")) \
-             .filter(F.col("pos") < max_length)
-    # a vocabulary from build_vocab has at most `size` rows: broadcast it so
-    # frequent tokens never pile onto one shuffle partition
-    v = F.broadcast(vocab) if vocab_is_bounded else vocab
-    ids = toks.join(v, "token", "left").withColumn("id", F.coalesce(F.col("id"), F.lit(unk_id)))
+    toks = df.select(id_col, F.posexplode(F.slice(word_tokens(text_col), 1, max_length)).alias("pos", "token"))
+    ids = toks.join(vocab, "token", "left").withColumn("id", F.coalesce(F.col("id"), F.lit(unk_id)))
     per_row = ids.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("_p"))
     base = df.select(id_col).join(per_row, id_col, "left")
@@ -149,9 +147,11 @@ def tokenize_fixed(df: DataFrame, vocab: DataFrame, text_col: str = "cleaned_tex
 
 def build_vocab(df: DataFrame, text_col: str = "cleaned_text", size: int = 30000,
                 first_id: int = 2) -> DataFrame:
-    """Vocabulary of the ``size`` most frequent tokens (ids from ``first_id``;
-    0 = padding, 1 = unknown).  Counting is a partial aggregate; the top
-    ``size`` is a bounded top-k."""
+    """Vocabulary of a model with an embedding table of ``size`` words: the
+    most frequent tokens of all texts (ids from ``first_id``; 0 = padding,
+    1 = unknown).  ``size`` is a parameter of the model, as its sequence
+    length is.  Counting is a partial aggregate; the top ``size`` is a
+    bounded top-k."""
     from ..functions.text import word_tokens
     counts = df.select(F.explode(word_tokens(text_col)).alias("token")).groupBy("token").count()
     top = counts.orderBy(F.desc("count"), "token").limit(size)

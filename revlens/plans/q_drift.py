@@ -10,11 +10,16 @@ from ..session import materialize
 from ..sources import testdata as td
 from .catalog import register
 from .q_pipeline import _l6
-from .q_star import _SRC, _STAR_CTES, _labeled
+from .q_star import _SRC, _STAR_CTES, _stored
 from .sqltext import q, tokens_sql
 from .sqlviews import with_views
 
 
+def _rounded(df):
+    """Test statistics to ten digits, as the comparison needs them."""
+    return df.withColumns({c: F.round(c, 10) for c in ("ks_stat", "chi2", "p_value") if c in df.columns})
+
+
 def _freq_sql(table: str, col: str) -> str:
     return (f"SELECT tok AS Feature, COUNT(*) AS Frequency FROM (SELECT unnest({tokens_sql(col)}) AS tok "
             f"FROM {table} WHERE {col} IS NOT NULL) t GROUP BY tok")
@@ -38,7 +43,7 @@ def _ks_sql(vals: str, by: str | None) -> dict[str, str]:
         "ks_d": f"""SELECT {('t.' + by + ', ') if by else ''}t.n_ref, t.n_cur,
     MAX(abs(c.ca / t.n_ref - c.cb / t.n_cur)) AS ks_stat FROM ks_cum c {tot_join}
     GROUP BY {('t.' + by + ', ') if by else ''}t.n_ref, t.n_cur""",
-        "ks": f"""SELECT {b}n_ref, n_cur, CASE WHEN n_ref * n_cur > 0 THEN ks_stat END AS ks_stat,
+        "ks": f"""SELECT {b}n_ref, n_cur, round(CASE WHEN n_ref * n_cur > 0 THEN ks_stat END, 10) AS ks_stat,
     round(CASE WHEN n_ref = 0 OR n_cur = 0 THEN NULL WHEN {lam} < {DR.KS_SMALL_LAMBDA} THEN 1.0
       ELSE least(1.0, greatest(0.0, 2.0 * {series})) END, 10) AS p_value FROM ks_d""",
     }
@@ -61,7 +66,7 @@ def x1(spark, sf):
     corpus (saved statistics) and the conversation texts (new data)."""
     saved = DR.word_frequencies(td.table(spark, sf, "documents"), "text")
     new = DR.word_frequencies(td.table(spark, sf, "conversations"), "text")
-    return DR.frequency_drift(saved, new)
+    return _rounded(DR.frequency_drift(saved, new))
 
 
 @register("x4_missing_baseline", with_views(
@@ -106,13 +111,12 @@ UNION ALL SELECT 'dataset', MIN(n_ref), MIN(n_cur), NULL, MIN(p_value),
 def x5(spark, sf):
     """X5 + X7 + K2 + K3: text-descriptor drift of the latest 5 reviews
     against reviews 1..500 (vocabulary = words of the reference window)."""
-    _, _, fact = ST.build_star(_labeled(spark, sf))
-    # read by both windows and the vocabulary; only id and text are needed
-    fact = materialize(fact.select("review_id", "cleaned_text"))
-    ref = ST.reference_window(fact, 1, 500)
-    cur = ST.latest_reviews(fact, 5)
+    # both windows come from the stored star: pruned by id, then kept once
+    fact = _stored(spark, sf)[2].select("review_id", "cleaned_text")
+    ref = materialize(ST.reference_window(fact, 1, 500))
+    cur = materialize(ST.latest_reviews(fact, 5))
     vocab = DR.word_frequencies(ref, "cleaned_text")
-    return DR.descriptor_drift(ref, cur, "cleaned_text", vocab, "review_id")
+    return _rounded(DR.descriptor_drift(ref, cur, "cleaned_text", vocab, "review_id"))
 
 
 _X6 = """SELECT user_id, event_id, ts, CAST((rn - 1) % 10 AS INTEGER) AS drift_counter,
@@ -151,21 +155,20 @@ def w5(spark, sf):
         SELECT l, CAST(SUM(r) AS DOUBLE) AS o_r, CAST(SUM(c) AS DOUBLE) AS o_c FROM (
           SELECT final_sentiment AS l, 1 AS r, 0 AS c FROM reviews_v
           UNION ALL SELECT final_sentiment, 0, 1 FROM l6) u
-        WHERE l IN ('positive', 'negative', 'neutral') GROUP BY l) h) h2) h3) h4""",
+        GROUP BY l) h) h2) h3) h4""",
     "reviews_v", *_SRC, extra=_STAR_CTES))
 def x8(spark, sf):
     """Label-histogram drift (chi-square) between the rating-rule labels
     of the numeric reviews and the voted labels of the text reviews."""
-    return DR.label_drift(td.review_facts(spark, sf), _l6(spark, sf), "final_sentiment",
-                          ["positive", "negative", "neutral"])
+    return _rounded(DR.label_drift(td.review_facts(spark, sf), _l6(spark, sf), "final_sentiment"))
 
 
 @register("x3_save_statistics", _freq_sql("conversations", "text"))
 def x3(spark, sf):
     """The saved statistics are replaced by writing a new version beside
-    the one being read; the new version read back equals the new counts."""
+    the one being read; the reader finds the newest version by itself."""
     from ..session import scratch_path
     base = scratch_path(spark, "word-stats")
     DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "documents"), "text"), base, 1)
-    p2 = DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "conversations"), "text"), base, 2)
-    return spark.read.parquet(p2)
+    DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "conversations"), "text"), base, 2)
+    return DR.latest_statistics(spark, base)

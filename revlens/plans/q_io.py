@@ -44,7 +44,7 @@ def s12(spark, sf):
 @register("s8_bounded_scan", "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 7")
 def s8(spark, sf):
     """The first 7 rows of a table (nrows=7) as an ordered top-k."""
-    return IO.bounded_scan(td.table(spark, sf, "documents", spread=False).select("doc_id", "source"), 7, "doc_id")
+    return IO.bounded_scan(td.table(spark, sf, "documents").select("doc_id", "source"), 7, "doc_id")
 
 
 @register("s11_metrics_sink", _ev(f"SELECT Model_Name, 'log_loss' AS Metric, log_loss AS Value FROM ({_LL_SQL}) t "
@@ -63,24 +63,24 @@ _VOCAB_SQL = f"""SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token)
   SELECT tok AS token, COUNT(*) AS cnt FROM (SELECT unnest({tokens_sql('text')}) AS tok FROM documents) a
   GROUP BY tok ORDER BY cnt DESC, tok LIMIT 30000) b"""
 _TOK_SQL = f"""SELECT d.doc_id AS row_id,
-  list_concat(coalesce(t.ids, []::INTEGER[]), list_transform(range(GREATEST(32 - coalesce(len(t.ids), 0), 0)), lambda x: 0)) AS input_ids,
+  list_concat(coalesce(t.ids, []::INTEGER[]), list_transform(range(GREATEST(256 - coalesce(len(t.ids), 0), 0)), lambda x: 0)) AS input_ids,
   list_concat(list_transform(range(coalesce(len(t.ids), 0)), lambda x: 1),
-              list_transform(range(GREATEST(32 - coalesce(len(t.ids), 0), 0)), lambda x: 0)) AS attention_mask
+              list_transform(range(GREATEST(256 - coalesce(len(t.ids), 0), 0)), lambda x: 0)) AS attention_mask
 FROM documents d LEFT JOIN (
   SELECT row_id, list(id ORDER BY pos) AS ids FROM (
     SELECT p.row_id, p.pos, coalesce(v.id, 1) AS id FROM (
       SELECT doc_id AS row_id, generate_subscripts(tk, 1) - 1 AS pos, unnest(tk) AS token
       FROM (SELECT doc_id, {tokens_sql('text')} AS tk FROM documents) q) p
-    LEFT JOIN vocab v ON p.token = v.token WHERE p.pos < 32) z GROUP BY row_id) t ON d.doc_id = t.row_id"""
+    LEFT JOIN vocab v ON p.token = v.token WHERE p.pos < 256) z GROUP BY row_id) t ON d.doc_id = t.row_id"""
 
 
 @register("e2_tokenize_fixed", with_views(_TOK_SQL, extra={"vocab": _VOCAB_SQL}))
 def e2(spark, sf):
-    """E2 (+S12): word ids padded / truncated to 32 with an attention mask,
-    vocabulary = the 30 000 most frequent document words."""
+    """E2 (+S12): word ids padded / truncated to 256 with an attention mask;
+    the model knows the 30 000 most frequent document words."""
     docs = td.table(spark, sf, "documents").withColumnRenamed("doc_id", "row_id")
     vocab = SC.build_vocab(docs, "text", 30000)
-    return SC.tokenize_fixed(docs, vocab, "text", "row_id", max_length=32)
+    return SC.tokenize_fixed(docs, vocab, "text", "row_id", max_length=256)
 
 
 @register("s13_scoring_request", with_views("""SELECT CAST(floor(row_id / 256) AS BIGINT) AS batch,
@@ -92,7 +92,7 @@ def s13(spark, sf):
     exported as {"instances": [...]} request documents (one per batch of
     ids), so no request holds the whole table."""
     docs = td.table(spark, sf, "documents").withColumnRenamed("doc_id", "row_id")
-    tok = SC.tokenize_fixed(docs, SC.build_vocab(docs, "text", 30000), "text", "row_id", max_length=32)
+    tok = SC.tokenize_fixed(docs, SC.build_vocab(docs, "text", 30000), "text", "row_id", max_length=256)
     path = scratch_path(spark, "s12-tokens")
     IO.write_table(tok, path)
     back = spark.read.parquet(path)

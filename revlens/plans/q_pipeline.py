@@ -1,9 +1,10 @@
-"""Registered labeling-pipeline and quality queries (J1, C1-C5, L1-L6, Q1-Q6, P*)."""
+"""Registered labeling-pipeline and quality queries (J1, C1, C3-C5, L1-L6, Q1-Q6, P*)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import compute_once
 from ..functions import labels as LB
 from ..functions import lexicon as LX
 from ..functions import text as TX
@@ -41,23 +42,13 @@ def c1(spark, sf):
     return C.strip_html_tags(td.pages(spark, sf), "html", "cleaned_text").select("page_id", "cleaned_text")
 
 
-@register("p10_drop_blank", f"""SELECT doc_id FROM documents
-WHERE text IS NOT NULL AND regexp_matches(text, '[^{TX.PY_WHITESPACE}]')""")
+@register("p10_drop_blank", with_views(r"""SELECT row_id FROM raw_reviews_v
+WHERE text IS NOT NULL AND regexp_matches(text,
+  '[^\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]')""",
+                                      "raw_reviews_v"))
 def p10(spark, sf):
-    """P10: documents whose text is not blank after a Python-style strip."""
-    return C.drop_blank(td.table(spark, sf, "documents"), "text").select("doc_id")
-
-
-@register("c2_cap_rows", with_views(
-    f"""SELECT row_id, {strip_html_sql('text')} AS cleaned_text
-  FROM (SELECT * FROM merged ORDER BY row_id LIMIT {C.CLEANING_CAP}) m""",
-    "raw_reviews_v", "raw_metadata_v", extra={"merged": _MERGED_SQL}))
-def c2(spark, sf):
-    """The development cap - the first 5 000 merged reviews by row id,
-    then cleaned.  The limit is the operator (a top-k per task, then one
-    merge of at most 5 000 rows per task)."""
-    m = C.cap_rows(_merged(spark, sf), C.CLEANING_CAP)
-    return C.strip_html_tags(m).select("row_id", "cleaned_text")
+    """P10: reviews whose text is not blank after a Python-style strip."""
+    return C.drop_blank(td.raw_reviews(spark, sf), "text").select("row_id")
 
 
 _CLEANED = {"merged": _MERGED_SQL,
@@ -102,37 +93,41 @@ def l1(spark, sf):
                     .alias("heuristic_sentiment"))
 
 
-def _docs_lex_sql(body):
-    return with_views(body, extra={**lexicon_scores_cte("documents", "doc_id", "text")})
+def _lex_sql(body):
+    return with_views(body, "raw_reviews_v", extra=lexicon_scores_cte("raw_reviews_v", "row_id", "text"))
+
+
+def _tokens(spark, sf):
+    r = td.raw_reviews(spark, sf).select("row_id", "text")
+    return compute_once(r, _tokens=TX.word_tokens("text"))
 
 
-@register("l2_lexicon_a_sentiment", _docs_lex_sql(
-    f"""SELECT d.doc_id AS row_id, coalesce(s.valence_sum, 0) AS valence_sum,
-  {lexicon_a_sql('coalesce(s.valence_sum, 0)', 'd.text')} AS lexicon_a_sentiment
-FROM documents d LEFT JOIN scores s ON d.doc_id = s.id"""))
+@register("l2_lexicon_a_sentiment", _lex_sql(
+    f"""SELECT d.row_id, CASE WHEN d.text IS NOT NULL THEN coalesce(s.grades, 0) END AS grades,
+  {lexicon_a_sql('coalesce(s.grades, 0)', 'd.text')} AS lexicon_a_sentiment
+FROM raw_reviews_v d LEFT JOIN scores s ON d.row_id = s.id"""))
 def l2(spark, sf):
-    """L2: compound lexicon score label of every document."""
-    d = td.table(spark, sf, "documents")
-    tot = LX.lexicon_totals("text")
-    return d.select(F.col("doc_id").alias("row_id"), tot["valence_sum"].cast("long").alias("valence_sum"),
-                    LX.lexicon_a_sentiment("text").alias("lexicon_a_sentiment"))
+    """L2: compound lexicon score label of every review text."""
+    d = compute_once(_tokens(spark, sf), _a=LX.grade_sum("_tokens"))
+    return d.select("row_id", F.col("_a").cast("long").alias("grades"),
+                    LX.sentiment_a(F.col("_a")).alias("lexicon_a_sentiment"))
 
 
-@register("l3_lexicon_b_sentiment", _docs_lex_sql(
-    f"""SELECT d.doc_id AS row_id, coalesce(s.hits, 0) AS hits,
-  {lexicon_b_sql('coalesce(s.valence_sum, 0)', 'd.text')} AS lexicon_b_sentiment
-FROM documents d LEFT JOIN scores s ON d.doc_id = s.id"""))
+@register("l3_lexicon_b_sentiment", _lex_sql(
+    f"""SELECT d.row_id, coalesce(s.eighths, 0)::BIGINT AS eighths, coalesce(s.hits, 0)::BIGINT AS hits,
+  {lexicon_b_sql('coalesce(s.eighths, 0)', 'd.text')} AS lexicon_b_sentiment
+FROM raw_reviews_v d LEFT JOIN scores s ON d.row_id = s.id"""))
 def l3(spark, sf):
-    """L3: mean-polarity lexicon label of every document."""
-    d = td.table(spark, sf, "documents")
-    tot = LX.lexicon_totals("text")
-    return d.select(F.col("doc_id").alias("row_id"), tot["hits"].cast("long").alias("hits"),
-                    LX.lexicon_b_sentiment("text").alias("lexicon_b_sentiment"))
+    """L3: mean-polarity label of every review text (boosters, negations)."""
+    d = compute_once(_tokens(spark, sf), _b=LX.polarity_sum("_tokens"))
+    return d.select("row_id", F.coalesce(F.col("_b.eighths"), F.lit(0)).cast("long").alias("eighths"),
+                    F.coalesce(F.col("_b.hits"), F.lit(0)).cast("long").alias("hits"),
+                    LX.sentiment_b(F.col("_b")).alias("lexicon_b_sentiment"))
 
 
 _L6_BODY = f"""SELECT f.*, {heuristic_sql('f.rating', 'f.verified_purchase', 'f.helpful_vote')} AS heuristic_sentiment,
-  {lexicon_a_sql('coalesce(s.valence_sum, 0)', 'f.cleaned_text')} AS lexicon_a_sentiment,
-  {lexicon_b_sql('coalesce(s.valence_sum, 0)', 'f.cleaned_text')} AS lexicon_b_sentiment
+  {lexicon_a_sql('coalesce(s.grades, 0)', 'f.cleaned_text')} AS lexicon_a_sentiment,
+  {lexicon_b_sql('coalesce(s.eighths, 0)', 'f.cleaned_text')} AS lexicon_b_sentiment
 FROM filtered f LEFT JOIN scores s ON f.row_id = s.id"""
 
 _L6_CTES = {**_CLEANED,

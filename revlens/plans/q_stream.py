@@ -7,20 +7,38 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.labels import heuristic_sentiment
-from ..session import scratch_path
+from ..operators import drift as DR
+from ..session import materialize, scratch_path
 from ..sources import testdata as td
 from ..streaming import live as LV
 from .catalog import register
-from .q_drift import _X6
+from .q_drift import _X6, _desc_ctes, _freq_sql, _ks_sql, _rounded
 from .q_pipeline import _L6_CTES
+from .q_star import _SRC, _STAR_CTES, _stored
+from .q_star import _sql as _star_sql
 from .sqltext import majority_sql
 from .sqlviews import heuristic_sql, with_views
 
 
-def _events_stream(spark, sf, max_files=None):
-    path = f"{sf.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    return LV.review_stream(spark, path, schema, max_files_per_trigger=max_files)
+#: Files (and so micro-batches) that a table arrives in.
+ARRIVALS = 4
+
+
+def _arriving(spark, df, order: str, name: str):
+    """A stream over ``df`` arriving in ARRIVALS files, one micro-batch each,
+    in ``order`` order: the files are written one after another, so that
+    their times tell their order.  Returns (stream, chunk column)."""
+    path = scratch_path(spark, f"arrive-{name}")
+    lo, hi = df.agg(F.min(order), F.max(order)).first()
+    lo, hi = (0, 0) if lo is None else (lo, hi)
+    part = F.floor((F.col(order) - lo) * ARRIVALS / (hi - lo + 1))
+    for k in range(ARRIVALS):
+        df.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+    return LV.review_stream(spark, path, df.schema, max_files_per_trigger=1)
+
+
+def _events_stream(spark, sf):
+    return _arriving(spark, td.table(spark, sf, "events"), "event_id", "events")
 
 
 def _live(ev):
@@ -45,9 +63,9 @@ def t3(spark, sf):
     """T1 + T3: daily label counts of the live review stream (watermark 1 day)."""
     s = _live(_events_stream(spark, sf))
     agg = LV.windowed_sentiment(s, "timestamp", "final_sentiment", "1 day", watermark="1 day")
-    sink = scratch_path(spark, "t3-upserts")
-    LV.run_available_now(agg, "t3", mode="update", foreach_batch=LV.upsert_batches(sink, []))
-    out = LV.latest_rows(spark, sink, ["window_start", "window_end", "final_sentiment"])
+    sink, keys = scratch_path(spark, "t3-upserts"), ["window_start", "window_end", "final_sentiment"]
+    LV.run_available_now(agg, "t3", mode="update", foreach_batch=LV.upsert_batches(sink, keys))
+    out = LV.latest_rows(spark, sink)
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "final_sentiment", "n")
 
@@ -65,11 +83,11 @@ def t6(spark, sf):
 
 @register("t4_stream_drift_counter", _X6.replace("SELECT user_id,", "SELECT user_id AS key,", 1))
 def t4(spark, sf):
-    """T4: the drift counter as keyed streaming state (applyInPandasWithState)."""
-    ev = _events_stream(spark, sf).filter(F.col("event_type") == "error")
-    out = LV.drift_counter_stream(ev.select("user_id", "event_id", "ts"), "user_id")
-    path = LV.run_available_now(out, "t4")
-    return spark.read.parquet(path)
+    """T4: the drift counter over several micro-batches."""
+    ev = _events_stream(spark, sf).filter(F.col("event_type") == "error").select("user_id", "event_id", "ts")
+    sink = scratch_path(spark, "t4-counters")
+    LV.run_available_now(ev, "t4", foreach_batch=LV.drift_counter_batches(sink, "user_id"))
+    return spark.read.parquet(f"{sink}/rows").drop("batch")
 
 
 @register("t2_stream_label_append", with_views(
@@ -78,38 +96,67 @@ def t4(spark, sf):
 def t2(spark, sf):
     """T1 + T2: raw reviews arriving as a stream, merged with static
     metadata, cleaned, labeled and appended to a table."""
-    raw = td.raw_reviews(spark, sf)
-    path = f"{sf.rstrip('/')}/documents.parquet"
-    docs = LV.review_stream(spark, path, spark.read.parquet(path).schema)
-    nparts = td.table(spark, sf, "part").count()  # one metadata-only count
-    pasin = F.pmod(F.col("doc_id") * td.DOC_TO_PRODUCT_STRIDE, F.lit(nparts)).cast("string")
-    stream_reviews = docs.select(
-        F.col("doc_id").alias("row_id"),
-        (F.lit(1) + F.pmod("doc_id", F.lit(5))).cast("double").alias("rating"),
-        F.col("source").alias("title"), F.col("text"), pasin.alias("asin"), pasin.alias("parent_asin"),
-        F.col("lang").alias("user_id"),
-        (F.lit(td.TEXT_REVIEW_EPOCH_MS) + F.col("doc_id") * td.TEXT_REVIEW_STEP_MS).alias("timestamp"),
-        (F.pmod("doc_id", F.lit(3)) != 0).alias("verified_purchase"),
-        F.pmod("n_chars", F.lit(10)).alias("helpful_vote"))
-    assert stream_reviews.columns == raw.columns
-    labeled = LV.label_stream(stream_reviews, td.raw_metadata(spark, sf))
-    out = LV.run_available_now(labeled, "t2")
+    out = LV.run_available_now(_labeled_stream(spark, sf), "t2")
     return spark.read.parquet(out)
 
 
-@register("t5_stream_drift_check")
+def _labeled_stream(spark, sf):
+    raw = td.raw_reviews(spark, sf)
+    return LV.label_stream(_arriving(spark, raw, "row_id", "reviews"), td.raw_metadata(spark, sf))
+
+
+@register("d7_append_live_reviews", _star_sql("""SELECT l.row_id AS review_id, p.product_id, l.cleaned_text, l.rating,
+  CAST(0 AS BIGINT) AS helpful_vote, true AS appended_now, l.final_sentiment
+FROM l6 l JOIN prods p ON p.product_title = l.product_title
+JOIN cats c ON p.category_id = c.category_id AND c.category_name = l.main_category"""))
+def d7(spark, sf):
+    """Scored live reviews appended to the fact table, micro-batch by
+    micro-batch, with the product id from the stored star, the time of the
+    append and no helpful votes."""
+    cats, prods, _ = _stored(spark, sf)
+    shelf = prods.join(cats, "category_id").select("product_id", "product_title",
+                                                   F.col("category_name").alias("main_category"))
+    live = _labeled_stream(spark, sf).join(shelf, ["product_title", "main_category"])
+    live = live.withColumnRenamed("row_id", "review_id")
+    sink = scratch_path(spark, "d7-fact")
+    LV.run_available_now(live, "d7", foreach_batch=LV.append_live_reviews(sink))
+    age = F.abs(F.current_timestamp().cast("double") - F.col("timestamp").cast("double"))
+    return spark.read.parquet(sink).select("review_id", "product_id", "cleaned_text", "rating", "helpful_vote",
+                                           (age < 86400).alias("appended_now"), "final_sentiment")
+
+
+# batch b holds the ids in the b-th quarter of their range
+_T5_CTES = {
+    **_STAR_CTES,
+    "refw": "SELECT * FROM fact WHERE review_id BETWEEN 1 AND 500",
+    "vocab": _freq_sql("refw", "cleaned_text"),
+    "arrived": """SELECT row_id AS review_id, cleaned_text,
+    floor((row_id - lo) * 4 / (hi - lo + 1))::BIGINT AS batch_id
+  FROM l6, (SELECT min(row_id) AS lo, max(row_id) AS hi FROM raw_reviews_v) r""",
+    "curw": "SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY review_id DESC) <= 5",
+    **_desc_ctes("refw", "reference"), **_desc_ctes("curw", "current"),
+    "current_b2": "SELECT d.*, c.batch_id FROM current_d d JOIN curw c USING (review_id)",
+    "vals": """SELECT 'reference' AS sample, b || ':' || descriptor AS k, value
+    FROM reference_l, (SELECT DISTINCT batch_id AS b FROM curw) x
+  UNION ALL SELECT 'current', batch_id || ':' || descriptor, value FROM (UNPIVOT current_b2
+    ON text_length, non_letter_share, oov_share INTO NAME descriptor VALUE value) u""",
+    **_ks_sql("vals", "k"),
+    "each": """SELECT split_part(k, ':', 1)::BIGINT AS batch_id, split_part(k, ':', 2) AS descriptor, n_ref, n_cur,
+    ks_stat, p_value, coalesce(p_value < 0.05, false) AS drifted FROM ks""",
+}
+
+
+@register("t5_stream_drift_check", with_views("""SELECT * FROM each
+UNION ALL SELECT batch_id, 'dataset', min(n_ref), min(n_cur), NULL, min(p_value), bool_or(drifted)
+FROM each GROUP BY batch_id""", *_SRC, extra=_T5_CTES))
 def t5(spark, sf):
     """T5 + X5 + X7: after each micro-batch of labeled live reviews, the
     latest 5 reviews are checked for descriptor drift against the first 500
     (foreachBatch); the report rows of every batch are returned."""
-    from ..operators import drift as DR
-    from .q_pipeline import _l6
-    ref_tbl = _l6(spark, sf).withColumnRenamed("row_id", "review_id")
-    reference = ref_tbl.filter(F.col("review_id").between(1, 500))
-    vocab = DR.word_frequencies(reference, "cleaned_text")
-    path = f"{sf.rstrip('/')}/documents.parquet"
-    docs = LV.review_stream(spark, path, spark.read.parquet(path).schema)
-    live = docs.select(F.col("doc_id").alias("review_id"), F.lower("text").alias("cleaned_text"))
+    fact = _stored(spark, sf)[2].select("review_id", "cleaned_text")
+    reference = materialize(fact.filter(F.col("review_id").between(1, 500)))
+    vocab = materialize(DR.word_frequencies(reference, "cleaned_text"))
+    live = _labeled_stream(spark, sf).select(F.col("row_id").alias("review_id"), "cleaned_text")
     sink = scratch_path(spark, "t5-reports")
     LV.run_available_now(live, "t5", foreach_batch=LV.drift_check_batch(reference, vocab, sink=sink))
-    return spark.read.parquet(sink)
+    return _rounded(spark.read.parquet(sink).withColumn("batch_id", F.col("batch_id").cast("long")))

@@ -8,12 +8,18 @@ from ..sources.testdata import (DOC_TO_PRODUCT_STRIDE, TEXT_REVIEW_EPOCH_MS,
 
 
 def heuristic_sql(rating: str, verified: str, helpful: str) -> str:
-    s = (f"(CASE WHEN {rating} >= 4 THEN 2 WHEN {rating} <= 2 THEN -2 ELSE 0 END"
-         f" + CASE WHEN coalesce({verified}, false) THEN 1 ELSE 0 END"
-         f" + CASE WHEN coalesce({helpful}, 0) >= 5 THEN 1 ELSE 0 END)")
-    return f"(CASE WHEN {s} > 2 THEN 'positive' WHEN {s} < 0 THEN 'negative' ELSE 'neutral' END)"
+    points = (f"(coalesce({rating} >= 4, false)::INT - coalesce({rating} <= 2, false)::INT + 0.5 * coalesce({verified}, false)::INT"
+              f" + 0.5 * (coalesce({helpful}, 0) >= 5)::INT)")
+    return f"(CASE WHEN {points} > 1 THEN 'positive' WHEN {points} < 0 THEN 'negative' ELSE 'neutral' END)"
 
 
+# Review text of a document, written apart from the engine's adapter.
+REVIEW_TEXT_SQL = """CASE WHEN text IS NULL THEN NULL
+  WHEN doc_id % 13 = 0 THEN (['https://shop.example.com/item', 'photo_01.jpg', 'N/A', '', 'null', 'http://a.example',
+    'caf&eacute; &amp; bar &#8217;s <b title=''a>b''>great</b>', '  '])[1 + (doc_id // 13) % 8]
+  ELSE (['', 'very good', 'not good', 'the best', 'really bad', 'never great', 'cheap but fine', 'not very happy',
+    'awful', 'works well', 'hardly broken'])[1 + doc_id % 11] || ' ' || text END"""
+
 VIEWS = {
     "categories_v": """
   SELECT CAST(row_number() OVER (ORDER BY min(p_partkey), p_type) AS BIGINT) AS category_id,
@@ -34,7 +40,7 @@ VIEWS = {
   SELECT *, {heuristic_sql('rating', 'verified_purchase', 'helpful_vote')} AS final_sentiment
   FROM reviews_base_v""",
     "raw_reviews_v": f"""
-  SELECT doc_id AS row_id, CAST(1 + doc_id % 5 AS DOUBLE) AS rating, source AS title, text,
+  SELECT doc_id AS row_id, CAST(1 + doc_id % 5 AS DOUBLE) AS rating, source AS title, {REVIEW_TEXT_SQL} AS text,
          CAST((doc_id * {DOC_TO_PRODUCT_STRIDE}) % (SELECT count(*) FROM part) AS VARCHAR) AS asin,
          CAST((doc_id * {DOC_TO_PRODUCT_STRIDE}) % (SELECT count(*) FROM part) AS VARCHAR) AS parent_asin,
          lang AS user_id,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -50,9 +51,10 @@ def get_session(master: str | None = None, app: str = "revlens",
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local runs,
-    tests) is a fresh folder under ``fallback`` (or the system temp folder)
-    created and registered.
+    The cluster's setting always wins.  Only in local mode (one JVM, so every
+    folder is shared) and when it is unset is a fresh folder under
+    ``fallback`` (or the system temp folder) created and registered; on a
+    cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -60,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master or ""):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     base = fallback or os.environ.get("TMPDIR", "/tmp")
     path = os.path.join(base, f"revlens-ckpt-{uuid.uuid4().hex[:8]}")
     spark.conf.set("spark.checkpoint.dir", path)
@@ -88,6 +92,13 @@ def materialize(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that an operator wrote in the shared folder."""
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 LATIN1 = "ISO-8859-1"
 
 
+# White space around a CSV value belongs to the value.
+_KEEP_SPACE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _nested_as_string(schema: T.StructType) -> T.StructType:
     """CSV cannot hold arrays/maps: read such columns as JSON text."""
     fields = []
@@ -48,7 +52,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
         return (r.schema(schema) if schema is not None else r).json(path)
     if fmt == "csv":
         r = (spark.read.option("header", True).option("multiLine", True)
-             .option("escape", '"').option("mode", "PERMISSIVE"))
+             .option("escape", '"').option("mode", "PERMISSIVE").options(**_KEEP_SPACE))
         if encoding:
             r = r.option("encoding", encoding)
         if schema is None:
@@ -64,26 +68,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     raise ValueError(f"unknown format {fmt!r}")
 
 
-def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Spread a scan over the session's task slots before heavy per-row work
-    (HTML stripping, tokenizing, lexicon scoring).
-
-    A scan runs one task per input split, so a table held in a few files or
-    row groups would do all of its text work on a few cores.  When the scan
-    has fewer splits than there are task slots, rows are hash-partitioned on
-    ``keys`` (unique per row, so the spread is even and a retried task gets
-    the same rows) over all slots.  The shuffle is bounded: a scan has fewer
-    splits than slots only when the table is smaller than about
-    slots x ``spark.sql.files.maxPartitionBytes``.  A large table keeps its
-    scan partitioning and gets no exchange.  Counting splits plans the scan
-    (file listing) and runs no job.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, *keys)
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
     """Bulk write.  CSV gets a header and nested columns
@@ -98,7 +82,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        w.option("header", True).option("escape", '"').options(**_KEEP_SPACE).csv(path)
     elif fmt == "json":
         w.json(path)
     else:
@@ -117,12 +101,6 @@ def bounded_scan(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:
     return df.orderBy(F.col(order_col)).limit(n)
 
 
-def chunk_id(row_id: Column | str, chunk_rows: int = 100_000) -> Column:
-    """The chunk a row falls in when a file is read ``chunk_rows`` at a time."""
-    rid = F.col(row_id) if isinstance(row_id, str) else row_id
-    return F.floor(rid / F.lit(chunk_rows)).cast("long")
-
-
 def scoring_request(df: DataFrame, cols=("input_ids", "attention_mask"), batch_col: str = "batch",
                     order_col: str | None = "row_id") -> DataFrame:
     """``{"instances": [...]}`` JSON request documents, one per value of

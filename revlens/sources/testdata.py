@@ -27,25 +27,21 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # Review timestamps of the text reviews: base epoch ms and step per doc_id.
 TEXT_REVIEW_EPOCH_MS = 1_577_836_800_000
 TEXT_REVIEW_STEP_MS = 3_600_000
+# Phrases put before the review texts, by doc_id, so that the labelers differ.
+REVIEW_PHRASES = ["", "very good", "not good", "the best", "really bad", "never great", "cheap but fine",
+                  "not very happy", "awful", "works well", "hardly broken"]
+# Every so many ids, one of these texts instead of the document's.
+ODD_STEP = 13
+ODD_TEXTS = ["https://shop.example.com/item", "photo_01.jpg", "N/A", "", "null", "http://a.example",
+             "caf&eacute; &amp; bar &#8217;s <b title='a>b'>great</b>", "  "]
 # Multiplier spreading doc ids over product keys (parent_asin).
 DOC_TO_PRODUCT_STRIDE = 37
 # -----------------------------------------------------------------------------
 
 
-# Text tables and their row keys: their rows carry the heavy per-row work,
-# so a scan with few splits is spread over all task slots (`io.spread`).
-TEXT_TABLE_KEYS = {"documents": ["doc_id"], "pages": ["page_id"],
-                   "conversations": ["conv_id", "turn"], "benchmark": ["item_id"]}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Scan a driver table.  ``spread=False`` for reads of a text table that
-    use none of its text (key and metadata columns only)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread and name in TEXT_TABLE_KEYS:
-        from .io import spread
-        df = spread(df, TEXT_TABLE_KEYS[name])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan a driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +84,18 @@ def review_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 REVIEW_KEY = ["l_orderkey", "l_linenumber", "product_id", "l_suppkey"]
 
 
+def review_text():
+    """Review text of a document: a phrase by doc_id, then its text; some ids
+    give the texts that the cleaning rules drop (links, file names, missing
+    values, blanks) or decode (character references, markup)."""
+    phrase = F.element_at(F.array(*map(F.lit, REVIEW_PHRASES)),
+                          (F.pmod("doc_id", F.lit(len(REVIEW_PHRASES))) + 1).cast("int"))
+    odd = F.element_at(F.array(*map(F.lit, ODD_TEXTS)),
+                       (F.pmod(F.floor(F.col("doc_id") / ODD_STEP), F.lit(len(ODD_TEXTS))) + 1).cast("int"))
+    return F.when(F.col("text").isNull(), F.lit(None)).when(F.pmod("doc_id", F.lit(ODD_STEP)) == 0, odd) \
+        .otherwise(F.concat(phrase, F.lit(" "), F.col("text")))
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw review rows (REVIEWS shape plus row_id) from `documents`."""
     docs = table(spark, sf_dir, "documents")
@@ -97,7 +105,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("row_id"),
         (F.lit(1) + F.pmod("doc_id", F.lit(5))).cast("double").alias("rating"),
         F.col("source").alias("title"),
-        F.col("text"),
+        review_text().alias("text"),
         pasin.alias("asin"),
         pasin.alias("parent_asin"),
         F.col("lang").alias("user_id"),
@@ -143,7 +151,7 @@ def eval_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ground truth for model evaluation: labels joined to documents.
     y = 1 (negative) if toxic, else 0 (positive) if quality, else 2."""
     lab = table(spark, sf_dir, "labels")
-    docs = table(spark, sf_dir, "documents", spread=False).select("doc_id", "source", "lang", "n_chars")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars")
     y = F.when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 0).otherwise(2)
     return lab.join(docs, "doc_id").select(
         "doc_id", F.col("source").alias("main_category"), F.col("lang").alias("store"),

@@ -2,8 +2,8 @@
 
 The batch column functions are reused unchanged on streaming DataFrames.
 State is kept only where the semantics need it: windowed counts (bounded by
-the watermark), replay de-duplication (bounded by the watermark) and the
-per-key drift counter (one small state per key).  Every query writes to a
+the watermark) and replay de-duplication (bounded by the watermark); the
+drift counter's state is a table of events seen per key and batch.  Every query writes to a
 sink with a checkpoint in the shared checkpoint folder, so a restart or a
 lost executor resumes exactly where the last committed batch ended.
 """
@@ -11,17 +11,15 @@ lost executor resumes exactly where the last committed batch ended.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import drift as DR
 from ..operators import labeling as L
-from ..session import scratch_path
+from ..operators.ordering import rank_within
+from ..session import delete_path, materialize, scratch_path
 
 
 def stream_path(path: str) -> str:
@@ -74,46 +72,66 @@ def dedup_replays(stream: DataFrame, id_col: str = "review_id", ts_col: str = "t
     return stream.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark([id_col])
 
 
-COUNTER_SCHEMA = T.StructType([
-    T.StructField("key", T.LongType()), T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()), T.StructField("drift_counter", T.IntegerType()),
-    T.StructField("triggered", T.BooleanType())])
-COUNTER_STATE = T.StructType([T.StructField("events", T.LongType())])
+def drift_counter_batches(sink: str, key: str = "key", reset_at: int = 10):
+    """T4: the X6 counter over a stream, as a foreachBatch function.
 
-
-def _counter_fn(reset_at: int):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        seen = state.get[0] if state.exists else 0
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"])
-        k = seen + pd.RangeIndex(1, len(batch) + 1).to_numpy()
-        cnt = (k - 1) % reset_at
-        state.update((int(seen + len(batch)),))
-        yield pd.DataFrame({"key": key[0], "event_id": batch["event_id"].to_numpy(),
-                            "ts": batch["ts"].to_numpy(), "drift_counter": cnt.astype("int32"),
-                            "triggered": (k > 1) & (cnt == 0)})
+    Each micro-batch ranks its events per key with the distributed rank (no
+    task holds all events of a key) in event-time order, ties by event_id,
+    and continues from the events that earlier batches counted; across
+    batches the order is arrival order.  The state of a key is one number
+    per batch (events seen), stored beside the rows.  A batch that is run
+    again replaces its own folder and nothing else."""
+    def fn(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+        ev = batch.select(F.col(key).cast("long").alias("key"), "event_id", "ts")
+        ranked = rank_within(ev, ["ts", "event_id"], by=["key"], name="_k")
+        seen = before(spark, f"{sink}/seen", batch_id)
+        if seen is not None:
+            seen = seen.groupBy(F.col("key").alias("_of")).agg(F.sum("n").alias("_seen"))
+            ranked = ranked.join(seen, ranked["key"].eqNullSafe(seen["_of"]), "left").drop("_of")
+        else:
+            ranked = ranked.withColumn("_seen", F.lit(0).cast("long"))
+        k = F.col("_k") + F.coalesce("_seen", F.lit(0))
+        count = F.pmod(k - 1, F.lit(reset_at))
+        ranked.select("key", "event_id", "ts", count.cast("int").alias("drift_counter"),
+                      ((k > 1) & (count == 0)).alias("triggered")) \
+            .write.mode("overwrite").parquet(f"{sink}/rows/batch={batch_id}")
+        ev.groupBy("key").agg(F.count(F.lit(1)).alias("n")) \
+            .write.mode("overwrite").parquet(f"{sink}/seen/batch={batch_id}")
     return fn
 
 
-def drift_counter_stream(events: DataFrame, key: str, reset_at: int = 10) -> DataFrame:
-    """T4: the X6 counter as keyed streaming state.  The state of a key is
-    one number (events seen), so it stays tiny however long the stream
-    runs.  Input columns: ``key``, event_id, ts."""
-    ev = events.select(F.col(key).cast("long").alias("key"), "event_id", "ts")
-    return ev.groupBy("key").applyInPandasWithState(
-        _counter_fn(reset_at), COUNTER_SCHEMA, COUNTER_STATE, "append", GroupStateTimeout.NoTimeout)
+def before(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
+    """Rows that the batches before ``batch_id`` wrote (None: there is none)."""
+    if batch_id == 0:
+        return None
+    return spark.read.parquet(folder).filter(F.col("batch") < batch_id)
 
 
 def drift_check_batch(reference: DataFrame, vocab: DataFrame, text_col: str = "cleaned_text",
                       id_col: str = "review_id", latest: int = 5, sink: str | None = None):
     """T5: a foreachBatch function - after each appended micro-batch,
-    compare its latest ``latest`` reviews with the reference window (X5)
-    and append the report rows, tagged with the batch id, to ``sink``."""
+    compare its latest ``latest`` reviews with the reference window (X5) and
+    write the report rows to the batch's own folder in ``sink`` (a batch run
+    again replaces them).  ``reference`` and ``vocab`` should be stored
+    tables: they are read once per batch."""
     def fn(batch: DataFrame, batch_id: int):
-        cur = batch.orderBy(F.desc(id_col)).limit(latest)
+        cur = materialize(batch.select(id_col, text_col).orderBy(F.desc(id_col)).limit(latest), "latest")
         rep = DR.descriptor_drift(reference, cur, text_col, vocab, id_col)
-        rep = rep.withColumn("batch_id", F.lit(batch_id).cast("long"))
         if sink:
-            rep.write.mode("append").parquet(sink)
+            rep.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+    return fn
+
+
+def append_live_reviews(sink: str):
+    """A foreachBatch function that appends scored live reviews to the
+    fact table: the product's id, the time of the append, no helpful votes
+    yet.  A batch run again replaces its own folder."""
+    def fn(batch: DataFrame, batch_id: int):
+        rows = batch.select("review_id", "product_id", "cleaned_text", "rating",
+                            F.lit(0).cast("long").alias("helpful_vote"), F.current_timestamp().alias("timestamp"),
+                            "final_sentiment")
+        rows.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
     return fn
 
 
@@ -136,16 +154,25 @@ def run_available_now(stream: DataFrame, name: str, mode: str = "append",
 
 def upsert_batches(sink: str, keys: list[str]):
     """foreachBatch writer for update-mode aggregates: each micro-batch's
-    changed rows are appended with their batch id; `latest_rows` keeps the
-    newest version of every key."""
+    changed rows replace the rows of the same ``keys`` in the newest version
+    of the table and the result becomes the next version.  A batch run again
+    starts from the same older version; versions before that are deleted, so
+    the sink holds two copies at most."""
     def fn(batch: DataFrame, batch_id: int):
-        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink)
+        spark = batch.sparkSession
+        if batch_id:
+            old = spark.read.parquet(f"{sink}/version={batch_id - 1}")
+            gone = batch.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            rest = old.join(gone, [old[k].eqNullSafe(gone[f"_{k}"]) for k in keys], "left_anti")
+            batch = rest.unionByName(batch)
+        batch.write.mode("overwrite").parquet(f"{sink}/version={batch_id}")
+        if batch_id > 1:
+            delete_path(spark, f"{sink}/version={batch_id - 2}")
     return fn
 
 
-def latest_rows(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
-    """Newest version of every key written by `upsert_batches` (max_by over
-    the batch id: a partial aggregate, no sort)."""
-    d = spark.read.parquet(sink)
-    vals = [c for c in d.columns if c not in keys and c != "_batch"]
-    return d.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col("_batch")).alias(c) for c in vals])
+def latest_rows(spark: SparkSession, sink: str) -> DataFrame:
+    """The newest version written by `upsert_batches`; only it is read."""
+    every = spark.read.parquet(sink)
+    newest = every.select(F.max("version")).scalar()
+    return every.filter(F.col("version") == newest).drop("version")

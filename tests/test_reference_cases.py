@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from revlens.functions import compute_once
 from revlens.functions import labels as LB
 from revlens.functions import lexicon as LX
+from revlens.functions.text import word_tokens
 from revlens.operators import clean as C
 from revlens.operators import labeling as L
 
@@ -49,12 +51,27 @@ def test_heuristic_sentiment(spark):
     assert r == "positive"
 
 
+def _scored(spark, text):
+    df = spark.createDataFrame([(text,)], "text string")
+    df = compute_once(df, _tokens=word_tokens("text"))
+    return df.select(LX.sentiment_a(LX.grade_sum("_tokens")).alias("a"),
+                     LX.sentiment_b(LX.polarity_sum("_tokens")).alias("b"),
+                     LX.mean_polarity(LX.polarity_sum("_tokens")).alias("m")).first()
+
+
 def test_lexicon_a_sentiment(spark):
-    assert _one(spark, LX.lexicon_a_sentiment(F.lit("I love this!"))) == "positive"
+    assert _scored(spark, "I love this!").a == "positive"
+    assert _scored(spark, None).a is None and _scored(spark, "").a == "neutral"
 
 
 def test_lexicon_b_sentiment(spark):
-    assert _one(spark, LX.lexicon_b_sentiment(F.lit("I hate this!"))) == "negative"
+    assert _scored(spark, "I hate this!").b == "negative"
+    # the scorers read differently: negations and boosters count for B alone
+    for text, a, b, m in [("it is not good", "positive", "negative", -3 / 8), ("not very happy", "positive", "negative", -0.5),
+                          ("very good", "positive", "positive", 1.0), ("hardly broken", "negative", "positive", 3 / 8),
+                          ("cheap but fine", "neutral", "neutral", 0.0)]:
+        got = _scored(spark, text)
+        assert (got.a, got.b, got.m) == (a, b, m), text
 
 
 def test_majority_vote(spark):
