@@ -17,11 +17,13 @@ from .sqlviews import with_views
 
 
 @register("s3_s4_csv_roundtrip", with_views(
-    "SELECT row_id, rating, title, text, parent_asin, timestamp, verified_purchase, helpful_vote FROM raw_reviews_v",
+    "SELECT row_id, rating, title, nullif(text, '') AS text, parent_asin, timestamp, verified_purchase, helpful_vote "
+    "FROM raw_reviews_v",
     "raw_reviews_v"))
 def s34(spark, sf):
     """S4 + S3: raw reviews written as CSV (header, quoted multi-line text)
-    and scanned back with the declared schema - no type inference."""
+    and scanned back with the declared schema - no type inference.  An empty
+    cell is a missing value, as CSV has one sign for both."""
     cols = ["row_id", "rating", "title", "text", "parent_asin", "timestamp", "verified_purchase", "helpful_vote"]
     src = td.raw_reviews(spark, sf).select(*cols)
     path = scratch_path(spark, "s4-csv")
