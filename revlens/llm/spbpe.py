@@ -17,6 +17,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import sentencepiece
@@ -26,9 +27,13 @@ from pyspark.sql import functions as F
 from .common import texts_of
 
 SPACE = "▁"
-#: Segments remembered per task, and the longest one remembered.
-CACHE_SEGMENTS = 200_000
+#: Segments remembered per worker process, and the longest one remembered.
+CACHE_SEGMENTS = 500_000
 CACHE_CHARS = 48
+#: Up to so many symbols the agenda is a plain list, beyond it a heap.
+LIST_SYMBOLS = 24
+#: Punctuation that may be cut off the word before it.
+PUNCTUATION = ",.;:!?)\"|#%&$*"
 
 
 class PieceModel:
@@ -50,10 +55,16 @@ class PieceModel:
         if any(SPACE in p.lstrip(SPACE) for p in self.piece_id):
             raise ValueError("pieces with inner spaces are not supported")
         joined = {c for p in self.piece_id if len(p) > 1 for c in p}
+        after_word = {p[i] for p in self.piece_id for i in range(1, len(p)) if re.match(r"\w", p[i - 1])}
         self.alone = "".join(c for c in "\n\t\r" if c not in joined)
-        # a segment: spaces and what follows them, or a run between lone characters
-        self.segments = re.compile(f"{SPACE}+[^{SPACE}{self.alone}]*|[^{SPACE}{self.alone}]+|[{self.alone}]"
-                                   if self.alone else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
+        # a segment: spaces and what follows them, up to the next space, to a
+        # lone character, or to punctuation that no piece has behind a word
+        cut = re.escape("".join(c for c in PUNCTUATION if c not in after_word))
+        keep = f"[^{SPACE}{self.alone}{cut}]++" + (f"|(?<!\\w)[{cut}]" if cut else "")
+        lone = f"|[{self.alone}]" if self.alone else ""
+        self.segments = re.compile(f"{SPACE}+(?:{keep})*+|[^{SPACE}{self.alone}](?:{keep})*+{lone}").findall
+        self.known: dict[str, tuple[list[int], str]] = {}  # ids, and as text
+        self.wrong: set[str] = set()
 
     def normalize(self, text: str) -> str:
         """Spaces become the space mark; one is put before a text that isn't
@@ -62,6 +73,8 @@ class PieceModel:
 
     def agenda(self, segment: str) -> list[int]:
         """Ids of one segment, by score-ordered merges of adjacent symbols."""
+        if len(segment) <= LIST_SYMBOLS:
+            return self._ids(self._short(list(segment)))
         score, symbols, n = self.score, list(segment), len(segment)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         todo: list = []
@@ -87,10 +100,28 @@ class PieceModel:
                 offer(left, nxt)
             if before[left] >= 0:
                 offer(before[left], left)
+        return self._ids([s for s in symbols if s])
+
+    def _short(self, symbols: list[str]) -> list[str]:
+        """Merges of a few symbols; the agenda holds the score of each pair."""
+        score, none = self.score, float("-inf")
+        todo = [score.get(a + b, none) for a, b in zip(symbols, symbols[1:])]
+        while todo:
+            best = max(todo)
+            if best == none:
+                break
+            i = todo.index(best)  # the leftmost
+            symbols[i] += symbols.pop(i + 1)
+            todo.pop(i)
+            if i < len(todo):
+                todo[i] = score.get(symbols[i] + symbols[i + 1], none)
+            if i:
+                todo[i - 1] = score.get(symbols[i - 1] + symbols[i], none)
+        return symbols
+
+    def _ids(self, symbols: list[str]) -> list[int]:
         ids, known, raw = [], self.piece_id, self.byte_id
         for s in symbols:
-            if not s:
-                continue
             i = known.get(s)
             if i is not None:
                 ids.append(i)
@@ -100,6 +131,19 @@ class PieceModel:
                 ids.append(self.unk_id)
         return ids
 
+    def learn(self, segments: set[str]) -> None:
+        """Encode new segments and check them against the library."""
+        fresh = list(segments)
+        for s, want in zip(fresh, self.from_library(fresh)):
+            ids = self.agenda(s)
+            self.known[s] = (ids, " ".join(map(str, ids)))
+            if ids != want:
+                self.wrong.add(s)
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.wrong.clear()
+
     def from_library(self, segments: list[str]) -> list[list[int]]:
         """The library's ids of segments.  It puts a space mark before a
         text: segments without one are encoded behind a lone character."""
@@ -133,37 +177,28 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = piece_model(model_path)
-        cache: dict[str, tuple[list[int], str]] = {}
-        wrong: set[str] = set()
         end = str(m.end_id)
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
                 cut = [m.segments(m.normalize(t)) for t in texts_of(part.column("text"))]
-                if len(cache) > CACHE_SEGMENTS:
-                    cache.clear()
-                    wrong.clear()
-                new = {s for segs in cut for s in segs if s not in cache}
+                if len(m.known) > CACHE_SEGMENTS:
+                    m.forget()
+                new = set().union(*cut).difference(m.known)
                 if new:
-                    fresh = list(new)
-                    for s, want in zip(fresh, m.from_library(fresh)):
-                        ids = m.agenda(s)
-                        cache[s] = (ids, " ".join(map(str, ids)))
-                        if ids != want:
-                            wrong.add(s)
+                    m.learn(new)
+                known, wrong = m.known.__getitem__, m.wrong
                 rows, all_ids = [], []
                 for segs in cut:
-                    ids: list[int] = []
-                    for s in segs:
-                        ids += cache[s][0]
-                    ids.append(m.end_id)
-                    text = " ".join([*(cache[s][1] for s in segs), end])
+                    got = list(map(known, segs))
+                    ids = [*chain.from_iterable([i for i, _ in got]), m.end_id]
+                    text = " ".join([*[t for _, t in got], end])
                     rows.append((len(ids), hashlib.sha256(text.encode()).hexdigest(),
                                  not wrong or wrong.isdisjoint(segs)))
                     all_ids.append(ids)
                 for s in new:  # very long segments are not worth remembering
                     if len(s) > CACHE_CHARS:
-                        del cache[s]
+                        del m.known[s]
                 decoded = m.library.decode(all_ids) if all_ids else []
                 shas = [hashlib.sha256(d.encode("utf-8")).hexdigest() for d in decoded]
                 n, sha, ok = zip(*rows) if rows else ((), (), ())
