@@ -27,6 +27,20 @@ def schema_report(df: DataFrame, declared: T.StructType, spark: SparkSession | N
     return spark.createDataFrame(rows, "column string, expected string, actual string")
 
 
+def value_report(rows: DataFrame, declared: T.StructType) -> DataFrame:
+    """Q1 on values: for every declared scalar column that ``rows`` has, the
+    number of rows, of missing values and of values that cannot be read as
+    the declared type.  One pass with partial aggregates."""
+    fields = [f for f in declared.fields if f.name in rows.columns
+              and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    text = {f.name: F.col(f.name).cast("string") for f in fields}
+    found = [F.struct(F.lit(f.name).alias("column"), F.lit(_type_name(f.dataType)).alias("expected"),
+                      F.count(F.lit(1)).alias("n"), F.count_if(text[f.name].isNull()).alias("missing"),
+                      F.count_if(text[f.name].isNotNull() & text[f.name].try_cast(f.dataType).isNull()).alias("bad"))
+             for f in fields]
+    return rows.agg(F.array(*found).alias("_r")).select(F.inline("_r"))
+
+
 def schema_check(checks: dict[str, tuple[DataFrame, T.StructType]], mode: str = "report") -> DataFrame:
     """Q2: run Q1 over several inputs.  ``mode='report'`` returns the
     findings (the reference only logs them); ``mode='fail'`` raises on any."""

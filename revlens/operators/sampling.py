@@ -80,6 +80,30 @@ def stratified_union(df: DataFrame, strata: list[str], k: int = 50, seed: int =
     return out.dropDuplicates()
 
 
+#: Bins of the md5 order: 16 bits of the key.
+_BIN_DIGITS = 4
+
+
+def first_in_hash_order(df: DataFrame, wanted: DataFrame, by: list[str], seed: int, row_id: str) -> DataFrame:
+    """The last row of each wanted prefix of the md5 order: for every
+    (``by``, ``name``, ``n``) of ``wanted`` the key and id of the ``n``-th row
+    of its group (``cut``).
+
+    Only counts per (group, bin of the key) are cumulated; ranked are just
+    the rows of the bins that hold a cut, one in 65 536 of a group."""
+    keyed = df.select(*by, F.col(row_id).alias("_id"), shuffle_key(row_id, seed).alias("_key")) \
+              .withColumn("_bin", F.substring("_key", 1, _BIN_DIGITS))
+    bins = keyed.groupBy(*by, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bins = bins.withColumn("_upto", F.sum("_n").over(w))
+    hit = bins.join(wanted, by).filter((F.col("n") > F.col("_upto") - F.col("_n")) & (F.col("n") <= F.col("_upto")))
+    hit = hit.select(*by, "_bin", "name", (F.col("n") - F.col("_upto") + F.col("_n")).alias("_need"))
+    near = keyed.join(hit, [*by, "_bin"])
+    rank = F.row_number().over(Window.partitionBy(*by, "name").orderBy("_key", "_id"))
+    return (near.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
+                .select(*by, "name", F.struct(F.col("_key").alias("k"), F.col("_id").alias("i")).alias("cut")))
+
+
 def three_way_split(df: DataFrame, label: str = "label", n_classes: int = 3,
                     train_total: int = 20000, test_fraction: float = 0.2, seed: int = 42,
                     row_id: str = "row_id") -> DataFrame:
@@ -87,41 +111,61 @@ def three_way_split(df: DataFrame, label: str = "label", n_classes: int = 3,
 
     train = ``train_total // n_classes`` rows per class; test =
     int(test_fraction * remaining / n_classes) rows per class from the rest;
-    inference = everything else.  One distributed rank per class (no
-    single-task window, no anti-join); fails when a class is too small.
+    inference = everything else.  The two cuts of each class are found from
+    counts; each row then compares itself with its class's cuts, so the rows
+    are never shuffled.  Fails when a class is too small.
     """
     per_class = train_total // n_classes
-    ranked = rank_by_shuffle_key(df, row_id, seed, by=[label], name="_rn")
     total = df.select(F.count(F.lit(1))).scalar()
     test_n = F.floor(F.lit(test_fraction) * (total - F.lit(per_class * n_classes)) / F.lit(n_classes))
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_have"))
     err = counts.filter(F.col("_have") < F.lit(per_class) + test_n).select(
         F.raise_error(F.concat(F.lit("three_way_split: class "), F.col(label).cast("string"),
                                F.lit(" is too small"))).alias("_err"))
-    split = (F.when(F.col("_rn") <= per_class, "train")
-              .when(F.col("_rn") <= F.lit(per_class) + test_n, "test")
-              .otherwise("inference"))
-    return _guard(ranked.withColumn("split", split).drop("_rn"), err)
+    sizes = counts.filter(F.col(label).isNotNull()).withColumn("_test", test_n)
+    wanted = sizes.select(label, F.inline(F.array(
+        F.struct(F.lit("train").alias("name"), F.lit(per_class).cast("long").alias("n")),
+        F.struct(F.lit("test").alias("name"), (F.lit(per_class) + F.col("_test")).cast("long").alias("n")))))
+    cuts = first_in_hash_order(df, wanted, [label], seed, row_id)
+    cuts = cuts.groupBy(label).agg(*[F.max(F.when(F.col("name") == s, F.col("cut"))).alias(f"_{s}")
+                                     for s in ("train", "test")])
+    here = F.struct(shuffle_key(row_id, seed).alias("k"), F.col(row_id).alias("i"))
+    split = (F.when(here <= F.col("_train"), "train").when(here <= F.col("_test"), "test").otherwise("inference"))
+    # one row per class: the label's domain is the model's class list
+    out = df.join(F.broadcast(cuts), label, "left").withColumn("split", split).drop("_train", "_test")
+    return _guard(out, err)
+
+
+def _prefix(df: DataFrame, n, seed: int, row_id: str):
+    """(cut, here): the key of the ``n``-th row in md5 order as a scalar
+    subquery (null if there are fewer or ``n`` is 0), and a row's own key."""
+    wanted = df.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit("all").alias("name"),
+                                             n.cast("long").alias("n"))
+    cut = first_in_hash_order(df.withColumn("_all", F.lit(0)), wanted, ["_all"], seed, row_id)
+    return (cut.select(F.max("cut")).scalar(),
+            F.struct(shuffle_key(row_id, seed).alias("k"), F.col(row_id).alias("i")))
 
 
 def random_rows(df: DataFrame, n: int = 10000, seed: int = 42, row_id: str = "row_id") -> DataFrame:
-    """M5: ``n`` rows without replacement (ordered md5 key + limit: each task
-    keeps only its own first ``n``)."""
-    return df.orderBy(shuffle_key(row_id, seed), F.col(row_id)).limit(n)
+    """M5: the first ``n`` rows in md5 order (all rows if there are fewer).
+    Each row compares its key with the ``n``-th key, so nothing is gathered
+    however large ``n`` is."""
+    cut, here = _prefix(df, F.lit(n), seed, row_id)
+    total = df.select(F.count(F.lit(1))).scalar()
+    return df.filter((here <= cut) | (total <= F.lit(n))) if n > 0 else df.limit(0)
 
 
 def train_validation_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
                            row_id: str = "row_id", exact: bool = True) -> DataFrame:
     """M6: ``split`` in {train, validation}.  ``exact``: validation is the
     ceil(test_size * n) rows first in md5 order; otherwise a hash threshold
-    (no ranking at all)."""
+    (no counting at all)."""
     if not exact:
         u = hash_int(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string"))).cast("double") / float(1 << 60)
         return df.withColumn("split", F.when(u < test_size, "validation").otherwise("train"))
-    n = df.select(F.count(F.lit(1))).scalar()
-    n_val = F.ceil(F.lit(test_size) * n)
-    r = rank_by_shuffle_key(df, row_id, seed, name="_rn")
-    return r.withColumn("split", F.when(F.col("_rn") <= n_val, "validation").otherwise("train")).drop("_rn")
+    n_val = F.ceil(F.lit(test_size) * df.select(F.count(F.lit(1))).scalar())
+    cut, here = _prefix(df, n_val, seed, row_id)
+    return df.withColumn("split", F.when(here <= cut, "validation").otherwise("train"))
 
 
 def max_label_count(df: DataFrame, by: str = "main_category", label: str = "label") -> DataFrame:

