@@ -38,9 +38,11 @@ SUBSTITUTE, DROP, STRETCH, ITSELF = 2.0, 1.0, 0.5, 4.0
 ALPHABET = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
 OTHER, EDGE = "?", " "
 #: Longest word beginning used as a feature, shortest, and features kept.
-LONGEST, SHORTEST, FEATURES = 8, 3, 4096
+LONGEST, SHORTEST, FEATURES = 7, 3, 4096
 #: Labelled rows that the classifier is fitted on at most.
-TRAIN_ROWS = 40_000
+TRAIN_ROWS = 20_000
+#: Tokens remembered by a scorer, and texts handled at a time.
+MEMO, SLICE = 300_000, 500
 #: A feature needs so many labelled documents of the rarer class it speaks for.
 MIN_DOCS = 3
 
@@ -82,6 +84,11 @@ def known(c: str) -> str:
     return c if c in ALPHABET or c == EDGE else OTHER
 
 
+def step(state: str, c: str) -> str:
+    """The last two characters; after a word's end a new word begins."""
+    return EDGE * 2 if c == EDGE else state[1] + c
+
+
 def lattice(written: str) -> list[list[tuple[str, float]]]:
     """Readings of each written character (runs of one letter are one place):
     (what it stands for, cost)."""
@@ -119,7 +126,7 @@ def restore(written: str, model: CharModel) -> str:
                 for ch in out:
                     k = known(ch)
                     c += model.cost(s + k)
-                    s = s[1] + k
+                    s = step(s, k)
                 if out:
                     p = (p, out)
                 old = nxt.get(s)
@@ -152,33 +159,46 @@ def suspicious(token: str) -> bool:
     return 2 * letters >= len(inside) if any(c in LEET for c in inside) else letters == len(inside) + 1
 
 
+#: One-letter tokens that may be letters set apart.
+SINGLES = frozenset(ALPHABET) | frozenset(LEET)
+
+
+def readings(token: str, model: CharModel) -> tuple[str, ...]:
+    """Words of one lower-case token: as written and, if suspicious, restored."""
+    plain = token.strip(_EDGES)
+    got = (plain,) if plain else ()
+    if not token.isalpha() or _STRETCHED.search(token):
+        core = token.strip(".,;:?\"'()[]{}<>%&")
+        if suspicious(core):  # signs at the end may be letters or not
+            for spot in sorted({core, core.rstrip("!*#$@+|")}):
+                got += tuple(restore(spot, model).split())
+    return got
+
+
+def set_apart(tokens: list[str], model: CharModel) -> set[str]:
+    """Words restored from three or more one-letter tokens in a row."""
+    words: set[str] = set()
+    run: list[str] = []
+    for t in [*tokens, ""]:
+        one = t if len(t) < 2 else t.rstrip(".,;:?!")
+        if len(one) == 1 and one in SINGLES:
+            run.append(one)
+        else:
+            if len(run) >= 3 and len(set(run)) > 1:
+                words.update(restore(EDGE.join(run), model).split())
+            run = []
+    return words
+
+
 def restored_words(text: str, model: CharModel, memo: dict[str, tuple[str, ...]]) -> set[str]:
     """Lower-case words of a text, plain and as restored."""
     tokens = text.lower().split()
-    words: set[str] = set()
-    for t in set(tokens):
-        got = memo.get(t)
-        if got is None:
-            plain = t.strip(_EDGES)
-            got = (plain,) if plain else ()
-            if not t.isalpha() or _STRETCHED.search(t):
-                core = t.strip(".,;:?\"'()[]{}<>%&")
-                if suspicious(core):  # signs at the end may be letters or not
-                    for spot in {core, core.rstrip("!*#$@+|")}:
-                        got += tuple(restore(spot, model).split())
-            memo[t] = got
-        words.update(got)
-    # letters set apart: three or more one-letter tokens in a row
-    if sum(1 for t in tokens if len(t) == 1) >= 2:
-        run: list[str] = []
-        for t in [*tokens, ""]:
-            one = t if len(t) < 2 else t.rstrip(".,;:?!")
-            if len(one) == 1 and (one.isalpha() or one in LEET):
-                run.append(one)
-            else:
-                if len(run) >= 3 and len(set(run)) > 1:
-                    words.update(restore(EDGE.join(run), model).split())
-                run = []
+    distinct = set(tokens)
+    for t in distinct.difference(memo):
+        memo[t] = readings(t, model)
+    words = set().union(*map(memo.__getitem__, distinct))
+    if len(distinct & SINGLES) >= 2:
+        words |= set_apart(tokens, model)
     return words
 
 
@@ -196,21 +216,22 @@ class ToxicityModel:
 
     def scorer(self):
         """A function text -> score, with memos of its own (bounded)."""
-        chars, memo, words = CharModel(self.trigrams), {}, {}
-        weights = self.weights
+        chars, weights = CharModel(self.trigrams), self.weights
+        memo: dict[str, tuple[str, ...]] = {}
+
+        def features(words) -> tuple[str, ...]:
+            return tuple(f for w in words for f in word_features(w) if f in weights)
 
         def score(text: str) -> float:
-            if len(memo) > 300_000:
+            if len(memo) > MEMO:
                 memo.clear()
-            if len(words) > 300_000:
-                words.clear()
-            found: set[str] = set()
-            for w in restored_words(text, chars, memo):
-                hits = words.get(w)
-                if hits is None:
-                    hits = words[w] = tuple(f for f in word_features(w) if f in weights)
-                if hits:
-                    found.update(hits)
+            tokens = text.lower().split()
+            distinct = set(tokens)
+            for t in distinct.difference(memo):
+                memo[t] = features(readings(t, chars))
+            found = set().union(*map(memo.__getitem__, distinct))
+            if len(distinct & SINGLES) >= 2:
+                found.update(features(set_apart(tokens, chars)))
             z = self.bias + sum(weights[f] for f in sorted(found))
             return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
         return score
@@ -219,21 +240,29 @@ class ToxicityModel:
 def char_trigrams(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
     """Trigram counts over the words of all documents.  At most
     (len(ALPHABET) + 2)^3 rows reach the driver, whatever the input."""
+    letters = EDGE + OTHER + ALPHABET
+    n = len(letters)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = np.ones(1 << 16, np.int32)  # others
+        for i, c in enumerate(letters):
+            number[ord(c)] = i
+        for c in [*_EDGES, *"\t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0"]:
+            number[ord(c)] = 0
         for b in batches:
-            words: Counter = Counter()
-            for t in texts_of(b.column(0)):
-                words.update(t.lower().split())
-            grams: Counter = Counter()
-            for w, n in words.items():
-                core = w.strip(_EDGES)
-                if not core.isalpha() or _STRETCHED.search(core):
-                    continue
-                s = EDGE * 2 + "".join(map(known, core)) + EDGE
-                for i in range(len(s) - 2):
-                    grams[s[i:i + 3]] += n
-            yield pa.RecordBatch.from_arrays([pa.array(grams.keys(), pa.string()),
-                                              pa.array(grams.values(), pa.int64())], names=["g", "n"])
+            total = np.zeros(n ** 3, np.int64)
+            for lo in range(0, b.num_rows, SLICE):
+                text = " ".join(["", *texts_of(b.column(0).slice(lo, SLICE)), ""]).lower()
+                points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+                x = number[np.minimum(points, 0xFFFF)]
+                p, q, r = x[:-2], x[1:-1], x[2:]
+                p = np.where(q == 0, 0, p)  # a word begins
+                # ends follow words; stretched letters teach nothing
+                fine = ((q != 0) | (r != 0)) & ~((p == q) & (q == r))
+                total += np.bincount(((p * n + q) * n + r)[fine], minlength=n ** 3)
+            at = np.flatnonzero(total)
+            grams = [letters[i // n // n] + letters[i // n % n] + letters[i % n] for i in at.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(total[at])], names=["g", "n"])
 
     got = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "g string, n bigint")
     return {r.g: r.n for r in got.groupBy("g").agg(F.sum("n").alias("n")).collect()}
@@ -267,27 +296,36 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                    .where("id is not null and y is not null").groupBy("id").agg(F.max("y").alias("y"))
                    .orderBy(F.xxhash64("id"), "id").limit(train_rows))
     marks = materialize(marks, "labels")
-    mine = marks.select(F.col("id").alias("_label_id"), "y")
+    mine = marks.select(F.col("id").alias("of"), "y")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chars, memo = CharModel(trigrams), {}
         for b in batches:
-            feats = [sorted({f for w in restored_words(t, chars, memo) for f in word_features(w)})
-                     for t in texts_of(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(feats, pa.list_(pa.string()))], names=["y", "fs"])
-
-    lab = (texts.join(mine, texts.id == mine["_label_id"]).dropDuplicates(["id"]).select("y", "text")
-                .mapInArrow(words_of, "y int, fs array<string>"))
-    lab = materialize(lab, "features")
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE)
+                if len(memo) > MEMO:
+                    memo.clear()
+                words = [sorted(restored_words(t, chars, memo)) for t in texts_of(part.column(1))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.list_(pa.string()))],
+                                                 names=["y", "words"])
+
+    # the label rows are bounded by train_rows
+    lab = (texts.join(F.broadcast(mine), texts["id"] == mine["of"]).dropDuplicates(["id"]).select("y", "text")
+                .mapInArrow(words_of, "y int, words array<string>"))
+    lab = materialize(lab, "labelled")
     size = lab.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos")).first()
     if not size.pos or size.pos == size.n:
         share = size.pos / size.n if size.n else 0.5
         share = min(1 - 1e-6, max(1e-6, share))
         return ToxicityModel(trigrams, {}, math.log(share / (1 - share)))
     # features that speak for toxicity, the strongest first
-    counted = (lab.select("y", F.explode("fs").alias("f")).groupBy("f")
-                  .agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")).where(f"pos >= {MIN_DOCS}"))
+    by_word = (lab.select("y", F.explode("words").alias("w")).groupBy("w")
+                  .agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")))
+    ends = F.sequence(F.lit(SHORTEST), F.lit(LONGEST))
+    starts = F.transform(F.filter(ends, lambda k: k <= F.length("w")), lambda k: F.substring("w", F.lit(1), k))
+    counted = (by_word.select(F.explode(F.concat(starts, F.array(F.concat(F.lit("="), "w")))).alias("f"), "pos", "n")
+                      .groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).where(f"pos >= {MIN_DOCS}"))
     lift = F.log((F.col("pos") + 0.5) / (size.pos + 1)) - F.log((F.col("n") - F.col("pos") + 0.5)
                                                                 / (size.n - size.pos + 1))
     best = (counted.withColumn("lift", lift).where("lift > 1")
@@ -297,10 +335,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([[number[f] for f in fs if f in number] for fs in b.column(1).to_pylist()],
-                                       pa.list_(pa.int32()))], names=["y", "x"])
+                [b.column(0), pa.array([sorted({number[f] for w in words for f in word_features(w) if f in number})
+                                        for words in b.column(1).to_pylist()], pa.list_(pa.int32()))],
+                names=["y", "x"])
 
-    # equal rows count once with their number, so little reaches the driver
+    # bounded by train_rows
     rows = lab.mapInArrow(chosen, "y int, x array<int>").orderBy("y", "x").collect()
     w, bias = fit_logistic([r.x for r in rows], np.array([r.y for r in rows], float), len(number))
     return ToxicityModel(trigrams, {f: float(w[i]) for f, i in number.items()}, bias)
