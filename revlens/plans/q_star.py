@@ -4,7 +4,7 @@ M7, K2, K3) over the labeled text reviews."""
 from __future__ import annotations
 
 from ..operators import star as ST
-from ..session import materialize, scratch_path
+from ..session import materialize, path_exists, scratch_path
 from .catalog import register
 from .q_pipeline import _L6_CTES, _l6
 from .sqltext import majority_sql
@@ -51,7 +51,7 @@ _FOLDERS: dict[tuple[str, str], str] = {}
 def _stored(spark, sf):
     """The star of a table folder, written once per application."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _FOLDERS:
+    if key not in _FOLDERS or not path_exists(spark, _FOLDERS[key]):
         folder = scratch_path(spark, "star")
         ST.store_star(_labeled(spark, sf), folder)
         _FOLDERS[key] = folder

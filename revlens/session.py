@@ -75,7 +75,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the shared checkpoint folder (never machine-local
     on a cluster) for tables an operator materialises to cut lineage."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+_SCRATCH: list[str] = []
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the tables that operators of this process have written to the
+    shared folder; call it when no result that reads them is needed any
+    more.  Returns how many paths were released."""
+    done = 0
+    while _SCRATCH:
+        delete_path(spark, _SCRATCH.pop())
+        done += 1
+    return done
 
 
 def materialize(df, name: str = "table"):
@@ -92,11 +108,15 @@ def materialize(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that an operator wrote in the shared folder."""
-    jvm, sc = spark.sparkContext._jvm, spark.sparkContext
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 _SHIPPED: set[str] = set()

@@ -27,3 +27,11 @@ def test_cluster_setting_and_local_default(tmp_path):
     assert ensure_checkpoint_dir(_session("yarn", conf)) == "hdfs://shared/ckpt"
     for master in ("local", "local[*]", "local[8]"):
         assert ensure_checkpoint_dir(_session(master), str(tmp_path)).startswith(str(tmp_path))
+
+
+def test_scratch_tables_are_released(spark):
+    from revlens import session as S
+    df = S.materialize(spark.range(5), "kept")
+    path = S._SCRATCH[-1]
+    assert df.count() == 5 and S.path_exists(spark, path)
+    assert S.release_scratch(spark) >= 1 and not S._SCRATCH and not S.path_exists(spark, path)
