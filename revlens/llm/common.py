@@ -33,6 +33,18 @@ def texts_of(column) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE_ROWS = 500
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into short ones: texts become Python strings a slice
+    at a time, so a worker holds few of them (an empty batch stays)."""
+    for b in batches:
+        for lo in range(0, max(1, b.num_rows), rows):
+            yield b.slice(lo, rows)
+
+
 def text_key(text: str):
     """Content key of a text column (null equals the empty text), used with
     the document id to tell rows that share an id apart."""

@@ -19,6 +19,7 @@ import re
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-from .common import texts_of
+from .common import slices, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Candidates at or above this probability become spans.
@@ -221,7 +222,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> dict[tuple, float]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen: Counter = Counter()
-            for t in texts_of(b.column(0)):
+            for t in chain.from_iterable(texts_of(part.column(0)) for part in slices([b])):
                 base = base_spans(t)
                 for kind, s, e in base + candidates(t, base):
                     seen[(KINDS.index(kind), *votes(kind, t, s, e), *shape(kind, t[s:e]))] += 1
@@ -280,7 +281,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             counts, shas, strings = [], [], []
             for t in texts_of(b.column("text")):
                 base, spans = all_spans(t, model)
@@ -320,7 +321,7 @@ def mask(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") ->
         src = src.withColumn(chars_col, F.col(chars_col).cast(LongType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             old = b.column(at).to_pylist()
             new = [t if not t else mask_text(t, all_spans(t, model)[1]) for t in old]
             cols = list(b.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import connected_components, fresh, text_key
+from .common import connected_components, fresh, slices, text_key
 
 #: Shingle hashes summed at a time (bounds memory for very long texts).
 CHUNK = 1 << 16
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = b.column("text").cast(pa.binary()).to_pylist()
             fp = np.fromiter((simhash64(t or b"", shingle, seed) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), pa.array(fp.view(np.int64))],

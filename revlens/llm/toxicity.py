@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import materialize
-from .common import fresh, texts_of
+from .common import fresh, slices, texts_of
 
 # What a written character may stand for, besides itself.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -41,8 +41,8 @@ OTHER, EDGE = "?", " "
 LONGEST, SHORTEST, FEATURES = 7, 3, 4096
 #: Labelled rows that the classifier is fitted on at most.
 TRAIN_ROWS = 20_000
-#: Tokens remembered by a scorer, and texts handled at a time.
-MEMO, SLICE = 300_000, 500
+#: Tokens remembered by a scorer.
+MEMO = 150_000
 #: A feature needs so many labelled documents of the rarer class it speaks for.
 MIN_DOCS = 3
 
@@ -251,8 +251,8 @@ def char_trigrams(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
             number[ord(c)] = 0
         for b in batches:
             total = np.zeros(n ** 3, np.int64)
-            for lo in range(0, b.num_rows, SLICE):
-                text = " ".join(["", *texts_of(b.column(0).slice(lo, SLICE)), ""]).lower()
+            for part in slices([b]):
+                text = " ".join(["", *texts_of(part.column(0)), ""]).lower()
                 points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
                 x = number[np.minimum(points, 0xFFFF)]
                 p, q, r = x[:-2], x[1:-1], x[2:]
@@ -301,14 +301,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chars, memo = CharModel(trigrams), {}
-        for b in batches:
-            for lo in range(0, b.num_rows, SLICE):
-                part = b.slice(lo, SLICE)
-                if len(memo) > MEMO:
-                    memo.clear()
-                words = [sorted(restored_words(t, chars, memo)) for t in texts_of(part.column(1))]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(words, pa.list_(pa.string()))],
-                                                 names=["y", "words"])
+        for b in slices(batches):
+            if len(memo) > MEMO:
+                memo.clear()
+            words = [sorted(restored_words(t, chars, memo)) for t in texts_of(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.list_(pa.string()))],
+                                             names=["y", "words"])
 
     # the label rows are bounded by train_rows
     lab = (texts.join(F.broadcast(mine), texts["id"] == mine["of"]).dropDuplicates(["id"]).select("y", "text")
@@ -357,7 +355,7 @@ def add_score(docs: DataFrame, model: ToxicityModel, text_col: str, out: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
-        for b in batches:
+        for b in slices(batches):
             s = [score(t) for t in texts_of(b.column(at).cast(pa.string()))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())],
                                              names=[*b.schema.names, out])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import texts_of
+from .common import slices, texts_of
 
 K = 16
 WINDOW = 49
@@ -137,7 +137,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prev = None  # (id, text, fingerprint string, hash set) of a row whose next is awaited
-        for b in batches:
+        for b in slices(batches):
             out = []
             for role, i, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), texts_of(b.column(3))):
                 pos, h = winnow(text, k, window)
