@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import texts_of
+from .common import slices, texts_of
 
 # --- fixed values of HTML ---------------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,6 +50,7 @@ NOT_TEXT_WORDS = frozenset(
     "cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe signup login share sharing "
     "social related recommended comment comments disqus respond reply replies discussion "
     "contentinfo complementary search toolbar skip alert".split())
+COMMENT_WORDS = frozenset("comment comments disqus respond reply replies discussion".split())
 #: Article roots, the closest first.
 ROOTS = ("article", "main")
 #: Texts are boilerplate outside an article if equal on so many pages of a host.
@@ -389,7 +390,23 @@ def extract(page: str, paths: list[str], same: list[str]) -> str:
     for r in ROOTS:
         if found[r]:
             return "\n\n".join(blocks_of(found[r][:1]))
-    return "\n\n".join(blocks_of([root], frozenset(same)))
+    lost = buried(root)
+    return "\n\n".join(blocks_of([lost] if lost else [root], frozenset(same)))
+
+
+def buried(root: Node) -> Node | None:
+    """The first article element inside boilerplate that was never closed
+    (an advert's missing end tag swallows what follows); reader comments
+    are not searched."""
+    todo: list = [root]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str) or node.tag in RAW or node.label.partition(".")[2] in COMMENT_WORDS:
+            continue
+        if node.tag in ROOTS:
+            return node
+        todo.extend(reversed(node.kids))
+    return None
 
 
 # --- Spark -----------------------------------------------------------------------------
@@ -461,7 +478,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     kinds = [rows.schema[c].dataType.simpleString() for c in ("page_id", "url")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             out = [extract(h, p or [], s or []) for h, p, s in
                    zip(texts_of(b.column(2)), b.column(3).to_pylist(), b.column(4).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.string()),

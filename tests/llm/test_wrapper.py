@@ -85,6 +85,8 @@ def test_extract_boilerplate():
     want = "Head é!\n\nOne two three\n\n<four> five six\n\ni\n\nj"
     assert W.extract(PAGE, paths, same) == want
     assert W.extract(PAGE, [], []) == want
+    swallowed = "<div class=ad>buy<article><p>y</p></article><section class=comments><article>no</article></section>"
+    assert W.extract(swallowed, paths, same) == "y"
     assert W.extract("", [], []) == W.extract("<p", [], []) == ""
 
 
