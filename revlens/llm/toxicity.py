@@ -175,13 +175,18 @@ def readings(token: str, model: CharModel) -> tuple[str, ...]:
     return got
 
 
+def lone(token: str) -> str:
+    """The letter of a one-letter token, signs behind it apart, else nothing."""
+    one = token if len(token) < 2 else token.rstrip(".,;:?!")
+    return one if len(one) == 1 and one in SINGLES else ""
+
+
 def set_apart(tokens: list[str], model: CharModel) -> set[str]:
     """Words restored from three or more one-letter tokens in a row."""
     words: set[str] = set()
     run: list[str] = []
     for t in [*tokens, ""]:
-        one = t if len(t) < 2 else t.rstrip(".,;:?!")
-        if len(one) == 1 and one in SINGLES:
+        if one := lone(t):
             run.append(one)
         else:
             if len(run) >= 3 and len(set(run)) > 1:
@@ -197,7 +202,7 @@ def restored_words(text: str, model: CharModel, memo: dict[str, tuple[str, ...]]
     for t in distinct.difference(memo):
         memo[t] = readings(t, model)
     words = set().union(*map(memo.__getitem__, distinct))
-    if len(distinct & SINGLES) >= 2:
+    if len({*map(lone, distinct)} - {""}) >= 2:
         words |= set_apart(tokens, model)
     return words
 
@@ -230,7 +235,7 @@ class ToxicityModel:
             for t in distinct.difference(memo):
                 memo[t] = features(readings(t, chars))
             found = set().union(*map(memo.__getitem__, distinct))
-            if len(distinct & SINGLES) >= 2:
+            if len({*map(lone, distinct)} - {""}) >= 2:
                 found.update(features(set_apart(tokens, chars)))
             z = self.bias + sum(weights[f] for f in sorted(found))
             return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))

@@ -75,3 +75,11 @@ def test_edge_rows(spark):
     none = T.score_documents(docs, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert T.score_documents(docs.limit(0), labels).count() == 0
+
+
+def test_letters_with_signs_behind_them_are_set_apart(monkeypatch):
+    """The gate sees the letters as ``set_apart`` strips them."""
+    monkeypatch.setattr(T, "restore", lambda spelled, model: spelled.replace(T.EDGE, ""))
+    memo = {t: () for t in "i. d. o. t. you are".split()}
+    assert "idiot" in T.restored_words("you are i. d. i. o. t.", None, memo)
+    assert T.set_apart("a, a, a,".split(), None) == set()
