@@ -10,7 +10,7 @@ them and the language is settled, ties included; otherwise t sinks and more
 prefixes grow.  A two-word phrase of score t or more also needs the longer
 phrases around it, which may drop it, so it grows to the left as well.
 
-Counting runs in numpy over about 8 MB of text at a time, whatever the text
+Counting runs in numpy over about 2 MB of text at a time, whatever the text
 lengths; Spark sums the parts by phrase.  A fixed bitmap of frequent and
 growing phrases spares the third word where it cannot matter; its hash
 collisions only let more through, and an exact join decides.
@@ -35,8 +35,10 @@ from ..session import materialize
 SCALE = 1_000_000
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Bytes of text counted at a time, and held for all languages of a task.
-CHUNK = 8 << 20
-HELD = 32 << 20
+CHUNK = 2 << 20
+HELD = 8 << 20
+#: Rows of counts sent on at a time.
+ROWS = 50_000
 #: Slots of the bitmap (2^24, four bits each: 8 MB), and its flags.
 SLOT_BITS = 24
 FREQUENT, GROWS, LEADS = 1, 2, 4
@@ -83,12 +85,13 @@ class _Words:
 
 def _short_counts(tokens: list[bytes], old: int):
     """Phrases of one and two words that end behind the first ``old`` tokens:
-    [(phrases, counts, size)]."""
+    (phrases, counts, size); the empty phrase of size 0 counts all words."""
     w = _Words(tokens)
     ids, n = w.ids, len(w.words)
     ones = np.bincount(ids[old:], minlength=n)
     ones[0] = 0
     some = np.flatnonzero(ones)
+    yield pa.array([""]), ones.sum(keepdims=True), 0
     yield w.phrases(some), ones[some], 1
     a, b = ids[:-1], ids[1:]
     ok = (a > 0) & (b > 0)
@@ -144,9 +147,11 @@ def _counter(count, chunk: int, held: int):
             for part in _chunks(b".".join(texts), chunk):
                 tokens = carry + tokens_of(part)
                 for phrases, n, size in count(tokens, len(carry), lang):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(n), pa.string()), phrases, pa.array([size] * len(n), pa.int32()),
+                    rows = pa.RecordBatch.from_arrays(
+                        [pa.repeat(pa.scalar(lang), len(n)), phrases, pa.repeat(pa.scalar(size, pa.int32()), len(n)),
                          pa.array(n, pa.int64())], names=["lang", "phrase", "size", "n"])
+                    for lo in range(0, rows.num_rows, ROWS):
+                        yield rows.slice(lo, ROWS)
                 carry = tokens[-2:]
 
         for batch in batches:
@@ -207,10 +212,12 @@ def collocations(docs: DataFrame, top: int = 2000, min_count: int = 10, cover: i
     spark = docs.sparkSession
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                       F.col(text_col).cast("string").alias("text")).where("text <> ''")
-    short = materialize(_counted(src, lambda tokens, old, _: _short_counts(tokens, old), chunk, held), "phrases")
+    short = _counted(src, lambda tokens, old, _: _short_counts(tokens, old), chunk, held)
+    # words of a candidate are at least as frequent as the candidate
+    short = materialize(short.where((F.col("size") == 0) | (F.col("n") >= min_count)), "phrases")
     ones = short.where("size = 1").select("lang", F.col("phrase").alias("word"), F.col("n").alias("f"))
-    totals = ones.groupBy("lang").agg(F.sum("f").alias("n"))
-    two = short.where((F.col("size") == 2) & (F.col("n") >= min_count)).select(
+    totals = short.where("size = 0").select("lang", "n")
+    two = short.where("size = 2").select(
         "lang", "phrase", F.col("n").alias("a"), F.substring_index("phrase", " ", 1).alias("w1"),
         F.substring_index("phrase", " ", -1).alias("w2"))
 
