@@ -8,6 +8,12 @@ refined by their decoded bytes from the last coarse cut on.  Cuts that both
 tokenizers have part a text into groups; the tokens that end there are
 linked.
 
+Neither tokenizer has a token across a lone space between two other
+characters: the first one's pattern begins a word there, and no piece of the
+second one holds a space mark behind another character (checked).  So texts
+fall into segments that are aligned for themselves, and a worker remembers
+those it has met.
+
 A pair of ids counts in all its links of the corpus.  Texts are encoded
 once; each row keeps its different pairs and how often it has them.  Pairs
 that hold at least one in `HOT_ONE_IN` of all links are at most as many, so
@@ -19,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,8 +42,14 @@ from .packing import byte_alphabet
 SPACE = "▁"
 #: Pairs with at least one in so many links are counted in every task.
 HOT_ONE_IN = 200_000
-#: Characters of texts that are encoded together.
-BATCH_CHARS = 1 << 20
+#: Segments remembered per worker process, and the longest one remembered.
+KNOWN_SEGMENTS = 250_000
+KNOWN_CHARS = 48
+#: Segments that are encoded together, and texts that are read together.
+BATCH_SEGMENTS = 10_000
+BATCH_TEXTS = 200
+#: A lone space between two other characters (none of them white space).
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 class Tokens:
@@ -57,6 +70,11 @@ class Tokens:
                         for i, p in enumerate(self.b.id_to_piece(list(range(self.n_b))))]
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        # a space mark inside a piece would join segments
+        if any(SPACE in p.lstrip(SPACE) for i, p in enumerate(self.b.id_to_piece(list(range(self.n_b))))
+               if not self.b.is_byte(i)):
+            raise ValueError("pieces with inner spaces are not supported")
+        self.known: dict[str, tuple | None] = {}
         self.written = np.array([f"{i}{sep}" for n, seps in ((self.n_a, ",|"), (self.n_b, ",;"))
                                  for sep in seps for i in range(n)], object)
 
@@ -111,17 +129,13 @@ class Aligned:
         return "".join(t.written[order].tolist())[:-1]
 
 
-def align(t: Tokens, texts: list[str]) -> list[Aligned | None]:
-    """Each text's alignment; None for empty texts and those that the tokens
-    do not spell out."""
-    out: list[Aligned | None] = [None] * len(texts)
-    full = [k for k, x in enumerate(texts) if x]
-    if not full:
-        return out
-    got_a = t.a.encode_batch([" " + texts[k] for k in full], add_special_tokens=False)
-    got_b = t.b.encode([texts[k] for k in full], return_type="offset_mapping", num_threads=1)
-    for k, ea, eb in zip(full, got_a, got_b):
-        spaced = " " + texts[k]
+def align(t: Tokens, segments: list[str]) -> list[Aligned | None]:
+    """Alignment of each segment (a text that begins with a space and holds
+    more); None if the tokens do not spell it out."""
+    out: list[Aligned | None] = [None] * len(segments)
+    got_a = t.a.encode_batch(segments, add_special_tokens=False)
+    got_b = t.b.encode([x[1:] for x in segments], return_type="offset_mapping", num_threads=1)
+    for k, (spaced, ea, eb) in enumerate(zip(segments, got_a, got_b)):
         raw = spaced.encode()
         ids_a, ids_b = ea.ids, eb["ids"]
         if b"".join(map(t.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(t.bytes_b.__getitem__, ids_b)) != raw:
@@ -142,16 +156,32 @@ def align(t: Tokens, texts: list[str]) -> list[Aligned | None]:
     return out
 
 
-def _parts(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about so many characters."""
-    lo, held = 0, 0
-    for k, x in enumerate(texts):
-        held += len(x)
-        if held >= chars:
-            yield lo, k + 1
-            lo, held = k + 1, 0
-    if lo < len(texts):
-        yield lo, len(texts)
+def _learn(t: Tokens, segments: list[str]) -> None:
+    """Align new segments: tokens of A and B, groups, their text and pairs."""
+    for lo in range(0, len(segments), BATCH_SEGMENTS):
+        some = segments[lo:lo + BATCH_SEGMENTS]
+        for s, x in zip(some, align(t, some)):
+            t.known[s] = x and (len(x.ids_a), len(x.ids_b), len(x.cut_a), x.text(), x.pairs.tobytes())
+
+
+def align_texts(t: Tokens, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
+    """Per text: tokens of A and of B, groups, the groups' text and the codes
+    of the linked pairs; zeros and empties if there are no tokens."""
+    cut = [_CUT.split(" " + x) if x else [] for x in texts]
+    if len(t.known) > KNOWN_SEGMENTS:
+        t.known.clear()
+    new = set().union(*cut).difference(t.known)
+    _learn(t, list(new))
+    for segments in cut:
+        parts = list(map(t.known.__getitem__, segments))
+        if not parts or None in parts:
+            yield 0, 0, 0, "", np.empty(0, np.int64)
+            continue
+        n_a, n_b, n, groups, pairs = zip(*parts)
+        yield sum(n_a), sum(n_b), sum(n), ";".join(groups), np.frombuffer(b"".join(pairs), np.int64)
+    for s in new:  # very long segments are not worth remembering
+        if len(s) > KNOWN_CHARS:
+            del t.known[s]
 
 
 def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
@@ -174,35 +204,27 @@ def alignments(docs: DataFrame, byte_path: str, piece_path: str, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokens_of(byte_path, piece_path)
-        none = np.empty(0, np.int64)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                some = batch.slice(low, 500)
-                texts = texts_of(some.column("text"))
-                for lo, hi in _parts(texts, BATCH_CHARS):
-                    rows, pairs, times, groups = [], [], [], []
-                    for x in align(t, texts[lo:hi]):
-                        if x is None:
-                            rows.append((0, 0, 0, ""))
-                            pairs.append(none)
-                            times.append(none)
-                            groups.append("")
-                            continue
-                        text = x.text()
-                        code, count = np.unique(x.pairs, return_counts=True)
-                        rows.append((len(x.ids_a), len(x.ids_b), len(x.cut_a), hashlib.sha256(text.encode()).hexdigest()))
-                        pairs.append(code)
-                        times.append(count)
-                        groups.append(text if with_groups else "")
-                    n_a, n_b, n, sha = zip(*rows)
-                    arrays = [some.column("doc_id").slice(lo, hi - lo), pa.array(n_a, pa.int64()),
-                              pa.array(n_b, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.string()),
-                              _lists(pairs, pa.int64()), _lists(times, pa.int64())]
-                    names = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"]
+            for lo in range(0, batch.num_rows, BATCH_TEXTS):
+                some = batch.slice(lo, BATCH_TEXTS)
+                rows, pairs, times, groups = [], [], [], []
+                for n_a, n_b, n, text, codes in align_texts(t, texts_of(some.column("text"))):
+                    sha = hashlib.sha256(text.encode()).hexdigest() if n else ""
+                    rows.append((n_a, n_b, n, sha))
+                    code, count = np.unique(codes, return_counts=True)
+                    pairs.append(code)
+                    times.append(count)
                     if with_groups:
-                        arrays.append(pa.array(groups, pa.string()))
-                        names.append("groups")
-                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+                        groups.append(text)
+                n_a, n_b, n, sha = zip(*rows) if rows else ((), (), (), ())
+                arrays = [some.column("doc_id"), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()),
+                          pa.array(n, pa.int64()), pa.array(sha, pa.string()), _lists(pairs, pa.int64()),
+                          _lists(times, pa.int64())]
+                names = ["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "pairs", "times"]
+                if with_groups:
+                    arrays.append(pa.array(groups, pa.string()))
+                    names.append("groups")
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = (f"doc_id {kind}, n_a bigint, n_b bigint, n_groups bigint, groups_sha256 string, "
               "pairs array<bigint>, times array<bigint>" + ", groups string" * with_groups)

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from revlens.llm.alignment import align, align_documents, alignments, tokens_of
+from revlens.llm.alignment import align, align_documents, align_texts, alignments, tokens_of
 from revlens.llm.queries import QUERIES
 
 A, B = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
@@ -74,15 +74,31 @@ def got(df):
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(alphabet="ab <>|▁é日😀́‍\n\t\x00½ﬁＡ", max_size=30) | st.text(max_size=30))
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="ab  ,'s<>|▁é日😀́‍\n\t\x00½ﬁＡ1", max_size=40) | st.text(max_size=30))
 def test_groups_match_decoded_bytes(text):
+    """Whole texts as one segment, and cut into segments."""
     t = tokens_of(A, B)
-    mine, want = align(t, [text])[0], plain_text(text, t.a, t.b)
-    assert (mine is None) == (want is None)
-    if mine is not None:
-        assert mine.text() == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want[2])
-        assert mine.pairs.tolist() == [x[-1] * t.n_b + y[-1] for x, y in want[2]]
+    want = plain_text(text, t.a, t.b)
+    n_a, n_b, n, groups, pairs = next(align_texts(t, [text]))
+    mine = align(t, [" " + text])[0] if text else None
+    assert (n == 0) == (want is None) == (mine is None)
+    if want is not None:
+        assert (n_a, n_b, n) == (len(want[0]), len(want[1]), len(want[2]))
+        assert mine.text() == groups == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want[2])
+        assert mine.pairs.tolist() == pairs.tolist() == [x[-1] * t.n_b + y[-1] for x, y in want[2]]
+
+
+def test_memory_is_cleared_and_long_segments_forgotten(monkeypatch):
+    from revlens.llm import alignment as M
+    t = tokens_of(A, B)
+    t.known.clear()
+    monkeypatch.setattr(M, "KNOWN_SEGMENTS", 3)
+    texts = ["one two three", "x" * 200 + " four", "one two", "five six seven"]
+    for x in texts:
+        a = t.a.encode(" " + x, add_special_tokens=False).ids
+        assert next(align_texts(t, [x]))[0] == len(a)
+    assert all(len(s) <= M.KNOWN_CHARS for s in t.known) and len(t.known) <= 7
 
 
 def test_odd_rows(spark):
