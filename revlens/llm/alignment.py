@@ -28,6 +28,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ SPACE = "▁"
 #: Pairs with at least one in so many links are counted in every task.
 HOT_ONE_IN = 200_000
 #: Segments remembered per worker process, and the longest one remembered.
-KNOWN_SEGMENTS = 250_000
+KNOWN_SEGMENTS = 500_000
 KNOWN_CHARS = 48
 #: Segments that are encoded together, and texts that are read together.
 BATCH_SEGMENTS = 10_000
@@ -54,7 +55,7 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 class Tokens:
     """Entries of both vocabularies: bytes, their lengths, and the texts that
-    stand for an id inside a group or at its end."""
+    stand for an id inside a group, at its end, or at the end of a segment."""
 
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -75,7 +76,7 @@ class Tokens:
                if not self.b.is_byte(i)):
             raise ValueError("pieces with inner spaces are not supported")
         self.known: dict[str, tuple | None] = {}
-        self.written = np.array([f"{i}{sep}" for n, seps in ((self.n_a, ",|"), (self.n_b, ",;"))
+        self.written = np.array([f"{i}{sep}" for n, seps in ((self.n_a, ",|"), (self.n_b, ",;\n"))
                                  for sep in seps for i in range(n)], object)
 
 
@@ -104,64 +105,74 @@ def byte_ends(starts: np.ndarray, ends: np.ndarray, lengths: np.ndarray, at: np.
     return run + base
 
 
-class Aligned:
-    """Groups and links of one text."""
-
-    def __init__(self, t: Tokens, ids_a, ids_b, ends_a, ends_b):
-        self.ids_a, self.ids_b, self.t = ids_a, ids_b, t
-        # both cut at the end of the text, so the last place is common
-        place = np.searchsorted(ends_a, ends_b)
-        both = ends_a[place] == ends_b
-        self.cut_b, self.cut_a = np.flatnonzero(both), place[both]
-        self.pairs = ids_a[self.cut_a] * t.n_b + ids_b[self.cut_b]
-
-    def text(self) -> str:
-        """``a1,a2|b1;a3|b2,b3``: the ids of each group."""
-        t, a, b, n = self.t, self.ids_a.copy(), self.ids_b + 2 * self.t.n_a, len(self.cut_a)
-        a[self.cut_a] += t.n_a
-        b[self.cut_b] += t.n_b
-        size_a = np.diff(self.cut_a, prepend=-1)
-        size_b = np.diff(self.cut_b, prepend=-1)
-        group_a, group_b = np.repeat(np.arange(n), size_a), np.repeat(np.arange(n), size_b)
-        order = np.empty(len(a) + len(b), np.int64)
-        order[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[group_a]] = a
-        order[np.arange(len(b)) + np.cumsum(size_a)[group_b]] = b
-        return "".join(t.written[order].tolist())[:-1]
-
-
-def align(t: Tokens, segments: list[str]) -> list[Aligned | None]:
-    """Alignment of each segment (a text that begins with a space and holds
-    more); None if the tokens do not spell it out."""
-    out: list[Aligned | None] = [None] * len(segments)
+def _numbers(lists) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64)
+
+
+def align(t: Tokens, segments: list[str]) -> list[tuple | None]:
+    """Per segment (a text that begins with a space and holds more): tokens
+    of A and B, groups, the groups' text ``a1,a2|b1;a3|b2,b3`` and the codes
+    of the linked pairs as bytes; None if the tokens do not spell it out.
+
+    The segments are laid end to end, so all of them are aligned at once."""
     got_a = t.a.encode_batch(segments, add_special_tokens=False)
     got_b = t.b.encode([x[1:] for x in segments], return_type="offset_mapping", num_threads=1)
-    for k, (spaced, ea, eb) in enumerate(zip(segments, got_a, got_b)):
-        raw = spaced.encode()
-        ids_a, ids_b = ea.ids, eb["ids"]
-        if b"".join(map(t.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(t.bytes_b.__getitem__, ids_b)) != raw:
-            continue
-        if len(raw) == len(spaced):
-            at = np.arange(len(raw) + 1)
-        else:  # bytes that are no continuation begin a character
-            begins = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
-            at = np.append(begins, len(raw))
-        ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-        span_a = np.array(ea.offsets, np.int64).reshape(-1, 2)
-        # the second library's spans are those of the text without the space
-        span_b = np.array(eb["offsets"], np.int64).reshape(-1, 2) + 1
-        span_b[0, 0] = 0
-        ends_a = byte_ends(span_a[:, 0], span_a[:, 1], t.len_a[ids_a], at)
-        ends_b = byte_ends(span_b[:, 0], span_b[:, 1], t.len_b[ids_b], at)
-        out[k] = Aligned(t, ids_a, ids_b, ends_a, ends_b)
+    ids_a, ids_b = [e.ids for e in got_a], [e["ids"] for e in got_b]
+    spell_a, spell_b = t.bytes_a.__getitem__, t.bytes_b.__getitem__
+    raws = [x.encode() for x in segments]
+    good = [k for k, raw in enumerate(raws)
+            if b"".join(map(spell_a, ids_a[k])) == raw and b"".join(map(spell_b, ids_b[k])) == raw]
+    out: list[tuple | None] = [None] * len(segments)
+    if not good:
+        return out
+    count_a, count_b = (np.array([len(ids[k]) for k in good]) for ids in (ids_a, ids_b))
+    chars = np.array([len(segments[k]) for k in good])
+    begin, stop = np.cumsum(chars) - chars, np.cumsum([len(raws[k]) for k in good])
+    raw = b"".join(raws[k] for k in good)
+    if len(raw) == chars.sum():
+        at = np.arange(len(raw) + 1)
+    else:  # bytes that are no continuation begin a character
+        at = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw))
+    a, b = _numbers(ids_a[k] for k in good), _numbers(ids_b[k] for k in good)
+    span_a = _numbers(chain.from_iterable(got_a[k].offsets for k in good)).reshape(-1, 2)
+    span_a += np.repeat(begin, count_a)[:, None]
+    # the second library's spans are those of the text without the space
+    span_b = _numbers(chain.from_iterable(got_b[k]["offsets"] for k in good)).reshape(-1, 2)
+    span_b += np.repeat(begin, count_b)[:, None] + 1
+    span_b[np.cumsum(count_b) - count_b, 0] = begin
+    ends_a = byte_ends(span_a[:, 0], span_a[:, 1], t.len_a[a], at)
+    ends_b = byte_ends(span_b[:, 0], span_b[:, 1], t.len_b[b], at)
+
+    # both cut at the end of each segment, so the last place is common
+    place = np.searchsorted(ends_a, ends_b)
+    both = ends_a[place] == ends_b
+    cut_b, cut_a = np.flatnonzero(both), place[both]
+    pairs = a[cut_a] * t.n_b + b[cut_b]
+    upto = np.searchsorted(ends_b[cut_b], stop, side="right")
+    groups = np.diff(upto, prepend=0)
+
+    size_a, size_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
+    in_group = np.arange(len(cut_a))
+    group_a, group_b = np.repeat(in_group, size_a), np.repeat(in_group, size_b)
+    a[cut_a] += t.n_a
+    b += 2 * t.n_a
+    b[cut_b] += t.n_b
+    b[cut_b[upto - 1]] += t.n_b
+    order = np.empty(len(a) + len(b), np.int64)
+    order[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[group_a]] = a
+    order[np.arange(len(b)) + np.cumsum(size_a)[group_b]] = b
+    texts = "".join(t.written[order].tolist()).split("\n")
+    flat, hi = pairs.tobytes(), (upto * 8).tolist()
+    for k, n_a, n_b, n, text, lo, end in zip(good, count_a.tolist(), count_b.tolist(), groups.tolist(), texts,
+                                             [0, *hi], hi):
+        out[k] = (n_a, n_b, n, text, flat[lo:end])
     return out
 
 
 def _learn(t: Tokens, segments: list[str]) -> None:
-    """Align new segments: tokens of A and B, groups, their text and pairs."""
     for lo in range(0, len(segments), BATCH_SEGMENTS):
         some = segments[lo:lo + BATCH_SEGMENTS]
-        for s, x in zip(some, align(t, some)):
-            t.known[s] = x and (len(x.ids_a), len(x.ids_b), len(x.cut_a), x.text(), x.pairs.tobytes())
+        t.known.update(zip(some, align(t, some)))
 
 
 def align_texts(t: Tokens, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:

@@ -84,9 +84,9 @@ def test_groups_match_decoded_bytes(text):
     mine = align(t, [" " + text])[0] if text else None
     assert (n == 0) == (want is None) == (mine is None)
     if want is not None:
-        assert (n_a, n_b, n) == (len(want[0]), len(want[1]), len(want[2]))
-        assert mine.text() == groups == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want[2])
-        assert mine.pairs.tolist() == pairs.tolist() == [x[-1] * t.n_b + y[-1] for x, y in want[2]]
+        assert (n_a, n_b, n) == mine[:3] == (len(want[0]), len(want[1]), len(want[2]))
+        assert mine[3] == groups == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want[2])
+        assert mine[4] == pairs.tobytes() and pairs.tolist() == [x[-1] * t.n_b + y[-1] for x, y in want[2]]
 
 
 def test_memory_is_cleared_and_long_segments_forgotten(monkeypatch):
