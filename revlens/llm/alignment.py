@@ -48,6 +48,8 @@ KNOWN_SEGMENTS = 500_000
 KNOWN_CHARS = 48
 #: Segments that are encoded together, and texts that are read together.
 BATCH_SEGMENTS = 10_000
+#: Segments in one encoded text.
+RUN = 500
 BATCH_TEXTS = 200
 #: A lone space between two other characters (none of them white space).
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -114,34 +116,54 @@ def align(t: Tokens, segments: list[str]) -> list[tuple | None]:
     of A and B, groups, the groups' text ``a1,a2|b1;a3|b2,b3`` and the codes
     of the linked pairs as bytes; None if the tokens do not spell it out.
 
-    The segments are laid end to end, so all of them are aligned at once."""
-    got_a = t.a.encode_batch(segments, add_special_tokens=False)
-    got_b = t.b.encode([x[1:] for x in segments], return_type="offset_mapping", num_threads=1)
+    Segments with a lone space before and no white space behind are encoded
+    many at a time, as one text."""
+    plain = [k for k, x in enumerate(segments) if len(x) > 1 and not x[1].isspace() and not x[-1].isspace()]
+    rest = set(range(len(segments))).difference(plain)
+    out: list[tuple | None] = [None] * len(segments)
+    runs = [plain[lo:lo + RUN] for lo in range(0, len(plain), RUN)] + [[k] for k in sorted(rest)]
+    while runs:
+        # a run that is not spelled out is taken apart
+        runs = [[k] for run in _align_runs(t, segments, runs, out) if len(run) > 1 for k in run]
+    return out
+
+
+def _align_runs(t: Tokens, segments: list[str], runs: list[list[int]], out: list) -> list[list[int]]:
+    """Align runs of segments, laid end to end; returns the runs that the
+    tokens do not spell out."""
+    texts = ["".join(segments[k] for k in run) for run in runs]
+    got_a = t.a.encode_batch(texts, add_special_tokens=False)
+    got_b = t.b.encode([x[1:] for x in texts], return_type="offset_mapping", num_threads=1)
     ids_a, ids_b = [e.ids for e in got_a], [e["ids"] for e in got_b]
     spell_a, spell_b = t.bytes_a.__getitem__, t.bytes_b.__getitem__
-    raws = [x.encode() for x in segments]
-    good = [k for k, raw in enumerate(raws)
-            if b"".join(map(spell_a, ids_a[k])) == raw and b"".join(map(spell_b, ids_b[k])) == raw]
-    out: list[tuple | None] = [None] * len(segments)
+    raws = [x.encode() for x in texts]
+    good, bad = [], []
+    for i, raw in enumerate(raws):
+        fits = b"".join(map(spell_a, ids_a[i])) == raw and b"".join(map(spell_b, ids_b[i])) == raw
+        (good if fits else bad).append(i)
+    bad = [runs[i] for i in bad]
     if not good:
-        return out
-    count_a, count_b = (np.array([len(ids[k]) for k in good]) for ids in (ids_a, ids_b))
-    chars = np.array([len(segments[k]) for k in good])
-    begin, stop = np.cumsum(chars) - chars, np.cumsum([len(raws[k]) for k in good])
-    raw = b"".join(raws[k] for k in good)
+        return bad
+    own = [k for i in good for k in runs[i]]
+    stop = np.cumsum([len(segments[k].encode()) for k in own])
+    count_a, count_b = (np.array([len(ids[i]) for i in good]) for ids in (ids_a, ids_b))
+    chars = np.array([len(texts[i]) for i in good])
+    begin = np.cumsum(chars) - chars
+    raw = b"".join(raws[i] for i in good)
     if len(raw) == chars.sum():
         at = np.arange(len(raw) + 1)
     else:  # bytes that are no continuation begin a character
         at = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw))
-    a, b = _numbers(ids_a[k] for k in good), _numbers(ids_b[k] for k in good)
-    span_a = _numbers(chain.from_iterable(got_a[k].offsets for k in good)).reshape(-1, 2)
+    a, b = _numbers(ids_a[i] for i in good), _numbers(ids_b[i] for i in good)
+    span_a = _numbers(chain.from_iterable(got_a[i].offsets for i in good)).reshape(-1, 2)
     span_a += np.repeat(begin, count_a)[:, None]
     # the second library's spans are those of the text without the space
-    span_b = _numbers(chain.from_iterable(got_b[k]["offsets"] for k in good)).reshape(-1, 2)
+    span_b = _numbers(chain.from_iterable(got_b[i]["offsets"] for i in good)).reshape(-1, 2)
     span_b += np.repeat(begin, count_b)[:, None] + 1
     span_b[np.cumsum(count_b) - count_b, 0] = begin
     ends_a = byte_ends(span_a[:, 0], span_a[:, 1], t.len_a[a], at)
     ends_b = byte_ends(span_b[:, 0], span_b[:, 1], t.len_b[b], at)
+    n_a, n_b = (np.diff(np.searchsorted(e, stop, side="right"), prepend=0) for e in (ends_a, ends_b))
 
     # both cut at the end of each segment, so the last place is common
     place = np.searchsorted(ends_a, ends_b)
@@ -161,12 +183,11 @@ def align(t: Tokens, segments: list[str]) -> list[tuple | None]:
     order = np.empty(len(a) + len(b), np.int64)
     order[np.arange(len(a)) + (np.cumsum(size_b) - size_b)[group_a]] = a
     order[np.arange(len(b)) + np.cumsum(size_a)[group_b]] = b
-    texts = "".join(t.written[order].tolist()).split("\n")
+    written = "".join(t.written[order].tolist()).split("\n")
     flat, hi = pairs.tobytes(), (upto * 8).tolist()
-    for k, n_a, n_b, n, text, lo, end in zip(good, count_a.tolist(), count_b.tolist(), groups.tolist(), texts,
-                                             [0, *hi], hi):
-        out[k] = (n_a, n_b, n, text, flat[lo:end])
-    return out
+    for k, *row, lo, end in zip(own, n_a.tolist(), n_b.tolist(), groups.tolist(), written, [0, *hi], hi):
+        out[k] = (*row, flat[lo:end])
+    return bad
 
 
 def _learn(t: Tokens, segments: list[str]) -> None:
