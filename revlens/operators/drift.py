@@ -150,7 +150,7 @@ def drift_counter(events: DataFrame, key: str, order_ts: str, tiebreak: str,
     stores (k - 1) mod reset_at and triggers when k > 1 and that is 0 -
     from an empty table the first trigger is event reset_at + 1."""
     e = events.withColumn("_t", F.unix_micros(F.col(order_ts).cast("timestamp")))
-    r = rank_within(e, ["_t", tiebreak], by=[key], name="_k").drop("_t")
+    r = rank_within(e, ["_t", tiebreak], by=[key], name="_k", copy=False).drop("_t")
     cnt = F.pmod(F.col("_k") - 1, F.lit(reset_at))
     return (r.withColumn("drift_counter", cnt.cast("int"))
              .withColumn("triggered", (F.col("_k") > 1) & (cnt == 0))

@@ -32,11 +32,17 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-def positions(df: DataFrame, order, name: str = "_pos", rows_per_range: int | None = None) -> DataFrame:
+def positions(df: DataFrame, order, name: str = "_pos", rows_per_range: int | None = None,
+              copy: bool = True) -> DataFrame:
     """``df`` in ``order`` order with ``name`` = 0-based position of each row,
     and its range in ``_range``.  ``order`` should end with a unique key;
-    rows that tie in all of it are numbered in any order."""
+    rows that tie in all of it are numbered in any order.
+
+    The input is read three times (count, sample of the order, sort), so it
+    is written first; ``copy=False`` is for scans that are cheaper to repeat."""
     order = _cols(order)
+    if copy:
+        df = materialize(df, "unordered")
     n = df.count()
     ranges = max(1, math.ceil(n / rows_per_range if rows_per_range else math.sqrt(n / RANGE_UNIT)))
     dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
@@ -51,13 +57,14 @@ def positions(df: DataFrame, order, name: str = "_pos", rows_per_range: int | No
                   .drop("_at", "_start"))
 
 
-def rank_within(df: DataFrame, order, by=(), name: str = "rn", rows_per_range: int | None = None) -> DataFrame:
+def rank_within(df: DataFrame, order, by=(), name: str = "rn", rows_per_range: int | None = None,
+                copy: bool = True) -> DataFrame:
     """Add ``name`` = 1-based position of each row inside its ``by`` group in
     ``order`` order (``row_number()`` semantics; nulls are a group).
 
     ``order`` must be a total order (end it with a unique key)."""
     by = list(by)
-    placed = positions(df, [*by, *order], rows_per_range=rows_per_range).drop("_range")
+    placed = positions(df, [*by, *order], rows_per_range=rows_per_range, copy=copy).drop("_range")
     if not by:
         return placed.withColumn(name, F.col("_pos") + 1).drop("_pos")
     first = placed.groupBy(*by).agg(F.min("_pos").alias("_first"))

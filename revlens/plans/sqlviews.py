@@ -34,7 +34,7 @@ VIEWS = {
          CAST(1 + ((l_linenumber - 1) % 5) AS DOUBLE) AS rating,
          CAST(floor(l_quantity) AS BIGINT) % 10 AS helpful_vote,
          (l_returnflag = 'R') AS verified_purchase,
-         l_shipdate AS timestamp
+         l_shipdate AS timestamp, row_number() OVER () - 1 AS row_id
   FROM lineitem""",
     "reviews_v": f"""
   SELECT *, {heuristic_sql('rating', 'verified_purchase', 'helpful_vote')} AS final_sentiment
@@ -54,9 +54,7 @@ VIEWS = {
          CAST(p_partkey AS VARCHAR) AS parent_asin
   FROM part""",
     "labeled_v": """
-  SELECT CAST(row_number() OVER (ORDER BY r.l_orderkey, r.l_linenumber, r.product_id, r.l_suppkey) - 1 AS BIGINT)
-           AS row_id,
-         r.product_id, r.rating, r.helpful_vote, r.timestamp, r.final_sentiment,
+  SELECT r.row_id, r.product_id, r.rating, r.helpful_vote, r.timestamp, r.final_sentiment,
          CAST(CASE r.final_sentiment WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 WHEN 'neutral' THEN 2 END
               AS INTEGER) AS label,
          c.category_name AS main_category, p.store

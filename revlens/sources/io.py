@@ -7,7 +7,7 @@ pipeline stages nothing is written at all - the plan stays lazy.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,8 +97,51 @@ def append_metrics(df: DataFrame, path: str) -> None:
     write_table(df, path, fmt="parquet", mode="append", partition_by=["Model_Name"])
 
 
+#: Up to so many files their offsets go to every task (about 200 bytes each).
+FILES_EVERYWHERE = 100_000
+
+
+def file_offsets(spark: SparkSession, path: str) -> DataFrame:
+    """``_pos_path, _pos_first, _pos_rows``: per Parquet file of a table the rows of the
+    files before it (in path order) and its own, from the files' metadata:
+    no column is read.  One row per file, so one window orders them."""
+    files = (spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("_pos_path"))
+                  .agg(F.count(F.lit(1)).alias("_pos_rows")))
+    before = Window.orderBy("_pos_path").rowsBetween(Window.unboundedPreceding, -1)
+    return files.withColumn("_pos_first", F.coalesce(F.sum("_pos_rows").over(before), F.lit(0)))
+
+
+def read_positions(spark: SparkSession, path: str, schema: T.StructType | None = None, name: str = "row_id",
+                   start: int = 0) -> DataFrame:
+    """A Parquet table with ``name`` = the place of each row in the table:
+    files in path order, rows as they lie in their file.
+
+    Spark knows a row's file and its index there, also where row groups are
+    split or skipped, so no row is sorted, copied or moved; a task that runs
+    again gives the same numbers.  Offsets are broadcast while the number of
+    files, which is counted, is at most `FILES_EVERYWHERE`; beyond that the
+    planner joins them by path.  A column called ``name`` is replaced."""
+    offsets = file_offsets(spark, path)
+    if len(spark.read.parquet(path).inputFiles()) <= FILES_EVERYWHERE:
+        offsets = F.broadcast(offsets)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    rows = reader.parquet(path)
+    keep = [c for c in rows.columns if c.lower() != name.lower()]
+    rows = rows.select(*[F.col(f"`{c}`") for c in keep], F.col("_metadata.file_path").alias("_pos_path"),
+                       F.col("_metadata.row_index").alias("_pos_index"))
+    return rows.join(offsets.select("_pos_path", "_pos_first"), "_pos_path").select(
+        *[F.col(f"`{c}`") for c in keep], (F.col("_pos_first") + F.col("_pos_index") + start).alias(name))
+
+
+def first_rows(spark: SparkSession, path: str, n: int, schema: T.StructType | None = None) -> DataFrame:
+    """The first ``n`` rows of a Parquet table in its own order
+    (``nrows=``): each task keeps its own first ``n``."""
+    place = "_pos_place"
+    return read_positions(spark, path, schema, place).orderBy(place).limit(n).drop(place)
+
+
 def bounded_scan(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:
-    """The first ``n`` rows in ``order_col`` order (``nrows=``).  Plans as
+    """S8 for a table with an order column: its first ``n`` rows.  Plans as
     TakeOrderedAndProject: each task keeps its own top ``n``."""
     return df.orderBy(F.col(order_col)).limit(n)
 

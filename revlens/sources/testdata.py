@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import heuristic_sentiment
+from .io import read_positions
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -64,9 +65,11 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p_brand").alias("store")))
 
 
-def review_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numeric reviews from `lineitem`, labelled with the rating rule (L1)."""
-    li = table(spark, sf_dir, "lineitem")
+def review_facts(spark: SparkSession, sf_dir: str, row_ids: bool = False) -> DataFrame:
+    """Numeric reviews from `lineitem`, labelled with the rating rule (L1);
+    with ``row_ids`` their place in the table's files as ``row_id``."""
+    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    li = read_positions(spark, path) if row_ids else table(spark, sf_dir, "lineitem")
     rating = (F.lit(1) + F.pmod(F.col("l_linenumber") - 1, F.lit(5))).cast("double")
     helpful = F.pmod(F.floor("l_quantity").cast("long"), F.lit(10))
     verified = F.col("l_returnflag") == "R"
@@ -75,15 +78,11 @@ def review_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         rating.alias("rating"), helpful.alias("helpful_vote"),
         verified.alias("verified_purchase"),
-        F.col("l_shipdate").alias("timestamp"),
+        F.col("l_shipdate").alias("timestamp"), *(["row_id"] if row_ids else []),
     ).withColumn("final_sentiment",
                  heuristic_sentiment("rating", "verified_purchase", "helpful_vote"))
 
 
-# Columns that make a lineitem-derived review unique, in id order.
-REVIEW_KEY = ["l_orderkey", "l_linenumber", "product_id", "l_suppkey"]
-
-
 def review_text():
     """Review text of a document: a phrase by doc_id, then its text; some ids
     give the texts that the cleaning rules drop (links, file names, missing
@@ -159,17 +158,13 @@ def eval_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labeled_facts(spark: SparkSession, sf_dir: str, row_ids: bool = True) -> DataFrame:
-    """Numeric reviews with a dense row id, encoded label, category and store
-    (input of the sampling / balancing operators).  ``row_ids=False`` leaves
-    out the row id (and the distributed rank behind it) for consumers that
-    only count."""
+    """Numeric reviews with their position as row id, encoded label, category
+    and store (input of the sampling / balancing operators).
+    ``row_ids=False`` leaves the position out for consumers that only count."""
     from ..functions.labels import encode_label
-    from ..operators.ordering import with_row_id
-    r = review_facts(spark, sf_dir)
+    r = review_facts(spark, sf_dir, row_ids)
     if not row_ids:
         r = r.withColumn("row_id", F.lit(None).cast("long"))
-    else:
-        r = with_row_id(r, REVIEW_KEY, name="row_id", start=0)
     # category (p_type) and store (p_brand) straight from the product table
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"),
                                             F.col("p_type").alias("main_category"),
