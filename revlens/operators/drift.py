@@ -3,15 +3,22 @@
 KS statistics are computed from value counts: each sample is aggregated by
 distinct value, the two counts are cumulated along the value order with the
 bucketed running sum, and D is the largest ECDF gap - no sample is ever
-collected or sorted in one task.
+collected or sorted in one task.  The p-value of small samples is exact, by
+the recurrence of the paths that two merged samples can take; large samples
+take the asymptotic series.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import word_tokens
 from .ordering import rank_within, running_sum
@@ -19,6 +26,7 @@ from .ordering import rank_within, running_sum
 P_THRESHOLD = 0.05
 KS_TERMS = 100        # terms of the Kolmogorov series
 KS_SMALL_LAMBDA = 0.2  # below this the survival function is 1 to double precision
+KS_EXACT_MAX = 10_000  # samples up to this size have an exact p-value
 
 
 def word_frequencies(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
@@ -39,11 +47,49 @@ def kolmogorov_sf(lam: Column) -> Column:
     return F.when(lam < KS_SMALL_LAMBDA, F.lit(1.0)).otherwise(q)
 
 
+def exact_ks_p(m: int, n: int, gap: int) -> float:
+    """P(D >= gap / (m n)) for samples of ``m`` and ``n`` values without ties.
+
+    Merging the samples in value order is a walk on a lattice: after i values
+    of one and j of the other the ECDF gap is |i n - j m| / (m n), and the
+    next value is from the first sample with probability (m - i) / (values
+    left).  Step by step, what reaches ``gap`` leaves the walk and adds up to
+    the p-value; all terms are positive, so small p-values keep their digits.
+    O((m + n) min(m, n)) steps of a vector."""
+    if gap <= 0:
+        return 1.0
+    m, n = min(m, n), max(m, n)
+    i = np.arange(m + 1)
+    inside, outside = np.zeros(m + 1), 0.0
+    inside[0] = 1.0
+    for t in range(m + n):
+        left = m + n - t
+        first = inside * ((m - i) / left)
+        inside = inside * ((n - t + i) / left)
+        inside[1:] += first[:-1]
+        # places with |i n - j m| < gap, j = t + 1 - i, are one run of i
+        lo = max(0, ((t + 1) * m - gap) // (m + n) + 1)
+        hi = min(m, -((-(t + 1) * m - gap) // (m + n)) - 1)
+        outside += inside[:lo].sum() + inside[hi + 1:].sum()
+        inside[:lo] = 0.0
+        inside[hi + 1:] = 0.0
+    return min(1.0, outside)
+
+
+def _exact_column(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Appends the exact p-value to rows with a ``_gap``; others get null."""
+    for b in batches:
+        m, n, gap = (b.column(c).to_pylist() for c in ("n_ref", "n_cur", "_gap"))
+        p = [None if g is None else exact_ks_p(x, y, g) for x, y, g in zip(m, n, gap)]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], names=[*b.schema.names, "_exact"])
+
+
 def ks_two_sample(values: DataFrame, sample_col: str = "sample", value_col: str = "value",
-                  ref: str = "reference", cur: str = "current", by=()) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value per
-    ``by`` key, from a long table of (sample, value).  Output: n_ref, n_cur,
-    ks_stat, p_value (null when a sample is empty - X4)."""
+                  ref: str = "reference", cur: str = "current", by=(), exact_max: int = KS_EXACT_MAX) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov statistic and p-value per ``by``
+    key, from a long table of (sample, value).  Output: n_ref, n_cur,
+    ks_stat, p_value (null when a sample is empty - X4).  The p-value is
+    exact if neither sample is larger than ``exact_max``, else asymptotic."""
     by = list(by)
     whole = not by
     if whole:  # one group: the same grouped plan with a constant key
@@ -56,10 +102,16 @@ def ks_two_sample(values: DataFrame, sample_col: str = "sample", value_col: str
     # one row per group; with no grouping it is exactly one row, so it is
     # broadcast rather than shuffling every value onto the constant key
     j = cum.join(F.broadcast(tot) if whole else tot, by)
-    gap = F.abs(F.col("c_a") / F.col("n_ref") - F.col("c_b") / F.col("n_cur"))
-    d = j.groupBy(*by, "n_ref", "n_cur").agg(F.max(gap).alias("ks_stat"))
+    gap = F.abs(F.try_divide("c_a", "n_ref") - F.try_divide("c_b", "n_cur"))
+    small = (F.greatest("n_ref", "n_cur") <= exact_max) & (F.least("n_ref", "n_cur") > 0)
+    # the same gap in whole numbers, where it has an exact p-value
+    whole_gap = F.when(small, F.abs(F.col("c_a") * F.col("n_cur") - F.col("c_b") * F.col("n_ref")))
+    d = j.groupBy(*by, "n_ref", "n_cur").agg(F.max(gap).alias("ks_stat"), F.max(whole_gap).alias("_gap"))
+    schema = T.StructType([*d.schema.fields, T.StructField("_exact", T.DoubleType())])
+    d = d.mapInArrow(_exact_column, schema)
     en = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")).cast("double"))
-    p = F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0), kolmogorov_sf(en * F.col("ks_stat")))
+    p = F.coalesce(F.col("_exact"), F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0),
+                                           kolmogorov_sf(en * F.col("ks_stat"))))
     out = d.select(*by, "n_ref", "n_cur", F.when(F.col("n_ref") * F.col("n_cur") > 0, F.col("ks_stat"))
                    .alias("ks_stat"), p.alias("p_value"))
     return out.drop("_all") if whole else out

@@ -26,7 +26,9 @@ def _freq_sql(table: str, col: str) -> str:
 
 
 def _ks_sql(vals: str, by: str | None) -> dict[str, str]:
-    """CTEs ks_cnt, ks_cum, ks_d, ks over `vals(sample, value[, by])`."""
+    """CTEs ks_cnt, ks_cum, ks_d, ks over `vals(sample, value[, by])`.  Small
+    samples count lattice paths: `ks_paths` holds, for i current and j
+    reference values, the ways whose gaps all stay below the statistic."""
     b = f"{by}, " if by else ""
     part = f"PARTITION BY {by} " if by else ""
     tot_join = f"JOIN ks_tot t ON c.{by} = t.{by}" if by else "CROSS JOIN ks_tot t"
@@ -41,11 +43,26 @@ def _ks_sql(vals: str, by: str | None) -> dict[str, str]:
         "ks_cum": f"""SELECT {b}v, SUM(a) OVER ({part}ORDER BY v ROWS UNBOUNDED PRECEDING) AS ca,
     SUM(b) OVER ({part}ORDER BY v ROWS UNBOUNDED PRECEDING) AS cb FROM ks_cnt""",
         "ks_d": f"""SELECT {('t.' + by + ', ') if by else ''}t.n_ref, t.n_cur,
-    MAX(abs(c.ca / t.n_ref - c.cb / t.n_cur)) AS ks_stat FROM ks_cum c {tot_join}
+    MAX(abs(c.ca / t.n_ref - c.cb / t.n_cur)) AS ks_stat,
+    MAX(abs(c.ca * t.n_cur - c.cb * t.n_ref))::BIGINT AS gap FROM ks_cum c {tot_join}
     GROUP BY {('t.' + by + ', ') if by else ''}t.n_ref, t.n_cur""",
+        "ks_small": f"""SELECT {by or '0'} AS g, n_ref, n_cur, gap FROM ks_d
+  WHERE greatest(n_ref, n_cur) <= 10000 AND least(n_ref, n_cur) > 0""",
+        "ks_cells": """SELECT g, n_ref, n_cur, i, j FROM (
+    SELECT *, unnest(range(0, n_ref + 1)) AS j FROM (SELECT *, unnest(range(0, n_cur + 1)) AS i FROM ks_small) x) y
+  WHERE abs(i * n_ref - j * n_cur) < gap""",
+        "ks_paths": """SELECT g, i, j, 1::DOUBLE AS ways FROM ks_cells WHERE i = 0
+  UNION ALL
+  SELECT g, i, j, sum(came) OVER (PARTITION BY g ORDER BY j ROWS UNBOUNDED PRECEDING) FROM (
+    SELECT c.g, c.i, c.j, coalesce(p.ways, 0) AS came
+    FROM (SELECT DISTINCT g, i + 1 AS i FROM ks_paths) s JOIN ks_cells c ON c.g = s.g AND c.i = s.i
+    LEFT JOIN ks_paths p ON p.g = c.g AND p.j = c.j) z""",
+        "ks_exact": """SELECT s.g, 1.0 - coalesce((SELECT p.ways FROM ks_paths p
+      WHERE p.g = s.g AND p.i = s.n_cur AND p.j = s.n_ref), 0) / s.everyway AS p FROM (
+    SELECT *, (SELECT product((ks_small.n_ref + x) / x) FROM range(1, ks_small.n_cur + 1) t(x)) AS everyway FROM ks_small) s""",
         "ks": f"""SELECT {b}n_ref, n_cur, round(CASE WHEN n_ref * n_cur > 0 THEN ks_stat END, 10) AS ks_stat,
-    round(CASE WHEN n_ref = 0 OR n_cur = 0 THEN NULL WHEN {lam} < {DR.KS_SMALL_LAMBDA} THEN 1.0
-      ELSE least(1.0, greatest(0.0, 2.0 * {series})) END, 10) AS p_value FROM ks_d""",
+    round(CASE WHEN n_ref = 0 OR n_cur = 0 THEN NULL WHEN e.p IS NOT NULL THEN least(1.0, e.p) WHEN {lam} < {DR.KS_SMALL_LAMBDA} THEN 1.0
+      ELSE least(1.0, greatest(0.0, 2.0 * {series})) END, 10) AS p_value FROM ks_d LEFT JOIN ks_exact e ON e.g = {by or '0'}""",
     }
 
 

@@ -92,4 +92,4 @@ def with_views(body: str, *names: str, extra: dict[str, str] | None = None) -> s
         parts.append(f"{n} AS ({q}\n)")
     if not parts:
         return body
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body

@@ -58,7 +58,7 @@ def main():
     from revlens.session import get_session
     import __spark_entry__ as E
     extra = {"spark.sql.session.timeZone": os.environ["SESSION_TZ"]} if os.environ.get("SESSION_TZ") else None
-    spark = get_session("local[8]", shuffle_partitions=8, extra=extra)
+    spark = get_session("local[8]", shuffle_partitions=8, extra={"spark.ui.showConsoleProgress": "false", **(extra or {})})
     if extra:
         spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     qs, sqls = E.queries(), E.oracle_sql()
