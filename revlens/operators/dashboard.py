@@ -11,6 +11,10 @@ product and category dimensions.  Dimension joins carry no broadcast hint:
 adaptive execution switches them to broadcast joins when the measured size
 of the dimension is under the broadcast threshold, and keeps a sort-merge
 join when it is not.
+
+``reviews`` may also be `review_sums`: additive partial sums by product, label
+and day.  Sums of several batches (and of reviews taken back, with ``sign``
+-1) add up, so panels follow appended reviews without reading old ones.
 """
 
 from __future__ import annotations
@@ -26,6 +30,32 @@ def _year(col: str):
     return F.date_trunc("year", F.col(col)).cast("timestamp_ntz")
 
 
+#: Keys and measures of `review_sums`; the first measure counts the reviews.
+SUM_KEYS = ["product_id", "final_sentiment", "timestamp"]
+SUMS = ["reviews", "ratings", "rating_sum", "helpful_votes"]
+
+
+def review_sums(reviews: DataFrame, sign: str | None = None) -> DataFrame:
+    """Partial sums that every panel can be computed from, one row per
+    product, label and day.  ``sign`` names a column of 1 (added) and -1
+    (taken back)."""
+    by = F.lit(1) if sign is None else F.col(sign)
+    rating = F.col("rating").cast("decimal(18,4)")
+    return reviews.groupBy("product_id", "final_sentiment", F.to_date("timestamp").alias("timestamp")).agg(
+        F.sum(by).cast("bigint").alias("reviews"),
+        F.sum(F.when(F.col("rating").isNotNull(), by).otherwise(0)).cast("bigint").alias("ratings"),
+        F.sum(rating * by).cast("decimal(28,4)").alias("rating_sum"),
+        F.sum(F.col("helpful_vote") * by).cast("bigint").alias("helpful_votes"))
+
+
+def _measure(reviews: DataFrame, name: str) -> Column:
+    """A measure of a row: of one review, or of the sums it stands for."""
+    if "rating_sum" in reviews.columns:
+        return F.col(name)
+    return {"reviews": F.lit(1), "ratings": F.col("rating").isNotNull().cast("int"),
+            "rating_sum": F.col("rating").cast("decimal(18,4)"), "helpful_votes": F.col("helpful_vote")}[name]
+
+
 def _dims(products: DataFrame, categories: DataFrame, category: str | None) -> DataFrame:
     cats = categories.select("category_id", "category_name")
     if category is not None:
@@ -55,8 +85,8 @@ def _keys(category):
 def _pct(reviews, products, categories, label: str, name: str, category) -> DataFrame:
     reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id").agg(
-        F.count_if(F.lower("final_sentiment") == label).alias("_hit"),
-        F.count(F.lit(1)).alias("_n"))
+        F.sum(F.when(F.lower("final_sentiment") == label, _measure(reviews, "reviews")).otherwise(0)).alias("_hit"),
+        F.sum(_measure(reviews, "reviews")).alias("_n"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
     return j.groupBy(*_keys(category)).agg(
         F.try_divide(F.sum("_hit").cast("double") * F.lit(100.0), F.sum("_n").cast("double")).alias(name))
@@ -85,7 +115,7 @@ def sentiment_summary(reviews, products, categories, category=None) -> DataFrame
     reviews = _of_category(reviews, products, categories, category)
     per_prod = (reviews.filter(F.col("final_sentiment").isNotNull())
                 .groupBy("product_id", F.lower("final_sentiment").alias("final_sentiment"))
-                .agg(F.count(F.lit(1)).alias("_n")))
+                .agg(F.sum(_measure(reviews, "reviews")).alias("_n")))
     j = per_prod.join(_dims(products, categories, category), "product_id")
     return (j.groupBy(*_keys(category), "final_sentiment")
              .agg(F.sum("_n").alias("sentiment_count")))
@@ -94,10 +124,11 @@ def sentiment_summary(reviews, products, categories, category=None) -> DataFrame
 def yearly_sentiment(reviews, products, categories, category=None) -> DataFrame:
     """A5: per year, counts of positive / negative / neutral (case-sensitive)."""
     reviews = _of_category(reviews, products, categories, category)
+    one = _measure(reviews, "reviews")
     per_prod = reviews.groupBy("product_id", _year("timestamp").alias("review_year")).agg(
-        F.sum(F.when(F.col("final_sentiment") == "positive", 1).otherwise(0)).alias("_p"),
-        F.sum(F.when(F.col("final_sentiment") == "negative", 1).otherwise(0)).alias("_n"),
-        F.sum(F.when(F.col("final_sentiment") == "neutral", 1).otherwise(0)).alias("_u"))
+        F.sum(F.when(F.col("final_sentiment") == "positive", one).otherwise(0)).alias("_p"),
+        F.sum(F.when(F.col("final_sentiment") == "negative", one).otherwise(0)).alias("_n"),
+        F.sum(F.when(F.col("final_sentiment") == "neutral", one).otherwise(0)).alias("_u"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
     return j.groupBy(*_keys(category), "review_year").agg(
         F.sum("_p").cast("long").alias("positive_reviews"),
@@ -109,9 +140,10 @@ def helpful_votes_top(reviews, products, categories, category=None, k: int = 10)
     """Helpful votes of positive vs negative reviews per product title,
     top ``k`` titles by positive votes (ties broken by title)."""
     reviews = _of_category(reviews, products, categories, category)
+    votes = _measure(reviews, "helpful_votes")
     per_prod = reviews.groupBy("product_id").agg(
-        F.sum(F.when(F.col("final_sentiment") == "positive", F.col("helpful_vote")).otherwise(0)).alias("_pv"),
-        F.sum(F.when(F.col("final_sentiment") == "negative", F.col("helpful_vote")).otherwise(0)).alias("_nv"))
+        F.sum(F.when(F.col("final_sentiment") == "positive", votes).otherwise(0)).alias("_pv"),
+        F.sum(F.when(F.col("final_sentiment") == "negative", votes).otherwise(0)).alias("_nv"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
     agg = j.groupBy(*_keys(category), "product_title").agg(
         F.sum("_pv").cast("long").alias("positive_helpful_votes"),
@@ -126,8 +158,8 @@ def top_rated_products(reviews, products, categories, category=None) -> DataFram
     (exact decimal arithmetic, as the SQL database does)."""
     reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id").agg(
-        F.sum(F.col("rating").cast("decimal(18,4)")).alias("_s"),
-        F.count("rating").alias("_n"))
+        F.sum(_measure(reviews, "rating_sum")).alias("_s"),
+        F.sum(_measure(reviews, "ratings")).alias("_n"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
     agg = j.groupBy(*_keys(category), "product_title").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
     return agg.select(*_keys(category), "product_title",
@@ -139,7 +171,7 @@ def price_over_time(reviews, products, categories, category=None) -> DataFrame:
     """Review-weighted average product price per review date."""
     reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id", F.to_date("timestamp").alias("date")).agg(
-        F.count(F.lit(1)).alias("_n"))
+        F.sum(_measure(reviews, "reviews")).alias("_n"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
     return j.groupBy(*_keys(category), "date").agg(
         (F.sum(F.col("price").cast("decimal(18,2)") * F.col("_n")).cast("double")
@@ -150,7 +182,7 @@ def review_volume(reviews, products, categories, category=None) -> DataFrame:
     """Reviews per year."""
     reviews = _of_category(reviews, products, categories, category)
     per_prod = reviews.groupBy("product_id", _year("timestamp").alias("review_year")).agg(
-        F.count(F.lit(1)).alias("_n"))
+        F.sum(_measure(reviews, "reviews")).alias("_n"))
     j = per_prod.join(_dims(products, categories, category), "product_id")
     return j.groupBy(*_keys(category), "review_year").agg(F.sum("_n").cast("long").alias("total_reviews"))
 
@@ -158,7 +190,7 @@ def review_volume(reviews, products, categories, category=None) -> DataFrame:
 def _label_counts(reviews, products, categories, label, category, count_name):
     reviews = _of_category(reviews, products, categories, category)
     per_prod = (reviews.filter(F.col("final_sentiment") == label)
-                .groupBy("product_id").agg(F.count(F.lit(1)).alias(count_name)))
+                .groupBy("product_id").agg(F.sum(_measure(reviews, "reviews")).alias(count_name)))
     return per_prod.join(_dims(products, categories, category), "product_id").select(
         *_keys(category), "product_id", "product_title", count_name)
 
@@ -184,7 +216,7 @@ def product_avg_rating(reviews, products) -> DataFrame:
     """A12 (+P19): average rating of every product, rounded half-even to 2
     decimals, 0.0 for a product without reviews."""
     per_prod = reviews.groupBy("product_id").agg(
-        F.sum(F.col("rating").cast("decimal(18,4)")).alias("_s"), F.count("rating").alias("_n"))
+        F.sum(_measure(reviews, "rating_sum")).alias("_s"), F.sum(_measure(reviews, "ratings")).alias("_n"))
     j = products.select("product_id").join(per_prod, "product_id", "left")
     avg = F.try_divide(F.col("_s"), F.col("_n").cast("decimal(20,0)"))
     return j.select("product_id", F.coalesce(F.bround(avg, 2).cast("double"), F.lit(0.0)).alias("avg_rating"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import word_tokens
+from ..sources.commitlog import read_latest, write_run
 from .ordering import rank_within, running_sum
 
 P_THRESHOLD = 0.05
@@ -141,20 +142,17 @@ def frequency_drift(saved: DataFrame | None, new: DataFrame, threshold: float =
                                                       F.lit(False)))
 
 
-def save_statistics(stats: DataFrame, base_path: str, version: int) -> str:
-    """Write a new statistics version beside the old ones (the version
-    being read is never overwritten); `latest_statistics` switches to it."""
-    path = f"{base_path.rstrip('/')}/version={version}"
-    stats.write.mode("errorifexists").parquet(path)
-    return path
+def save_statistics(stats: DataFrame, base_path: str, run: str) -> int:
+    """Replace the saved statistics by those of ``run``: the new files
+    lie beside the ones being read and become the newest version by one
+    atomic commit.  A run that is tried again makes no second version."""
+    return write_run(stats, base_path, run)
 
 
 def latest_statistics(spark, base_path: str) -> DataFrame:
-    """The newest version that `save_statistics` wrote; only its folder
-    is read."""
-    every = spark.read.parquet(base_path)
-    newest = every.select(F.max("version")).scalar()
-    return every.filter(F.col("version") == newest).drop("version")
+    """The newest version that `save_statistics` committed; only its
+    folder is read."""
+    return read_latest(spark, base_path)
 
 
 def text_descriptors(df: DataFrame, text_col: str, vocab: DataFrame, id_col: str) -> DataFrame:

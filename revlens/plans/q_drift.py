@@ -182,10 +182,10 @@ def x8(spark, sf):
 
 @register("x3_save_statistics", _freq_sql("conversations", "text"))
 def x3(spark, sf):
-    """The saved statistics are replaced by writing a new version beside
-    the one being read; the reader finds the newest version by itself."""
+    """The saved statistics are replaced by committing a new version
+    beside the one being read; the reader finds the newest by itself."""
     from ..session import scratch_path
     base = scratch_path(spark, "word-stats")
-    DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "documents"), "text"), base, 1)
-    DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "conversations"), "text"), base, 2)
+    DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "documents"), "text"), base, "first")
+    DR.save_statistics(DR.word_frequencies(td.table(spark, sf, "conversations"), "text"), base, "second")
     return DR.latest_statistics(spark, base)

@@ -7,10 +7,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.labels import heuristic_sentiment
+from ..operators import dashboard as D
 from ..operators import drift as DR
 from ..session import materialize, scratch_path
 from ..sources import testdata as td
 from ..streaming import live as LV
+from ..streaming.runs import RunTable
 from .catalog import register
 from .q_drift import _X6, _desc_ctes, _freq_sql, _ks_sql, _rounded
 from .q_pipeline import _L6_CTES
@@ -20,21 +22,24 @@ from .sqltext import majority_sql
 from .sqlviews import heuristic_sql, with_views
 
 
-#: Files (and so micro-batches) that a table arrives in.
+#: Steps (and so micro-batches) that a table arrives in, and files of a step.
 ARRIVALS = 4
+FILES = 4
 
 
 def _arriving(spark, df, order: str, name: str):
-    """A stream over ``df`` arriving in ARRIVALS files, one micro-batch each,
-    in ``order`` order: the files are written one after another, so that
-    their times tell their order.  Returns (stream, chunk column)."""
+    """(stream, arrivals): a stream over ``df`` and the functions that
+    deliver it, a range of ``order`` at a time as `FILES` files."""
     path = scratch_path(spark, f"arrive-{name}")
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     lo, hi = (0, 0) if lo is None else (lo, hi)
     part = F.floor((F.col(order) - lo) * ARRIVALS / (hi - lo + 1))
-    for k in range(ARRIVALS):
-        df.filter(part == k).coalesce(1).write.mode("append").parquet(path)
-    return LV.review_stream(spark, path, df.schema, max_files_per_trigger=1)
+
+    def step(k):
+        return lambda: df.filter(part == k).repartition(FILES).write.mode("append").parquet(path)
+
+    df.limit(0).write.parquet(path)  # the folder is there before its rows
+    return LV.review_stream(spark, path, df.schema), [step(k) for k in range(ARRIVALS)]
 
 
 def _events_stream(spark, sf):
@@ -61,11 +66,11 @@ FROM events"""
 FROM live GROUP BY 1, 2, 3""", extra={"live": _LIVE_SQL}))
 def t3(spark, sf):
     """T1 + T3: daily label counts of the live review stream (watermark 1 day)."""
-    s = _live(_events_stream(spark, sf))
-    agg = LV.windowed_sentiment(s, "timestamp", "final_sentiment", "1 day", watermark="1 day")
-    sink, keys = scratch_path(spark, "t3-upserts"), ["window_start", "window_end", "final_sentiment"]
-    LV.run_available_now(agg, "t3", mode="update", foreach_batch=LV.upsert_batches(sink, keys))
-    out = LV.latest_rows(spark, sink)
+    events, arrivals = _events_stream(spark, sf)
+    agg = LV.windowed_sentiment(_live(events), "timestamp", "final_sentiment", "1 day", watermark="1 day")
+    table = RunTable(spark, scratch_path(spark, "t3-windows"), ["window_start", "window_end", "final_sentiment"])
+    LV.run_available_now(agg, "t3", mode="update", foreach_batch=table.add, arrivals=arrivals)
+    out = table.read()
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "final_sentiment", "n")
 
@@ -74,19 +79,20 @@ def t3(spark, sf):
                                                 extra={"live": _LIVE_SQL}))
 def t6(spark, sf):
     """A stream delivered twice (replay) is counted once."""
-    s = _live(_events_stream(spark, sf)).select("review_id", "timestamp")
-    replayed = s.unionByName(_live(_events_stream(spark, sf)).select("review_id", "timestamp"))
-    out = LV.dedup_replays(replayed, "review_id", "timestamp", "1 day")
-    path = LV.run_available_now(out, "t6")
+    (first, arrivals), (again, replays) = _events_stream(spark, sf), _events_stream(spark, sf)
+    both = _live(first).unionByName(_live(again)).select("review_id", "timestamp")
+    out = LV.dedup_replays(both, "review_id", "timestamp", "1 day")
+    path = LV.run_available_now(out, "t6", arrivals=[lambda a=a, b=b: (a(), b()) for a, b in zip(arrivals, replays)])
     return spark.read.parquet(path).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 @register("t4_stream_drift_counter", _X6.replace("SELECT user_id,", "SELECT user_id AS key,", 1))
 def t4(spark, sf):
     """T4: the drift counter over several micro-batches."""
-    ev = _events_stream(spark, sf).filter(F.col("event_type") == "error").select("user_id", "event_id", "ts")
+    events, arrivals = _events_stream(spark, sf)
+    ev = events.filter(F.col("event_type") == "error").select("user_id", "event_id", "ts")
     sink = scratch_path(spark, "t4-counters")
-    LV.run_available_now(ev, "t4", foreach_batch=LV.drift_counter_batches(sink, "user_id"))
+    LV.run_available_now(ev, "t4", foreach_batch=LV.drift_counter_batches(sink, "user_id"), arrivals=arrivals)
     return spark.read.parquet(f"{sink}/rows").drop("batch")
 
 
@@ -96,13 +102,15 @@ def t4(spark, sf):
 def t2(spark, sf):
     """T1 + T2: raw reviews arriving as a stream, merged with static
     metadata, cleaned, labeled and appended to a table."""
-    out = LV.run_available_now(_labeled_stream(spark, sf), "t2")
+    live, arrivals = _labeled_stream(spark, sf)
+    out = LV.run_available_now(live, "t2", arrivals=arrivals)
     return spark.read.parquet(out)
 
 
 def _labeled_stream(spark, sf):
     raw = td.raw_reviews(spark, sf)
-    return LV.label_stream(_arriving(spark, raw, "row_id", "reviews"), td.raw_metadata(spark, sf))
+    stream, arrivals = _arriving(spark, raw, "row_id", "reviews")
+    return LV.label_stream(stream, td.raw_metadata(spark, sf)), arrivals
 
 
 @register("d7_append_live_reviews", _star_sql("""SELECT l.row_id AS review_id, p.product_id, l.cleaned_text, l.rating,
@@ -116,10 +124,10 @@ def d7(spark, sf):
     cats, prods, _ = _stored(spark, sf)
     shelf = prods.join(cats, "category_id").select("product_id", "product_title",
                                                    F.col("category_name").alias("main_category"))
-    live = _labeled_stream(spark, sf).join(shelf, ["product_title", "main_category"])
-    live = live.withColumnRenamed("row_id", "review_id")
+    labeled, arrivals = _labeled_stream(spark, sf)
+    live = labeled.join(shelf, ["product_title", "main_category"]).withColumnRenamed("row_id", "review_id")
     sink = scratch_path(spark, "d7-fact")
-    LV.run_available_now(live, "d7", foreach_batch=LV.append_live_reviews(sink))
+    LV.run_available_now(live, "d7", foreach_batch=LV.append_live_reviews(sink), arrivals=arrivals)
     age = F.abs(F.current_timestamp().cast("double") - F.col("timestamp").cast("double"))
     return spark.read.parquet(sink).select("review_id", "product_id", "cleaned_text", "rating", "helpful_vote",
                                            (age < 86400).alias("appended_now"), "final_sentiment")
@@ -156,7 +164,63 @@ def t5(spark, sf):
     fact = _stored(spark, sf)[2].select("review_id", "cleaned_text")
     reference = materialize(fact.filter(F.col("review_id").between(1, 500)))
     vocab = materialize(DR.word_frequencies(reference, "cleaned_text"))
-    live = _labeled_stream(spark, sf).select(F.col("row_id").alias("review_id"), "cleaned_text")
+    labeled, arrivals = _labeled_stream(spark, sf)
+    live = labeled.select(F.col("row_id").alias("review_id"), "cleaned_text")
     sink = scratch_path(spark, "t5-reports")
-    LV.run_available_now(live, "t5", foreach_batch=LV.drift_check_batch(reference, vocab, sink=sink))
+    LV.run_available_now(live, "t5", foreach_batch=LV.drift_check_batch(reference, vocab, sink=sink), arrivals=arrivals)
     return _rounded(spark.read.parquet(sink).withColumn("batch_id", F.col("batch_id").cast("long")))
+
+
+# --- panels kept up by a stream (A1-A11 over D7 / T3) ------------------------
+
+def _live_sums(spark, sf):
+    """Sums behind the panels after all arrivals: reviews arrive by order
+    key, and those of every 7th order are taken back a quarter of the keys
+    later."""
+    rows = td.review_facts(spark, sf).select("l_orderkey", "product_id", "final_sentiment", "timestamp", "rating",
+                                             "helpful_vote")
+    lo, hi = rows.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    width = F.lit(((hi or 0) - (lo or 0)) // ARRIVALS + 1)
+    back = rows.filter(F.pmod("l_orderkey", F.lit(7)) == 0)
+    changes = (rows.withColumn("op", F.lit(1)).withColumn("at", F.col("l_orderkey"))
+               .unionByName(back.withColumn("op", F.lit(-1)).withColumn("at", F.col("l_orderkey") + width)))
+    stream, arrivals = _arriving(spark, changes, "at", "review-changes")
+    sink = scratch_path(spark, "live-panels")
+    LV.run_available_now(stream, "panels", foreach_batch=LV.panel_batches(sink, "op"), arrivals=arrivals)
+    return LV.panel_table(spark, sink).read(), td.products(spark, sf), td.categories(spark, sf)
+
+
+def _live_panel(sql: str):
+    """The panel's SQL over the reviews that were not taken back."""
+    return with_views(sql, "reviews_v", "products_v", "categories_v", extra={
+        "held": "SELECT * FROM reviews_v WHERE l_orderkey % 7 <> 0",
+        "shelf": "SELECT product_id, product_title, price, category_name FROM products_v JOIN categories_v USING (category_id)"})
+
+
+@register("a5_live_yearly_sentiment", _live_panel("""SELECT category_name, date_trunc('year', timestamp)::TIMESTAMP AS review_year,
+  count(*) FILTER (final_sentiment = 'positive') AS positive_reviews,
+  count(*) FILTER (final_sentiment = 'negative') AS negative_reviews,
+  count(*) FILTER (final_sentiment = 'neutral') AS neutral_reviews
+FROM held JOIN shelf USING (product_id) GROUP BY ALL"""))
+def a5_live(spark, sf):
+    """A5 from sums that a stream of added and retracted reviews keeps up."""
+    return D.yearly_sentiment(*_live_sums(spark, sf))
+
+
+@register("a6_live_helpful_votes", _live_panel("""SELECT * FROM (
+  SELECT category_name, product_title,
+    coalesce(sum(helpful_vote) FILTER (final_sentiment = 'positive'), 0)::BIGINT AS positive_helpful_votes,
+    coalesce(sum(helpful_vote) FILTER (final_sentiment = 'negative'), 0)::BIGINT AS negative_helpful_votes,
+    row_number() OVER (PARTITION BY category_name ORDER BY positive_helpful_votes DESC, product_title) AS rank
+  FROM held JOIN shelf USING (product_id) GROUP BY category_name, product_title) t WHERE rank <= 10"""))
+def a6_live(spark, sf):
+    """A6 from sums that a stream of added and retracted reviews keeps up."""
+    return D.helpful_votes_top(*_live_sums(spark, sf))
+
+
+@register("a7_live_average_rating", _live_panel("""SELECT category_name, product_title,
+  ((2 * sum((rating * 10000)::BIGINT) + 100 * count(rating)) // (200 * count(rating)))::DOUBLE / 100 AS average_rating
+FROM held JOIN shelf USING (product_id) GROUP BY category_name, product_title"""))
+def a7_live(spark, sf):
+    """A7 from sums that a stream of added and retracted reviews keeps up."""
+    return D.top_rated_products(*_live_sums(spark, sf))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .commitlog import read_runs, write_run
+
 LATIN1 = "ISO-8859-1"
 
 
@@ -91,10 +93,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.parquet(path)
 
 
-def append_metrics(df: DataFrame, path: str) -> None:
-    """Append-only metric sink; one table per row shape, partitioned by
-    model so each run adds files instead of rewriting."""
-    write_table(df, path, fmt="parquet", mode="append", partition_by=["Model_Name"])
+def append_metrics(df: DataFrame, path: str, run: str) -> int:
+    """Append a run's metric rows to a table; one table per row shape,
+    partitioned by model, and nothing is rewritten.  The rows become visible
+    by one commit, and a run that is tried again appends them once."""
+    return write_run(df, path, run, partition_by=["Model_Name"])
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all committed runs, with their ``run``."""
+    return read_runs(spark, path)
 
 
 #: Up to so many files their offsets go to every task (about 200 bytes each).

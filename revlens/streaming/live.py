@@ -3,7 +3,8 @@
 The batch column functions are reused unchanged on streaming DataFrames.
 State is kept only where the semantics need it: windowed counts (bounded by
 the watermark) and replay de-duplication (bounded by the watermark); the
-drift counter's state is a table of events seen per key and batch.  Every query writes to a
+drift counter's events per key, changed window counts and the sums behind
+live panels are run tables, which batches add to without rewriting them.  Every query writes to a
 sink with a checkpoint in the shared checkpoint folder, so a restart or a
 lost executor resumes exactly where the last committed batch ended.
 """
@@ -18,8 +19,10 @@ from pyspark.sql import types as T
 
 from ..operators import drift as DR
 from ..operators import labeling as L
+from ..operators.dashboard import SUM_KEYS, SUMS, review_sums
 from ..operators.ordering import rank_within
-from ..session import delete_path, materialize, scratch_path
+from ..session import materialize, scratch_path
+from .runs import RunTable
 
 
 def stream_path(path: str) -> str:
@@ -78,34 +81,44 @@ def drift_counter_batches(sink: str, key: str = "key", reset_at: int = 10):
     Each micro-batch ranks its events per key with the distributed rank (no
     task holds all events of a key) in event-time order, ties by event_id,
     and continues from the events that earlier batches counted; across
-    batches the order is arrival order.  The state of a key is one number
-    per batch (events seen), stored beside the rows.  A batch that is run
-    again replaces its own folder and nothing else."""
+    batches the order is arrival order.  The state is a compacted table of
+    events seen per key.  Rows are written before the state is committed: a
+    batch that runs again replaces its own folder, or is done already."""
     def fn(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
+        state = RunTable(spark, f"{sink}/seen", ["key"], ["n"])
+        _, entry = state.log.latest()
+        if entry is not None and entry["batch"] >= batch_id:
+            return
         ev = batch.select(F.col(key).cast("long").alias("key"), "event_id", "ts")
         ranked = rank_within(ev, ["ts", "event_id"], by=["key"], name="_k")
-        seen = before(spark, f"{sink}/seen", batch_id)
-        if seen is not None:
-            seen = seen.groupBy(F.col("key").alias("_of")).agg(F.sum("n").alias("_seen"))
-            ranked = ranked.join(seen, ranked["key"].eqNullSafe(seen["_of"]), "left").drop("_of")
-        else:
+        if entry is None:
             ranked = ranked.withColumn("_seen", F.lit(0).cast("long"))
+        else:
+            seen = state.read().select(F.col("key").alias("_of"), F.col("n").alias("_seen"))
+            ranked = ranked.join(seen, ranked["key"].eqNullSafe(seen["_of"]), "left").drop("_of")
         k = F.col("_k") + F.coalesce("_seen", F.lit(0))
         count = F.pmod(k - 1, F.lit(reset_at))
         ranked.select("key", "event_id", "ts", count.cast("int").alias("drift_counter"),
                       ((k > 1) & (count == 0)).alias("triggered")) \
             .write.mode("overwrite").parquet(f"{sink}/rows/batch={batch_id}")
-        ev.groupBy("key").agg(F.count(F.lit(1)).alias("n")) \
-            .write.mode("overwrite").parquet(f"{sink}/seen/batch={batch_id}")
+        state.add(ev.groupBy("key").agg(F.count(F.lit(1)).alias("n")), batch_id)
     return fn
 
 
-def before(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
-    """Rows that the batches before ``batch_id`` wrote (None: there is none)."""
-    if batch_id == 0:
-        return None
-    return spark.read.parquet(folder).filter(F.col("batch") < batch_id)
+def panel_batches(sink: str, op: str | None = None):
+    """A1-A11 kept up by a stream of reviews: a foreachBatch function that
+    adds the batch's partial sums to the run table in ``sink``.  ``op`` names
+    a column of 1 (review added) and -1 (taken back, with the values it was
+    added with)."""
+    def fn(batch: DataFrame, batch_id: int):
+        panel_table(batch.sparkSession, sink).add(review_sums(batch, op), batch_id)
+    return fn
+
+
+def panel_table(spark: SparkSession, sink: str) -> RunTable:
+    """The sums behind the panels; ``read()`` goes where panels take reviews."""
+    return RunTable(spark, sink, SUM_KEYS, SUMS)
 
 
 def drift_check_batch(reference: DataFrame, vocab: DataFrame, text_col: str = "cleaned_text",
@@ -137,42 +150,19 @@ def append_live_reviews(sink: str):
 
 def run_available_now(stream: DataFrame, name: str, mode: str = "append",
                       sink_format: str = "parquet", foreach_batch=None,
-                      spark: SparkSession | None = None) -> str:
+                      spark: SparkSession | None = None, arrivals=None) -> str:
     """Run a streaming query over everything available now into a sink in
-    the checkpoint folder and wait for it; returns the sink path."""
+    the checkpoint folder and wait for it; returns the sink path.  With
+    ``arrivals`` (functions that each deliver some files) the query goes on
+    from its checkpoint after each of them."""
     spark = spark or stream.sparkSession
     base = scratch_path(spark, f"stream-{name}")
-    w = stream.writeStream.option("checkpointLocation", f"{base}/_checkpoint").outputMode(mode)
-    if foreach_batch is not None:
-        w = w.foreachBatch(foreach_batch)
-    else:
-        w = w.format(sink_format).option("path", f"{base}/data")
-    q = w.trigger(availableNow=True).start()
-    q.awaitTermination()
+    for deliver in arrivals or [lambda: None]:
+        deliver()
+        w = stream.writeStream.option("checkpointLocation", f"{base}/_checkpoint").outputMode(mode)
+        if foreach_batch is not None:
+            w = w.foreachBatch(foreach_batch)
+        else:
+            w = w.format(sink_format).option("path", f"{base}/data")
+        w.trigger(availableNow=True).start().awaitTermination()
     return f"{base}/data"
-
-
-def upsert_batches(sink: str, keys: list[str]):
-    """foreachBatch writer for update-mode aggregates: each micro-batch's
-    changed rows replace the rows of the same ``keys`` in the newest version
-    of the table and the result becomes the next version.  A batch run again
-    starts from the same older version; versions before that are deleted, so
-    the sink holds two copies at most."""
-    def fn(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
-        if batch_id:
-            old = spark.read.parquet(f"{sink}/version={batch_id - 1}")
-            gone = batch.select(*[F.col(k).alias(f"_{k}") for k in keys])
-            rest = old.join(gone, [old[k].eqNullSafe(gone[f"_{k}"]) for k in keys], "left_anti")
-            batch = rest.unionByName(batch)
-        batch.write.mode("overwrite").parquet(f"{sink}/version={batch_id}")
-        if batch_id > 1:
-            delete_path(spark, f"{sink}/version={batch_id - 2}")
-    return fn
-
-
-def latest_rows(spark: SparkSession, sink: str) -> DataFrame:
-    """The newest version written by `upsert_batches`; only it is read."""
-    every = spark.read.parquet(sink)
-    newest = every.select(F.max("version")).scalar()
-    return every.filter(F.col("version") == newest).drop("version")

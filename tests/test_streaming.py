@@ -7,7 +7,11 @@ import tempfile
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revlens.operators import dashboard as D
+from revlens.sources import testdata as td
+from revlens.sources.commitlog import CommitLog
 from revlens.streaming import live as LV
+from revlens.streaming.runs import RunTable
 
 KEYS = ["window_start", "window_end", "final_sentiment"]
 SCH = "review_id long, timestamp timestamp, final_sentiment string"
@@ -15,7 +19,7 @@ SCH = "review_id long, timestamp timestamp, final_sentiment string"
 
 def _run(spark, stream, ck, sink):
     q = (stream.writeStream.option("checkpointLocation", ck).outputMode("update")
-         .foreachBatch(LV.upsert_batches(sink, KEYS)).trigger(availableNow=True).start())
+         .foreachBatch(RunTable(spark, sink, KEYS).add).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
@@ -35,7 +39,7 @@ def test_late_rows_dropped_after_watermark(spark):
     spark.createDataFrame([(3, base + dt.timedelta(days=5, hours=1), "negative"),
                            (4, base - dt.timedelta(days=4), "negative")], SCH).coalesce(1).write.parquet(f"{d}/in/b2")
     _run(spark, stream(), f"{d}/ck", f"{d}/out")          # restart from the checkpoint
-    out = LV.latest_rows(spark, f"{d}/out")
+    out = RunTable(spark, f"{d}/out", KEYS).read()
     neg = out.filter(F.col("final_sentiment") == "negative").agg(F.sum("n")).first()[0]
     pos = out.filter(F.col("final_sentiment") == "positive").agg(F.sum("n")).first()[0]
     assert neg == 1 and pos == 2  # the late negative row was dropped; nothing counted twice
@@ -83,12 +87,65 @@ def test_drift_counter_across_restart_and_rerun(spark):
         sorted((k, *x) for k, xs in want.items() for x in xs)
 
 
-def test_upserts_keep_two_versions(spark):
+def _bytes(folder):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet"))
+
+
+def test_newest_rows_hold_over_levels(spark):
     d = tempfile.mkdtemp(prefix="run-")
-    fn = LV.upsert_batches(f"{d}/out", ["k"])
-    for b, part in enumerate(([(1, 1), (2, 1)], [(2, 5)], [(3, 7)])):
+    table, want = RunTable(spark, f"{d}/t", ["k"], fan=3), {}
+    for b in range(11):
+        part = [(b, b), (b // 2, 100 + b), (None, b)]
+        part = list({k: (k, n) for k, n in part}.values())
         df = spark.createDataFrame(part, "k long, n long")
-        fn(df, b)
-        fn(df, b)  # a batch run again changes nothing
-    assert sorted(map(tuple, LV.latest_rows(spark, f"{d}/out").collect())) == [(1, 1), (2, 5), (3, 7)]
-    assert sorted(x for x in os.listdir(f"{d}/out") if x.startswith("version")) == ["version=1", "version=2"]
+        table.add(df, b)
+        table.add(df, b)  # a batch run again changes nothing
+        want.update(dict(part))
+        assert {r.k: r.n for r in table.read().collect()} == want
+    runs = CommitLog(spark, f"{d}/t/_log").latest()[1]["runs"]
+    assert [r["level"] for r in runs] == [2, 0, 0]  # 9 batches in one run, two more
+
+
+def test_bytes_follow_the_batch(spark):
+    """A small batch on a large table writes a small run."""
+    d = tempfile.mkdtemp(prefix="run-")
+    table = RunTable(spark, f"{d}/t", ["k"])
+    table.add(spark.range(200_000).select(F.col("id").alias("k"), F.rand(1).alias("n")), 0)
+    large = _bytes(f"{d}/t")
+    table.add(spark.createDataFrame([(5, 1.0)], "k long, n double"), 1)
+    assert _bytes(f"{d}/t") - large < large / 100
+    assert table.read().count() == 200_000 and table.read().where("k = 5").first().n == 1.0
+
+
+def test_batch_that_failed_before_its_commit(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    table = RunTable(spark, f"{d}/t", ["k"], ["n"])
+    table.add(spark.createDataFrame([(1, 2)], "k long, n long"), 0)
+    # files of a try that never committed
+    spark.createDataFrame([(1, 99)], "k long, n long").write.parquet(f"{d}/t/level-0/batch-1")
+    assert table.read().first().n == 2
+    table.add(spark.createDataFrame([(1, 3), (2, 1)], "k long, n long"), 1)
+    assert sorted(map(tuple, table.read().collect())) == [(1, 5), (2, 1)]
+    table.add(spark.createDataFrame([(1, -5)], "k long, n long"), 2)
+    assert list(map(tuple, table.read().collect())) == [(2, 1)]  # nothing left of key 1
+
+
+def test_panels_follow_added_and_retracted_reviews(spark):
+    """Every panel over the sums of several batches equals the panel over
+    the reviews that are left."""
+    sf = "/root/testdata/sf0.001"
+    rows = td.review_facts(spark, sf).select("l_orderkey", "product_id", "final_sentiment", "timestamp", "rating",
+                                             "helpful_vote")
+    d = tempfile.mkdtemp(prefix="run-")
+    fn = LV.panel_batches(f"{d}/t", "op")
+    for b in range(5):
+        new = rows.where(F.col("l_orderkey") % 5 == b).withColumn("op", F.lit(1))
+        old = rows.where((F.col("l_orderkey") % 5 == b - 1) & (F.col("l_orderkey") % 3 == 0)).withColumn("op", F.lit(-1))
+        fn(new.unionByName(old), b)
+    left = rows.where((F.col("l_orderkey") % 3 != 0) | (F.col("l_orderkey") % 5 == 4))
+    dims = td.products(spark, sf), td.categories(spark, sf)
+    sums = LV.panel_table(spark, f"{d}/t").read()
+    for name, panel in D.PANELS.items():
+        assert sorted(map(str, panel(sums, *dims).collect())) == sorted(map(str, panel(left, *dims).collect())), name
+    assert sorted(map(str, D.product_avg_rating(sums, dims[0]).collect())) == \
+        sorted(map(str, D.product_avg_rating(left, dims[0]).collect()))
