@@ -17,3 +17,14 @@ def compute_once(df: DataFrame, **cols: Column) -> DataFrame:
     """
     st = F.struct(*[c.alias(n) for n, c in cols.items()])
     return df.select("*", F.inline(F.array(st)))
+
+
+def fresh_name(*frames_and_name) -> str:
+    """``fresh_name(df, ..., name)``: ``name``, or with a number behind it,
+    so that no column of the frames is called so (case-insensitively)."""
+    *frames, name = frames_and_name
+    taken, out, n = {c.lower() for df in frames for c in df.columns}, name, 0
+    while out.lower() in taken:
+        n += 1
+        out = f"{name}_{n}"
+    return out

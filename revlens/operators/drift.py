@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import word_tokens
+from ..session import materialize
 from ..sources.commitlog import read_latest, write_run
 from .ordering import rank_within, running_sum
 
@@ -98,7 +99,8 @@ def ks_two_sample(values: DataFrame, sample_col: str = "sample", value_col: str
     counts = values.groupBy(*by, F.col(value_col).cast("double").alias("v")).agg(
         F.sum(F.when(F.col(sample_col) == ref, 1).otherwise(0)).cast("long").alias("a"),
         F.sum(F.when(F.col(sample_col) == cur, 1).otherwise(0)).cast("long").alias("b"))
-    cum = running_sum(counts, "v", ["a", "b"], by=by, prefix="c_", inclusive=True)
+    counts = materialize(counts, "value-counts")  # the samples are read once
+    cum = running_sum(counts, "v", ["a", "b"], by=by, prefix="c_", inclusive=True, copy=False)
     tot = counts.groupBy(*by).agg(F.sum("a").alias("n_ref"), F.sum("b").alias("n_cur"))
     # one row per group; with no grouping it is exactly one row, so it is
     # broadcast rather than shuffling every value onto the constant key

@@ -15,6 +15,7 @@ from ..functions import labels as LB
 from ..functions import lexicon as LX
 from ..functions.text import word_tokens
 from . import clean as C
+from .skew import spread_join
 
 # Columns kept after the merge.  WIDE is what the downstream consumers need;
 # NARROW is the published pipeline's column list (compatibility option).
@@ -24,19 +25,24 @@ NARROW = ["text", "rating", "product_title", "store", "price", "helpful_vote"]
 
 
 def merge_reviews(reviews: DataFrame, metadata: DataFrame, keep: list[str] | None = None,
-                  null_safe: bool = False) -> DataFrame:
+                  null_safe: bool = False, hot_one_in: int | None = None) -> DataFrame:
     """J1 (+P1, P2, P3): rename the two `title` columns, inner-join on
     parent_asin, drop rows without text or rating, keep ``keep``.
 
     ``null_safe=True`` also matches a null key to a null key, as a pandas
-    merge does.  A hot product is left to adaptive skew-join splitting.
+    merge does.  With ``hot_one_in`` products that hold one in so many
+    reviews are found by a sketch and spread over tasks (batch input only);
+    else a hot product is left to adaptive skew-join splitting.
     """
     keep = keep or WIDE
     r = reviews.withColumnRenamed("title", "review_title")
     m = metadata.withColumnRenamed("title", "product_title")
     mcols = [c for c in m.columns if c != "parent_asin" and c not in r.columns]
     m = m.select("parent_asin", *mcols)
-    if null_safe:
+    if hot_one_in and not null_safe:
+        ids = ["row_id"] if "row_id" in r.columns else None
+        j = spread_join(r, m, "parent_asin", by=ids, one_in=hot_one_in)
+    elif null_safe:
         j = r.join(m.withColumnRenamed("parent_asin", "_m_asin"),
                    r.parent_asin.eqNullSafe(F.col("_m_asin")), "inner").drop("_m_asin")
     else:

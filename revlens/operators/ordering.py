@@ -119,14 +119,14 @@ def top_k_per_group(df: DataFrame, by, order, k: int, name: str = "rn") -> DataF
 
 
 def running_sum(df: DataFrame, order_col: str, value_cols: list[str], by=(), prefix: str = "cum_",
-                inclusive: bool = False, rows_per_range: int | None = None) -> DataFrame:
+                inclusive: bool = False, rows_per_range: int | None = None, copy: bool = True) -> DataFrame:
     """Cumulative sums of ``value_cols`` along ``order_col`` inside ``by``
     groups (rows with equal ``order_col`` must already be aggregated into one
     row).  ``inclusive=False`` sums strictly earlier rows.  Sums run inside
     ranges of the order and add what the group's earlier ranges hold, so no
     task meets a whole hot group."""
     by = list(by)
-    placed = positions(df, [*by, order_col], rows_per_range=rows_per_range)
+    placed = positions(df, [*by, order_col], rows_per_range=rows_per_range, copy=copy)
     tot = placed.groupBy("_range", *by).agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     w_off = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(F.col("_range").alias("_of"), *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(by)],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,20 +27,68 @@ def schema_report(df: DataFrame, declared: T.StructType, spark: SparkSession | N
     return spark.createDataFrame(rows, "column string, expected string, actual string")
 
 
+def _value_counts(rows: DataFrame, declared: T.StructType) -> list[tuple[str, str, Column, Column, Column]]:
+    """Per declared scalar column that ``rows`` has: name, type, and the
+    aggregates rows, missing values, values that are not of the type."""
+    fields = [f for f in declared.fields if f.name in rows.columns
+              and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    text = {f.name: F.col(f.name).cast("string") for f in fields}
+    return [(f.name, _type_name(f.dataType), F.count(F.lit(1)), F.count_if(text[f.name].isNull()),
+             F.count_if(text[f.name].isNotNull() & text[f.name].try_cast(f.dataType).isNull())) for f in fields]
+
+
 def value_report(rows: DataFrame, declared: T.StructType) -> DataFrame:
     """Q1 on values: for every declared scalar column that ``rows`` has, the
     number of rows, of missing values and of values that cannot be read as
     the declared type.  One pass with partial aggregates."""
-    fields = [f for f in declared.fields if f.name in rows.columns
-              and not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    text = {f.name: F.col(f.name).cast("string") for f in fields}
-    found = [F.struct(F.lit(f.name).alias("column"), F.lit(_type_name(f.dataType)).alias("expected"),
-                      F.count(F.lit(1)).alias("n"), F.count_if(text[f.name].isNull()).alias("missing"),
-                      F.count_if(text[f.name].isNotNull() & text[f.name].try_cast(f.dataType).isNull()).alias("bad"))
-             for f in fields]
+    found = [F.struct(F.lit(name).alias("column"), F.lit(kind).alias("expected"), n.alias("n"),
+                      missing.alias("missing"), bad.alias("bad"))
+             for name, kind, n, missing, bad in _value_counts(rows, declared)]
     return rows.agg(F.array(*found).alias("_r")).select(F.inline("_r"))
 
 
+def value_findings(checks: dict[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
+    """Q2 on values: the columns of several tables with values that are not
+    of the declared type (the rows of `value_report` with ``bad`` > 0)."""
+    out = None
+    for name, (df, declared) in checks.items():
+        r = value_report(df, declared).where("bad > 0").select(F.lit(name).alias("table"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def observed_write(df: DataFrame, path: str, declared: T.StructType | None = None, label: str | None = None,
+                   expected=(0, 1, 2)) -> tuple[DataFrame | None, DataFrame | None]:
+    """Write ``df`` as Parquet and count its quality on the way: returns the
+    rows of `value_report` (Q1, with ``declared``) and of
+    `class_distribution` (Q4 + Q6, with ``label``; classes that do not occur
+    have no row, all values outside ``expected`` share the null row).
+
+    The counts are metrics of the write itself, so no pass is added; they
+    are a fixed number of numbers per column and class.  The write is a
+    result stage, whose tasks count once however often they are tried."""
+    spark = df.sparkSession
+    fields = _value_counts(df, declared) if declared is not None else []
+    metrics = [c.alias(f"{what}_{i}") for i, f in enumerate(fields) for what, c in zip(("n", "missing", "bad"), f[2:])]
+    if label is not None:
+        known = F.col(label).isin(*expected)
+        metrics += [F.count_if(F.col(label) == F.lit(x)).alias(f"class_{i}") for i, x in enumerate(expected)]
+        metrics.append(F.count_if(known.isNull() | ~known).alias("other"))
+    seen = Observation()
+    df.observe(seen, *metrics).write.mode("errorifexists").parquet(path)
+    got = seen.get
+    report = classes = None
+    if declared is not None:
+        rows = [(name, kind, got[f"n_{i}"], got[f"missing_{i}"], got[f"bad_{i}"])
+                for i, (name, kind, *_) in enumerate(fields)]
+        report = spark.createDataFrame(rows, "column string, expected string, n bigint, missing bigint, bad bigint")
+    if label is not None:
+        rows = [(x, got[f"class_{i}"]) for i, x in enumerate(expected)] + [(None, got["other"])]
+        kind = df.schema[label].dataType.simpleString()
+        classes = spark.createDataFrame([r for r in rows if r[1]], f"{label} {kind}, count bigint")
+    return report, classes
+
+
 def schema_check(checks: dict[str, tuple[DataFrame, T.StructType]], mode: str = "report") -> DataFrame:
     """Q2: run Q1 over several inputs.  ``mode='report'`` returns the
     findings (the reference only logs them); ``mode='fail'`` raises on any."""

@@ -12,6 +12,7 @@ from ..functions import text as TX
 from ..operators import clean as C
 from ..operators import labeling as L
 from ..operators import quality as Q
+from ..session import scratch_path
 from ..sources import schemas as S
 from ..sources import testdata as td
 from .catalog import register
@@ -37,6 +38,23 @@ def j1(spark, sf):
     return _merged(spark, sf)
 
 
+def _hot_reviews(spark, sf):
+    """The raw reviews with a third of them on one product."""
+    r = td.raw_reviews(spark, sf)
+    return r.withColumn("parent_asin", F.when(F.pmod("row_id", F.lit(3)) == 0, F.lit("1")).otherwise(F.col("parent_asin")))
+
+
+@register("j1_merge_hot_product", with_views("""SELECT r.row_id, r.rating, m.title AS product_title, m.main_category, r.parent_asin
+FROM (SELECT * REPLACE (CASE WHEN row_id % 3 = 0 THEN '1' ELSE parent_asin END AS parent_asin) FROM raw_reviews_v) r
+JOIN raw_metadata_v m USING (parent_asin) WHERE r.text IS NOT NULL AND r.rating IS NOT NULL AND NOT isnan(r.rating)""",
+                                             "raw_reviews_v", "raw_metadata_v"))
+def j1_hot(spark, sf):
+    """J1 with a third of all reviews on one product, which a sketch of the
+    keys finds and the join spreads."""
+    out = L.merge_reviews(_hot_reviews(spark, sf), td.raw_metadata(spark, sf), hot_one_in=1000)
+    return out.select("row_id", "rating", "product_title", "main_category", "parent_asin")
+
+
 @register("c1_strip_html", f"SELECT page_id, {strip_html_sql('html')} AS cleaned_text FROM pages")
 def c1(spark, sf):
     """HTML pages to lower-cased text."""
@@ -176,20 +194,39 @@ def q1(spark, sf):
     return Q.value_report(td.raw_reviews(spark, sf), wrong)
 
 
-@register("q2_schema_differences", """SELECT * FROM (VALUES
-  ('reviews', 'images', 'array<map<string,string>>', 'Column not found'),
-  ('metadata', 'features', 'array<string>', 'Column not found'),
-  ('metadata', 'description', 'array<string>', 'Column not found'),
-  ('metadata', 'images', 'array<map<string,string>>', 'Column not found'),
-  ('metadata', 'videos', 'array<map<string,string>>', 'Column not found'),
-  ('metadata', 'categories', 'array<array<string>>', 'Column not found'),
-  ('metadata', 'details', 'map<string,string>', 'Column not found'),
-  ('metadata', 'bought_together', 'array<string>', 'Column not found')) t("table", "column", expected, actual)
-WHERE (SELECT count(*) FROM documents) >= 0""")
+@register("q1_observed_write", with_views(" UNION ALL ".join(
+    f"""SELECT '{c}' AS column, '{t}' AS expected, count(*) AS n, count(*) - count({c}) AS missing,
+  count({c}) - count(TRY_CAST({c} AS {d})) AS bad FROM raw_reviews_v""" for c, t, d in _Q1_TYPES), "raw_reviews_v"))
+def q1_observed(spark, sf):
+    """Q1 counted while the reviews are written, without a pass of its own."""
+    wrong = T.StructType([T.StructField(f.name, T.LongType() if f.name == "user_id" else f.dataType)
+                          for f in S.REVIEWS.fields])
+    return Q.observed_write(td.raw_reviews(spark, sf), scratch_path(spark, "observed"), declared=wrong)[0]
+
+
+@register("q6_observed_write", with_views(
+    """SELECT CAST(CASE final_sentiment WHEN 'positive' THEN 0 WHEN 'negative' THEN 1 WHEN 'neutral' THEN 2 END
+       AS INTEGER) AS label, COUNT(*) AS count FROM reviews_v GROUP BY 1""", "reviews_v"))
+def q6_observed(spark, sf):
+    """Q4 + Q6 counted while the labeled reviews are written."""
+    r = td.review_facts(spark, sf).withColumn("label", LB.encode_label("final_sentiment"))
+    return Q.observed_write(r, scratch_path(spark, "observed"), label="label")[1]
+
+
+@register("q2_schema_differences", with_views("""SELECT t AS "table", c AS "column", expected, n, missing, bad FROM (
+  SELECT 'reviews' AS t, 'user_id' AS c, 'bigint' AS expected, count(*) AS n, count(*) - count(user_id) AS missing,
+    count(user_id) - count(TRY_CAST(user_id AS BIGINT)) AS bad FROM raw_reviews_v
+  UNION ALL SELECT 'metadata', 'store', 'double', count(*), count(*) - count(store),
+    count(store) - count(TRY_CAST(store AS DOUBLE)) FROM raw_metadata_v) x WHERE bad > 0""",
+                                              "raw_reviews_v", "raw_metadata_v"))
 def q2(spark, sf):
-    """Q1/Q2: declared columns that the raw review and metadata tables lack."""
-    return Q.schema_check({"reviews": (td.raw_reviews(spark, sf), S.REVIEWS),
-                           "metadata": (td.raw_metadata(spark, sf), S.METADATA)})
+    """Q2: findings over several tables: the columns of the raw reviews and
+    metadata with values that are not of the declared type (the user id and
+    the store are declared numbers here)."""
+    def declared(schema, **kinds):
+        return T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in schema.fields])
+    return Q.value_findings({"reviews": (td.raw_reviews(spark, sf), declared(S.REVIEWS, user_id=T.LongType())),
+                             "metadata": (td.raw_metadata(spark, sf), declared(S.METADATA, store=T.DoubleType()))})
 
 
 @register("q4_label_domain", with_views(
