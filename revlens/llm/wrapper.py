@@ -287,24 +287,25 @@ def _label_skips(label: str) -> bool:
 
 
 def summarize(nodes: list, pages: int) -> tuple[list[str], list[str]]:
-    """(article paths, texts that every page has outside articles)."""
+    """(article paths, texts that every page has outside articles).  What
+    lies below an optional element is not on every page."""
     roots: dict[str, set[str]] = {r: set() for r in ROOTS}
     same: set[str] = set()
-    todo = [(nodes, "")]
+    todo = [(nodes, "", False)]
     while todo:
-        kids, path = todo.pop()
+        kids, path, optional = todo.pop()
         for label, flags, inner in kids:
             if label == "(":
-                todo.append((inner, path))
+                todo.append((inner, path, optional or bool(flags & 1)))
             elif label == "#":
-                if inner is not None and not flags and pages >= MIN_PAGES:
+                if inner is not None and not flags and not optional and pages >= MIN_PAGES:
                     same.add(inner)
             elif not _label_skips(label):
                 here = f"{path}/{label}"
                 kind = "main" if label.endswith(".main") else label.partition(".")[0]
                 if kind in roots:
                     roots[kind].add(here)
-                todo.append((inner, here))
+                todo.append((inner, here, optional or bool(flags & 1)))
     paths = next((sorted(roots[r]) for r in ROOTS if roots[r]), [])
     return paths, [] if paths else sorted(same)
 

@@ -107,3 +107,15 @@ def test_pages_without_article(spark):
     clean = W.extract_pages(df.where("page_id < 8")).collect()
     assert sorted(r.text for r in clean) == [f"Text {i}" for i in range(8)]
     assert W.extract_pages(df.limit(0)).count() == 0
+
+
+def test_texts_of_one_page_alone_stay(spark):
+    """Elements that only one page of a host has are its text; what every
+    page has outside articles is not."""
+    extra = "<h2>Only here</h2><blockquote>Quoted once</blockquote><ul><li>One item</li></ul>"
+    rows = [(i, f"http://flat.example/{i}", f"<body><div><h1>Title {i}</h1><p>Para {i}</p>{extra if i == 7 else ''}</div>"
+                "<section>On every page</section></body>") for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in W.extract_pages(pages).collect()}
+    assert got[7] == "Title 7\n\nPara 7\n\nOnly here\n\nQuoted once\n\nOne item"
+    assert got[0] == "Title 0\n\nPara 0"
