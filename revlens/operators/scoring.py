@@ -1,11 +1,9 @@
 """Model scoring, tokenization and training.
 
-E1 is the engine's one Python boundary: a scorer object is loaded once per
-Python worker and applied to Arrow batches through `mapInPandas`.  The
-built-in scorer is a deterministic stand-in for a trained model (its SQL
-form lets the oracle recompute it); any object with
-``predict_scores(pandas.DataFrame) -> numpy.ndarray[n, 3]`` can be plugged
-in.
+E1 runs a scorer object over Arrow batches: it is loaded once per Python
+worker, and any object with ``predict_scores(pandas.DataFrame) ->
+numpy.ndarray[n, classes]`` can be plugged in.  The scorer here is a naive
+Bayes text model over hashed words, fitted by Spark aggregates.
 """
 
 from __future__ import annotations
@@ -17,81 +15,74 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.labels import argmax
-
 N_CLASSES = 3
+#: Word buckets of the text model (a bounded table of weights), and the
+#: whole-number unit of its log weights.
+BUCKETS = 1 << 16
+UNIT = 1_000_000
 
 
-class HashScorer:
-    """Deterministic 3-class scorer over (doc_id, n_chars, label).
+def word_bucket(token: Column) -> Column:
+    """Bucket of a word: the first 16 bits of its md5."""
+    return F.conv(F.substring(F.md5(token), 1, 4), 16, 10).cast("int")
 
-    Integer score of class k: ((doc_id * (3 + 2m) + 7k + n_chars) mod 9) + 1,
-    plus ``skill`` when k is the true label and doc_id mod (m + 2) != 0.
-    Probabilities are the scores divided by their sum (exact rationals).
-    """
 
-    def __init__(self, model_index: int, skill: int):
-        self.m = model_index
-        self.skill = skill
+def fit_text_model(df: DataFrame, text_col: str, label_col: str, smoothing: float = 0.01) -> DataFrame:
+    """E3 for the batch scorer: multinomial naive Bayes; every bucket counts
+    as met ``smoothing`` times in each class.  Returns ``bucket, w0, w1, w2``: log weights of words in
+    classes 0..2 in units of 1 / UNIT; bucket -1 is a word never seen, -2 the
+    class itself.  Words are counted with partial aggregates, so at most
+    BUCKETS rows per class and task are shuffled; rows without text or with
+    another label are left out."""
+    from ..functions.text import word_tokens
+    rows = df.where(F.col(text_col).isNotNull() & F.col(label_col).isin(*range(N_CLASSES)))
+    words = rows.select(F.col(label_col).alias("c"), F.explode(word_tokens(text_col)).alias("word"))
+    per_class = [F.count_if(F.col("c") == k).alias(f"n{k}") for k in range(N_CLASSES)]
+    counts = words.groupBy(word_bucket(F.col("word")).alias("bucket")).agg(*per_class)
+    total = counts.agg(*[F.coalesce(F.sum(f"n{k}"), F.lit(0)).alias(f"t{k}") for k in range(N_CLASSES)])
+    unseen = df.sparkSession.range(1).select(F.lit(-1).alias("bucket"), *[F.lit(0).cast("bigint").alias(f"n{k}")
+                                                                        for k in range(N_CLASSES)])
+    weights = counts.unionByName(unseen).join(total).select(  # one row of totals
+        "bucket", *[_log_share(F.col(f"n{k}") + F.lit(smoothing), F.col(f"t{k}") + F.lit(smoothing * BUCKETS)).alias(f"w{k}") for k in range(N_CLASSES)])
+    classes = rows.select(F.col(label_col).alias("c")).agg(*per_class)
+    every = sum((F.col(f"n{k}") for k in range(N_CLASSES)), F.lit(0))
+    prior = classes.select(F.lit(-2).alias("bucket"), *[_log_share(F.col(f"n{k}") + 1, every + N_CLASSES).alias(f"w{k}")
+                                                       for k in range(N_CLASSES)])
+    return weights.unionByName(prior)
+
+
+def _log_share(part: Column, whole: Column) -> Column:
+    return F.round(F.log(part / whole) * UNIT).cast("bigint")
+
+
+class TextScorer:
+    """Scores ``buckets`` (lists of word buckets) by the weights of
+    `fit_text_model`: the classes' likelihoods, the largest being 1.  Sums
+    are whole numbers, so the order of the words does not matter."""
+
+    def __init__(self, weights: pd.DataFrame):
+        w = weights.set_index("bucket")[[f"w{k}" for k in range(N_CLASSES)]]
+        self.table = np.tile(w.loc[-1].to_numpy(np.int64), (BUCKETS, 1))
+        seen = w[w.index >= 0]
+        self.table[seen.index.to_numpy()] = seen.to_numpy(np.int64)
+        self.prior = w.loc[-2].to_numpy(np.int64)
 
     def predict_scores(self, pdf: pd.DataFrame) -> np.ndarray:
-        doc = pdf["doc_id"].to_numpy(dtype=np.int64)
-        n = pdf["n_chars"].to_numpy(dtype=np.int64)
-        y = pdf["label"].to_numpy(dtype=np.int64)
-        out = np.empty((len(pdf), N_CLASSES), dtype=np.float64)
-        for k in range(N_CLASSES):
-            s = (doc * (3 + 2 * self.m) + 7 * k + n) % 9 + 1
-            s = s + np.where((y == k) & (doc % (self.m + 2) != 0), self.skill, 0)
-            out[:, k] = s
-        return out
-
-    def score_columns(self) -> list[Column]:
-        """The same scores as Spark expressions (no Python worker), each
-        built from one SQL expression."""
-        return [F.expr(f"CAST(pmod(doc_id * {3 + 2 * self.m} + {7 * k} + n_chars, 9) + 1 + "
-                       f"CASE WHEN label = {k} AND pmod(doc_id, {self.m + 2}) != 0 THEN {self.skill} "
-                       f"ELSE 0 END AS DOUBLE)")
-                for k in range(N_CLASSES)]
-
-    def score_sql(self) -> list[str]:
-        out = []
-        for k in range(N_CLASSES):
-            out.append(f"(CAST(((doc_id * {3 + 2 * self.m} + {7 * k} + n_chars) % 9) + 1 + "
-                       f"CASE WHEN label = {k} AND doc_id % {self.m + 2} <> 0 THEN {self.skill} ELSE 0 END AS DOUBLE))")
-        return out
-
-
-# Stand-in models of the evaluation queries: name -> (index, skill).
-MODELS = {"model_a": (0, 6), "model_b": (1, 4), "model_c": (2, 2)}
-
-
-def normalized(scores: Column) -> Column:
-    """Scores -> probabilities (divide by the sum)."""
-    tot = F.aggregate(scores, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(scores, lambda x: x / tot)
-
-
-def predict(df: DataFrame, model_name: str, scorer=None) -> DataFrame:
-    """E1 (expression form): add Model_Name, probs, prediction (argmax)."""
-    scorer = scorer or HashScorer(*MODELS[model_name])
-    probs = normalized(F.array(*scorer.score_columns()))
-    return (df.withColumns({"probs": probs, "Model_Name": F.lit(model_name)})
-              .withColumn("prediction", argmax("probs"))
-              .select(*df.columns, "probs", "prediction", "Model_Name"))
-
-
-def predict_models(df: DataFrame, model_names, scorers=None) -> DataFrame:
-    """E1 (expression form) for several models from one pass over ``df``:
-    a one-row-per-model generator gives each input row one output row per
-    model (the same rows as a union of `predict` per model, without reading
-    and joining the input once per model)."""
-    scorers = scorers or {n: HashScorer(*MODELS[n]) for n in model_names}
-    per_model = [F.struct(F.lit(n).alias("Model_Name"), F.array(*scorers[n].score_columns()).alias("_s"))
-                 for n in model_names]
-    x = df.select("*", F.inline(F.array(*per_model)))
-    return (x.withColumn("probs", normalized(F.col("_s")))
-             .withColumn("prediction", argmax("probs"))
-             .select(*df.columns, "probs", "prediction", "Model_Name"))
+        sums = [self.prior + self.table[np.asarray(b, np.int64)].sum(axis=0) for b in pdf["buckets"]]
+        total = np.array(sums, np.int64).reshape(-1, N_CLASSES)
+        return np.exp((total - total.max(axis=1, keepdims=True)) / UNIT)
+
+
+def score_texts(df: DataFrame, weights: DataFrame, model_name: str, text_col: str = "text",
+                id_cols=("doc_id",)) -> DataFrame:
+    """Class probabilities of texts under `fit_text_model` weights (at
+    most BUCKETS + 2 rows, which go to every worker).  Words are cut and
+    hashed by Spark; a text without words gets the classes' own shares."""
+    from ..functions.text import word_tokens
+    model = df.sparkSession.sparkContext.broadcast(weights.toPandas())
+    buckets = F.coalesce(F.transform(word_tokens(text_col), word_bucket), F.array().cast("array<int>"))
+    rows = df.select(*id_cols, buckets.alias("buckets"))
+    return score_batches(rows, lambda: TextScorer(model.value), model_name, id_cols)
 
 
 def score_batches(df: DataFrame, scorer_factory, model_name: str,

@@ -11,25 +11,25 @@ from ..operators import scoring as SC
 from ..session import materialize
 from ..sources import testdata as td
 from .catalog import register
+from .sqltext import tokens_sql
 from .sqlviews import with_views
 
 R = MT.METRIC_ROUND
 
 
-def _preds(spark, sf, models=None):
-    return SC.predict_models(td.eval_labels(spark, sf), list(models or SC.MODELS))
+def _preds(spark, sf, models=tuple(td.MODELS)):
+    return td.predictions(spark, sf, models)
 
 
 def _stored_preds(spark, sf):
-    """Predictions written once: every metric branch reads the same table
-    instead of re-running the scorer."""
+    """Predictions written once: every metric branch reads the same table."""
     return materialize(_preds(spark, sf))
 
 
 def _preds_sql() -> dict[str, str]:
     parts = []
-    for name, (m, skill) in SC.MODELS.items():
-        s = SC.HashScorer(m, skill).score_sql()
+    for name in td.MODELS:
+        s = td.predictions_sql(name)
         parts.append(f"SELECT '{name}' AS Model_Name, doc_id, main_category, store, label, "
                      f"{s[0]} AS s0, {s[1]} AS s1, {s[2]} AS s2 FROM eval_labels_v")
     return {
@@ -76,15 +76,41 @@ def _ev(body, keys="Model_Name", extra=None):
     return with_views(body, "eval_labels_v", extra={**_preds_sql(), **_per_class_sql(keys), **(extra or {})})
 
 
-@register("e1_batch_scoring_arrow", with_views(
-    "SELECT doc_id, Model_Name, p0, p1, p2, prediction FROM preds WHERE Model_Name = 'model_a'",
-    "eval_labels_v", extra=_preds_sql()))
+_E1_CTES = {
+    "words": f"""SELECT doc_id, label, ('0x' || substr(md5(unnest({tokens_sql('text')})), 1, 4))::INT AS bucket
+  FROM documents JOIN eval_labels_v USING (doc_id)""",
+    "counts": """SELECT bucket, count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1,
+    count(*) FILTER (label = 2) AS n2 FROM words WHERE doc_id % 5 <> 0 GROUP BY bucket""",
+    "totals": """SELECT coalesce(sum(n0), 0) + 655.36::DOUBLE AS t0, coalesce(sum(n1), 0) + 655.36::DOUBLE AS t1,
+    coalesce(sum(n2), 0) + 655.36::DOUBLE AS t2 FROM counts""",
+    "weights": """SELECT w.bucket, round(ln((coalesce(n0, 0) + 0.01::DOUBLE) / t0) * 1e6)::BIGINT AS w0,
+    round(ln((coalesce(n1, 0) + 0.01::DOUBLE) / t1) * 1e6)::BIGINT AS w1, round(ln((coalesce(n2, 0) + 0.01::DOUBLE) / t2) * 1e6)::BIGINT AS w2
+  FROM (SELECT DISTINCT bucket FROM words) w LEFT JOIN counts USING (bucket), totals""",
+    "shares": """SELECT round(ln((count(*) FILTER (label = 0) + 1) / (count(*) + 3)) * 1e6)::BIGINT AS w0,
+    round(ln((count(*) FILTER (label = 1) + 1) / (count(*) + 3)) * 1e6)::BIGINT AS w1,
+    round(ln((count(*) FILTER (label = 2) + 1) / (count(*) + 3)) * 1e6)::BIGINT AS w2
+  FROM eval_labels_v JOIN documents USING (doc_id) WHERE doc_id % 5 <> 0 AND text IS NOT NULL""",
+    "sums": """SELECT e.doc_id, s.w0 + coalesce(x.w0, 0) AS s0, s.w1 + coalesce(x.w1, 0) AS s1, s.w2 + coalesce(x.w2, 0) AS s2
+  FROM eval_labels_v e CROSS JOIN shares s LEFT JOIN (SELECT doc_id, sum(w0) AS w0, sum(w1) AS w1, sum(w2) AS w2
+    FROM words JOIN weights USING (bucket) GROUP BY doc_id) x USING (doc_id)""",
+    "likely": """SELECT *, exp((s0 - greatest(s0, s1, s2)) / 1e6) AS e0, exp((s1 - greatest(s0, s1, s2)) / 1e6) AS e1,
+    exp((s2 - greatest(s0, s1, s2)) / 1e6) AS e2 FROM sums""",
+}
+
+
+@register("e1_batch_scoring_arrow", with_views("""SELECT doc_id, 'naive_bayes' AS Model_Name,
+  round(e0 / (e0 + e1 + e2), 9) AS p0, round(e1 / (e0 + e1 + e2), 9) AS p1, round(e2 / (e0 + e1 + e2), 9) AS p2,
+  CASE WHEN s0 >= s1 AND s0 >= s2 THEN 0 WHEN s1 >= s2 THEN 1 ELSE 2 END AS prediction FROM likely""",
+                                               "eval_labels_v", extra=_E1_CTES))
 def e1(spark, sf):
-    """Pluggable scorer applied on Arrow batches (mapInPandas)."""
-    base = td.eval_labels(spark, sf)
-    m, skill = SC.MODELS["model_a"]
-    out = SC.score_batches(base, lambda: SC.HashScorer(m, skill), "model_a", id_cols=("doc_id",))
-    return out.select("doc_id", "Model_Name", *[F.col("probs")[k].alias(f"p{k}") for k in range(3)], "prediction")
+    """Texts scored in Arrow batches by a model fitted on the labeled
+    documents whose id is not divisible by 5; the scorer sees words only."""
+    labeled = td.table(spark, sf, "documents").select("doc_id", "text").join(
+        td.eval_labels(spark, sf).select("doc_id", "label"), "doc_id")
+    weights = SC.fit_text_model(labeled.where(F.pmod("doc_id", F.lit(5)) != 0), "text", "label")
+    out = SC.score_texts(labeled, weights, "naive_bayes")
+    return out.select("doc_id", "Model_Name", *[F.round(F.col("probs")[k], 9).alias(f"p{k}") for k in range(3)],
+                      "prediction")
 
 
 @register("e4_confusion_matrix", _ev("SELECT Model_Name, label, prediction, count FROM conf"))

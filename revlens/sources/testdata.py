@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.labels import heuristic_sentiment
+from ..functions.labels import argmax, heuristic_sentiment
 from .io import read_positions
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -172,3 +172,32 @@ def labeled_facts(spark: SparkSession, sf_dir: str, row_ids: bool = True) -> Dat
     return r.join(p, "product_id").select(
         "row_id", "product_id", "rating", "helpful_vote", "timestamp", "final_sentiment",
         encode_label("final_sentiment").alias("label"), "main_category", "store")
+
+
+# --- predictions of the evaluation queries --------------------------------------------
+# Rows in the shape that E1 writes, by fixed rules: name -> (index m, skill).
+# Score of class k: ((doc_id * (3 + 2m) + 7k + n_chars) mod 9) + 1, plus the
+# skill where k is the label and doc_id mod (m + 2) is not 0.  Probabilities
+# are the scores divided by their sum (exact rationals).
+MODELS = {"model_a": (0, 6), "model_b": (1, 4), "model_c": (2, 2)}
+
+
+def _score(m: int, skill: int, k: int, mod: str) -> str:
+    return (f"CAST({mod.format(f'doc_id * {3 + 2 * m} + {7 * k} + n_chars', 9)} + 1 + CASE WHEN label = {k} "
+            f"AND {mod.format('doc_id', m + 2)} <> 0 THEN {skill} ELSE 0 END AS DOUBLE)")
+
+
+def predictions(spark: SparkSession, sf_dir: str, models=tuple(MODELS)) -> DataFrame:
+    """`eval_labels` with the predictions of several models, a row each."""
+    per_model = [F.struct(F.lit(n).alias("Model_Name"), F.array(*[F.expr(_score(*MODELS[n], k, "pmod({}, {})"))
+                                                                  for k in range(3)]).alias("_s")) for n in models]
+    x = eval_labels(spark, sf_dir)
+    s = F.col("_s")
+    return (x.select("*", F.inline(F.array(*per_model)))
+             .withColumn("probs", F.transform(s, lambda v: v / (s[0] + s[1] + s[2])))
+             .withColumn("prediction", argmax("probs")).select(*x.columns, "probs", "prediction", "Model_Name"))
+
+
+def predictions_sql(name: str) -> list[str]:
+    """The scores of a model's classes in DuckDB SQL."""
+    return [_score(*MODELS[name], k, "(({}) % {})") for k in range(3)]
