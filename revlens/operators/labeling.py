@@ -47,8 +47,13 @@ def merge_reviews(reviews: DataFrame, metadata: DataFrame, keep: list[str] | Non
                    r.parent_asin.eqNullSafe(F.col("_m_asin")), "inner").drop("_m_asin")
     else:
         j = r.join(m, "parent_asin", "inner")
-    j = C.drop_null(j, ["text", "rating"])
-    return j.select(*[c for c in keep if c in j.columns])
+    return _kept(j, keep)
+
+
+def _kept(merged: DataFrame, keep: list[str] | None) -> DataFrame:
+    """Merged rows with text and rating, reduced to ``keep``."""
+    merged = C.drop_null(merged, ["text", "rating"])
+    return merged.select(*[c for c in keep or WIDE if c in merged.columns])
 
 
 def add_labels(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
@@ -73,7 +78,15 @@ def label_reviews(reviews: DataFrame, metadata: DataFrame, keep: list[str] | Non
     verified flag is gone before the rating rule), null-safe merge.
     """
     keep = keep or (NARROW if compat else WIDE)
-    merged = merge_reviews(reviews, metadata, keep=keep, null_safe=compat)
+    return _labeled(merge_reviews(reviews, metadata, keep=keep, null_safe=compat))
+
+
+def label_merged(merged: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """L6 from reviews that carry their product's metadata already."""
+    return _labeled(_kept(merged, keep))
+
+
+def _labeled(merged: DataFrame) -> DataFrame:
     cleaned = C.strip_html_tags(merged, "text", "cleaned_text")
     cleaned = C.drop_urls(cleaned)
     cleaned = C.drop_file_names(cleaned)

@@ -113,6 +113,26 @@ def _labeled_stream(spark, sf):
     return LV.label_stream(stream, td.raw_metadata(spark, sf)), arrivals
 
 
+# Product k is described k hours into 2020, as a stream of its own behind the
+# reviews.
+@register("t8_late_metadata", with_views(
+    f"""SELECT *, {majority_sql('heuristic_sentiment', 'lexicon_a_sentiment', 'lexicon_b_sentiment')}
+  AS final_sentiment FROM labeled WHERE parent_asin::BIGINT * 3600000 + 1577836800000 BETWEEN timestamp AND timestamp + 2592000000""",
+    "raw_reviews_v", "raw_metadata_v", extra=_L6_CTES))
+def t8(spark, sf):
+    """T1 + T2: reviews and product metadata as two streams; metadata that
+    comes up to 30 days after a review labels it, once."""
+    raw = td.raw_reviews(spark, sf).withColumn("review_time", F.timestamp_millis("timestamp"))
+    hour = F.col("parent_asin").cast("bigint") * 3_600_000 + F.lit(td.TEXT_REVIEW_EPOCH_MS)
+    meta = td.raw_metadata(spark, sf).withColumn("_order", F.col("parent_asin").cast("bigint")) \
+        .withColumn("metadata_time", F.timestamp_millis(hour))
+    reviews, arrivals = _arriving(spark, raw, "row_id", "reviews")
+    described, later = _arriving(spark, meta, "_order", "metadata")
+    out = LV.label_late_metadata(reviews, described.drop("_order"), "review_time", "metadata_time", "30 days",
+                                 watermark="2 days")
+    return spark.read.parquet(LV.run_available_now(out, "t8", arrivals=[*arrivals, *later]))
+
+
 @register("d7_append_live_reviews", _star_sql("""SELECT l.row_id AS review_id, p.product_id, l.cleaned_text, l.rating,
   CAST(0 AS BIGINT) AS helpful_vote, true AS appended_now, l.final_sentiment
 FROM l6 l JOIN prods p ON p.product_title = l.product_title

@@ -48,6 +48,29 @@ def label_stream(reviews: DataFrame, metadata: DataFrame, keep=None) -> DataFram
     return L.label_reviews(reviews, metadata, keep=keep)
 
 
+def label_late_metadata(reviews: DataFrame, metadata: DataFrame, review_time: str, metadata_time: str,
+                        bound: str = "1 day", watermark: str = "1 day", keep=None) -> DataFrame:
+    """T1/T2 with metadata that arrives after the reviews: a stream-stream
+    join on the product.  A review is labeled once, by the product's
+    metadata of at most ``bound`` after it (or the same time); a review
+    whose metadata comes later than that is not labeled.
+
+    Both sides keep state only for the bound and the watermark.  A product
+    described several times within the bound still labels a review once:
+    the first description to meet it counts, replays are dropped within the
+    watermark.  ``row_id`` tells reviews apart."""
+    product = "_product"
+    described = metadata.withColumnRenamed("parent_asin", product).withWatermark(metadata_time, watermark)
+    described = described.withColumnRenamed("title", "product_title")
+    own = [c for c in described.columns if c not in reviews.columns]
+    near = (F.col(metadata_time) >= F.col(review_time)) & \
+        (F.col(metadata_time) <= F.col(review_time) + F.expr(f"INTERVAL {bound}"))
+    merged = (reviews.withColumnRenamed("title", "review_title").withWatermark(review_time, watermark)
+              .join(described.select(*own), (F.col("parent_asin") == F.col(product)) & near))
+    merged = merged.drop(metadata_time).dropDuplicatesWithinWatermark(["row_id"])
+    return L.label_merged(merged, keep)
+
+
 def windowed_sentiment(stream: DataFrame, ts_col: str = "timestamp", label_col: str = "final_sentiment",
                        window: str = "1 day", slide: str | None = None, watermark: str = "1 day",
                        session_gap: str | None = None) -> DataFrame:

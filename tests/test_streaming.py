@@ -149,3 +149,28 @@ def test_panels_follow_added_and_retracted_reviews(spark):
         assert sorted(map(str, panel(sums, *dims).collect())) == sorted(map(str, panel(left, *dims).collect())), name
     assert sorted(map(str, D.product_avg_rating(sums, dims[0]).collect())) == \
         sorted(map(str, D.product_avg_rating(left, dims[0]).collect()))
+
+
+def test_late_metadata_labels_once_within_the_bound(spark):
+    d = tempfile.mkdtemp(prefix="run-")
+    t0 = dt.datetime(2024, 1, 1)
+    r_sch = "row_id long, rating double, title string, text string, parent_asin string, review_time timestamp"
+    m_sch = "main_category string, title string, store string, price double, parent_asin string, metadata_time timestamp"
+    reviews = [(1, 5.0, "t", "great stuff", "a", t0), (2, 1.0, "t", "awful", "b", t0), (3, 5.0, "t", "fine", "c", t0),
+               (4, 5.0, "t", None, "a", t0)]
+    first = [("cat", "A", "s", 1.0, "a", t0 + dt.timedelta(hours=5)), ("cat", "B", "s", 1.0, "b", t0 + dt.timedelta(hours=30))]
+    again = [("cat", "A2", "s", 1.0, "a", t0 + dt.timedelta(hours=6))]
+
+    def write(rows, schema, folder):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{d}/{folder}")
+
+    write([], r_sch, "r")
+    write([], m_sch, "m")
+    out = LV.label_late_metadata(LV.review_stream(spark, f"{d}/r", T._parse_datatype_string(r_sch)),
+                                 LV.review_stream(spark, f"{d}/m", T._parse_datatype_string(m_sch)),
+                                 "review_time", "metadata_time", "1 day")
+    path = LV.run_available_now(out, "late", arrivals=[
+        lambda: write(reviews, r_sch, "r"), lambda: write(first, m_sch, "m"), lambda: write(again, m_sch, "m")])
+    got = {r.row_id: (r.product_title, r.heuristic_sentiment) for r in spark.read.parquet(path).collect()}
+    assert got == {1: ("A", "neutral")} or got == {1: ("A", "positive")}  # b came too late, c never
+    assert spark.read.parquet(path).count() == 1
