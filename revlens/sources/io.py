@@ -31,8 +31,22 @@ def _nested_as_string(schema: T.StructType) -> T.StructType:
     return T.StructType(fields)
 
 
+# Line breaks and the sign that marks them in files of one record a line.
+_LINE_MARKS = [("%", "%25"), ("\n", "%0A"), ("\r", "%0D")]
+
+
+def _replaced(df: DataFrame, pairs) -> DataFrame:
+    """String columns with each first text of ``pairs`` as the second one."""
+    def put(c: Column) -> Column:
+        for old, new in pairs:
+            c = F.replace(c, F.lit(old), F.lit(new))
+        return c
+    return df.select(*[put(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               fmt: str = "parquet", encoding: str | None = None) -> DataFrame:
+               fmt: str = "parquet", encoding: str | None = None, line_records: bool = False) -> DataFrame:
     """Scan a table with a declared schema.
 
     ``fmt`` is ``parquet`` (default), ``json`` (one object per line) or
@@ -41,6 +55,10 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     ``encoding`` covers the latin-1 chunked scans (S7); input splits replace
     the reference's 100 000-row chunks.  Object-store URIs (S5) are plain
     Hadoop paths.
+
+    A quoted field may hold line breaks, so a foreign CSV file is read by one
+    task.  Files that `write_table` wrote with ``line_records`` have one
+    record a line and are split.
     """
     if fmt == "parquet":
         r = spark.read
@@ -53,13 +71,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
             r = r.option("encoding", encoding)
         return (r.schema(schema) if schema is not None else r).json(path)
     if fmt == "csv":
-        r = (spark.read.option("header", True).option("multiLine", True)
+        r = (spark.read.option("header", True).option("multiLine", not line_records)
              .option("escape", '"').option("mode", "PERMISSIVE").options(**_KEEP_SPACE))
         if encoding:
             r = r.option("encoding", encoding)
+        df = r.csv(path) if schema is None else r.schema(_nested_as_string(schema)).csv(path)
+        if line_records:
+            df = _replaced(df, [(new, old) for old, new in reversed(_LINE_MARKS)])
         if schema is None:
-            return r.csv(path)
-        df = r.schema(_nested_as_string(schema)).csv(path)
+            return df
         cols = []
         for f in schema.fields:
             if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
@@ -71,15 +91,26 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: list[str] | None = None, encoding: str | None = None) -> None:
+                partition_by: list[str] | None = None, encoding: str | None = None,
+                line_records: bool = False) -> None:
     """Bulk write.  CSV gets a header and nested columns
-    serialised as JSON; Parquet keeps arrays (tokenized sets, S12) typed."""
+    serialised as JSON; Parquet keeps arrays (tokenized sets, S12) typed.
+
+    With ``line_records`` CSV records are one line each: line breaks in
+    texts are written as marks that `read_table` turns back.  Text that
+    ``encoding`` has no character for fails the write."""
     w_df = df
     if fmt == "csv":
         w_df = df.select(*[
             F.to_json(F.col(f.name)).alias(f.name)
             if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f.name)
             for f in df.schema.fields])
+    if fmt == "csv" and line_records:
+        w_df = _replaced(w_df, _LINE_MARKS)
+    if encoding and encoding.upper().replace("_", "-") not in ("UTF-8", "UTF8"):
+        w_df = w_df.select(*[F.decode(F.encode(F.col(f"`{f.name}`"), encoding), encoding).alias(f.name)
+                             if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+                             for f in w_df.schema.fields])
     w = w_df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
