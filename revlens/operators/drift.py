@@ -2,7 +2,7 @@
 
 KS statistics are computed from value counts: each sample is aggregated by
 distinct value, the two counts are cumulated along the value order with the
-bucketed running sum, and D is the largest ECDF gap - no sample is ever
+distributed running sum, and D is the largest ECDF gap - no sample is ever
 collected or sorted in one task.  The p-value of small samples is exact, by
 the recurrence of the paths that two merged samples can take; large samples
 take the asymptotic series.
