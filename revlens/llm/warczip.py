@@ -35,6 +35,9 @@ RECORDS, INDEX, ABOUT = "archive/data.warc.gz", "indexes/index.cdx", "datapackag
 #: A task starts a new ZIP file after so many bytes; spans to read hold about so many.
 ARCHIVE_BYTES = 256 << 20
 SPAN_BYTES = 4 << 20
+#: Bytes of archives that one partition of the readers stands for at most, on
+#: average; below that, there are two partitions for each core.
+READ_BYTES = 256 << 20
 # Fixed values of the formats.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END, END64, LOCATOR64 = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
@@ -274,8 +277,17 @@ def read_archives(manifest: DataFrame, with_payload: bool = False, span_bytes: i
 
     schema = ("page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, "
               "refers_to bigint" + ", payload binary" * with_payload)
-    found = manifest.select("path").repartition("path").mapInArrow(spans, "path string, start bigint, length bigint")
-    return found.repartition("path", "start").mapInArrow(records, schema)
+    # rows that name archives and spans are small whatever they name: partitions by the bytes behind them, in a number
+    # that adaptive execution doesn't merge
+    files, size = manifest.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = 2 * manifest.sparkSession.sparkContext.defaultParallelism
+
+    def parts(most: int) -> int:
+        return max(1, min(most, tasks), -(-size // READ_BYTES))
+
+    found = (manifest.select("path").repartition(parts(files), "path")
+                     .mapInArrow(spans, "path string, start bigint, length bigint"))
+    return found.repartition(parts(-(-size // span_bytes)), "path", "start").mapInArrow(records, schema)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_revisit_bytes: int = 0, with_payload: bool = False,
