@@ -37,7 +37,8 @@ SUBSTITUTE, DROP, STRETCH, ITSELF = 2.0, 1.0, 0.5, 4.0
 #: Letters of the character model; all others are one class.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
 OTHER, EDGE = "?", " "
-#: Longest word beginning used as a feature, shortest, and features kept.
+#: Longest word beginning used as a feature, shortest, and the size of the
+#: classifier: at most so many features, the strongest.
 LONGEST, SHORTEST, FEATURES = 7, 3, 4096
 #: Labelled rows that the classifier is fitted on at most.
 TRAIN_ROWS = 20_000
@@ -289,11 +290,30 @@ def fit_logistic(rows: list[list[int]], labels: np.ndarray, n: int, l2: float =
     return w[:n], float(w[n])
 
 
+def strongest_features(lab: DataFrame, n: int, pos: int, features: int) -> list[str]:
+    """Features of the words of ``lab`` (``y, words``; ``n`` documents, ``pos``
+    of them toxic) that speak for toxicity, the strongest first.  A document
+    counts once for a feature however many of its words have it."""
+    ends = F.sequence(F.lit(SHORTEST), F.lit(LONGEST))
+
+    def of_word(w):
+        starts = F.transform(F.filter(ends, lambda k: k <= F.length(w)), lambda k: F.substring(w, F.lit(1), k))
+        return F.concat(starts, F.array(F.concat(F.lit("="), w)))
+
+    each = F.array_distinct(F.flatten(F.transform("words", of_word)))
+    counted = (lab.select("y", F.explode(each).alias("f")).groupBy("f")
+                  .agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")).where(f"pos >= {MIN_DOCS}"))
+    lift = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("n") - F.col("pos") + 0.5) / (n - pos + 1))
+    best = (counted.withColumn("lift", lift).where("lift > 1")
+                   .orderBy((F.col("lift") * F.sqrt("pos")).desc(), "f").limit(features).collect())
+    return [r.f for r in best]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> ToxicityModel:
-    """Character model over all documents; classifier over at most
-    ``train_rows`` labelled documents (those of the smallest id hashes; the
-    only sample here).  Null labels and ids teach nothing; an id labelled
+        label_col: str = "toxic", train_rows: int = TRAIN_ROWS, features: int = FEATURES) -> ToxicityModel:
+    """Character model over all documents; classifier of at most ``features``
+    word features over at most ``train_rows`` labelled documents (those of
+    the smallest id hashes; the only sample here).  Null labels and ids teach nothing; an id labelled
     both ways counts as toxic; without both classes the score is the share
     of toxic labels (0.5 if there is none)."""
     trigrams = char_trigrams(docs, text_col)
@@ -322,18 +342,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         share = size.pos / size.n if size.n else 0.5
         share = min(1 - 1e-6, max(1e-6, share))
         return ToxicityModel(trigrams, {}, math.log(share / (1 - share)))
-    # features that speak for toxicity, the strongest first
-    by_word = (lab.select("y", F.explode("words").alias("w")).groupBy("w")
-                  .agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("n")))
-    ends = F.sequence(F.lit(SHORTEST), F.lit(LONGEST))
-    starts = F.transform(F.filter(ends, lambda k: k <= F.length("w")), lambda k: F.substring("w", F.lit(1), k))
-    counted = (by_word.select(F.explode(F.concat(starts, F.array(F.concat(F.lit("="), "w")))).alias("f"), "pos", "n")
-                      .groupBy("f").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).where(f"pos >= {MIN_DOCS}"))
-    lift = F.log((F.col("pos") + 0.5) / (size.pos + 1)) - F.log((F.col("n") - F.col("pos") + 0.5)
-                                                                / (size.n - size.pos + 1))
-    best = (counted.withColumn("lift", lift).where("lift > 1")
-                   .orderBy((F.col("lift") * F.sqrt("pos")).desc(), "f").limit(FEATURES).collect())
-    number = {r.f: i for i, r in enumerate(best)}
+    number = {f: i for i, f in enumerate(strongest_features(lab, size.n, size.pos, features))}
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -343,7 +352,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 names=["y", "x"])
 
     # bounded by train_rows
-    rows = lab.mapInArrow(chosen, "y int, x array<int>").orderBy("y", "x").collect()
+    rows = sorted(lab.mapInArrow(chosen, "y int, x array<int>").collect(), key=lambda r: (r.y, r.x))
     w, bias = fit_logistic([r.x for r in rows], np.array([r.y for r in rows], float), len(number))
     return ToxicityModel(trigrams, {f: float(w[i]) for f, i in number.items()}, bias)
 

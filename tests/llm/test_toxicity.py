@@ -57,6 +57,34 @@ def test_query_held_out(spark):
     assert sum(p == y for p, y in held) / len(held) > 0.9
 
 
+def test_features_count_documents(spark):
+    """Against plain counts; ties go by the feature, also at the cut."""
+    import math
+    import random
+    rng = random.Random(3)
+    vocab = ["idiot", "idiots", "idiotic", "stupid", "fine", "finer", "day", "to", "days", "moron"]
+    rows = []
+    for i in range(120):
+        y = int(i % 4 == 0)
+        words = rng.sample(vocab[4:], 3) + (rng.sample(vocab[:4], rng.randrange(1, 4)) if y else rng.sample(vocab, 1))
+        rows.append((y, sorted(set(words))))
+    n, pos = len(rows), sum(y for y, _ in rows)
+    count: dict = {}
+    for y, words in rows:
+        for f in {f for w in words for f in T.word_features(w)}:
+            c = count.setdefault(f, [0, 0])
+            c[0] += y
+            c[1] += 1
+    def lift(c):
+        return math.log((c[0] + .5) / (pos + 1)) - math.log((c[1] - c[0] + .5) / (n - pos + 1))
+    want = sorted((f for f, c in count.items() if c[0] >= T.MIN_DOCS and lift(c) > 1),
+                  key=lambda f: (-round(lift(count[f]) * math.sqrt(count[f][0]), 9), f))
+    lab = spark.createDataFrame(rows, "y int, words array<string>")
+    assert len(want) > 5
+    for k in (1, 4, 100):
+        assert T.strongest_features(lab, n, pos, k) == want[:k]
+
+
 def test_edge_rows(spark):
     docs = spark.createDataFrame([(i, f"you {('stupid', 'idiot')[i // 2 % 2]} man" if i % 2 else "you fine man", 7) for i in range(40)]
                                  + [(100, None, 1), (100, None, 1), (101, "", 1), (None, "1d10t", 1),
