@@ -54,8 +54,17 @@ _WIDE = {
 # Gazetteers.
 _TLDS = frozenset("com org net edu gov io info biz de fr es it nl uk eu us ca ch at be pl se no dk fi jp cn in au br".split())
 _ISSUERS = re.compile(r"4|5[1-5]|2[2-7]|3[47]|6011|65|35|36|30[0-5]")
-_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 54 55 56 57 60 61 62 63 64 65 66 81 "
-                   "82 84 86 90 91 92 351 352 353 358 420 421".split())
+# Country codes of the numbering plan: all of one and two digits, then every
+# three digit one of the listed zones that is assigned.
+_CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 "
+                   "66 81 82 84 86 90 91 92 93 94 95 98".split()) | (
+    frozenset(f"{zone}{d}" for zone in "21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split()
+              for d in range(10))
+    - frozenset("210 214 215 217 219 259 292 293 294 295 296 384 388 422 424 425 426 427 428 429 671 684 693 694 695 696 "
+                "697 698 699 801 802 803 804 805 806 807 809 851 854 857 858 859 871 872 873 874 875 876 877 879 884 885 "
+                "887 889 969 978 990 991 997".split()))
+# What every email of the wide pattern has inside.
+_AT = re.compile(r"(?:@|\(at\)|\[at\]|\sat\s)\s?[\w-]{1,63}\s?(?:\.|\(dot\)|\[dot\]|\sdot\s)\s?[\w-]{2}")
 # Words near a span that speak for its kind, and text before it that speaks against any.
 _NEAR = {"email": re.compile(r"mail|contact|write|reach|kontakt|correo|courriel"),
          "ip": re.compile(r"\bip\b|address|host|server|login|adresse"),
@@ -150,10 +159,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     out = []
     for kind, pattern in _WIDE.items():
         if kind == "email":
-            low = text.lower() if "(at)" in text.lower() or "[at]" in text.lower() else text
-            if "@" not in text and low is text and " at " not in text:
-                continue
-            if "@" not in text and " dot " not in text and low is text:
+            if not _AT.search(text):
                 continue
         elif not digit:
             continue

@@ -80,3 +80,17 @@ def test_added_spans_and_mask(spark):
     assert by[501].text is None and by[501].n_chars == 3 and by[4].n_chars == 5
     assert by[1].text == "mail [EMAIL] now" and out.count() == docs.count()
     assert P.find(docs.limit(0)).count() == 0 and P.mask(docs.limit(0)).count() == 0
+
+
+def test_pre_test_is_a_necessary_condition():
+    """What is a candidate does not depend on the rest of the text."""
+    for written in ("write to jane at example.com now", "jane at\texample.org", "jane (at) example (dot) org",
+                    "x [at] mail [dot] example.net", "jane at example dot com"):
+        alone = [written[s:e] for k, s, e in P.candidates(written, []) if k == "email"]
+        both = f"x@ y {written}"
+        assert len(alone) == 1 and alone == [both[s:e] for k, s, e in P.candidates(both, []) if k == "email"]
+    assert not P.candidates("we met at home", [])
+
+
+def test_country_codes():
+    assert {"380", "1", "44", "971", "998", "212"} <= P._CODES and not {"210", "999x", "28", "3", "699"} & P._CODES
