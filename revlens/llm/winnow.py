@@ -85,9 +85,14 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+#: Documents of a range of ids, about.
+RANGE_ROWS = 100_000
+
+
 def _range_heads(spark: SparkSession, ids: DataFrame) -> list[int]:
-    """Largest id of each range of ids, descending; as many ranges as shuffle
-    partitions.  Only these bounds reach the driver."""
+    """Largest id of each range of ids, descending; a range for every
+    ``RANGE_ROWS`` rows, at least as many as shuffle partitions.  Only these
+    bounds reach the driver."""
     def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
         for b in batches:
@@ -95,7 +100,7 @@ def _range_heads(spark: SparkSession, ids: DataFrame) -> list[int]:
                 best = v if best is None or (v is not None and v > best) else best
         yield pa.RecordBatch.from_arrays([pa.array([best], pa.int64())], names=["top"])
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-ids.count() // RANGE_ROWS))
     rows = ids.repartitionByRange(n, "id").mapInArrow(top, "top bigint").where("top is not null").distinct().collect()
     return sorted((r.top for r in rows), reverse=True)
 
@@ -127,12 +132,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = heads or [None]
     follows = spark.createDataFrame([(i, order[(i + 1) % len(order)]) for i in range(len(order))],
                                     "part int, head bigint")
-    # one row per range: bounded by the number of shuffle partitions
+    # one row per range: an id for RANGE_ROWS documents
     first = (src.join(F.broadcast(follows), src["id"].eqNullSafe(follows["head"]))
                 .groupBy("part", "id").agg(F.min("text").alias("text"))
                 .select("part", F.lit(1).alias("role"), "id", "text"))
     rows = src.select(range_of("id").alias("part"), F.lit(0).alias("role"), "id", "text").unionAll(first)
-    rows = (rows.repartition(max(1, len(order)), "part")
+    rows = (rows.repartitionById(max(1, len(order)), F.col("part"))  # a task for every range
                 .sortWithinPartitions("part", "role", F.col("id").desc_nulls_last(), "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
