@@ -30,6 +30,8 @@ from .common import connected_components
 #: Coordinates of the grid, and vectors per tile (bounds a task's memory).
 GRID_DIMS = 3
 TILE_ROWS = 4096
+#: Grids of at most so many cells are broadcast.
+SMALL_SIDE = 100_000
 #: Room for rounding in the bounds; what passes is compared exactly.
 SLACK = 1e-5
 #: Pairs compared exactly at a time.
@@ -132,10 +134,14 @@ def _links(classes: DataFrame, d: int, threshold: float) -> DataFrame:
 
     placed = classes.mapInArrow(cells, f"c bigint, v {classes.schema['v'].dataType.simpleString()}, copies bigint, "
                                        "cell array<int>")
-    # a bounded number of cells: (2 / width + 2) ^ dims
+    cells_most = (2 / width + 2) ** dims  # coordinates lie in [-1, 1]
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("chunks"))
+    if cells_most <= SMALL_SIDE:
+        sizes = F.broadcast(sizes)
+    # dealt by chunk, else a join by cell leaves all chunks of a hot cell in one task
     dealt = (placed.join(sizes, "cell")
-                   .withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int")))
+                   .withColumn("chunk", F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int"))
+                   .repartition("cell", "chunk"))
 
     def pack(key, t):  # (cell, chunk) and its vectors -> one row
         t = t.sort_by("c")
