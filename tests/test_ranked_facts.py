@@ -12,7 +12,8 @@ import pytest
 
 from revlens.plans.catalog import load_all
 
-NAMES = ["m1_per_class_sample", "m2_capped_sample", "m3_stratified_union", "m4_three_way_split"]
+NAMES = ["m1_per_class_sample", "m2_capped_sample", "m3_stratified_union", "m4_three_way_split",
+         "m8_oversample"]
 N, PARTS = 40_000, 50
 
 
