@@ -13,7 +13,7 @@ import pytest
 from revlens.plans.catalog import load_all
 
 NAMES = ["m1_per_class_sample", "m2_capped_sample", "m3_stratified_union", "m4_three_way_split",
-         "m8_oversample", "a16_first_seen_order"]
+         "m8_oversample", "a16_first_seen_order", "u1_union_by_class"]
 N, PARTS = 40_000, 50
 
 
