@@ -144,6 +144,7 @@ def d7(spark, sf):
     cats, prods, _ = _stored(spark, sf)
     shelf = prods.join(cats, "category_id").select("product_id", "product_title",
                                                    F.col("category_name").alias("main_category"))
+    shelf = shelf.hint("merge")  # as `label_stream`: not collected anew for every batch
     labeled, arrivals = _labeled_stream(spark, sf)
     live = labeled.join(shelf, ["product_title", "main_category"]).withColumnRenamed("row_id", "review_id")
     sink = scratch_path(spark, "d7-fact")

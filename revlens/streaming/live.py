@@ -44,8 +44,9 @@ def review_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 def label_stream(reviews: DataFrame, metadata: DataFrame, keep=None) -> DataFrame:
     """Merge (stream-static join), clean, filter and label live reviews
-    with the batch operators."""
-    return L.label_reviews(reviews, metadata, keep=keep)
+    with the batch operators.  The products meet the reviews in a shuffle: a
+    broadcast would pass all of them through the driver for every batch."""
+    return L.label_reviews(reviews, metadata.hint("merge"), keep=keep)
 
 
 def label_late_metadata(reviews: DataFrame, metadata: DataFrame, review_time: str, metadata_time: str,
