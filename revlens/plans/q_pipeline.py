@@ -169,6 +169,13 @@ def _l6(spark, sf):
     return L.label_reviews(td.raw_reviews(spark, sf), td.raw_metadata(spark, sf))
 
 
+def _l6_spread(spark, sf):
+    """The same rows for jobs that store them: a table of few row groups is
+    read by as few tasks, so the texts are dealt over all before they are
+    labeled, and what is stored has as many files."""
+    return L.label_reviews(td.raw_reviews(spark, sf).repartition("row_id"), td.raw_metadata(spark, sf))
+
+
 @register("l6_label_reviews", with_views(
     f"""SELECT *, {majority_sql('heuristic_sentiment', 'lexicon_a_sentiment', 'lexicon_b_sentiment')}
   AS final_sentiment FROM labeled""", "raw_reviews_v", "raw_metadata_v", extra=_L6_CTES))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from ..operators import star as ST
 from ..session import materialize, path_exists, scratch_path
 from .catalog import register
-from .q_pipeline import _L6_CTES, _l6
+from .q_pipeline import _L6_CTES, _l6, _l6_spread
 from .sqltext import majority_sql
 from .sqlviews import with_views
 
@@ -38,7 +38,7 @@ def _sql(body):
 
 
 def _labeled(spark, sf):
-    return materialize(_l6(spark, sf))
+    return materialize(_l6_spread(spark, sf))
 
 
 def _star(spark, sf):

@@ -22,21 +22,24 @@ from .sqltext import majority_sql
 from .sqlviews import heuristic_sql, with_views
 
 
-#: Steps (and so micro-batches) that a table arrives in, and files of a step.
+#: Steps (and so micro-batches) that a table arrives in, and the least files of a
+#: step: one for each task that can run at once, as a file of one row group is
+#: read by one task.
 ARRIVALS = 4
 FILES = 4
 
 
 def _arriving(spark, df, order: str, name: str):
     """(stream, arrivals): a stream over ``df`` and the functions that
-    deliver it, a range of ``order`` at a time as `FILES` files."""
+    deliver it, a range of ``order`` at a time as `FILES` files or more."""
+    files = max(FILES, spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, f"arrive-{name}")
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     lo, hi = (0, 0) if lo is None else (lo, hi)
     part = F.floor((F.col(order) - lo) * ARRIVALS / (hi - lo + 1))
 
     def step(k):
-        return lambda: df.filter(part == k).repartition(FILES).write.mode("append").parquet(path)
+        return lambda: df.filter(part == k).repartition(files).write.mode("append").parquet(path)
 
     df.limit(0).write.parquet(path)  # the folder is there before its rows
     return LV.review_stream(spark, path, df.schema), [step(k) for k in range(ARRIVALS)]

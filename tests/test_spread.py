@@ -1,11 +1,34 @@
 """Work on texts is dealt over tasks, done once, and products stay off the driver."""
 
+import glob
+
+from revlens import session
+from revlens.plans import q_pipeline, q_stream
 from revlens.sources import testdata as td
 from revlens.streaming import live as LV
 
 SF = "/root/testdata/sf0.001"
 
 
+def test_stored_reviews_are_dealt_over_tasks(spark):
+    """The table has one row group, so one task reads it."""
+    rows = q_pipeline._l6_spread(spark, SF)
+    assert sorted(map(repr, rows.collect())) == sorted(map(repr, q_pipeline._l6(spark, SF).collect()))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+
+
+def test_arrivals_have_a_file_for_each_task(spark):
+    docs = td.table(spark, SF, "documents")
+    stream, arrivals = q_stream._arriving(spark, docs, "doc_id", "spread-test")
+    path = session._SCRATCH[-1]
+    for deliver in arrivals:
+        deliver()
+    files = glob.glob(f"{path.removeprefix('file:')}/*.parquet")
+    assert len(files) >= q_stream.ARRIVALS * spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(path).count() == docs.count()
+
+
 def test_products_of_a_stream_are_not_broadcast(spark):
     live = LV.label_stream(td.raw_reviews(spark, SF), td.raw_metadata(spark, SF))
     plan = live._jdf.queryExecution().executedPlan().toString()
