@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 N_CLASSES = 3
 #: Word buckets of the text model (a bounded table of weights), and the
 #: whole-number unit of its log weights.
@@ -154,8 +156,11 @@ def train_classifier(df: DataFrame, text_col: str = "cleaned_text", label_col: s
                      weight_col: str | None = None, num_features: int = 1 << 18, max_iter: int = 50):
     """E3 (re-aimed): a distributed text classifier - tokenizer, hashed term
     frequencies, IDF, multinomial logistic regression - with optional
-    per-row weights from M9 / M10.  Returns the fitted PipelineModel."""
-    from pyspark.ml import Pipeline
+    per-row weights from M9 / M10.  Returns the fitted PipelineModel.
+
+    The texts are cut into words once: the term frequencies are written, and
+    the passes of the later stages read them."""
+    from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tok", pattern=r"(?U)\W+", minTokenLength=2)
@@ -163,4 +168,7 @@ def train_classifier(df: DataFrame, text_col: str = "cleaned_text", label_col: s
     idf = IDF(inputCol="_tf", outputCol="features")
     lr = LogisticRegression(labelCol=label_col, featuresCol="features", maxIter=max_iter,
                             family="multinomial", **({"weightCol": weight_col} if weight_col else {}))
-    return Pipeline(stages=[tok, tf, idf, lr]).fit(df)
+    columns = [label_col, *([weight_col] if weight_col else []), "_tf"]
+    counted = materialize(tf.transform(tok.transform(df)).select(*columns), "term-counts")
+    idf_model = idf.fit(counted)
+    return PipelineModel(stages=[tok, tf, idf_model, lr.fit(idf_model.transform(counted))])

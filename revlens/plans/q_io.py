@@ -138,9 +138,9 @@ def e3(spark, sf):
     reviews with category sample weights (M9): the rows it scored and
     whether it beats the commonest class by a tenth on them."""
     from ..operators import sampling as M
-    from .q_pipeline import _l6
+    from .q_pipeline import _l6_spread
     from ..functions.labels import encode_label
-    lab = materialize(_l6(spark, sf).withColumn("label", encode_label("final_sentiment").cast("double")), "labeled")
+    lab = materialize(_l6_spread(spark, sf).withColumn("label", encode_label("final_sentiment").cast("double")), "labeled")
     lab = M.add_group_weights(lab, "main_category")
     model = SC.train_classifier(lab, "cleaned_text", "label", weight_col="sample_weight",
                                 num_features=1 << 16, max_iter=20)

@@ -2,7 +2,10 @@
 
 import glob
 
+from pyspark.sql import functions as F
+
 from revlens import session
+from revlens.operators import scoring as SC
 from revlens.plans import q_pipeline, q_stream
 from revlens.sources import testdata as td
 from revlens.streaming import live as LV
@@ -10,6 +13,21 @@ from revlens.streaming import live as LV
 SF = "/root/testdata/sf0.001"
 
 
+def test_training_cuts_texts_into_words_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def text(k):
+        seen.add(1)
+        return "good fine works" if k % 2 else "bad poor broken"
+
+    rows = spark.range(40).select((F.col("id") % 2).cast("double").alias("label"), F.col("id"))
+    udf = F.udf(text, "string").asNondeterministic()
+    model = SC.train_classifier(rows.withColumn("cleaned_text", udf("id")), num_features=1 << 8, max_iter=3)
+    assert seen.value == 40 and len(model.stages) == 4
+    again = rows.withColumn("cleaned_text", F.when(F.col("label") == 1, "good fine").otherwise("bad broken"))
+    assert model.transform(again).where("prediction <> label").isEmpty()
+
+
 def test_stored_reviews_are_dealt_over_tasks(spark):
     """The table has one row group, so one task reads it."""
     rows = q_pipeline._l6_spread(spark, SF)
