@@ -7,7 +7,7 @@ before each run of spaces and at characters that no longer piece contains:
 no piece can span such a cut, so the segments' encodings are the text's
 encoding, and repeated segments are encoded once per task.  Every segment
 the agenda encodes is checked against the sentencepiece library, a batch of
-segments at a time.
+segments at a time: as one text, and one by one if that differs.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ SPACE = "▁"
 #: Segments remembered per worker process, and the longest one remembered.
 CACHE_SEGMENTS = 500_000
 CACHE_CHARS = 48
+#: Segments that the library encodes as one text.
+CHECK_SEGMENTS = 200
 #: Up to so many symbols the agenda is a plain list, beyond it a heap.
 LIST_SYMBOLS = 24
 #: Punctuation that may be cut off the word before it.
@@ -63,7 +65,10 @@ class PieceModel:
         keep = f"[^{SPACE}{self.alone}{cut}]++" + (f"|(?<!\\w)[{cut}]" if cut else "")
         lone = f"|[{self.alone}]" if self.alone else ""
         self.segments = re.compile(f"{SPACE}+(?:{keep})*+|[^{SPACE}{self.alone}](?:{keep})*+{lone}").findall
-        self.known: dict[str, tuple[list[int], str]] = {}  # ids, and as text
+        self.text = [str(i) for i in range(n)]
+        # ids of known segments, and as text (tuples, which garbage collection leaves alone)
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.known_text: dict[str, str] = {}
         self.wrong: set[str] = set()
 
     def normalize(self, text: str) -> str:
@@ -120,7 +125,11 @@ class PieceModel:
         return symbols
 
     def _ids(self, symbols: list[str]) -> list[int]:
-        ids, known, raw = [], self.piece_id, self.byte_id
+        known, raw = self.piece_id, self.byte_id
+        try:
+            return [known[s] for s in symbols]
+        except KeyError:
+            ids = []
         for s in symbols:
             i = known.get(s)
             if i is not None:
@@ -133,15 +142,32 @@ class PieceModel:
 
     def learn(self, segments: set[str]) -> None:
         """Encode new segments and check them against the library."""
-        fresh = list(segments)
-        for s, want in zip(fresh, self.from_library(fresh)):
-            ids = self.agenda(s)
-            self.known[s] = (ids, " ".join(map(str, ids)))
-            if ids != want:
-                self.wrong.add(s)
+        fresh, text = list(segments), self.text
+        found = [self.agenda(s) for s in fresh]
+        for s, ids in zip(fresh, found):
+            self.known[s] = tuple(ids)
+            self.known_text[s] = " ".join([text[i] for i in ids])
+        self.wrong.update(self.differing(fresh, found))
+
+    def differing(self, segments: list[str], found: list[list[int]]) -> list[str]:
+        """Segments whose ids the library does not give.  Segments that begin
+        with one space mark are encoded as one text, which must have their ids
+        one after the other; all others, and those of a text that differs, are
+        encoded one by one."""
+        plain = [k for k, s in enumerate(segments) if s[0] == SPACE and len(s) > 1 and s[1] != SPACE]
+        rest = set(range(len(segments))).difference(plain)
+        parts = [plain[k:k + CHECK_SEGMENTS] for k in range(0, len(plain), CHECK_SEGMENTS)]
+        texts = ["".join([segments[k] for k in part])[1:].replace(SPACE, " ") for part in parts]
+        for part, got in zip(parts, self.library.encode(texts, num_threads=1) if texts else []):
+            if got != [*chain.from_iterable([found[k] for k in part])]:
+                rest.update(part)
+        alone = sorted(rest)
+        wanted = self.from_library([segments[k] for k in alone]) if alone else []
+        return [segments[k] for k, want in zip(alone, wanted) if found[k] != want]
 
     def forget(self) -> None:
         self.known.clear()
+        self.known_text.clear()
         self.wrong.clear()
 
     def from_library(self, segments: list[str]) -> list[list[int]]:
@@ -187,18 +213,17 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 new = set().union(*cut).difference(m.known)
                 if new:
                     m.learn(new)
-                known, wrong = m.known.__getitem__, m.wrong
+                known, known_text, wrong = m.known.__getitem__, m.known_text.__getitem__, m.wrong
                 rows, all_ids = [], []
                 for segs in cut:
-                    got = list(map(known, segs))
-                    ids = [*chain.from_iterable([i for i, _ in got]), m.end_id]
-                    text = " ".join([*[t for _, t in got], end])
+                    ids = [*chain.from_iterable(map(known, segs)), m.end_id]
+                    text = " ".join([*map(known_text, segs), end])
                     rows.append((len(ids), hashlib.sha256(text.encode()).hexdigest(),
                                  not wrong or wrong.isdisjoint(segs)))
                     all_ids.append(ids)
                 for s in new:  # very long segments are not worth remembering
                     if len(s) > CACHE_CHARS:
-                        del m.known[s]
+                        del m.known[s], m.known_text[s]
                 decoded = m.library.decode(all_ids) if all_ids else []
                 shas = [hashlib.sha256(d.encode("utf-8")).hexdigest() for d in decoded]
                 n, sha, ok = zip(*rows) if rows else ((), (), ())

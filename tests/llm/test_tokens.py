@@ -147,3 +147,31 @@ def test_op8_matches_library(spark):
 def test_op8_edge_rows(spark):
     check_sp(encode_decode(odd(spark), P.path("piece_bpe_32k.model")).collect(), [r[:2] for r in ODD])
     assert encode_decode(odd(spark).limit(0), P.path("piece_bpe_32k.model")).count() == 0
+
+
+def test_segments_are_checked_as_one_text():
+    """Ids that the library does not give are found among many segments, and
+    all but odd ones cost one text for `CHECK_SEGMENTS` of them."""
+    m = piece_model(P.path("piece_bpe_32k.model"))
+    segments = [f"▁word{n}" for n in range(450)] + ["▁", "▁▁two", "lone", "▁日本語😀"]
+    found = [m.agenda(s) for s in segments]
+    given, library = [], m.library
+
+    class Counted:
+        def encode(self, texts, **kw):
+            given.append(len(texts) if isinstance(texts, list) else 0)
+            return library.encode(texts, **kw)
+
+    m.library = Counted()
+    try:
+        assert m.differing(segments, found) == []
+        assert sum(given) <= 3 + 3  # three texts, and the odd segments alone
+        for k in (0, 333, 450, 452):
+            wrong = [list(x) for x in found]
+            wrong[k][-1] += 1
+            assert m.differing(segments, wrong) == [segments[k]]
+        swapped = [*found]
+        swapped[7], swapped[8] = found[8], found[7]
+        assert m.differing(segments, swapped) == segments[7:9]
+    finally:
+        m.library = library
