@@ -4,11 +4,14 @@ Vectors are scaled to length one and turned into the eigenbasis of their
 second moments, largest first.  Vectors closer than the threshold differ by
 at most ``sqrt(2 - 2 t)`` in every coordinate, so a grid of that width over
 the first coordinates leaves only neighbouring cells to compare.  Cells are
-cut into tiles of bounded size and neighbouring tiles meet in pairs.  A tile
-pair multiplies the leading coordinates first; where that product plus the
-product of the remaining norms cannot reach the threshold the pair of
-vectors is dropped, the others take further coordinates, and what is left is
-compared in double precision in the original coordinates.
+cut into tiles of bounded size, tiles are dealt to blocks, and a task gets the
+tiles of two blocks that have neighbours in the other, so a tile moves once
+for each block and not once for each neighbour; block pairs take turns, so
+that the moved tiles never fill the disk.  A pair of neighbouring tiles
+multiplies the leading coordinates first; where that product plus the product
+of the remaining norms cannot reach the threshold the pair of vectors is
+dropped, the others take further coordinates, and what is left is compared in
+double precision in the original coordinates.
 
 A tile pair returns link counts per vector and a spanning forest of its
 links, never the links themselves; equal vectors are compared once.
@@ -18,18 +21,24 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from ..session import materialize
+from ..session import materialize, release
 from .common import connected_components
 
 #: Coordinates of the grid, and vectors per tile (bounds a task's memory).
 GRID_DIMS = 3
 TILE_ROWS = 4096
+#: Numbers in the vectors of a block (bounds a task's memory), and blocks at least (for enough tasks).
+BLOCK_VALUES, BLOCKS = 1 << 21, 6
+#: Bytes of tiles that move in one turn, if the tiles themselves are not more.
+TURN_BYTES = 1 << 28
 #: Grids of at most so many cells are broadcast.
 SMALL_SIDE = 100_000
 #: Room for rounding in the bounds; what passes is compared exactly.
@@ -67,32 +76,44 @@ def second_moments(classes: DataFrame, d: int) -> np.ndarray:
     return out
 
 
+class Side:
+    """Unit vectors ``u`` with their coordinates ``p`` in ``basis``, the norms
+    behind the first ``cuts`` of these, and the leading coordinates."""
+
+    def __init__(self, u: np.ndarray, basis: np.ndarray):
+        d = u.shape[1]
+        self.u, self.p = u, u @ basis
+        self.cuts = sorted({min(d, c) for c in (max(1, d // 4), max(1, d // 2))})
+        self.norms = [np.sqrt(np.maximum(0, (self.p[:, c:] ** 2).sum(axis=1))) for c in self.cuts]
+        # the norm of the rest as one more coordinate: a product of two rows is their bound
+        self.lead = np.column_stack([self.p[:, :self.cuts[0]], self.norms[0]]).astype(np.float32)
+
+
 def compare(a: np.ndarray, b: np.ndarray, basis: np.ndarray, threshold: float, same: bool):
     """Index pairs (i, j) of rows of ``a`` and ``b`` (unit vectors) with
     cosine of at least ``threshold``; ``same``: both are one tile, i < j."""
-    pa_, pb = a @ basis, b @ basis
-    d = a.shape[1]
-    cuts = sorted({min(d, c) for c in (max(1, d // 4), max(1, d // 2))})
-    na = [np.sqrt(np.maximum(0, (pa_[:, c:] ** 2).sum(axis=1))) for c in cuts]
-    nb = [np.sqrt(np.maximum(0, (pb[:, c:] ** 2).sum(axis=1))) for c in cuts]
-    fa, fb = pa_[:, :cuts[0]].astype(np.float32), np.ascontiguousarray(pb[:, :cuts[0]].astype(np.float32).T)
+    return meet(Side(a, basis), Side(b, basis), threshold, same)
+
+
+def meet(a: Side, b: Side, threshold: float, same: bool):
+    """``compare`` of prepared tiles."""
+    fb = np.ascontiguousarray(b.lead.T)
     limit = threshold - SLACK
     out_i, out_j = [], []
-    for lo in range(0, len(a), 512):
-        bound = fa[lo:lo + 512] @ fb  # leading coordinates
-        bound += np.outer(na[0][lo:lo + 512], nb[0]).astype(np.float32)
-        i, j = np.nonzero(bound >= np.float32(limit))
+    for lo in range(0, len(a.u), 512):
+        bound = a.lead[lo:lo + 512] @ fb
+        i, j = np.divmod(np.flatnonzero(bound >= np.float32(limit)), len(b.u))
         i = i + lo
         if same:
             i, j = i[i < j], j[i < j]
         for at in range(0, len(i), EXACT):
             x, y = i[at:at + EXACT], j[at:at + EXACT]
             part, done = np.zeros(len(x)), 0
-            for k, c in enumerate(cuts):  # more coordinates for those still in reach
-                part = part + np.einsum("ij,ij->i", pa_[x, done:c], pb[y, done:c])
-                live = part + na[k][x] * nb[k][y] >= limit
+            for k, c in enumerate(a.cuts):  # more coordinates for those still in reach
+                part = part + np.einsum("ij,ij->i", a.p[x, done:c], b.p[y, done:c])
+                live = part + a.norms[k][x] * b.norms[k][y] >= limit
                 x, y, part, done = x[live], y[live], part[live], c
-            hit = np.einsum("ij,ij->i", a[x], b[y]) >= threshold
+            hit = np.einsum("ij,ij->i", a.u[x], b.u[y]) >= threshold
             out_i.append(x[hit])
             out_j.append(y[hit])
     if not out_i:
@@ -119,9 +140,11 @@ def forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.array(keep, np.int64)
 
 
-def _links(classes: DataFrame, d: int, threshold: float) -> DataFrame:
+def _links(classes: DataFrame, d: int, n: int, threshold: float) -> DataFrame:
     """``node, other, n``: link counts (other null) and forest links (n null)
-    between classes ``c, v, copies`` of vectors of length ``d``."""
+    between ``n`` classes ``c, v, copies`` of vectors of length ``d``."""
+    kind = np.dtype("<f4" if classes.schema["v"].dataType.elementType == FloatType() else "<f8")
+    blocks = max(BLOCKS, math.ceil(n / max(TILE_ROWS, BLOCK_VALUES // d)))
     values, vectors = np.linalg.eigh(second_moments(classes, d))
     basis = vectors[:, np.argsort(-values)]
     dims, width = min(GRID_DIMS, d), math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
@@ -145,57 +168,82 @@ def _links(classes: DataFrame, d: int, threshold: float) -> DataFrame:
 
     def pack(key, t):  # (cell, chunk) and its vectors -> one row
         t = t.sort_by("c")
-        x = _matrix(t.column("v").combine_chunks(), d)
+        x = _matrix(t.column("v").combine_chunks(), d).astype(kind)
         return pa.table({"cell": pa.array([key[0].as_py()], pa.list_(pa.int32())), "chunk": [key[1].as_py()],
+                         "rows": [t.num_rows],
                          "c": pa.array([np.asarray(t.column("c"), np.int64).tobytes()], pa.binary()),
                          "copies": pa.array([np.asarray(t.column("copies"), np.int64).tobytes()], pa.binary()),
                          "x": pa.array([x.tobytes()], pa.binary())},
-                        schema=pa.schema([("cell", pa.list_(pa.int32())), ("chunk", pa.int32()), ("c", pa.binary()),
-                                          ("copies", pa.binary()), ("x", pa.binary())]))
+                        schema=pa.schema([("cell", pa.list_(pa.int32())), ("chunk", pa.int32()), ("rows", pa.int64()),
+                                          ("c", pa.binary()), ("copies", pa.binary()), ("x", pa.binary())]))
 
-    tiles = materialize(dealt.groupBy("cell", "chunk").applyInArrow(
-        pack, "cell array<int>, chunk int, c binary, copies binary, x binary"), "tiles")
-    # each tile meets the tiles of its own and the neighbouring cells, once
+    packed = dealt.groupBy("cell", "chunk").applyInArrow(
+        pack, "cell array<int>, chunk int, rows bigint, c binary, copies binary, x binary")
+    tiles = materialize(packed.withColumn("block", F.pmod(F.xxhash64("cell", "chunk"), F.lit(blocks)).cast("int")),
+                        "tiles", tidy=True)
+    # the blocks that hold a cell or one of its neighbours
+    held = tiles.select("cell", "block").distinct()
     step = F.array(*[F.lit(s) for s in (-1, 0, 1)])
-    near = tiles.select("cell", "chunk")
+    near = tiles.select("cell").distinct()
     for k in range(dims):
         near = near.withColumn(f"s{k}", F.explode(step))
     other = F.array(*[F.col("cell")[k] + F.col(f"s{k}") for k in range(dims)])
-    near = near.select(F.col("cell").alias("cell_a"), F.col("chunk").alias("chunk_a"), other.alias("cell"))
-    ends = near.join(tiles.select("cell", "chunk"), "cell").select(
-        "cell_a", "chunk_a", F.col("cell").alias("cell_b"), F.col("chunk").alias("chunk_b"))
-    ends = ends.where(F.struct("cell_a", "chunk_a") <= F.struct(F.col("cell_b").alias("cell_a"),
-                                                                F.col("chunk_b").alias("chunk_a")))
-    left = tiles.select(F.col("cell").alias("cell_a"), F.col("chunk").alias("chunk_a"), F.col("c").alias("ca"),
-                        F.col("copies").alias("na"), F.col("x").alias("xa"))
-    right = tiles.select(F.col("cell").alias("cell_b"), F.col("chunk").alias("chunk_b"), F.col("c").alias("cb"),
-                         F.col("copies").alias("nb"), F.col("x").alias("xb"))
-    pairs = (ends.join(left, ["cell_a", "chunk_a"]).join(right, ["cell_b", "chunk_b"])
-                 .repartition("cell_a", "chunk_a", "cell_b", "chunk_b")
-                 .select(((F.col("cell_a") == F.col("cell_b")) & (F.col("chunk_a") == F.col("chunk_b"))).alias("same"),
-                         "ca", "na", "xa", "cb", "nb", "xb"))
+    near = (near.select(F.col("cell").alias("of"), other.alias("cell")).join(held, "cell")
+                .groupBy(F.col("of").alias("cell")).agg(F.collect_set("block").alias("others")))
+    near = materialize(near, "near", tidy=True)
+    moved = tiles.join(near, "cell").agg(F.sum(F.col("rows") * F.size("others"))).first()[0] or 0
+    row_bytes = d * kind.itemsize + 16
+    turns = max(1, math.ceil(moved * row_bytes / max(n * row_bytes, TURN_BYTES)))
+    meetings = blocks * (blocks + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The tiles of a block pair, those of its first block before the others."""
+        now, first = None, []
         for batch in batches:
             for k in range(batch.num_rows):
-                same, ca, na, xa, cb, nb, xb = (c[k].as_py() for c in batch.columns)
-                ca, na, cb, nb = (np.frombuffer(z, np.int64) for z in (ca, na, cb, nb))
-                a, b = (unit(np.frombuffer(z, np.float64).reshape(-1, d)) for z in (xa, xb))
-                i, j = compare(a, b, basis, threshold, same)
-                if not len(i):
-                    continue
-                node = np.concatenate([ca[i], cb[j]])
-                weight = np.concatenate([nb[j], na[i]])
-                nodes, inv = np.unique(node, return_inverse=True)
-                count = np.bincount(inv, weight, len(nodes)).astype(np.int64)
-                keep = forest(ca[i], cb[j])
-                n, m = len(nodes), len(keep)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([nodes, ca[i][keep]])),
-                     pa.array([None] * n + cb[j][keep].tolist(), pa.int64()),
-                     pa.array(count.tolist() + [None] * m, pa.int64())], names=["node", "other", "n"])
-
-    return pairs.mapInArrow(run, "node bigint, other bigint, n bigint")
+                ba, bb, block, cell, c, copies, x = (v[k].as_py() for v in batch.columns)
+                if now != (ba, bb):
+                    now, first = (ba, bb), []
+                cell = np.array(cell)
+                c, copies = np.frombuffer(c, np.int64), np.frombuffer(copies, np.int64)
+                tile = cell, c, copies, Side(unit(np.frombuffer(x, kind).reshape(-1, d).astype(np.float64)), basis)
+                if block == ba:
+                    first.append(tile)
+                if block == bb:
+                    for mate in first:
+                        if np.abs(mate[0] - cell).max() <= 1:
+                            yield from linked(mate, tile, mate is tile)
+
+    def linked(one, two, same: bool) -> Iterator[pa.RecordBatch]:
+        (_, ca, na, a), (_, cb, nb, b) = one, two
+        i, j = meet(a, b, threshold, same)
+        if not len(i):
+            return
+        node = np.concatenate([ca[i], cb[j]])
+        weight = np.concatenate([nb[j], na[i]])
+        nodes, inv = np.unique(node, return_inverse=True)
+        count = np.bincount(inv, weight, len(nodes)).astype(np.int64)
+        keep = forest(ca[i], cb[j])
+        n, m = len(nodes), len(keep)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([nodes, ca[i][keep]])),
+             pa.array([None] * n + cb[j][keep].tolist(), pa.int64()),
+             pa.array(count.tolist() + [None] * m, pa.int64())], names=["node", "other", "n"])
+
+    if cells_most <= SMALL_SIDE:
+        near = F.broadcast(near)
+    found = []
+    for turn in range(turns):
+        ba, bb = F.least("block", "other"), F.greatest("block", "other")
+        some = (tiles.join(near, "cell").withColumn("other", F.explode("others"))
+                     .where(F.pmod(F.xxhash64(ba, bb), F.lit(turns)) == turn)
+                     .select(ba.alias("ba"), bb.alias("bb"), "block", "cell", "c", "copies", "x", "chunk")
+                     .repartition(max(1, math.ceil(meetings / turns)), "ba", "bb")
+                     .sortWithinPartitions("ba", "bb", F.col("block") != F.col("ba"), "cell", "chunk")
+                     .select("ba", "bb", "block", "cell", "c", "copies", "x"))
+        found.append(materialize(some.mapInArrow(run, "node bigint, other bigint, n bigint"), "links", tidy=True))
+    release(tiles)
+    return reduce(DataFrame.unionAll, found)
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -209,20 +257,22 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     row's own.  An empty table gives an empty result."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
-    src = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
+    # floats stay floats: the same values in half the room
+    plain = vectors.schema[vector_col].dataType
+    kind = "float" if isinstance(plain, ArrayType) and plain.elementType == FloatType() else "double"
+    src = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast(f"array<{kind}>").alias("v"))
     fine = (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) \
         & F.exists("v", lambda x: x != 0)
     good = src.where(F.col("v").isNotNull()).where(fine)
     classes = materialize(good.groupBy("v").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-                              .withColumn("c", F.monotonically_increasing_id()), "vectors")
-    lengths = sorted(r[0] for r in classes.select(F.size("v")).distinct().collect())
+                              .withColumn("c", F.monotonically_increasing_id()), "vectors", tidy=True)
+    lengths = sorted(map(tuple, classes.groupBy(F.size("v")).count().collect()))
     found = None
-    for d in lengths:
-        part = _links(classes.where(F.size("v") == d).select("c", "v", "copies"), d, threshold)
+    for d, n in lengths:
+        part = _links(classes.where(F.size("v") == d).select("c", "v", "copies"), d, n, threshold)
         found = part if found is None else found.unionAll(part)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], "node bigint, other bigint, n bigint")
-    found = materialize(found, "links")
     comps = connected_components(found.where("other is not null"), "node", "other")
     counts = found.where("n is not null").groupBy("node").agg(F.sum("n").alias("n"))
     tagged = (classes.join(comps, classes["c"] == comps["node"], "left").drop("node")

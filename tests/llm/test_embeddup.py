@@ -75,3 +75,35 @@ def test_edge_rows_over_many_tiles(spark, monkeypatch):
     got = [tuple(r) for r in E.near_duplicates(df, threshold=0.9).collect()]
     assert sorted(got, key=str) == slow(rows, 0.9)
     assert E.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_tiles_move_by_block_not_by_neighbour(spark, monkeypatch):
+    monkeypatch.setattr(E, "TILE_ROWS", 8)
+    moved, unit = spark.sparkContext.accumulator(0), E.unit
+
+    def counted(x):
+        moved.add(len(x))
+        return unit(x)
+
+    monkeypatch.setattr(E, "unit", counted)
+    rng = np.random.default_rng(5)
+    rows = [(i, (np.ones(6) + rng.normal(size=6) * 0.01).tolist()) for i in range(240)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = [tuple(r) for r in E.near_duplicates(df).collect()]
+    assert sorted(got) == [(i, 239, 0, i == 0) for i in range(240)]
+    # moments and cells take each vector three times; the rest is what the tiles of a cell cost their block pairs
+    assert moved.value <= (3 + E.BLOCKS) * 240
+
+
+def test_block_pairs_take_turns(spark, monkeypatch):
+    monkeypatch.setattr(E, "TILE_ROWS", 5)
+    monkeypatch.setattr(E, "BLOCK_VALUES", 60)
+    monkeypatch.setattr(E, "TURN_BYTES", 1)
+    names, write = [], E.materialize
+    monkeypatch.setattr(E, "materialize", lambda df, name, **k: names.append(name) or write(df, name, **k))
+    rng = np.random.default_rng(6)
+    rows = [(i, (rng.normal(size=6) * [5, 2, 1, 1, 1, 1]).astype("f4").tolist()) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = [tuple(r) for r in E.near_duplicates(df, threshold=0.9).collect()]
+    assert sorted(got, key=str) == slow(rows, 0.9)
+    assert names.count("links") > 3
