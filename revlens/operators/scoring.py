@@ -171,4 +171,7 @@ def train_classifier(df: DataFrame, text_col: str = "cleaned_text", label_col: s
     columns = [label_col, *([weight_col] if weight_col else []), "_tf"]
     counted = materialize(tf.transform(tok.transform(df)).select(*columns), "term-counts")
     idf_model = idf.fit(counted)
-    return PipelineModel(stages=[tok, tf, idf_model, lr.fit(idf_model.transform(counted))])
+    model = lr.fit(idf_model.transform(counted))
+    # the training summary holds the session, which cannot go to tasks once it has observed a query
+    model._java_obj.setSummary(df.sparkSession._jvm.scala.Option.empty())
+    return PipelineModel(stages=[tok, tf, idf_model, model])

@@ -2,6 +2,7 @@
 
 import glob
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from revlens import session
@@ -28,6 +29,16 @@ def test_training_cuts_texts_into_words_once(spark):
     assert model.transform(again).where("prediction <> label").isEmpty()
 
 
+def test_classifier_scores_in_a_session_that_observed(spark):
+    rows = spark.range(40).select((F.col("id") % 2).cast("double").alias("label"))
+    rows = rows.withColumn("cleaned_text", F.when(F.col("label") == 1, "good fine").otherwise("bad broken"))
+    seen = Observation("rows")
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 40}
+    model = SC.train_classifier(rows, num_features=1 << 8, max_iter=3)
+    assert model.transform(rows).where("prediction <> label").isEmpty()
+
+
 def test_stored_reviews_are_dealt_over_tasks(spark):
     """The table has one row group, so one task reads it."""
     rows = q_pipeline._l6_spread(spark, SF)
